@@ -190,17 +190,15 @@ def secure(df: DataFrame, binding: dict | None, maps: dict[str, DataFrame],
                        map_key=pattern.map_key, **kwargs), "FILTERED")
 
 
-def secured_view_sql(view: str, base: str, column: str, map_table: str,
-                     map_key: str, membership_table: str) -> str:
-    """SQL text of a secured view (EXISTS form, evaluated per query).
+def secured_select_sql(base: str, column: str, map_table: str, map_key: str,
+                       membership_table: str) -> str:
+    """SQL body of a secured view (EXISTS form, evaluated per query).
 
     The reader is ``current_user()``, so a membership or mapping change takes
     effect on the next query without rebuilding anything; if the base loses
     the filter column the view fails closed (unresolved column).
     """
-    return f"""
-CREATE OR REPLACE VIEW {view} AS
-SELECT b.* FROM {base} b
+    return f"""SELECT b.* FROM {base} b
 WHERE EXISTS (
     SELECT 1 FROM {map_table} m JOIN {membership_table} g
       ON g.group_id = m.entra_group_id
@@ -210,5 +208,11 @@ WHERE EXISTS (
     SELECT 1 FROM {map_table} m JOIN {membership_table} g
       ON g.group_id = m.entra_group_id
     WHERE m.scope = '{GLOBAL_SCOPE}' AND m.is_active = true
-      AND g.principal = current_user())
-"""
+      AND g.principal = current_user())"""
+
+
+def secured_view_sql(view: str, base: str, column: str, map_table: str,
+                     map_key: str, membership_table: str) -> str:
+    """``CREATE OR REPLACE VIEW`` text for :func:`secured_select_sql`."""
+    body = secured_select_sql(base, column, map_table, map_key, membership_table)
+    return f"CREATE OR REPLACE VIEW {view} AS\n{body}"

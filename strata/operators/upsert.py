@@ -89,6 +89,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            null_keys: str = "raise", evolve: bool = False, check: bool = True,
            broadcast_limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """SNK-2/3/4: MERGE ... UPDATE SET * / INSERT * on ``keys``."""
+    return upsert_counted(target, source, keys, null_keys, evolve, check, broadcast_limit)[0]
+
+
+def upsert_counted(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                   null_keys: str = "raise", evolve: bool = False, check: bool = True,
+                   broadcast_limit: int = DEFAULT_BROADCAST_ROWS
+                   ) -> tuple[DataFrame, int | None]:
+    """:func:`upsert` plus the number of source rows (from the key check)."""
     keys = list(keys)
     if not keys:
         raise ValueError("upsert needs at least one key column")
@@ -119,7 +127,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     src_keys = F.broadcast(src_keys) if use_broadcast else src_keys
     matched_keys = tgt.select(*keys).join(src_keys, keys, "left_semi").distinct()
     inserts = src.join(matched_keys, keys, "left_anti").select(*columns)
-    return updated.unionByName(inserts)
+    return updated.unionByName(inserts), n
 
 
 def load_frame(current: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
