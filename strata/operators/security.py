@@ -90,17 +90,6 @@ def permitted_keys(granted: DataFrame, map_key: str) -> DataFrame:
             .select(F.col(map_key).alias("__permitted_key")).distinct())
 
 
-def _semi_join_keys(df: DataFrame, column: str, keys: DataFrame,
-                    broadcast_limit: int) -> DataFrame:
-    n = keys.count()
-    if n == 0:
-        # No grant at all: an empty result with the input schema; Spark
-        # prunes the scan entirely for a literal-false filter.
-        return df.where(F.lit(False))
-    side = F.broadcast(keys) if n <= broadcast_limit else keys
-    return df.join(side, df[column] == F.col("__permitted_key"), "left_semi")
-
-
 def row_filter(df: DataFrame, column: str, group_map: DataFrame,
                membership: DataFrame, principal: str, map_key: str | None = None,
                broadcast_limit: int = DEFAULT_BROADCAST_KEYS,
@@ -120,9 +109,25 @@ def row_filter(df: DataFrame, column: str, group_map: DataFrame,
     granted = granted_mappings(group_map, membership, principal)
     if mode != "resolve":
         raise ValueError(f"unknown mode {mode!r}")
-    if has_global_grant(granted):
+    is_global, n_keys = resolve_grants(granted, map_key)
+    if is_global:
         return df
-    return _semi_join_keys(df, column, permitted_keys(granted, map_key), broadcast_limit)
+    if n_keys == 0:
+        # No grant at all: empty result with the input schema; Spark prunes
+        # the scan entirely for a literal-false filter.
+        return df.where(F.lit(False))
+    keys = permitted_keys(granted, map_key)
+    side = F.broadcast(keys) if n_keys <= broadcast_limit else keys
+    return df.join(side, df[column] == F.col("__permitted_key"), "left_semi")
+
+
+def resolve_grants(granted: DataFrame, map_key: str) -> tuple[bool, int]:
+    """One small job over the config tables: (GLOBAL grant?, #permitted keys)."""
+    is_global = F.col("scope") == F.lit(GLOBAL_SCOPE)
+    row = granted.agg(
+        F.max(is_global.cast("int")).alias("g"),
+        F.count_distinct(F.when(~is_global, F.col(map_key))).alias("n")).first()
+    return bool(row["g"]), int(row["n"] or 0)
 
 
 def _visible_predicate(column: str, granted: DataFrame, map_key: str) -> Column:

@@ -66,23 +66,26 @@ def check_source_keys(target: DataFrame, source: DataFrame, keys: Sequence[str],
                       null_keys: str = "raise") -> int:
     """Validate source keys; returns the number of source rows.
 
-    One aggregate pass over the source gives the row count and NULL-key
-    count; the duplicate test aggregates source keys only, and touches the
-    target (semi join against the few duplicate keys) only when duplicates
-    exist.
+    One job aggregates the source per key (partial aggregation first, so a
+    hot key costs one row per map task) and then globally: row count, rows
+    with a NULL key, and the largest group. The target is touched (semi join
+    against the few duplicate keys) only when duplicates exist.
     """
-    stats = source.agg(F.count(F.lit(1)).alias("n"),
-                       F.count_if(_any_null(keys)).alias("null_keys")).first()
+    nulls = _any_null(keys)
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+    stats = per_key.agg(
+        F.sum("c").alias("n"),
+        F.sum(F.when(nulls, F.col("c")).otherwise(F.lit(0))).alias("null_keys"),
+        F.max(F.when(~nulls, F.col("c"))).alias("max_per_key")).first()
     if stats["null_keys"] and null_keys == "raise":
         raise MergeKeyError(f"{stats['null_keys']} source rows have a NULL key {list(keys)}")
-    dups = (source.where(~_any_null(keys)).groupBy(*keys).count()
-            .where(F.col("count") > 1).select(*keys))
-    if dups.limit(1).count():
+    if (stats["max_per_key"] or 0) > 1:
+        dups = per_key.where(~nulls & (F.col("c") > 1)).select(*keys)
         hit = target.select(*keys).join(dups, list(keys), "left_semi").limit(1).collect()
         if hit:
             raise MergeKeyError(
                 f"target key {hit[0].asDict()} is matched by several source rows")
-    return int(stats["n"])
+    return int(stats["n"] or 0)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -123,9 +126,13 @@ def upsert_counted(target: DataFrame, source: DataFrame, keys: Sequence[str],
         for c in columns
     ])
 
-    src_keys = src.select(*keys).distinct()
+    # Target keys that some source row matches, collapsed map-side: at most
+    # one row per distinct source key, so it is bounded by the counted source
+    # and may be broadcast to the anti join whenever the source was.
+    src_keys = src.select(*keys)
     src_keys = F.broadcast(src_keys) if use_broadcast else src_keys
     matched_keys = tgt.select(*keys).join(src_keys, keys, "left_semi").distinct()
+    matched_keys = F.broadcast(matched_keys) if use_broadcast else matched_keys
     inserts = src.join(matched_keys, keys, "left_anti").select(*columns)
     return updated.unionByName(inserts), n
 

@@ -102,10 +102,14 @@ def material_on_time_fact(deliveries: DataFrame, delivery_items: DataFrame,
     """plan.fact_mot (JN-1, JN-3, JN-4, CAS-1, CAS-2, FLT-3, PRJ-2)."""
     d, i = deliveries.alias("d"), delivery_items.alias("i")
     o, m = orders.alias("o"), materials.alias("m")
+    # Same rows as header JOIN item LEFT JOIN order LEFT JOIN material, but
+    # items meet materials first: the material join depends only on the item,
+    # and with FLT-3 it becomes an inner join whose (pushed-down) division
+    # filter drops most items before the shuffle on the delivery number.
     fact = (
-        d.join(i, F.col("d.VBELN") == F.col("i.VBELN"), "inner")
+        i.join(m, F.col("i.MATNR") == F.col("m.MATNR"), "left")
+        .join(d, F.col("d.VBELN") == F.col("i.VBELN"), "inner")
         .join(o, F.col("d.VGBEL") == F.col("o.VBELN"), "left")
-        .join(m, F.col("i.MATNR") == F.col("m.MATNR"), "left")
         .select(
             F.col("i.VBELN").alias("delivery_number"),
             F.col("i.POSNR").alias("delivery_item"),
