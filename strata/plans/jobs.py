@@ -55,10 +55,9 @@ def load(sink: SnapshotSink, df: DataFrame, name: str, keys: Sequence[str],
 
 
 def publish_public_view(sink: SnapshotSink, name: str, security: SecurityConfig | None,
-                        columns: Sequence[str]) -> str:
+                        columns: Sequence[str], binding: dict | None = None) -> str:
     """SEC-1/SEC-2: the public name is the secured view if the table is bound."""
-    binding = None
-    if security is not None:
+    if binding is None and security is not None:
         binding = binding_for(security.bindings, security.schema_name or sink.database, name)
     if binding is None:
         sink.set_public_view(name)
@@ -85,13 +84,14 @@ def run_fact_job(spark: SparkSession, sink: SnapshotSink, log: RunLog, name: str
 
     def body():
         df = build()
+        b = None
         if security is not None:
             b = binding_for(security.bindings, security.schema_name or sink.database, name)
             if b and b["filter_column"] not in df.columns:
                 raise FilterColumnMissing(f"{name}: filter column {b['filter_column']!r} "
                                           "not produced")
         rows, effective, _ = load(sink, df, name, keys, load_type)
-        publish_public_view(sink, name, security, df.columns)
+        publish_public_view(sink, name, security, df.columns, binding=b)
         return rows, effective
 
     return audited(log, run_id, target, load_type, body)

@@ -8,8 +8,11 @@ after losing executors just writes a new snapshot. The public name
 ``db.t`` is a view over the pointer: the secured view when the table is
 registered for a row filter, a plain view otherwise.
 
-Snapshots of keyed tables are bucketed and sorted by their keys, so the next
-upsert joins against the target without shuffling it.
+With ``bucket_by_keys=True`` snapshots of keyed tables are bucketed and
+sorted by their keys, so an upsert whose batch is too large to broadcast
+joins the target without shuffling it. That costs a shuffle of the whole
+table at every publish, so it is off by default: small batches broadcast and
+never shuffle the target anyway (measured at sf0.1: +25 % publish time).
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ class SnapshotSink:
     database: str
     keep: int = 2              # snapshots kept (current + previous)
     fmt: str = "parquet"
+    bucket_by_keys: bool = False
     buckets: int | None = None  # None: spark.sql.shuffle.partitions
 
     def __post_init__(self):
@@ -56,8 +60,17 @@ class SnapshotSink:
         return self.spark.catalog.tableExists(self.base_view(name))
 
     def current_table(self, name: str) -> str | None:
-        v = self.versions(name)
-        return self.snapshot_table(name, v[-1]) if v else None
+        """The snapshot the pointer view reads (not merely the newest one).
+
+        A snapshot written by a job that died before its repoint is never
+        current; it is skipped here and expired by later publishes.
+        """
+        if not self.exists(name):
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.base_view(name)}").collect()
+        text = next((r[1] for r in rows if r[0] == "View Text"), "") or ""
+        m = re.search(rf"{re.escape(name)}__v(\d+)", text)
+        return self.snapshot_table(name, int(m.group(1))) if m else None
 
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.base_view(name))
@@ -69,17 +82,22 @@ class SnapshotSink:
         versions = self.versions(name)
         version = (versions[-1] + 1) if versions else 1
         target = self.snapshot_table(name, version)
-        if ddl_columns:
-            self.spark.sql(f"CREATE TABLE {target} ({ddl_columns}) USING {self.fmt}")
-            df.write.insertInto(target)
-        else:
-            w = df.write.format(self.fmt).mode("errorifexists")
-            if partition_by:
-                w = w.partitionBy(*partition_by)
-            if keys:
-                n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-                w = w.bucketBy(n, *keys).sortBy(*keys)
-            w.saveAsTable(target)
+        try:
+            if ddl_columns:
+                self.spark.sql(f"CREATE TABLE {target} ({ddl_columns}) USING {self.fmt}")
+                df.write.insertInto(target)
+            else:
+                w = df.write.format(self.fmt).mode("errorifexists")
+                if partition_by:
+                    w = w.partitionBy(*partition_by)
+                if keys and self.bucket_by_keys:
+                    n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                    w = w.bucketBy(n, *keys).sortBy(*keys)
+                w.saveAsTable(target)
+        except Exception:
+            # never leave a half-written snapshot behind; the pointer is untouched
+            self.spark.sql(f"DROP TABLE IF EXISTS {target}")
+            raise
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.base_view(name)} AS SELECT * FROM {target}")
         self._expire(name, version)
         return version

@@ -29,6 +29,31 @@ def test_snapshot_publish_repoint_append_and_expire(spark):
     assert sink.read("t").count() == 2
     sink.publish(sink.read("t"), "t")
     assert sink.versions("t") == [2, 3]  # v1 expired
+    # a failed write leaves the pointer and the current snapshot untouched
+    bad = sink.read("t").withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
+    with pytest.raises(Exception):
+        sink.publish(bad, "t")
+    assert sink.versions("t") == [2, 3] and sink.current_table("t").endswith("__v3")
+    assert sink.read("t").count() == 2
+
+
+def test_bucketed_snapshot_lets_large_upsert_skip_target_shuffle(spark):
+    from strata.operators.upsert import upsert
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sink = SnapshotSink(spark, db(), bucket_by_keys=True, buckets=8)
+        sink.publish(spark.range(0, 1000).select(F.col("id").alias("k"),
+                                                 F.lit("a").alias("v")), "t", keys=["k"])
+        src = spark.range(500, 1500).select(F.col("id").alias("k"), F.lit("b").alias("v"))
+        plan = upsert(sink.read("t"), src, ["k"], broadcast_limit=0) \
+            ._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        scans = [i for i, ln in enumerate(lines) if "FileScan" in ln and "__v1" in ln]
+        assert scans and all("Bucketed: true" in lines[i] for i in scans)
+        for i in scans:  # no exchange directly above a target scan
+            assert not any("Exchange" in ln for ln in lines[max(0, i - 3):i])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_run_log_success_and_failure_text(spark):
