@@ -216,6 +216,21 @@ WHERE EXISTS (
       AND g.principal = current_user())"""
 
 
+def masked_select_sql(base: str, all_columns: list[str], masked: list[str],
+                      allowed_groups: list[str], membership_table: str) -> str:
+    """SQL body of a masking view: members of ``allowed_groups`` see values.
+
+    Evaluated per query against ``current_user()`` (UDF-4 as a view); NULLs
+    are masked for non-members too (Q12).
+    """
+    groups = ", ".join("'" + g.replace("'", "''") + "'" for g in allowed_groups)
+    member = (f"EXISTS (SELECT 1 FROM {membership_table} g WHERE g.principal = current_user() "
+              f"AND g.group_id IN ({groups}))")
+    cols = [(f"CASE WHEN {member} THEN CAST(b.{c} AS STRING) ELSE '{MASK_TEXT}' END AS {c}"
+             if c in masked else f"b.{c}") for c in all_columns]
+    return f"SELECT {', '.join(cols)} FROM {base} b"
+
+
 def secured_view_sql(view: str, base: str, column: str, map_table: str,
                      map_key: str, membership_table: str) -> str:
     """``CREATE OR REPLACE VIEW`` text for :func:`secured_select_sql`."""

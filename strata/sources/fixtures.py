@@ -37,6 +37,7 @@ TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 class TestTables:
     """Lazy reader of ``{sf_dir}/{name}.parquet``."""
 
+    __test__ = False  # not a pytest class
     spark: SparkSession
     root: str
 
