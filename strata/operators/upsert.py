@@ -126,13 +126,18 @@ def upsert_counted(target: DataFrame, source: DataFrame, keys: Sequence[str],
         for c in columns
     ])
 
-    # Target keys that some source row matches, collapsed map-side: at most
-    # one row per distinct source key, so it is bounded by the counted source
-    # and may be broadcast to the anti join whenever the source was.
+    # Target keys that some source row matches, collapsed to distinct keys:
+    # at most one row per source key. Broadcast path: semi join first (no
+    # target shuffle), then distinct, then broadcast to the anti join.
+    # Shuffle path: distinct first, which collapses a hot target key
+    # map-side and gives the key set its own exchange; sharing the update
+    # join's target exchange would stop AQE from splitting that join.
     src_keys = src.select(*keys)
-    src_keys = F.broadcast(src_keys) if use_broadcast else src_keys
-    matched_keys = tgt.select(*keys).join(src_keys, keys, "left_semi").distinct()
-    matched_keys = F.broadcast(matched_keys) if use_broadcast else matched_keys
+    if use_broadcast:
+        matched_keys = F.broadcast(
+            tgt.select(*keys).join(F.broadcast(src_keys), keys, "left_semi").distinct())
+    else:
+        matched_keys = tgt.select(*keys).distinct().join(src_keys, keys, "left_semi")
     inserts = src.join(matched_keys, keys, "left_anti").select(*columns)
     return updated.unionByName(inserts), n
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import (DIVISION_TO_LOB, UNKNOWN_LOB, code_map,
                                       on_time_flag, source_tag, typed_null)
+from strata.operators.skew import (DEFAULT_HOT_KEY_ROWS, find_hot_keys, restrict_to_hot,
+                                   split_hot)
 
 # Column code -> business name of the spend fact (PRJ-1).
 SPEND_RENAMES = {
@@ -98,32 +100,50 @@ def spend_fact(arb_spend: DataFrame, contracts: DataFrame | None = None,
 
 def material_on_time_fact(deliveries: DataFrame, delivery_items: DataFrame,
                           orders: DataFrame, materials: DataFrame,
-                          exclude_unknown: bool = True) -> DataFrame:
-    """plan.fact_mot (JN-1, JN-3, JN-4, CAS-1, CAS-2, FLT-3, PRJ-2)."""
+                          exclude_unknown: bool = True,
+                          hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+    """plan.fact_mot (JN-1, JN-3, JN-4, CAS-1, CAS-2, FLT-3, PRJ-2).
+
+    Same rows as header JOIN item LEFT JOIN order LEFT JOIN material, in an
+    order that holds up at scale:
+
+    * header LEFT JOIN order first: both are one row per delivery, no skew;
+    * item LEFT JOIN material: with FLT-3 it becomes an inner join whose
+      pushed-down division filter drops most items before the next shuffle;
+    * item x header last, on the delivery number. Deliveries with more than
+      ``hot_key_rows`` items are joined by broadcast of their header rows
+      (``operators.skew``), so a delivery holding a third of all items is
+      never one task. ``hot_key_rows=None`` leaves skew to AQE alone.
+    """
     d, i = deliveries.alias("d"), delivery_items.alias("i")
     o, m = orders.alias("o"), materials.alias("m")
-    # Same rows as header JOIN item LEFT JOIN order LEFT JOIN material, but
-    # items meet materials first: the material join depends only on the item,
-    # and with FLT-3 it becomes an inner join whose (pushed-down) division
-    # filter drops most items before the shuffle on the delivery number.
-    fact = (
-        i.join(m, F.col("i.MATNR") == F.col("m.MATNR"), "left")
-        .join(d, F.col("d.VBELN") == F.col("i.VBELN"), "inner")
-        .join(o, F.col("d.VGBEL") == F.col("o.VBELN"), "left")
-        .select(
-            F.col("i.VBELN").alias("delivery_number"),
-            F.col("i.POSNR").alias("delivery_item"),
-            F.col("o.VBELN").alias("order_number"),
-            F.col("i.MATNR").alias("material_number"),
-            F.col("i.LFIMG").alias("delivered_quantity"),
-            F.col("i.VRKME").alias("unit_of_measure"),
-            F.col("d.WADAT_IST").alias("actual_goods_issue_date"),
-            F.col("o.VDATU").alias("requested_delivery_date"),
-            code_map(F.col("m.SPART"), DIVISION_TO_LOB, UNKNOWN_LOB).alias("lob_code"),
-            on_time_flag(F.col("d.WADAT_IST"), F.col("o.VDATU")).alias("is_on_time"),
-            source_tag("BLP").alias("source_id"),
+    dh = d.join(o, F.col("d.VGBEL") == F.col("o.VBELN"), "left")
+    hot = (find_hot_keys(delivery_items, "VBELN", hot_key_rows, "material_on_time")
+           if hot_key_rows else None)
+
+    def build(items: DataFrame, hot_branch: bool) -> DataFrame:
+        header = dh
+        if hot_branch:
+            header = F.broadcast(restrict_to_hot(dh, F.col("d.VBELN"), hot))
+        return (
+            items.join(m, F.col("i.MATNR") == F.col("m.MATNR"), "left")
+            .join(header, F.col("d.VBELN") == F.col("i.VBELN"), "inner")
+            .select(
+                F.col("i.VBELN").alias("delivery_number"),
+                F.col("i.POSNR").alias("delivery_item"),
+                F.col("o.VBELN").alias("order_number"),
+                F.col("i.MATNR").alias("material_number"),
+                F.col("i.LFIMG").alias("delivered_quantity"),
+                F.col("i.VRKME").alias("unit_of_measure"),
+                F.col("d.WADAT_IST").alias("actual_goods_issue_date"),
+                F.col("o.VDATU").alias("requested_delivery_date"),
+                code_map(F.col("m.SPART"), DIVISION_TO_LOB, UNKNOWN_LOB).alias("lob_code"),
+                on_time_flag(F.col("d.WADAT_IST"), F.col("o.VDATU")).alias("is_on_time"),
+                source_tag("BLP").alias("source_id"),
+            )
         )
-    )
+
+    fact = split_hot(i, F.col("i.VBELN"), hot, build)
     if exclude_unknown:
         fact = fact.where(F.col("lob_code") != F.lit(UNKNOWN_LOB))
     return fact

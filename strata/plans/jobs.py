@@ -20,6 +20,7 @@ from strata.operators.checks import require_params
 from strata.operators.harmonise import TableSpec, harmonise
 from strata.operators.security import PATTERNS, FilterColumnMissing, secured_select_sql
 from strata.operators.upsert import upsert_counted
+from strata.session import stage
 from strata.sinks.audit import RunLog, audited, new_run_id, observe_rows, observed_rows
 from strata.sinks.publish import SnapshotSink
 from strata.sources.registry import binding_for
@@ -36,12 +37,14 @@ class SecurityConfig:
 
 
 def load(sink: SnapshotSink, df: DataFrame, name: str, keys: Sequence[str],
-         load_type: str = "delta", **upsert_kwargs) -> tuple[int, str, int]:
+         load_type: str = "delta", stage_source: bool = True,
+         **upsert_kwargs) -> tuple[int, str, int]:
     """SNK-12: full load (or first load) vs keyed upsert into a snapshot.
 
     Returns (rows in the transformed set, effective load type, version).
     Full loads count rows by observing the write (one pass); delta loads
-    take the count from the upsert's key check.
+    stage the source once (``session.stage``) so the upsert's branches do
+    not recompute it, and take the count from the upsert's key check.
     """
     if load_type not in ("full", "delta"):
         raise ValueError(f"load_type must be 'full' or 'delta', not {load_type!r}")
@@ -49,6 +52,8 @@ def load(sink: SnapshotSink, df: DataFrame, name: str, keys: Sequence[str],
         observed, obs = observe_rows(df)
         version = sink.publish(observed, name, keys=list(keys) or None)
         return observed_rows(obs), "full", version
+    if stage_source:
+        df = stage(df, f"{sink.database}/{name}")
     merged, n = upsert_counted(sink.read(name), df, keys, **upsert_kwargs)
     version = sink.publish(merged, name, keys=list(keys) or None)
     return int(n or 0), "delta", version

@@ -49,6 +49,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name "
+                               "a shared folder (a machine-local one would lose data)")
         current = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
         spark.sparkContext.setCheckpointDir(current)
@@ -74,3 +77,19 @@ def local_session(app: str = "strata", cores: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return ensure_defaults(spark)
+
+
+def stage(df, label: str):
+    """Cut lineage: write ``df`` once as parquet under the shared checkpoint
+    folder and read it back.
+
+    Used where a plan would otherwise be recomputed by several branches
+    (the upsert source feeds its key check, the update join and the insert
+    anti join). Columnar staging lets each branch read only its columns.
+    The folder is per label and overwritten by the next run, so staging data
+    does not pile up.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staging/{label}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
