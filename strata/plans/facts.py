@@ -39,7 +39,7 @@ class NonUniqueJoinSide(ValueError):
 
 
 def spend_lines_renamed(arb_spend: DataFrame, keep_null_company: bool = False) -> DataFrame:
-    """PRJ-1 + PRJ-3 + FLT-2: Ariba codes to business names, tag, drop NULL codes."""
+    """PRJ-1 + PRJ-3 + FLT-2: procurement codes to business names, tag, drop NULL codes."""
     df = arb_spend.select(*[F.col(src).alias(dst) for src, dst in SPEND_RENAMES.items()],
                           source_tag("ARB").alias("source_id"))
     if keep_null_company:
@@ -150,7 +150,7 @@ def material_on_time_fact(deliveries: DataFrame, delivery_items: DataFrame,
 
 
 def logistics_fact(movements: DataFrame, assets: DataFrame) -> DataFrame:
-    """deliver.fact_kabal_logistics (JN-2, CAS-2, PRJ-8, FLT-2)."""
+    """deliver-domain asset logistics fact (JN-2, CAS-2, PRJ-8, FLT-2)."""
     return (
         movements.join(assets, "asset_id", "inner")
         .select(

@@ -1,6 +1,7 @@
 """Stand-ins for the reference's source tables, derived from the test tables.
 
-The reference reads SAP / Ariba / CLM / Kabal tables that ship with no data.
+The reference reads ERP, procurement, contract and logistics tables that ship
+with no data.
 Each function here builds a DataFrame with the same column names from the
 driver's TPC-H-like parquet tables, so the real operators run over data
 whose size grows with the scale factor. Every derivation is a plain
@@ -15,8 +16,8 @@ projection, filter, join or aggregate; nothing is sampled or capped.
 | arb_spend_lines       | lineitem x supplier x nation | EBELN, EBELP   |
 | clm_contract_lines    | orders with status 'F'       | po_number      |
 | clm lines (repeated)  | lineitem, returned items     | po_number (n)  |
-| kabal movements       | lineitem x orders            | movement_id    |
-| kabal assets          | supplier                     | asset_id       |
+| asset movements       | lineitem x orders            | movement_id    |
+| assets                | supplier                     | asset_id       |
 | entity / asset maps   | nation x region / supplier   | code           |
 """
 
@@ -96,7 +97,7 @@ def supplier_company(t: TestTables) -> DataFrame:
 
 
 def spend_lines(t: TestTables) -> DataFrame:
-    """arb_spend_lines: PO lines with Ariba column codes."""
+    """arb_spend_lines: PO lines with procurement column codes."""
     li = t("lineitem")
     return (li.join(supplier_company(t), li["l_suppkey"] == F.col("s_suppkey"))
             .select(
@@ -131,7 +132,7 @@ def repeated_contract_lines(t: TestTables) -> DataFrame:
                     F.col("l_shipdate").alias("signed_at")))
 
 
-# ── deliver domain: Kabal logistics ─────────────────────────────────────────
+# ── deliver domain: asset logistics ─────────────────────────────────────────────────────────────────────────────────
 
 def asset_movements(t: TestTables) -> DataFrame:
     """kabal_asset_movements: each line is a movement by its supplier's asset."""
