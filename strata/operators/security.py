@@ -105,7 +105,8 @@ def row_filter(df: DataFrame, column: str, group_map: DataFrame,
         raise FilterColumnMissing(f"filter column {column!r} not in {df.columns}")
     map_key = map_key or column
     if mode == "lazy":
-        return row_filter_lazy(df, column, group_map, membership, principal, map_key)
+        return row_filter_lazy(df, column, group_map, membership, principal, map_key,
+                               broadcast_limit)
     granted = granted_mappings(group_map, membership, principal)
     if mode != "resolve":
         raise ValueError(f"unknown mode {mode!r}")
@@ -140,12 +141,22 @@ def _visible_predicate(column: str, granted: DataFrame, map_key: str) -> Column:
 
 def row_filter_lazy(df: DataFrame, column: str, group_map: DataFrame,
                     membership: DataFrame, principal: str,
-                    map_key: str | None = None) -> DataFrame:
-    """EXISTS-subquery form of :func:`row_filter` (no action at build time)."""
+                    map_key: str | None = None,
+                    broadcast_limit: int = DEFAULT_BROADCAST_KEYS) -> DataFrame:
+    """EXISTS-subquery form of :func:`row_filter`.
+
+    Membership and grants are evaluated each time the result is executed.
+    The granted mappings are a subset of the map table, so the map table's
+    row count (config-sized, counted once here) bounds them; within the
+    limit the EXISTS becomes a broadcast ExistenceJoin and the fact is not
+    shuffled on its (low-cardinality, skew-prone) filter column.
+    """
     if column not in df.columns:
         raise FilterColumnMissing(f"filter column {column!r} not in {df.columns}")
     map_key = map_key or column
     granted = granted_mappings(group_map, membership, principal)
+    if group_map.count() <= broadcast_limit:
+        granted = F.broadcast(granted)
     aliased = df.alias("__secured")
     return aliased.where(_visible_predicate(column, granted, map_key)).select(
         *[F.col(f"__secured.{c}") for c in df.columns])

@@ -72,6 +72,16 @@ def test_permitted_keys_are_broadcast(spark, lob_map, members):
     assert out.count() == sum(1 for i in range(5000) if i % 3 != 2)
 
 
+def test_lazy_mode_broadcasts_bounded_grants(spark, lob_map, members):
+    big = spark.range(0, 3000).select(
+        F.element_at(F.array(F.lit("UP"), F.lit("DS"), F.lit("GF")),
+                     (F.col("id") % 3 + 1).cast("int")).alias("lob_code"), F.col("id"))
+    out = sec.row_filter(big, "lob_code", lob_map, members, "two", mode="lazy")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ExistenceJoin" in plan and "BroadcastHashJoin" in plan
+    assert out.count() == 2000
+
+
 def test_over_limit_falls_back_to_plain_semi_join(fact, lob_map, members):
     out = sec.row_filter(fact, "lob_code", lob_map, members, "two", broadcast_limit=0)
     assert vs(out) == [1, 2]
@@ -106,6 +116,8 @@ def test_secured_view_follows_membership(spark, lob_map, fact):
     spark.sql(sec.secured_view_sql("sec_t.fact_secured", "sec_t.fact", "lob_code",
                                    "sec_t.lob_group_map", "lob_code", "sec_t.members"))
     assert vs(spark.table("sec_t.fact_secured")) == [1]
+    plan = spark.table("sec_t.fact_secured")._jdf.queryExecution().executedPlan().toString()
+    assert "ExistenceJoin" in plan and "BroadcastHashJoin" in plan
     spark.createDataFrame([(me, "grp-lob-global")], "principal string, group_id string") \
         .write.mode("append").saveAsTable("sec_t.members")
     assert vs(spark.table("sec_t.fact_secured")) == [1, 2, 3, 4, 5]
