@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.local import config_frame
 from strata.sources.registry import valid_bindings
 
 FINDING_SCHEMA = "severity string, schema string, table string, detail string"
@@ -24,7 +25,7 @@ class ContractError(RuntimeError):
 def output_columns(spark: SparkSession, outputs: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
     """Rows ``(schema, table, column)`` from the schemas of produced tables."""
     rows = [(s, t, c) for (s, t), df in outputs.items() for c in df.columns]
-    return spark.createDataFrame(rows, "schema string, table string, column string")
+    return config_frame(spark, rows, "schema string, table string, column string")
 
 
 def contract_findings(tables: DataFrame, columns: DataFrame, bindings: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.local import config_frame
+
 
 @dataclass(frozen=True)
 class ColumnDef:
@@ -143,7 +145,7 @@ def seed_rows_frame(spark: SparkSession, table: str, rows: list[tuple],
         else:
             columns = [c.name for c in CONTROL_TABLES[table]][:width]
     schema = ", ".join(f"{n} {defs[n].type}" for n in columns)
-    return apply_defaults(spark.createDataFrame(rows, schema), table)
+    return apply_defaults(config_frame(spark, rows, schema), table)
 
 
 def required_columns(table: str) -> list[str]:
@@ -213,7 +215,7 @@ def due_list(config: DataFrame) -> DataFrame:
 def schema_rows(spark: SparkSession, table: str, df: DataFrame) -> DataFrame:
     """One row per column: (table, column, type)."""
     rows = [(table, f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    return spark.createDataFrame(rows, "table string, column string, type string")
+    return config_frame(spark, rows, "table string, column string, type string")
 
 
 def schema_drift(current: DataFrame, stored: DataFrame) -> DataFrame:

@@ -29,12 +29,21 @@ HOT = "__hot_key"
 
 
 def find_hot_keys(df: DataFrame, key: str, min_rows: int, label: str) -> DataFrame | None:
-    """Keys of ``df`` holding more than ``min_rows`` rows, or ``None``."""
+    """Keys of ``df`` holding more than ``min_rows`` rows, or ``None``.
+
+    A key can only exceed ``min_rows`` if the whole input does, so a row
+    count (answered from parquet footers) short-cuts small inputs. The
+    per-key aggregate runs only above that size, and the hot-key set is
+    staged only when it is not empty.
+    """
+    if df.count() <= min_rows:
+        return None
     hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
            .where(F.col("__rows") > F.lit(min_rows))
            .select(F.col(key).alias(HOT)))
-    staged = stage(hot, f"hot_keys/{label}")
-    return staged if staged.limit(1).count() else None
+    if not hot.limit(1).count():
+        return None
+    return stage(hot, f"hot_keys/{label}")
 
 
 def split_hot(big: DataFrame, big_key: Column, hot: DataFrame | None,

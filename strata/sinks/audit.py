@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.control import table_ddl_columns, table_schema
+from strata.sources.local import config_frame
 
 RUN_LOG = "pipeline_run_log"
 
@@ -38,7 +39,7 @@ def audit_frame(spark: SparkSession, run_id: str, target: str, load_type: str, r
                 status: str, error: str | None = None) -> DataFrame:
     """One run-log row; ``logged_at`` is stamped by Spark at write time."""
     cols = table_schema(RUN_LOG).rsplit(",", 1)[0]  # all but logged_at
-    df = spark.createDataFrame([(run_id, target, load_type, int(rows), status, error)], cols)
+    df = config_frame(spark, [(run_id, target, load_type, int(rows), status, error)], cols)
     return df.withColumn("logged_at", F.current_timestamp())
 
 
@@ -56,7 +57,7 @@ class RunLog:
 
     def ensure(self) -> None:
         if not self.sink.exists(RUN_LOG):
-            empty = self.sink.spark.createDataFrame([], table_schema(RUN_LOG))
+            empty = config_frame(self.sink.spark, [], table_schema(RUN_LOG))
             self.sink.publish(empty, RUN_LOG, ddl_columns=table_ddl_columns(RUN_LOG))
 
     def write(self, run_id: str, target: str, load_type: str, rows: int, status: str,

@@ -19,6 +19,7 @@ from strata.operators.control import (CONTROL_TABLES, LOB_REFINERY, LOB_SEED, ap
                                       pending_migrations, required_columns, seed_rows_frame,
                                       soft_delete, table_ddl_columns, table_schema)
 from strata.sinks.publish import SnapshotSink
+from strata.sources.local import config_frame
 
 LEDGER = "migration_history"
 
@@ -27,7 +28,7 @@ def ensure_table(sink: SnapshotSink, table: str) -> bool:
     """SNK-8: create a declared control table if it does not exist yet."""
     if sink.exists(table):
         return False
-    empty = sink.spark.createDataFrame([], table_schema(table))
+    empty = config_frame(sink.spark, [], table_schema(table))
     sink.publish(empty, table, ddl_columns=table_ddl_columns(table))
     sink.set_public_view(table)
     return True
@@ -79,14 +80,14 @@ class Migration:
 
 def migration_specs(spark: SparkSession, migrations: Sequence[Migration]) -> DataFrame:
     rows = [(m.sequence, m.migration_id, m.filename) for m in migrations]
-    return spark.createDataFrame(rows, "sequence int, migration_id string, filename string")
+    return config_frame(spark, rows, "sequence int, migration_id string, filename string")
 
 
 def ledger_row(spark: SparkSession, m: Migration, env: str, status: str,
                error: str | None) -> DataFrame:
-    df = spark.createDataFrame([(m.migration_id, m.filename, env, status, error)],
-                               "migration_id string, filename string, environment string, "
-                               "status string, error_message string")
+    df = config_frame(spark, [(m.migration_id, m.filename, env, status, error)],
+                      "migration_id string, filename string, environment string, "
+                      "status string, error_message string")
     return apply_defaults(df.withColumn("applied_at", F.current_timestamp()), LEDGER)
 
 

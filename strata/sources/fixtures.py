@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.control import seed_rows_frame
+from strata.sources.local import config_frame
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                "lineitem", "events", "conversations")
@@ -217,5 +218,5 @@ MEMBERSHIP = [
 
 
 def membership(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MEMBERSHIP, "principal string, group_id string")
+    return config_frame(spark, MEMBERSHIP, "principal string, group_id string")
 

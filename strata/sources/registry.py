@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.local import config_frame
+
 BINDING_SCHEMA = ("schema string, table string, row_filter string, filter_column string, "
                   "domain string, group string, notes string")
 
@@ -38,7 +40,7 @@ DEFAULT_BINDINGS = [
 
 def bindings_frame(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
     """SRC-4: the registry as a DataFrame."""
-    return spark.createDataFrame(DEFAULT_BINDINGS if rows is None else rows, BINDING_SCHEMA)
+    return config_frame(spark, DEFAULT_BINDINGS if rows is None else rows, BINDING_SCHEMA)
 
 
 def bindings_from_yaml(spark: SparkSession, path: str) -> DataFrame:
