@@ -62,6 +62,13 @@ def split_hot(big: DataFrame, big_key: Column, hot: DataFrame | None,
     return build(cold, False).unionByName(build(hot_rows, True))
 
 
-def restrict_to_hot(side: DataFrame, side_key: Column, hot: DataFrame) -> DataFrame:
-    """Rows of the per-key side whose key is hot (to be broadcast)."""
-    return side.join(F.broadcast(hot), side_key == F.col(HOT), "left_semi")
+def restrict_to_hot(side: DataFrame, side_key: Column, hot: DataFrame,
+                    broadcast_limit: int = 1_000_000) -> DataFrame:
+    """Rows of the per-key side whose key is hot, broadcast when counted small.
+
+    For a per-key side (one header per delivery) this is one row per hot key;
+    the count makes that bound a checked one. A hot key that is also hot on
+    this side (many-to-many) stays a shuffled join.
+    """
+    rows = side.join(F.broadcast(hot), side_key == F.col(HOT), "left_semi")
+    return F.broadcast(rows) if rows.count() <= broadcast_limit else rows

@@ -124,7 +124,7 @@ def material_on_time_fact(deliveries: DataFrame, delivery_items: DataFrame,
     def build(items: DataFrame, hot_branch: bool) -> DataFrame:
         header = dh
         if hot_branch:
-            header = F.broadcast(restrict_to_hot(dh, F.col("d.VBELN"), hot))
+            header = restrict_to_hot(dh, F.col("d.VBELN"), hot)
         return (
             items.join(m, F.col("i.MATNR") == F.col("m.MATNR"), "left")
             .join(header, F.col("d.VBELN") == F.col("i.VBELN"), "inner")

@@ -56,9 +56,10 @@ class RunLog:
     sink: object  # SnapshotSink
 
     def ensure(self) -> None:
-        if not self.sink.exists(RUN_LOG):
-            empty = config_frame(self.sink.spark, [], table_schema(RUN_LOG))
-            self.sink.publish(empty, RUN_LOG, ddl_columns=table_ddl_columns(RUN_LOG))
+        with self.sink.lock(RUN_LOG + "__create"):
+            if not self.sink.exists(RUN_LOG):
+                empty = config_frame(self.sink.spark, [], table_schema(RUN_LOG))
+                self.sink.publish(empty, RUN_LOG, ddl_columns=table_ddl_columns(RUN_LOG))
 
     def write(self, run_id: str, target: str, load_type: str, rows: int, status: str,
               error: str | None = None) -> None:

@@ -22,7 +22,9 @@ result, because the upsert with unique non-NULL keys is idempotent.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import threading
+from collections import defaultdict
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,10 +46,17 @@ class PartitionedSink:
     partition_col: str
     fmt: str = "parquet"
     max_pruned_partitions: int = 10_000
+    _locks: dict = field(default_factory=lambda: defaultdict(threading.Lock), repr=False)
+    _guard: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
     def __post_init__(self):
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
 
+    def lock(self, name: str) -> threading.Lock:
+        """One writer per table from this driver (see SnapshotSink)."""
+        with self._guard:
+            return self._locks[name]
+
     def data_table(self, name: str) -> str:
         return f"{self.database}.{name}__data"
 
@@ -68,6 +77,10 @@ class PartitionedSink:
 
     def publish(self, df: DataFrame, name: str, keys=None, **_ignored) -> int:
         """Full load: (re)create the partitioned table with ``df``."""
+        with self.lock(name):
+            return self._publish(df, name)
+
+    def _publish(self, df: DataFrame, name: str) -> int:
         if self.partition_col not in df.columns:
             raise ValueError(f"{name}: partition column {self.partition_col!r} missing")
         if self.exists(name):
@@ -82,6 +95,10 @@ class PartitionedSink:
 
     def upsert(self, source: DataFrame, name: str, keys, **upsert_kwargs) -> int:
         """Merge ``source`` into the partitions it touches; returns its row count."""
+        with self.lock(name):
+            return self._upsert(source, name, keys, **upsert_kwargs)
+
+    def _upsert(self, source: DataFrame, name: str, keys, **upsert_kwargs) -> int:
         p = self.partition_col
         if p not in source.columns:
             raise ValueError(f"{name}: source lacks partition column {p!r}")
@@ -112,7 +129,8 @@ class PartitionedSink:
         return int(n or 0)
 
     def append(self, df: DataFrame, name: str) -> None:
-        self._ordered(df, name).write.insertInto(self.data_table(name))
+        with self.lock(name):
+            self._ordered(df, name).write.insertInto(self.data_table(name))
 
     def set_public_view(self, name: str, sql_body: str | None = None) -> str:
         body = sql_body or f"SELECT * FROM {self.base_view(name)}"

@@ -181,3 +181,21 @@ def test_harmonise_job_watermark_and_audit(spark):
     assert log.read().count() == 4
     types = {r._load_type for r in sink.read("orders_h").select("_load_type").distinct().collect()}
     assert types == {"full", "delta"}
+
+
+def test_harmonise_job_parallel(spark):
+    sink = SnapshotSink(spark, db())
+    log = RunLog(sink)
+    log.ensure()
+    t = fx.TestTables(spark, SF001)
+    specs = [TableSpec(n, n + "_h", (k,)) for n, k in
+             (("orders", "o_orderkey"), ("customer", "c_custkey"), ("part", "p_partkey"),
+              ("supplier", "s_suppkey"))]
+    total = jobs.run_harmonise_job(spark, t, sink, log, specs, "BLP", "full", max_parallel=4)
+    assert total == sum(t(n).count() for n in ("orders", "customer", "part", "supplier"))
+    assert log.read().count() == 4
+    bad = specs + [TableSpec("nope", "nope_h", ("k",))]
+    with pytest.raises(Exception):
+        jobs.run_harmonise_job(spark, t, sink, log, bad, "BLP", "full", max_parallel=4)
+    assert log.read().where(F.col("status") == "failed").count() == 1
+    assert log.read().where(F.col("status") == "success").count() == 8
