@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.sources.local import config_frame
-from strata.sources.registry import valid_bindings
+from strata.sources.registry import logical_schema_col, valid_bindings
 
 FINDING_SCHEMA = "severity string, schema string, table string, detail string"
 
@@ -35,14 +35,17 @@ def contract_findings(tables: DataFrame, columns: DataFrame, bindings: DataFrame
     table, column)`` they produce. Error when a bound table lacks its filter
     column; warning when a table has no binding.
     """
-    b = valid_bindings(bindings).select("schema", "table", "filter_column")
-    bound = tables.join(b, ["schema", "table"], "inner")
+    b = valid_bindings(bindings).select(F.col("schema").alias("__key"),
+                                        F.col("table").alias("__t"), "filter_column")
+    keyed = tables.withColumn("__k", logical_schema_col(F.col("schema")))
+    on = (F.col("__k") == F.col("__key")) & (F.col("table") == F.col("__t"))
+    bound = keyed.join(b, on, "inner").select("schema", "table", "filter_column")
     present = columns.select("schema", "table", F.col("column").alias("filter_column"))
     dropped = (bound.join(present, ["schema", "table", "filter_column"], "left_anti")
                .select(F.lit("error").alias("severity"), "schema", "table",
                        F.concat(F.lit("filter column '"), F.col("filter_column"),
                                 F.lit("' not produced")).alias("detail")))
-    unregistered = (tables.join(b, ["schema", "table"], "left_anti")
+    unregistered = (keyed.join(b, on, "left_anti")
                     .select(F.lit("warning").alias("severity"), "schema", "table",
                             F.lit("no row filter binding; confirm none is needed").alias("detail")))
     return dropped.unionByName(unregistered)

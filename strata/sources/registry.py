@@ -7,6 +7,8 @@ joined, never looped over.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,43 @@ DEFAULT_BINDINGS = [
 ]
 
 
+# The six curated domains and the environment schema patterns
+# (UAT "stable_<domain>", dev "feat_<feature>_<domain>", EUH "euh_<SRC>_<ENV>"
+# and the UAT mirror "euh_prod_mirror_<SRC>").
+DOMAINS = ("plan", "sourcing", "deliver", "master", "config", "mapping")
+_FEAT = re.compile(r"^feat_.+_(" + "|".join(DOMAINS) + r")$")
+_EUH_MIRROR = re.compile(r"^euh_prod_mirror_([A-Za-z0-9]+)$")
+_EUH_ENV = re.compile(r"^(euh_[A-Za-z0-9]+)_[A-Za-z0-9]+$")
+
+
+def logical_schema(schema: str) -> str:
+    """Registry key of an environment schema (Q4): ``stable_plan`` and
+    ``feat_x_plan`` -> ``plan``; ``euh_BLP_A59`` / ``euh_prod_mirror_BLP`` ->
+    ``euh_BLP``. Registry lookups use this, so dev/UAT tables find the same
+    binding as prod instead of silently skipping their row filter."""
+    if schema.startswith("stable_") and schema[len("stable_"):] in DOMAINS:
+        return schema[len("stable_"):]
+    m = _FEAT.match(schema)
+    if m:
+        return m.group(1)
+    m = _EUH_MIRROR.match(schema)
+    if m:
+        return f"euh_{m.group(1)}"
+    m = _EUH_ENV.match(schema)
+    if m:
+        return m.group(1)
+    return schema
+
+
+def logical_schema_col(schema: F.Column) -> F.Column:
+    """Column form of :func:`logical_schema` (for joins over many tables)."""
+    dom = F.regexp_extract(schema, r"^(?:stable_|feat_.+_)(" + "|".join(DOMAINS) + r")$", 1)
+    mirror = F.regexp_extract(schema, _EUH_MIRROR.pattern, 1)
+    env = F.regexp_extract(schema, _EUH_ENV.pattern, 1)
+    return (F.when(dom != "", dom).when(mirror != "", F.concat(F.lit("euh_"), mirror))
+            .when(env != "", env).otherwise(schema))
+
+
 def bindings_frame(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
     """SRC-4: the registry as a DataFrame."""
     return config_frame(spark, DEFAULT_BINDINGS if rows is None else rows, BINDING_SCHEMA)
@@ -69,14 +108,18 @@ def binding_lookup(tables: DataFrame, bindings: DataFrame) -> DataFrame:
     ``tables`` has ``(schema, table)``; result adds the filter, its column
     and ``action`` = ``BIND`` or ``SKIPPED``.
     """
-    b = valid_bindings(bindings).select("schema", "table", "row_filter", "filter_column")
-    return (tables.join(b, ["schema", "table"], "left")
+    b = valid_bindings(bindings).select(F.col("schema").alias("__key"), F.col("table").alias("__t"),
+                                        "row_filter", "filter_column")
+    keyed = tables.withColumn("__k", logical_schema_col(F.col("schema")))
+    return (keyed.join(b, (F.col("__k") == F.col("__key")) & (F.col("table") == F.col("__t")),
+                       "left").drop("__k", "__key", "__t")
             .withColumn("action", F.when(F.col("row_filter").isNotNull(), F.lit("BIND"))
                         .otherwise(F.lit("SKIPPED"))))
 
 
 def binding_for(bindings: DataFrame, schema: str, table: str) -> dict | None:
     """The one binding row of a table (config-sized lookup) or ``None``."""
+    schema = logical_schema(schema)
     rows = (valid_bindings(bindings)
             .where((F.col("schema") == F.lit(schema)) & (F.col("table") == F.lit(table)))
             .limit(2).collect())

@@ -74,6 +74,21 @@ def test_registry_lookup(spark):
     assert registry.binding_for(b, "plan", "nope") is None
 
 
+def test_environment_schemas_find_prod_bindings(spark):
+    b = registry.bindings_frame(spark)
+    for schema in ("plan", "stable_plan", "feat_spend_v2_plan"):
+        assert registry.binding_for(b, schema, "fact_mot")["filter_column"] == "lob_code"
+    assert registry.logical_schema("euh_BLP_A59") == "euh_BLP"
+    assert registry.logical_schema("euh_prod_mirror_KBL") == "euh_KBL"
+    assert registry.logical_schema("feat_x_unknown") == "feat_x_unknown"
+    tables = spark.createDataFrame([("stable_plan", "fact_mot"), ("feat_a_deliver", "fact_kabal_logistics"),
+                                    ("stable_plan", "dim_x")], "schema string, table string")
+    got = {(r.schema, r.table, r.action) for r in registry.binding_lookup(tables, b).collect()}
+    assert got == {("stable_plan", "fact_mot", "BIND"),
+                   ("feat_a_deliver", "fact_kabal_logistics", "BIND"),
+                   ("stable_plan", "dim_x", "SKIPPED")}
+
+
 def test_contract_findings_and_raise(spark):
     b = registry.bindings_frame(spark)
     ok = spark.createDataFrame([], "movement_id string, asset_id string")
