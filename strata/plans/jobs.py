@@ -22,6 +22,7 @@ from strata.operators.security import PATTERNS, FilterColumnMissing, secured_sel
 from strata.operators.upsert import upsert_counted
 from strata.session import stage
 from strata.sinks.audit import RunLog, audited, new_run_id, observe_rows, observed_rows
+from strata.sinks.merge_into import MergeIntoSink
 from strata.sinks.partitioned import PartitionedSink
 from strata.sinks.publish import SnapshotSink
 from strata.sources.registry import binding_for
@@ -55,7 +56,7 @@ def load(sink: SnapshotSink, df: DataFrame, name: str, keys: Sequence[str],
         return observed_rows(obs), "full", version
     if stage_source:
         df = stage(df, f"{sink.database}/{name}")
-    if isinstance(sink, PartitionedSink):  # rewrite touched partitions only
+    if isinstance(sink, (PartitionedSink, MergeIntoSink)):  # touched data only
         return sink.upsert(df, name, keys, **upsert_kwargs), "delta", 0
     merged, n = upsert_counted(sink.read(name), df, keys, **upsert_kwargs)
     version = sink.publish(merged, name, keys=list(keys) or None)

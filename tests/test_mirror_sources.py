@@ -48,3 +48,15 @@ def test_source_registry_dispatch(spark):
         read_source_table(spark, api, "prod", "x")
     with pytest.raises(ValueError):
         read_jdbc(spark, "jdbc:none://x", "t", partition_column="id")
+
+
+def test_merge_into_sink_refuses_plain_parquet_after_key_checks(spark):
+    from strata.operators.upsert import MergeKeyError
+    from strata.sinks.merge_into import MergeIntoSink
+    sink = MergeIntoSink(spark, "mi_" + uuid.uuid4().hex[:6])
+    spark.sql(f"CREATE DATABASE {sink.database}")
+    spark.createDataFrame([(1, "a")], "k long, v string").write.saveAsTable(sink.table("t"))
+    with pytest.raises(MergeKeyError):  # same key rules as every sink
+        sink.upsert(spark.createDataFrame([(None, "x")], "k long, v string"), "t", ["k"])
+    with pytest.raises(Exception, match="MERGE"):
+        sink.upsert(spark.createDataFrame([(1, "b")], "k long, v string"), "t", ["k"])

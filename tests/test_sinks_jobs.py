@@ -199,3 +199,28 @@ def test_harmonise_job_parallel(spark):
         jobs.run_harmonise_job(spark, t, sink, log, bad, "BLP", "full", max_parallel=4)
     assert log.read().where(F.col("status") == "failed").count() == 1
     assert log.read().where(F.col("status") == "success").count() == 8
+
+
+def test_orchestration_config_watermark_and_due_list(spark):
+    from strata.operators.control import due_list
+    from strata.operators.harmonise import high_water_mark
+    sink = SnapshotSink(spark, db())
+    cols = ["table_id", "catalog_name", "schema_name", "table_name", "load_type", "is_active",
+            "dependency_tables", "watermark_column", "run_order"]
+    ct.insert_rows(sink, "orchestration_config", [
+        ("euh.orders", "c", "euh", "orders", "delta", True, None, "o_orderdate", 1),
+        ("plan.fact_mot", "c", "plan", "fact_mot", "delta", True, ["euh.orders"], None, 2),
+    ], cols)
+    cfg = sink.read("orchestration_config")
+    assert {r.table_id: r.first_load_complete for r in cfg.collect()} == \
+        {"euh.orders": False, "plan.fact_mot": False}  # DEFAULT false applied
+    assert [(r.table_id, r.ready) for r in due_list(cfg).collect()] == \
+        [("euh.orders", True), ("plan.fact_mot", False)]
+    orders = fx.TestTables(spark, SF001)("orders")
+    hwm = high_water_mark(orders, "o_orderdate").first()["watermark_value"]
+    ct.record_watermark(sink, "euh.orders", hwm)
+    cfg = sink.read("orchestration_config")
+    row = cfg.where(F.col("table_id") == "euh.orders").first()
+    assert row.watermark_value == hwm and row.first_load_complete is True
+    assert [(r.table_id, r.ready) for r in due_list(cfg).collect()] == \
+        [("euh.orders", True), ("plan.fact_mot", True)]
