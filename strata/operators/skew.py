@@ -5,11 +5,10 @@ shuffle stages; when a side reuses an earlier partitioning (a header derived
 from its own items, a chain of joins on one key) the hot partition stays in
 one task. ``find_hot_keys`` + ``split_hot`` handle that explicitly:
 
-1. one aggregate job (partial aggregation first, so the hot key itself costs
-   one row per map task) finds keys with more than ``min_rows`` rows; there
-   are at most ``rows / min_rows`` of them, so the set has a proven bound;
-2. the set is staged under the shared checkpoint folder (lineage cut) and
-   broadcast;
+1. ``find_hot_keys`` finds keys with more than ``min_rows`` rows in two
+   narrow passes over the key column and no key shuffle; the set is bounded
+   (at most ``max_candidates`` keys) and held as a literal frame;
+2. the set is broadcast;
 3. rows of hot keys join the per-key side's hot rows by broadcast, where
    they already are (no shuffle at all); all other rows take the normal
    shuffled join.
@@ -21,29 +20,49 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.session import stage
+from strata.sources.local import config_frame
 
 DEFAULT_HOT_KEY_ROWS = 1_000_000
 HOT = "__hot_key"
 
 
-def find_hot_keys(df: DataFrame, key: str, min_rows: int, label: str) -> DataFrame | None:
+def find_hot_keys(df: DataFrame, key: str, min_rows: int, label: str = "",
+                  max_candidates: int = 10_000) -> DataFrame | None:
     """Keys of ``df`` holding more than ``min_rows`` rows, or ``None``.
 
-    A key can only exceed ``min_rows`` if the whole input does, so a row
-    count (answered from parquet footers) short-cuts small inputs. The
-    per-key aggregate runs only above that size, and the hot-key set is
-    staged only when it is not empty.
+    No shuffle of the key column:
+
+    1. a row count (answered from parquet footers) short-cuts inputs too
+       small to hold such a key;
+    2. ``freqItems`` (one pass, bounded counters per task) returns every key
+       above the support ``min_rows / rows`` (floored at
+       ``1 / max_candidates``), possibly with false positives, never with
+       false negatives: at most ``max_candidates`` values;
+    3. the candidates are counted exactly with a broadcast semi join and a
+       map-side-combined count, and only true hot keys are kept.
+
+    The result is a literal frame of at most ``max_candidates`` keys.
+    ``label`` is kept for callers that name their detection runs.
     """
-    if df.count() <= min_rows:
+    n = df.count()
+    if n <= min_rows:
+        return None
+    support = min(1.0, max(min_rows / n, 1.0 / max_candidates))
+    candidates = df.stat.freqItems([key], support).first()[0] or []
+    if not candidates:
         return None
-    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-           .where(F.col("__rows") > F.lit(min_rows))
-           .select(F.col(key).alias(HOT)))
-    if not hot.limit(1).count():
+    dtype = df.schema[key].dataType
+    cand = config_frame(df.sparkSession, [(v,) for v in candidates],
+                        T.StructType([T.StructField(HOT, dtype)]))
+    hot = (df.select(key).join(F.broadcast(cand), F.col(key) == F.col(HOT), "left_semi")
+           .groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+           .where(F.col("__rows") > F.lit(min_rows)).collect())
+    if not hot:
         return None
-    return stage(hot, f"hot_keys/{label}")
+    return config_frame(df.sparkSession, [(r[0],) for r in hot],
+                        T.StructType([T.StructField(HOT, dtype)]))
 
 
 def split_hot(big: DataFrame, big_key: Column, hot: DataFrame | None,

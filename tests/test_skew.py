@@ -92,3 +92,15 @@ def test_upsert_splits_repeated_hot_target_key(spark, skew_conf):
     assert out.where(F.col("k") == 0).where(F.col("v") == "s").count() == 100000
     # inserts: even source keys missing from the target = multiples of 6 except 0
     assert out.count() == 300000 + (50000 - 1)
+
+
+def test_find_hot_keys_exact_without_key_shuffle(spark):
+    from strata.operators.skew import HOT, find_hot_keys
+    df = spark.range(300000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 1000 == 1, F.lit(8))
+        .otherwise(F.col("id")).alias("k"))
+    hot = find_hot_keys(df, "k", 50000)
+    assert sorted(r[HOT] for r in hot.collect()) == [7]        # key 8 (~300 rows) is not hot
+    assert find_hot_keys(df, "k", 10**6) is None               # input smaller than threshold
+    flat = spark.range(300000).select((F.col("id") % 150000).alias("k"))
+    assert find_hot_keys(flat, "k", 100) is None               # only false-positive candidates
