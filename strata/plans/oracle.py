@@ -172,6 +172,10 @@ def oracle_sql() -> dict[str, str]:
 
     q["watermark_delta"] = (f"SELECT *, {_PROV.format(lt='delta')} FROM orders "
                             "WHERE o_orderdate > TIMESTAMP '2000-01-01'")
+    q["watermark_compact"] = q["watermark_delta"]
+    q["high_water_marks"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS target, CAST(max({c}) AS VARCHAR) AS watermark_value FROM {t}"
+        for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts")))
     q["harmonise_passthrough"] = f"SELECT *, {_PROV.format(lt='full')} FROM customer"
     q["harmonise_renamed"] = (
         "SELECT c_custkey AS customer_id, c_name AS customer_name, c_mktsegment AS "
@@ -192,6 +196,11 @@ def oracle_sql() -> dict[str, str]:
         "SELECT conv_id, turn, role, CASE WHEN role = 'system' THEN text || ' [rev]' "
         "ELSE text END AS text FROM conversations WHERE role IN ('assistant', 'system')",
         CONV_COLS, ["conv_id", "turn"])
+    q["upsert_evolve"] = _merge(
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
+        "CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders "
+        "WHERE o_orderdate < TIMESTAMP '2000-01-01'", _ORDERS_BATCH,
+        ORDERS_COLS, ["o_orderkey"])
     q["upsert_null_keys"] = _merge(
         "SELECT * FROM orders",
         "SELECT CAST(NULL AS BIGINT) AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, "

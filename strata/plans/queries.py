@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import checks, control, security
-from strata.operators.harmonise import TableSpec, harmonise
+from strata.operators.harmonise import TableSpec, harmonise, high_water_mark
 from strata.operators.upsert import load_frame, upsert
 from strata.plans import facts
 from strata.sources import fixtures as fx
@@ -107,6 +107,31 @@ def harmonise_renamed(spark, sf_dir):
     return _stable(df)
 
 
+ORDERS_COMPACT = TableSpec("orders", "orders", ("o_orderkey",), "o_orderdate",
+                           watermark_format="yyyyMMdd")
+
+
+def watermark_compact(spark, sf_dir):
+    """FLT-1 with a compact text watermark parsed into the column's type."""
+    df, _ = harmonise(_tables(spark, sf_dir)("orders"), ORDERS_COMPACT, "BLP", "delta",
+                      watermark="20000101")
+    return _stable(df)
+
+
+WATERMARKED = (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))
+
+
+def high_water_marks(spark, sf_dir):
+    """DCL-2: the next watermark of each harmonised table."""
+    t = _tables(spark, sf_dir)
+    out = None
+    for name, col in WATERMARKED:
+        hwm = high_water_mark(t(name), col).select(F.lit(name).alias("target"),
+                                                   F.col("watermark_value"))
+        out = hwm if out is None else out.unionByName(hwm)
+    return out
+
+
 def first_load_then_merge(spark, sf_dir):
     """SNK-12 + Q6: a first delta load writes everything, the next one merges."""
     t = _tables(spark, sf_dir)
@@ -147,6 +172,14 @@ def upsert_composite_key(spark, sf_dir):
     return upsert(base, batch, ["conv_id", "turn"])
 
 
+def upsert_evolve(spark, sf_dir):
+    """SNK-2 with schema evolution: the batch brings a column the target lacks."""
+    orders = _tables(spark, sf_dir)("orders")
+    base = (orders.where(F.col("o_orderdate") < _ts(orders, "o_orderdate", "2000-01-01"))
+            .drop("o_orderpriority"))
+    return upsert(base, _orders_batch(orders), ["o_orderkey"], evolve=True)
+
+
 def upsert_null_keys(spark, sf_dir):
     orders = _tables(spark, sf_dir)("orders")
     unnumbered = (orders.where(F.col("o_orderstatus") == F.lit("P"))
@@ -298,12 +331,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spend_latest_contract": spend_latest_contract,
     "logistics_on_time": logistics_on_time,
     "watermark_delta": watermark_delta,
+    "watermark_compact": watermark_compact,
+    "high_water_marks": high_water_marks,
     "harmonise_passthrough": harmonise_passthrough,
     "harmonise_renamed": harmonise_renamed,
     "first_load_then_merge": first_load_then_merge,
     "upsert_single_key": upsert_single_key,
     "upsert_composite_key": upsert_composite_key,
     "upsert_null_keys": upsert_null_keys,
+    "upsert_evolve": upsert_evolve,
     "row_filter_lob": row_filter_lob,
     "row_filter_lob_lazy": row_filter_lob_lazy,
     "row_filter_entity": row_filter_entity,
