@@ -99,6 +99,12 @@ def run_fact_job(spark: SparkSession, sink: SnapshotSink, log: RunLog, name: str
             if b and b["filter_column"] not in df.columns:
                 raise FilterColumnMissing(f"{name}: filter column {b['filter_column']!r} "
                                           "not produced")
+            if b:  # fail before writing anything if the secured view cannot be built
+                pattern = PATTERNS[b["row_filter"]]
+                for t in (pattern.map_table, security.membership_table):
+                    if not spark.catalog.tableExists(f"{security.config_database}.{t}"):
+                        raise RuntimeError(f"{name}: security table "
+                                           f"{security.config_database}.{t} is missing")
         rows, effective, _ = load(sink, df, name, keys, load_type)
         publish_public_view(sink, name, security, df.columns, binding=b)
         return rows, effective

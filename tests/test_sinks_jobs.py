@@ -1,3 +1,4 @@
+import os
 import uuid
 
 import pytest
@@ -224,3 +225,58 @@ def test_orchestration_config_watermark_and_due_list(spark):
     assert row.watermark_value == hwm and row.first_load_complete is True
     assert [(r.table_id, r.ready) for r in due_list(cfg).collect()] == \
         [("euh.orders", True), ("plan.fact_mot", True)]
+
+
+def test_binding_failure_leaves_no_unfiltered_public_view(spark):
+    sink = SnapshotSink(spark, db())
+    log = RunLog(sink)
+    empty_cfg = SnapshotSink(spark, db())  # no map tables, no membership
+    security = jobs.SecurityConfig(bindings_frame(spark), empty_cfg.database,
+                                   schema_name="plan")
+    t = fx.TestTables(spark, SF001)
+
+    def build():
+        return facts.material_on_time_fact(fx.delivery_header(t), fx.delivery_items(t),
+                                           fx.sales_orders(t), fx.materials(t))
+
+    with pytest.raises(RuntimeError, match="security table"):
+        jobs.run_fact_job(spark, sink, log, "fact_mot", build, facts.MOT_KEYS, "full",
+                          security=security)
+    assert not spark.catalog.tableExists(sink.public_name("fact_mot"))
+    assert not sink.exists("fact_mot")  # nothing was written
+    assert [r.status for r in log.read().collect()] == ["failed"]
+
+
+def test_publish_survives_task_retries(tmp_path):
+    """Tasks fail on their first attempt; the snapshot still holds every row once."""
+    import subprocess
+    import sys
+    import textwrap
+    script = tmp_path / "retry.py"
+    script.write_text(textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {str(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))!r})
+        from pyspark.sql import SparkSession, functions as F, types as T
+        from pyspark import TaskContext
+        from strata.sinks.publish import SnapshotSink
+        spark = (SparkSession.builder.master("local[4,3]")
+                 .config("spark.ui.enabled", "false")
+                 .config("spark.sql.warehouse.dir", {str(tmp_path / 'wh')!r}).getOrCreate())
+
+        @F.udf(T.LongType())
+        def flaky(x):
+            if TaskContext.get().attemptNumber() == 0:
+                raise RuntimeError("simulated executor loss")
+            return x
+
+        sink = SnapshotSink(spark, "retry_db")
+        df = spark.range(0, 20000, numPartitions=8).select(flaky("id").alias("k"))
+        sink.publish(df, "t")
+        out = sink.read("t")
+        assert out.count() == 20000, out.count()
+        assert out.distinct().count() == 20000
+        print("RETRY_OK")
+    """))
+    res = subprocess.run([sys.executable, str(script)], capture_output=True, text=True,
+                         timeout=600)
+    assert "RETRY_OK" in res.stdout, res.stderr[-2000:]
