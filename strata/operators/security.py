@@ -14,12 +14,13 @@ the reader, or when any active GLOBAL mapping names a group of the reader.
 NULL codes are visible only through GLOBAL. Inactive mappings grant nothing.
 
 Scale notes. The fact is the only large input. The permitted-key set is at
-most the size of the map table; it is counted before it is broadcast, and a
-plain (AQE-managed) semi join is used beyond the limit. The GLOBAL check is
-resolved once against the config tables so a GLOBAL reader's plan is the bare
-scan. With few codes (three LOBs hold everything) a shuffle on the filter
-column would put a third of the fact into one task, so the broadcast
-semi join, which never shuffles the fact, is the plan we want.
+most the size of the map table; it is counted first. A handful of codes
+becomes an ``IN`` filter pushed into the scan; a larger set is broadcast to a
+semi join; beyond the broadcast limit a plain (AQE-managed) semi join runs.
+The GLOBAL check is resolved once against the config tables so a GLOBAL
+reader's plan is the bare scan. With few codes (three LOBs hold everything)
+a shuffle on the filter column would put a third of the fact into one task,
+so neither of the first two forms shuffles the fact.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ GLOBAL_SCOPE = "GLOBAL"
 MASK_TEXT = "***MASKED***"
 
 DEFAULT_BROADCAST_KEYS = 200_000
+DEFAULT_INLINE_KEYS = 1_000
 
 
 @dataclass(frozen=True)
@@ -93,13 +95,15 @@ def permitted_keys(granted: DataFrame, map_key: str) -> DataFrame:
 def row_filter(df: DataFrame, column: str, group_map: DataFrame,
                membership: DataFrame, principal: str, map_key: str | None = None,
                broadcast_limit: int = DEFAULT_BROADCAST_KEYS,
-               mode: str = "resolve") -> DataFrame:
+               mode: str = "resolve", inline_limit: int = DEFAULT_INLINE_KEYS) -> DataFrame:
     """UDF-1/2/3: keep rows the principal may see.
 
-    ``mode="resolve"`` (default) checks GLOBAL once and semi-joins a
-    counted, broadcast key set. ``mode="lazy"`` builds the EXISTS form, which
-    re-reads the map and membership on every execution (for long-lived
-    DataFrames); its plan is chosen by Catalyst/AQE.
+    ``mode="resolve"`` (default) checks GLOBAL once and counts the permitted
+    keys. Up to ``inline_limit`` keys become an ``IN`` list, which reaches the
+    parquet scan (row groups and partitions that cannot match are skipped);
+    up to ``broadcast_limit`` a broadcast semi join; beyond that a plain semi
+    join. ``mode="lazy"`` builds the EXISTS form, which re-reads the map and
+    membership on every execution (for long-lived DataFrames).
     """
     if column not in df.columns:
         raise FilterColumnMissing(f"filter column {column!r} not in {df.columns}")
@@ -118,6 +122,10 @@ def row_filter(df: DataFrame, column: str, group_map: DataFrame,
         # the scan entirely for a literal-false filter.
         return df.where(F.lit(False))
     keys = permitted_keys(granted, map_key)
+    if n_keys <= inline_limit:
+        # a bounded list of codes (config-sized): a pushed-down IN filter
+        values = [r[0] for r in keys.collect()]
+        return df.where(df[column].isin(values))
     side = F.broadcast(keys) if n_keys <= broadcast_limit else keys
     return df.join(side, df[column] == F.col("__permitted_key"), "left_semi")
 

@@ -62,11 +62,23 @@ def test_missing_filter_column_raises(fact, lob_map, members):
         sec.row_filter(fact.drop("lob_code"), "lob_code", lob_map, members, "up")
 
 
+def test_few_permitted_keys_push_an_in_filter_to_parquet(spark, lob_map, members, tmp_path):
+    path = str(tmp_path / "fact")
+    spark.range(0, 3000).select(
+        F.element_at(F.array(F.lit("UP"), F.lit("DS"), F.lit("GF")),
+                     (F.col("id") % 3 + 1).cast("int")).alias("lob_code"), F.col("id")) \
+        .write.parquet(path)
+    out = sec.row_filter(spark.read.parquet(path), "lob_code", lob_map, members, "two")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(lob_code, [DS,UP])]" in plan and "Join" not in plan
+    assert out.count() == 2000
+
+
 def test_permitted_keys_are_broadcast(spark, lob_map, members):
     big = spark.range(0, 5000).select(
         F.element_at(F.array(F.lit("UP"), F.lit("DS"), F.lit("GF")),
                      (F.col("id") % 3 + 1).cast("int")).alias("lob_code"), F.col("id"))
-    out = sec.row_filter(big, "lob_code", lob_map, members, "two")
+    out = sec.row_filter(big, "lob_code", lob_map, members, "two", inline_limit=0)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
     assert out.count() == sum(1 for i in range(5000) if i % 3 != 2)
@@ -83,7 +95,8 @@ def test_lazy_mode_broadcasts_bounded_grants(spark, lob_map, members):
 
 
 def test_over_limit_falls_back_to_plain_semi_join(fact, lob_map, members):
-    out = sec.row_filter(fact, "lob_code", lob_map, members, "two", broadcast_limit=0)
+    out = sec.row_filter(fact, "lob_code", lob_map, members, "two", broadcast_limit=0,
+                         inline_limit=0)
     assert vs(out) == [1, 2]
 
 
