@@ -19,6 +19,7 @@ from strata.operators.harmonise import TableSpec, harmonise, high_water_mark
 from strata.operators.upsert import load_frame, upsert
 from strata.plans import facts
 from strata.sources import fixtures as fx
+from strata.sources.tables import optional_table
 
 SOFT_DELETE_AT = "2026-01-01 00:00:00"
 
@@ -66,8 +67,8 @@ def spend_with_contract(spark, sf_dir):
 
 def spend_without_contract(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    clm_schema = ""  # contract source not configured -> SRC-2 yields None
-    contracts = fx.contract_lines(t) if clm_schema else None
+    # SRC-2: the contract source's schema is not configured -> no scan, None
+    contracts = optional_table(spark, "", "clm_contract_lines")
     return facts.spend_fact(fx.spend_lines(t), contracts)
 
 

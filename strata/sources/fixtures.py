@@ -220,3 +220,24 @@ MEMBERSHIP = [
 def membership(spark: SparkSession) -> DataFrame:
     return config_frame(spark, MEMBERSHIP, "principal string, group_id string")
 
+
+
+# ── landing tables of the harmonise job ─────────────────────────────────────
+
+def blp_landing(t: TestTables) -> dict[str, DataFrame]:
+    """Raw landing tables for the six BLP specs, with their watermark columns
+    (AEDAT for purchasing, ERDAT for deliveries and sales orders, LAEDA for
+    materials), derived from the test tables."""
+    spend = spend_lines(t)
+    return {
+        "ekko_raw": spend.groupBy("EBELN").agg(F.max("ERDAT").alias("AEDAT")),
+        "ekpo_raw": spend.select("EBELN", "EBELP", "MATNR", "MENGE", "NETWR",
+                                 F.col("ERDAT").alias("AEDAT")),
+        "likp_raw": delivery_header(t).withColumn("ERDAT", F.col("WADAT_IST")),
+        "lips_raw": t("lineitem").select(
+            F.col("l_orderkey").alias("VBELN"), F.col("l_linenumber").alias("POSNR"),
+            F.col("l_partkey").alias("MATNR"), F.col("l_quantity").alias("LFIMG"),
+            F.lit("EA").alias("VRKME"), F.col("l_shipdate").alias("ERDAT")),
+        "vbak_raw": sales_orders(t).withColumn("ERDAT", F.col("VDATU")),
+        "mara_raw": materials(t).withColumn("LAEDA", F.lit("2024-01-01").cast("date")),
+    }
