@@ -80,11 +80,6 @@ def granted_mappings(group_map: DataFrame, membership: DataFrame,
             .join(groups, F.col("entra_group_id") == F.col("group_id"), "left_semi"))
 
 
-def has_global_grant(granted: DataFrame) -> bool:
-    """JN-7 resolved once: does the reader hold any active GLOBAL mapping?"""
-    return bool(granted.where(F.col("scope") == F.lit(GLOBAL_SCOPE)).limit(1).count())
-
-
 def permitted_keys(granted: DataFrame, map_key: str) -> DataFrame:
     """Distinct codes the reader may see (excluding the GLOBAL marker rows)."""
     return (granted.where(F.col("scope") != F.lit(GLOBAL_SCOPE))
@@ -111,9 +106,9 @@ def row_filter(df: DataFrame, column: str, group_map: DataFrame,
     if mode == "lazy":
         return row_filter_lazy(df, column, group_map, membership, principal, map_key,
                                broadcast_limit)
-    granted = granted_mappings(group_map, membership, principal)
     if mode != "resolve":
         raise ValueError(f"unknown mode {mode!r}")
+    granted = granted_mappings(group_map, membership, principal)
     is_global, n_keys = resolve_grants(granted, map_key)
     if is_global:
         return df
@@ -131,7 +126,8 @@ def row_filter(df: DataFrame, column: str, group_map: DataFrame,
 
 
 def resolve_grants(granted: DataFrame, map_key: str) -> tuple[bool, int]:
-    """One small job over the config tables: (GLOBAL grant?, #permitted keys)."""
+    """JN-7 resolved once, in one small job over the config tables:
+    (does the reader hold an active GLOBAL mapping?, bound on permitted keys)."""
     is_global = F.col("scope") == F.lit(GLOBAL_SCOPE)
     # a plain count of granted non-global rows bounds the distinct keys
     # (enough for the broadcast decision) without a distinct's extra shuffle
