@@ -1,0 +1,96 @@
+"""The reference's jobs, called with the same parameters."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.operators.checks import ContractError
+from strata.operators.security import current_principal
+from strata.plans import entrypoints as ep
+from strata.sources import fixtures as fx
+from strata.sources.tables import full_name
+
+from conftest import SF001
+
+CAT = "spark_catalog"
+
+
+@pytest.fixture(scope="module")
+def env(spark):
+    tag = uuid.uuid4().hex[:6]
+    s = {k: f"{k}_{tag}" for k in ("landing_blp", "euh_blp", "euh_arb", "euh_clm", "euh_kbl")}
+    # dev-style curated schemas map to their registry domain (feat_<feature>_<domain>)
+    s.update({d: f"feat_{tag}_{d}" for d in ("plan", "sourcing", "deliver")})
+    s["config"], s["platform"] = f"config_{tag}", f"platform_config_{tag}"
+    t = fx.TestTables(spark, SF001)
+    for k, db in s.items():
+        if k not in ("config", "platform"):
+            spark.sql(f"CREATE DATABASE {CAT}.{db}")
+    for name, df in fx.blp_landing(t).items():
+        df.write.saveAsTable(full_name(CAT, s["landing_blp"], name))
+    fx.spend_lines(t).write.saveAsTable(full_name(CAT, s["euh_arb"], "arb_spend_lines"))
+    fx.contract_lines(t).write.saveAsTable(full_name(CAT, s["euh_clm"], "clm_contract_lines"))
+    fx.asset_movements(t).write.saveAsTable(full_name(CAT, s["euh_kbl"], "kabal_asset_movements"))
+    fx.assets(t).write.saveAsTable(full_name(CAT, s["euh_kbl"], "kabal_assets"))
+    return s
+
+
+def test_migrations_then_jobs(spark, env):
+    kw = {"config_schema": env["config"]}
+    pkw = {"platform_schema": env["platform"]}
+    assert len(ep.migrate_job(spark, CAT, "dev", **kw)) == 5
+    assert ep.migrate_job(spark, CAT, "dev", **kw) == []
+    cfg = f"{CAT}.{env['config']}"
+    me = current_principal(spark)
+    spark.createDataFrame([(me, "grp-lob-up")], "principal string, group_id string") \
+        .write.saveAsTable(f"{cfg}.group_membership")
+    # entity/asset maps: seed from the test tables through the control-table path
+    from strata.sinks import control_tables as ct
+    from strata.sinks.publish import SnapshotSink
+    sink = SnapshotSink(spark, cfg)
+    t = fx.TestTables(spark, SF001)
+    ct.insert_frame(sink, "legal_entity_group_map",
+                    fx.legal_entity_group_map(t).select("company_code", "entity_name",
+                                                        "entra_group_id", "scope"))
+    ct.insert_frame(sink, "asset_group_map",
+                    fx.asset_group_map(t).select("asset_id", "asset_name", "entra_group_id",
+                                                 "scope"))
+    for table in ("legal_entity_group_map", "asset_group_map"):
+        sink.set_public_view(table)
+
+    rows = ep.euh_job(spark, CAT, env["landing_blp"], env["euh_blp"], "delta", "20000101", **pkw)
+    assert rows > 0
+    # second run: delta with a compact watermark typed per table. ekko merges;
+    # ekpo's (EBELN, EBELP) repeats in the test data, so its MERGE is rejected
+    # (as a real MERGE would be), logged as failed, and the run stops there.
+    from strata.operators.upsert import MergeKeyError
+    with pytest.raises(MergeKeyError):
+        ep.euh_job(spark, CAT, env["landing_blp"], env["euh_blp"], "delta", "20000101",
+                   watermark_format="yyyyMMdd", **pkw)
+    log = spark.table(f"{CAT}.{env['platform']}.pipeline_run_log__base")
+    last = {r.target.rsplit(".", 1)[-1]: (r.status, r.load_type)
+            for r in log.orderBy("logged_at").collect()}
+    assert last["ekko"] == ("success", "delta") and last["ekpo"] == ("failed", "delta")
+    n = ep.fact_mot_job(spark, CAT, env["euh_blp"], env["plan"], "full", **kw, **pkw)
+    public = spark.table(full_name(CAT, env["plan"], "fact_mot"))
+    assert n > public.count() > 0  # reader sees only UP rows
+    assert {r.lob_code for r in public.select("lob_code").distinct().collect()} == {"UP"}
+
+    n_spend = ep.fact_spend_job(spark, CAT, env["euh_arb"], env["sourcing"],
+                                euh_schema_clm=env["euh_clm"], load_type="full", **kw, **pkw)
+    assert n_spend == spark.table(full_name(CAT, env["sourcing"], "fact_spend__base")).count()
+    assert spark.table(full_name(CAT, env["sourcing"], "fact_spend")).count() == 0  # no grant
+    ep.fact_logistics_job(spark, CAT, env["euh_kbl"], env["deliver"], "full", **kw, **pkw)
+    assert ep.apply_row_filter_job(spark, CAT, env["deliver"], "fact_kabal_logistics",
+                                   **kw) == "FILTERED"
+    warnings = ep.contract_check_job(spark, CAT, [(env["plan"], "fact_mot"),
+                                                  (env["deliver"], "fact_kabal_logistics")])
+    assert warnings == 0  # both registered (schemas map to their domains), columns present
+
+
+def test_cli_parses_and_dispatches(monkeypatch):
+    seen = {}
+    monkeypatch.setitem(ep.JOBS, "migrate", lambda spark, **kw: seen.update(kw) or "ok")
+    ep.main(["migrate", "--catalog", "c", "--env", "dev"])
+    assert seen == {"catalog": "c", "env": "dev"}
