@@ -63,3 +63,19 @@ def harmonise_stream(spark: SparkSession, landing_path: str, spec: TableSpec, si
     if wait:
         query.awaitTermination()
     return query
+
+
+def harmonise_streams(spark: SparkSession, landing_root: str, specs, sink, source_id: str,
+                      fmt: str = "parquet", log: RunLog | None = None,
+                      checkpoint_root: str | None = None) -> dict[str, int]:
+    """All tables of one source: one AvailableNow stream per landing folder
+    ``{landing_root}/{spec.source}``, each with its own checkpoint. Returns
+    the number of micro-batches each stream committed in this run."""
+    done = {}
+    for spec in specs:
+        ckpt = (f"{checkpoint_root.rstrip('/')}/{spec.target}" if checkpoint_root
+                else stream_checkpoint(spark, spec.target))
+        q = harmonise_stream(spark, f"{landing_root.rstrip('/')}/{spec.source}", spec, sink,
+                             source_id, fmt=fmt, log=log, checkpoint=ckpt)
+        done[spec.target] = len([p for p in q.recentProgress if p.get("numInputRows", 0)])
+    return done

@@ -40,3 +40,21 @@ def test_stream_loads_each_landing_file_once(spark):
     assert sink.versions("orders_h") == before
     assert [r.load_type for r in log.read().orderBy("logged_at").collect()] == ["full", "delta"]
     assert os.path.isdir(os.path.join(ckpt, "offsets"))
+
+
+def test_streams_for_several_tables(spark):
+    from strata.streaming.incremental import harmonise_streams
+    root = tempfile.mkdtemp(prefix="landing-root-")
+    ckpt = tempfile.mkdtemp(prefix="ckpts-")
+    t = TestTables(spark, SF001)
+    t("customer").write.parquet(os.path.join(root, "customer_raw"))
+    t("part").write.parquet(os.path.join(root, "part_raw"))
+    specs = [TableSpec("customer_raw", "customer", ("c_custkey",)),
+             TableSpec("part_raw", "part", ("p_partkey",))]
+    sink = SnapshotSink(spark, "ms_" + uuid.uuid4().hex[:8])
+    done = harmonise_streams(spark, root, specs, sink, "BLP", checkpoint_root=ckpt)
+    assert done == {"customer": 1, "part": 1}
+    assert sink.read("customer").count() == t("customer").count()
+    assert sink.read("part").count() == t("part").count()
+    assert harmonise_streams(spark, root, specs, sink, "BLP", checkpoint_root=ckpt) == \
+        {"customer": 0, "part": 0}
