@@ -60,8 +60,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def local_session(app: str = "strata", cores: int | None = None,
                   shuffle_partitions: int = 8,
-                  warehouse: str | None = None) -> SparkSession:
-    """A local session for tests and the bench (UI off, no server ports)."""
+                  warehouse: str | None = None,
+                  event_log_dir: str | None = None) -> SparkSession:
+    """A local session for tests and the bench (UI off, no server ports).
+
+    ``event_log_dir`` writes Spark's event log there (stage and task times
+    without a UI)."""
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -74,6 +78,10 @@ def local_session(app: str = "strata", cores: int | None = None,
     )
     if warehouse:
         builder = builder.config("spark.sql.warehouse.dir", warehouse)
+    if event_log_dir:
+        os.makedirs(event_log_dir, exist_ok=True)
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return ensure_defaults(spark)
