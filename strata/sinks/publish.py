@@ -100,7 +100,7 @@ class SnapshotSink:
         try:
             if ddl_columns:
                 self.spark.sql(f"CREATE TABLE {target} ({ddl_columns}) USING {self.fmt}")
-                df.write.insertInto(target)
+                df.select(*self.spark.table(target).columns).write.insertInto(target)
             else:
                 w = df.write.format(self.fmt).mode("errorifexists")
                 if partition_by:
@@ -123,7 +123,8 @@ class SnapshotSink:
             current = self.current_table(name)
             if current is None:
                 raise ValueError(f"{self.database}.{name} has no snapshot to append to")
-            df.write.insertInto(current)
+            # insertInto is positional: align the frame to the table by name
+            df.select(*self.spark.table(current).columns).write.insertInto(current)
 
     def set_public_view(self, name: str, sql_body: str | None = None) -> str:
         """Point the public name at the base view, or at a secured body."""

@@ -280,3 +280,10 @@ def test_publish_survives_task_retries(tmp_path):
     res = subprocess.run([sys.executable, str(script)], capture_output=True, text=True,
                          timeout=600)
     assert "RETRY_OK" in res.stdout, res.stderr[-2000:]
+
+
+def test_append_aligns_columns_by_name(spark):
+    sink = SnapshotSink(spark, db())
+    sink.publish(spark.createDataFrame([(1, "a")], "k long, v string"), "t")
+    sink.append(spark.createDataFrame([("b", 2)], "v string, k long"), "t")
+    assert sorted(map(tuple, sink.read("t").collect())) == [(1, "a"), (2, "b")]
