@@ -119,7 +119,12 @@ _SEED_COLS = ["lob_code", "lob_name", "entra_group_id", "scope", "is_active", "u
 
 
 def platform_migrations() -> list[Migration]:
-    """The reference's platform migrations as actions (rollback excluded)."""
+    """The reference's platform migrations as actions.
+
+    Fixed values: the migration ids are the ones a ledger already holds for
+    these changes, so a ledger carried over does not re-apply them. The
+    rollback is listed but never applied automatically (``pending``
+    excludes ``*_rollback.sql``)."""
     return [
         Migration(1, "0001_create_orchestration_config.sql",
                   (lambda s: ensure_table(s, "orchestration_config"),)),

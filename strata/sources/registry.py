@@ -17,10 +17,12 @@ from strata.sources.local import config_frame
 BINDING_SCHEMA = ("schema string, table string, row_filter string, filter_column string, "
                   "domain string, group string, notes string")
 
-# The reference's binding registry, in its order.
+# The reference's binding registry, in its order (schema,
+# table, filter function, filter column, domain, group; free-text notes are
+# not carried).
 DEFAULT_BINDINGS = [
     ("sourcing", "fact_spend", "fn_legal_entity_filter", "company_code", "sourcing",
-     "Ariba/CLM", "70GB model — performance gate required before go-live"),
+     "Ariba/CLM", None),
     ("sourcing", "fact_contracts", "fn_legal_entity_filter", "company_code", "sourcing",
      "Ariba/CLM", None),
     ("sourcing", "fact_sourcing_events", "fn_legal_entity_filter", "company_code", "sourcing",
@@ -33,10 +35,8 @@ DEFAULT_BINDINGS = [
     ("deliver", "fact_rtp_actual", "fn_lob_filter", "lob_code", "deliver", "RTP", None),
     ("deliver", "fact_shipments", "fn_lob_filter", "lob_code", "deliver", "RTP", None),
     ("deliver", "fact_kabal_logistics", "fn_asset_filter", "asset_id", "deliver", "Kabal", None),
-    ("deliver", "fact_adc_delivery", "fn_asset_filter", "asset_id", "deliver", "ADC",
-     "ADC go-live Jan 2027 — validates asset filter pattern"),
-    ("euh_BLP", "*", "none", "none", "EUH", "MSVC",
-     "Schema-level SELECT GRANT to MSVC-Approved group in grants.tf — no row filter"),
+    ("deliver", "fact_adc_delivery", "fn_asset_filter", "asset_id", "deliver", "ADC", None),
+    ("euh_BLP", "*", "none", "none", "EUH", "MSVC", None),
 ]
 
 
