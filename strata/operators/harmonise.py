@@ -89,3 +89,13 @@ def harmonise(df: DataFrame, spec: TableSpec, source_id: str, load_type: str,
 def high_water_mark(df: DataFrame, column: str) -> DataFrame:
     """DCL-2: the new watermark after a load, as a one-row DataFrame."""
     return df.agg(F.max(column).cast("string").alias("watermark_value"))
+
+
+def loaded_since(df: DataFrame, since, column: str = "_loaded_at") -> DataFrame:
+    """Q19: only harmonised rows loaded after ``since`` (e.g. the target's last
+    successful run from the run log), so a curated delta load reads the
+    increment instead of the whole harmonised table. ``since=None`` keeps all.
+    """
+    if since is None:
+        return df
+    return df.where(F.col(column) > F.lit(since).cast(df.schema[column].dataType))

@@ -43,6 +43,13 @@ def audit_frame(spark: SparkSession, run_id: str, target: str, load_type: str, r
     return df.withColumn("logged_at", F.current_timestamp())
 
 
+def last_success(audit_rows: DataFrame, target: str):
+    """When the last successful run of ``target`` was logged (or ``None``)."""
+    return (audit_rows.where((F.col("target") == F.lit(target))
+                             & (F.col("status") == F.lit("success")))
+            .agg(F.max("logged_at").alias("t")).first()["t"])
+
+
 def run_totals(audit_rows: DataFrame) -> DataFrame:
     """AGG-2: total rows per run over its per-table audit rows."""
     return (audit_rows.groupBy("run_id", "status")

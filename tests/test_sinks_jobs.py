@@ -287,3 +287,25 @@ def test_append_aligns_columns_by_name(spark):
     sink.publish(spark.createDataFrame([(1, "a")], "k long, v string"), "t")
     sink.append(spark.createDataFrame([("b", 2)], "v string, k long"), "t")
     assert sorted(map(tuple, sink.read("t").collect())) == [(1, "a"), (2, "b")]
+
+
+def test_incremental_curated_input_since_last_success(spark):
+    import time
+    from strata.operators.harmonise import harmonise, loaded_since
+    from strata.sinks.audit import last_success
+    sink = SnapshotSink(spark, db())
+    log = RunLog(sink)
+    t = fx.TestTables(spark, SF001)
+    spec = TableSpec("orders", "orders_h", ("o_orderkey",))
+    df, _ = harmonise(t("orders"), spec, "BLP", "full")
+    sink.publish(df, "orders_h")
+    log.ensure()
+    assert last_success(log.read(), "x.fact") is None
+    log.write("r1", "x.fact", "full", 1, "success")
+    since = last_success(log.read(), "x.fact")
+    assert loaded_since(sink.read("orders_h"), since).count() == 0  # nothing newer
+    time.sleep(1.1)
+    newer, _ = harmonise(t("orders").limit(5), spec, "BLP", "delta")
+    sink.append(newer, "orders_h")
+    assert loaded_since(sink.read("orders_h"), since).count() == 5
+    assert loaded_since(sink.read("orders_h"), None).count() == t("orders").count() + 5

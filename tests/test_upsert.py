@@ -121,3 +121,12 @@ def test_property_matches_python_merge_and_is_idempotent(spark, target, source):
     assert rows(once) == sorted(expected)
     twice = upsert(once, s, ["k"])
     assert rows(twice) == rows(once)
+
+
+def test_delete_missing_for_full_snapshots(spark):
+    t = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b2"), (3, "c")], SCHEMA)
+    s = spark.createDataFrame([(2, "B"), (4, "D")], SCHEMA)
+    assert rows(upsert(t, s, ["k"])) == [(1, "a"), (2, "B"), (2, "B"), (3, "c"), (4, "D")]
+    assert rows(upsert(t, s, ["k"], delete_missing=True)) == [(2, "B"), (2, "B"), (4, "D")]
+    assert rows(upsert(t, s, ["k"], delete_missing=True, broadcast_limit=0)) == \
+        [(2, "B"), (2, "B"), (4, "D")]
