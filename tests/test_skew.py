@@ -104,3 +104,38 @@ def test_find_hot_keys_exact_without_key_shuffle(spark):
     assert find_hot_keys(df, "k", 10**6) is None               # input smaller than threshold
     flat = spark.range(300000).select((F.col("id") % 150000).alias("k"))
     assert find_hot_keys(flat, "k", 100) is None               # only false-positive candidates
+
+
+def test_spend_contract_join_splits_hot_po(spark, skew_conf):
+    n = 300000
+    arb = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("EBELN"),
+        (F.col("id") % 10).cast("int").alias("EBELP"), F.lit("C1").alias("BUKRS"),
+        F.lit(1).cast("long").alias("LIFNR"), F.lit(1).cast("long").alias("MATNR"),
+        F.lit(1.0).alias("MENGE"), F.lit(1.0).alias("NETWR"), F.lit("USD").alias("WAERS"),
+        F.current_timestamp().alias("BEDAT"), F.current_timestamp().alias("ERDAT"))
+    contracts = spark.range(n).select(F.col("id").alias("po_number"),
+                                      F.concat(F.lit("K"), F.col("id").cast("string"))
+                                      .alias("contract_id"), F.lit("T").alias("contract_type"))
+    fact = facts.spend_fact(arb, contracts, contract_policy="trust")
+    assert "skew=true" in executed(fact)
+
+
+def test_logistics_asset_join_splits_hot_asset(spark, skew_conf):
+    n = 300000
+    mv = spark.range(n).select(
+        F.col("id").cast("string").alias("movement_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("A0")).otherwise(F.col("id").cast("string"))
+        .alias("asset_id"),
+        *[F.lit("x").alias(c) for c in ("movement_type", "origin_location",
+                                        "destination_location")],
+        *[F.current_timestamp().alias(c) for c in ("planned_departure_dt",
+                                                   "actual_departure_dt",
+                                                   "planned_arrival_dt", "actual_arrival_dt")],
+        F.lit(1.0).alias("cargo_weight_kg"), F.lit(1.0).alias("cargo_volume_m3"))
+    assets = spark.range(n).select(F.col("id").cast("string").alias("asset_id"),
+                                   F.lit("n").alias("asset_name")) \
+        .unionByName(spark.range(1).select(F.lit("A0").alias("asset_id"),
+                                           F.lit("hot").alias("asset_name")))
+    fact = facts.logistics_fact(mv, assets)
+    assert "skew=true" in executed(fact)
