@@ -78,9 +78,24 @@ class Migration:
         return f"{self.folder}/{self.migration_id}"
 
 
+MIGRATION_FOLDERS = ("platform", "euh", "curated")  # fixed values: the three folders
+
+
 def migration_specs(spark: SparkSession, migrations: Sequence[Migration]) -> DataFrame:
-    rows = [(m.sequence, m.migration_id, m.filename) for m in migrations]
-    return config_frame(spark, rows, "sequence int, migration_id string, filename string")
+    """SET-1: one spec frame per migration folder, concatenated by name.
+
+    Rollback scripts stay in the specs and are removed by
+    ``pending_migrations`` (never auto-applied)."""
+    schema = "sequence int, migration_id string, filename string, folder string"
+    folders = list(MIGRATION_FOLDERS) + sorted({m.folder for m in migrations}
+                                               - set(MIGRATION_FOLDERS))
+    out = None
+    for folder in folders:
+        rows = [(m.sequence, m.migration_id, m.filename, m.folder)
+                for m in migrations if m.folder == folder]
+        part = config_frame(spark, rows, schema)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def ledger_row(spark: SparkSession, m: Migration, env: str, status: str,
