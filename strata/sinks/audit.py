@@ -68,11 +68,15 @@ class RunLog:
                 empty = config_frame(self.sink.spark, [], table_schema(RUN_LOG))
                 self.sink.publish(empty, RUN_LOG, ddl_columns=table_ddl_columns(RUN_LOG))
 
+    compact_above: int = 256  # files; appends add one small file each
+
     def write(self, run_id: str, target: str, load_type: str, rows: int, status: str,
               error: str | None = None) -> None:
         self.ensure()
         self.sink.append(audit_frame(self.sink.spark, run_id, target, load_type, rows,
                                      status, error), RUN_LOG)
+        if hasattr(self.sink, "compact") and self.sink.file_count(RUN_LOG) > self.compact_above:
+            self.sink.compact(RUN_LOG, ddl_columns=table_ddl_columns(RUN_LOG))
 
     def read(self) -> DataFrame:
         return self.sink.read(RUN_LOG)

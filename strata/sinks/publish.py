@@ -126,6 +126,19 @@ class SnapshotSink:
             # insertInto is positional: align the frame to the table by name
             df.select(*self.spark.table(current).columns).write.insertInto(current)
 
+    def file_count(self, name: str) -> int:
+        """Files behind the current snapshot (listing only, no data read)."""
+        return len(self.read(name).inputFiles())
+
+    def compact(self, name: str, files: int = 1, ddl_columns: str | None = None) -> int:
+        """Rewrite the table as a new snapshot of ``files`` files.
+
+        Appends (audit rows, ledger rows) add one small file each; a long-lived
+        control table is compacted so reads stay one or a few file opens.
+        ``coalesce`` merges partitions without a shuffle.
+        """
+        return self.publish(self.read(name).coalesce(files), name, ddl_columns=ddl_columns)
+
     def set_public_view(self, name: str, sql_body: str | None = None) -> str:
         """Point the public name at the base view, or at a secured body."""
         body = sql_body or f"SELECT * FROM {self.base_view(name)}"

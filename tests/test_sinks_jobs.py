@@ -309,3 +309,12 @@ def test_incremental_curated_input_since_last_success(spark):
     sink.append(newer, "orders_h")
     assert loaded_since(sink.read("orders_h"), since).count() == 5
     assert loaded_since(sink.read("orders_h"), None).count() == t("orders").count() + 5
+
+
+def test_run_log_compacts_small_files(spark):
+    sink = SnapshotSink(spark, db())
+    log = RunLog(sink, compact_above=3)
+    for i in range(5):
+        log.write(f"r{i}", "x.t", "full", i, "success")
+    assert sink.file_count("pipeline_run_log") <= 3
+    assert sorted(r.rows for r in log.read().collect()) == [0, 1, 2, 3, 4]
