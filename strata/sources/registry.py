@@ -53,7 +53,9 @@ def logical_schema(schema: str) -> str:
     """Registry key of an environment schema (Q4): ``stable_plan`` and
     ``feat_x_plan`` -> ``plan``; ``euh_BLP_A59`` / ``euh_prod_mirror_BLP`` ->
     ``euh_BLP``. Registry lookups use this, so dev/UAT tables find the same
-    binding as prod instead of silently skipping their row filter."""
+    binding as prod instead of silently skipping their row filter. A catalog
+    prefix (``spark_catalog.plan``) is ignored."""
+    schema = schema.rsplit(".", 1)[-1]
     if schema.startswith("stable_") and schema[len("stable_"):] in DOMAINS:
         return schema[len("stable_"):]
     m = _FEAT.match(schema)
@@ -70,6 +72,7 @@ def logical_schema(schema: str) -> str:
 
 def logical_schema_col(schema: F.Column) -> F.Column:
     """Column form of :func:`logical_schema` (for joins over many tables)."""
+    schema = F.substring_index(schema, ".", -1)
     dom = F.regexp_extract(schema, r"^(?:stable_|feat_.+_)(" + "|".join(DOMAINS) + r")$", 1)
     mirror = F.regexp_extract(schema, _EUH_MIRROR.pattern, 1)
     env = F.regexp_extract(schema, _EUH_ENV.pattern, 1)

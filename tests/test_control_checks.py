@@ -81,11 +81,15 @@ def test_environment_schemas_find_prod_bindings(spark):
     assert registry.logical_schema("euh_BLP_A59") == "euh_BLP"
     assert registry.logical_schema("euh_prod_mirror_KBL") == "euh_KBL"
     assert registry.logical_schema("feat_x_unknown") == "feat_x_unknown"
-    tables = spark.createDataFrame([("stable_plan", "fact_mot"), ("feat_a_deliver", "fact_kabal_logistics"),
+    assert registry.logical_schema("spark_catalog.feat_x_plan") == "plan"  # catalog prefix
+    assert registry.binding_for(b, "spark_catalog.plan", "fact_mot")["filter_column"] == \
+        "lob_code"
+    tables = spark.createDataFrame([("stable_plan", "fact_mot"),
+                                    ("cat.feat_a_deliver", "fact_kabal_logistics"),
                                     ("stable_plan", "dim_x")], "schema string, table string")
     got = {(r.schema, r.table, r.action) for r in registry.binding_lookup(tables, b).collect()}
     assert got == {("stable_plan", "fact_mot", "BIND"),
-                   ("feat_a_deliver", "fact_kabal_logistics", "BIND"),
+                   ("cat.feat_a_deliver", "fact_kabal_logistics", "BIND"),
                    ("stable_plan", "dim_x", "SKIPPED")}
 
 
