@@ -11,6 +11,7 @@ Parameters replace notebook widgets; the secured view is published on
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -28,6 +29,9 @@ from strata.sinks.publish import SnapshotSink
 from strata.sources.registry import binding_for
 
 
+log = logging.getLogger("strata.jobs")
+
+
 @dataclass
 class SecurityConfig:
     """Where the binding registry, maps and membership live."""
@@ -70,6 +74,8 @@ def publish_public_view(sink: SnapshotSink, name: str, security: SecurityConfig
         binding = binding_for(security.bindings, security.schema_name or sink.database, name)
     if binding is None:
         sink.set_public_view(name)
+        log.warning("%s: no row filter binding; public view is unfiltered (SKIPPED)",
+                    sink.public_name(name))
         return "SKIPPED"
     column = binding["filter_column"]
     if column not in columns:
@@ -83,7 +89,7 @@ def publish_public_view(sink: SnapshotSink, name: str, security: SecurityConfig
     return "FILTERED"
 
 
-def run_fact_job(spark: SparkSession, sink: SnapshotSink, log: RunLog, name: str,
+def run_fact_job(spark: SparkSession, sink: SnapshotSink, run_log: RunLog, name: str,
                  build: Callable[[], DataFrame], keys: Sequence[str], load_type: str = "delta",
                  security: SecurityConfig | None = None, run_id: str | None = None) -> int:
     """One curated table: build -> load -> secure -> audit."""
@@ -106,14 +112,16 @@ def run_fact_job(spark: SparkSession, sink: SnapshotSink, log: RunLog, name: str
                         raise RuntimeError(f"{name}: security table "
                                            f"{security.config_database}.{t} is missing")
         rows, effective, _ = load(sink, df, name, keys, load_type)
-        publish_public_view(sink, name, security, df.columns, binding=b)
+        action = publish_public_view(sink, name, security, df.columns, binding=b)
+        log.info("%s: %s load of %d rows, public view %s (run %s)", target, effective, rows,
+                 action, run_id)
         return rows, effective
 
-    return audited(log, run_id, target, load_type, body)
+    return audited(run_log, run_id, target, load_type, body)
 
 
 def run_harmonise_job(spark: SparkSession, read_landing: Callable[[str], DataFrame],
-                      sink: SnapshotSink, log: RunLog, specs: Sequence[TableSpec],
+                      sink: SnapshotSink, run_log: RunLog, specs: Sequence[TableSpec],
                       source_id: str, load_type: str = "delta",
                       watermarks: Mapping[str, str] | None = None,
                       run_id: str | None = None, max_parallel: int = 1) -> int:
@@ -139,7 +147,7 @@ def run_harmonise_job(spark: SparkSession, read_landing: Callable[[str], DataFra
             sink.set_public_view(spec.target)
             return rows, eff
 
-        return audited(log, run_id, sink.public_name(spec.target), load_type, body)
+        return audited(run_log, run_id, sink.public_name(spec.target), load_type, body)
 
     if max_parallel <= 1:
         return sum(one(spec) for spec in specs)

@@ -8,6 +8,7 @@ counts come from an ``Observation`` on the write itself: the plan runs once
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -92,6 +93,7 @@ def audited(log: RunLog, run_id: str, target: str, load_type: str,
     try:
         rows, effective = body()
     except Exception as e:
+        logging.getLogger("strata.audit").error("%s failed (run %s): %s", target, run_id, e)
         log.write(run_id, target, load_type, 0, "failed", str(e))
         raise
     log.write(run_id, target, effective, rows, "success", None)
