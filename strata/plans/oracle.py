@@ -173,6 +173,9 @@ def oracle_sql() -> dict[str, str]:
     q["watermark_delta"] = (f"SELECT *, {_PROV.format(lt='delta')} FROM orders "
                             "WHERE o_orderdate > TIMESTAMP '2000-01-01'")
     q["watermark_compact"] = q["watermark_delta"]
+    q["watermark_events"] = ("SELECT *, 'APP' AS _source_id, 'delta' AS _load_type, "
+                             "true AS has_loaded_at FROM events "
+                             "WHERE ts > TIMESTAMP '2024-01-15 12:00:00.5'")
     q["high_water_marks"] = " UNION ALL ".join(
         f"SELECT '{t}' AS target, CAST(max({c}) AS VARCHAR) AS watermark_value FROM {t}"
         for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts")))
@@ -201,6 +204,11 @@ def oracle_sql() -> dict[str, str]:
         "CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders "
         "WHERE o_orderdate < TIMESTAMP '2000-01-01'", _ORDERS_BATCH,
         ORDERS_COLS, ["o_orderkey"])
+    q["upsert_events_late"] = _merge(
+        "SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20'",
+        "SELECT event_id, ts, user_id, event_type, value * 2.0 AS value, props FROM events "
+        "WHERE ts > TIMESTAMP '2024-01-10'",
+        ["event_id", "ts", "user_id", "event_type", "value", "props"], ["event_id"])
     q["upsert_null_keys"] = _merge(
         "SELECT * FROM orders",
         "SELECT CAST(NULL AS BIGINT) AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
@@ -216,6 +224,7 @@ def oracle_sql() -> dict[str, str]:
                                                   "company_code", "eve"))
     q["row_filter_asset"] = _with(LOGI_CTES + [ASSET_MAP, MEMBERS],
                                   _filtered("logi", "asset_id", "asset_map", "asset_id", "ash"))
+    q["row_filter_asset_lazy"] = q["row_filter_asset"]
     q["row_filter_global"] = _with(ent, _filtered("spend", "company_code", "entity_map",
                                                   "company_code", "gil"))
     q["row_filter_no_group"] = _with(lob, _filtered("mot", "lob_code", "lob_map", "lob_code",

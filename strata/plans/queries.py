@@ -119,6 +119,16 @@ def watermark_compact(spark, sf_dir):
     return _stable(df)
 
 
+EVENTS_SPEC = TableSpec("events", "events", ("event_id",), "ts")
+
+
+def watermark_events(spark, sf_dir):
+    """FLT-1 on a microsecond timestamp: strictly newer events only."""
+    df, _ = harmonise(_tables(spark, sf_dir)("events"), EVENTS_SPEC, "APP", "delta",
+                      watermark="2024-01-15 12:00:00.5")
+    return _stable(df)
+
+
 WATERMARKED = (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))
 
 
@@ -181,6 +191,16 @@ def upsert_evolve(spark, sf_dir):
     return upsert(base, _orders_batch(orders), ["o_orderkey"], evolve=True)
 
 
+def upsert_events_late(spark, sf_dir):
+    """Late events: a batch overlapping the loaded window re-delivers events
+    with corrected values and brings new ones (keyed by event_id)."""
+    ev = _tables(spark, sf_dir)("events")
+    base = ev.where(F.col("ts") < _ts(ev, "ts", "2024-01-20"))
+    batch = (ev.where(F.col("ts") > _ts(ev, "ts", "2024-01-10"))
+             .withColumn("value", F.col("value") * F.lit(2.0)))
+    return upsert(base, batch, ["event_id"])
+
+
 def upsert_null_keys(spark, sf_dir):
     orders = _tables(spark, sf_dir)("orders")
     unnumbered = (orders.where(F.col("o_orderstatus") == F.lit("P"))
@@ -210,6 +230,12 @@ def secured_material_on_time(spark, sf_dir):
                                fx.membership(spark), "ana")
 
 
+def row_filter_asset_lazy(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return security.row_filter(logistics_on_time(spark, sf_dir), "asset_id",
+                               fx.asset_group_map(t), fx.membership(spark), "ash", mode="lazy")
+
+
 def row_filter_entity(spark, sf_dir):
     t = _tables(spark, sf_dir)
     return security.row_filter(spend_rename(spark, sf_dir), "company_code",
@@ -333,6 +359,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "logistics_on_time": logistics_on_time,
     "watermark_delta": watermark_delta,
     "watermark_compact": watermark_compact,
+    "watermark_events": watermark_events,
     "high_water_marks": high_water_marks,
     "harmonise_passthrough": harmonise_passthrough,
     "harmonise_renamed": harmonise_renamed,
@@ -341,10 +368,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_composite_key": upsert_composite_key,
     "upsert_null_keys": upsert_null_keys,
     "upsert_evolve": upsert_evolve,
+    "upsert_events_late": upsert_events_late,
     "row_filter_lob": row_filter_lob,
     "row_filter_lob_lazy": row_filter_lob_lazy,
     "row_filter_entity": row_filter_entity,
     "row_filter_asset": row_filter_asset,
+    "row_filter_asset_lazy": row_filter_asset_lazy,
     "row_filter_global": row_filter_global,
     "row_filter_no_group": row_filter_no_group,
     "row_filter_inactive": row_filter_inactive,
