@@ -143,3 +143,17 @@ def test_logistics_inner_join(spark):
     a = spark.createDataFrame([("a1", "Ship")], "asset_id string, asset_name string")
     out = facts.logistics_fact(mv, a).collect()
     assert [(r.movement_id, r.is_on_time, r.source_id) for r in out] == [("m1", 1, "KBL")]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+stamps = st.datetimes(min_value=dt.datetime(2020, 1, 1), max_value=dt.datetime(2020, 1, 3))
+
+
+@settings(max_examples=15, deadline=None)
+@given(values=st.lists(st.one_of(st.none(), stamps), max_size=10), wm=stamps)
+def test_property_watermark_strict_and_typed(spark, values, wm):
+    df = spark.createDataFrame(list(enumerate(values)), "id int, d timestamp_ntz")
+    text = wm.strftime("%Y-%m-%d %H:%M:%S.%f")
+    got = ids(watermark_filter(df, "d", text))
+    assert got == [i for i, v in enumerate(values) if v is not None and v > wm]

@@ -1,4 +1,5 @@
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from strata.operators import security as sec
@@ -134,3 +135,33 @@ def test_secured_view_follows_membership(spark, lob_map, fact):
     spark.createDataFrame([(me, "grp-lob-global")], "principal string, group_id string") \
         .write.mode("append").saveAsTable("sec_t.members")
     assert vs(spark.table("sec_t.fact_secured")) == [1, 2, 3, 4, 5]
+
+
+codes = st.sampled_from(["A", "B", "C", None])
+map_rows = st.lists(st.tuples(st.sampled_from(["A", "B", "C", "GLOBAL"]),
+                              st.sampled_from(["g1", "g2", "g3"]),
+                              st.booleans()), max_size=6)
+member_rows = st.lists(st.tuples(st.sampled_from(["p", "q"]),
+                                 st.sampled_from(["g1", "g2", "g3"])), max_size=4)
+
+
+@settings(max_examples=12, deadline=None)
+@given(mrows=map_rows, members_=member_rows, fact_codes=st.lists(codes, max_size=8),
+       mode=st.sampled_from(["resolve", "lazy"]), path=st.sampled_from(["in", "bcast", "plain"]))
+def test_property_row_filter_matches_brute_force(spark, mrows, members_, fact_codes, mode, path):
+    m = spark.createDataFrame(
+        [(c, g, "GLOBAL" if c == "GLOBAL" else "LOB", act) for c, g, act in mrows],
+        "lob_code string, entra_group_id string, scope string, is_active boolean")
+    mem = spark.createDataFrame(members_, "principal string, group_id string")
+    fact = spark.createDataFrame(list(enumerate(fact_codes)), "v int, lob_code string")
+    groups = {g for p, g in members_ if p == "p"}
+    active = [(c, g) for c, g, act in mrows if act and g in groups]
+    if any(c == "GLOBAL" for c, _ in active):
+        expected = list(range(len(fact_codes)))
+    else:
+        ok = {c for c, _ in active}
+        expected = [i for i, c in enumerate(fact_codes) if c is not None and c in ok]
+    limits = {"in": {}, "bcast": {"inline_limit": 0}, "plain": {"inline_limit": 0,
+                                                                 "broadcast_limit": 0}}[path]
+    out = sec.row_filter(fact, "lob_code", m, mem, "p", mode=mode, **limits)
+    assert vs(out) == expected
