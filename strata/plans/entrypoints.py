@@ -144,10 +144,16 @@ def contract_check_job(spark: SparkSession, catalog: str,
     return findings.count()
 
 
+def _contract_check_cli(spark: SparkSession, catalog: str, tables: str) -> int:
+    """``--tables plan.fact_mot,deliver.fact_kabal_logistics``."""
+    pairs = [tuple(t.strip().rsplit(".", 1)) for t in tables.split(",") if t.strip()]
+    return contract_check_job(spark, catalog, pairs)
+
+
 JOBS = {
     "euh": euh_job, "fact_mot": fact_mot_job, "fact_spend": fact_spend_job,
     "fact_logistics": fact_logistics_job, "apply_row_filter": apply_row_filter_job,
-    "migrate": migrate_job,
+    "migrate": migrate_job, "contract_check": _contract_check_cli,
 }
 
 
@@ -156,7 +162,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("job", choices=sorted(JOBS))
     for opt in ("catalog", "landing_schema", "euh_schema", "euh_schema_arb", "euh_schema_clm",
                 "domain_schema", "load_type", "watermark_value", "schema_name", "table_name",
-                "env", "config_schema", "platform_schema", "watermark_format"):
+                "env", "config_schema", "platform_schema", "watermark_format", "tables"):
         p.add_argument(f"--{opt}", default=None)
     args = {k: v for k, v in vars(p.parse_args(argv)).items() if v is not None}
     job = JOBS[args.pop("job")]

@@ -87,6 +87,7 @@ def test_migrations_then_jobs(spark, env):
     warnings = ep.contract_check_job(spark, CAT, [(env["plan"], "fact_mot"),
                                                   (env["deliver"], "fact_kabal_logistics")])
     assert warnings == 0  # both registered (schemas map to their domains), columns present
+    assert ep.JOBS["contract_check"](spark, CAT, f"{env['plan']}.fact_mot") == 0
 
 
 def test_cli_parses_and_dispatches(monkeypatch):
