@@ -44,6 +44,7 @@ class SecurityConfig:
 
 def load(sink: SnapshotSink, df: DataFrame, name: str, keys: Sequence[str],
          load_type: str = "delta", stage_source: bool = True,
+         cluster_by: Sequence[str] | None = None,
          **upsert_kwargs) -> tuple[int, str, int]:
     """SNK-12: full load (or first load) vs keyed upsert into a snapshot.
 
@@ -56,17 +57,23 @@ def load(sink: SnapshotSink, df: DataFrame, name: str, keys: Sequence[str],
         raise ValueError(f"load_type must be 'full' or 'delta', not {load_type!r}")
     if load_type == "full" or not sink.exists(name):
         observed, obs = observe_rows(df)
-        version = sink.publish(observed, name, keys=list(keys) or None)
+        version = sink.publish(observed, name, keys=list(keys) or None,
+                               **_cluster(sink, cluster_by))
         return observed_rows(obs), "full", version
     if stage_source:
         df = stage(df, f"{sink.database}/{name}")
     if isinstance(sink, (PartitionedSink, MergeIntoSink)):  # touched data only
         return sink.upsert(df, name, keys, **upsert_kwargs), "delta", 0
     merged, n = upsert_counted(sink.read(name), df, keys, **upsert_kwargs)
-    version = sink.publish(merged, name, keys=list(keys) or None)
+    version = sink.publish(merged, name, keys=list(keys) or None, **_cluster(sink, cluster_by))
     return int(n or 0), "delta", version
 
 
+def _cluster(sink, cluster_by) -> dict:
+    return {"cluster_by": list(cluster_by)} if cluster_by and isinstance(sink, SnapshotSink) \
+        else {}
+
+
 def publish_public_view(sink: SnapshotSink, name: str, security: SecurityConfig | None,
                         columns: Sequence[str], binding: dict | None = None) -> str:
     """SEC-1/SEC-2: the public name is the secured view if the table is bound."""
@@ -111,7 +118,9 @@ def run_fact_job(spark: SparkSession, sink: SnapshotSink, run_log: RunLog, name:
                     if not spark.catalog.tableExists(f"{security.config_database}.{t}"):
                         raise RuntimeError(f"{name}: security table "
                                            f"{security.config_database}.{t} is missing")
-        rows, effective, _ = load(sink, df, name, keys, load_type)
+        # cluster the fact by its filter column: secured reads skip row groups
+        cluster = [b["filter_column"]] if b else None
+        rows, effective, _ = load(sink, df, name, keys, load_type, cluster_by=cluster)
         action = publish_public_view(sink, name, security, df.columns, binding=b)
         log.info("%s: %s load of %d rows, public view %s (run %s)", target, effective, rows,
                  action, run_id)

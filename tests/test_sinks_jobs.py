@@ -318,3 +318,17 @@ def test_run_log_compacts_small_files(spark):
         log.write(f"r{i}", "x.t", "full", i, "success")
     assert sink.file_count("pipeline_run_log") <= 3
     assert sorted(r.rows for r in log.read().collect()) == [0, 1, 2, 3, 4]
+
+
+def test_published_fact_is_clustered_by_filter_column(spark):
+    import pyarrow.parquet as pq
+    sink = SnapshotSink(spark, db())
+    df = spark.range(0, 6000, numPartitions=4).select(
+        F.element_at(F.array(*[F.lit(c) for c in ("GF", "UP", "DS")]),
+                     (F.col("id") % 3 + 1).cast("int")).alias("lob_code"), F.col("id"))
+    sink.publish(df, "f", cluster_by=["lob_code"])
+    files = [f.replace("file:", "") for f in sink.read("f").inputFiles()]
+    assert files
+    for f in files:
+        codes = pq.read_table(f, columns=["lob_code"]).column("lob_code").to_pylist()
+        assert codes == sorted(codes)  # each file's rows ordered by the filter column
