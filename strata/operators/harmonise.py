@@ -22,6 +22,7 @@ class TableSpec:
     watermark_column: str | None = None
     rename: Mapping[str, str] = field(default_factory=dict)
     watermark_format: str | None = None  # e.g. "yyyyMMdd" for compact text
+    watermark_overlap: str | None = None  # e.g. "1 hour": re-read late rows (Q7)
 
 
 # The six BLP tables of the reference harmonise job
@@ -56,13 +57,22 @@ def typed_watermark(df: DataFrame, column: str, value: str,
 
 
 def watermark_filter(df: DataFrame, column: str, value: str,
-                     fmt: str | None = None) -> DataFrame:
+                     fmt: str | None = None, overlap: str | None = None) -> DataFrame:
     """FLT-1: rows strictly newer than the high-water mark.
 
     Rows whose watermark column is NULL are not newer and are dropped, as
-    with the reference's ``>`` comparison.
+    with the reference's ``>`` comparison. ``overlap`` (an interval such as
+    ``"1 hour"``, timestamp/date columns only) lowers the bound so rows that
+    arrive late with an equal or slightly older value are re-read; the keyed
+    upsert makes re-reading them harmless.
     """
-    return df.where(F.col(column) > typed_watermark(df, column, value, fmt))
+    bound = typed_watermark(df, column, value, fmt)
+    if overlap:
+        name = df.schema[column].dataType.typeName()
+        if name not in ("date", "timestamp", "timestamp_ntz"):
+            raise ValueError(f"overlap needs a date/timestamp watermark, {column} is {name}")
+        bound = (bound - F.expr(f"INTERVAL {overlap}")).cast(df.schema[column].dataType)
+    return df.where(F.col(column) > bound)
 
 
 def harmonise(df: DataFrame, spec: TableSpec, source_id: str, load_type: str,
@@ -80,7 +90,8 @@ def harmonise(df: DataFrame, spec: TableSpec, source_id: str, load_type: str,
         raise ValueError(f"load_type must be 'full' or 'delta', not {load_type!r}")
     effective = "full" if (load_type == "full" or not target_exists) else "delta"
     if effective == "delta" and watermark and spec.watermark_column:
-        df = watermark_filter(df, spec.watermark_column, watermark, spec.watermark_format)
+        df = watermark_filter(df, spec.watermark_column, watermark, spec.watermark_format,
+                              spec.watermark_overlap)
     if spec.rename:
         df = rename_projection(df, spec.rename, keep_rest=True)
     return df.withColumns(provenance_columns(source_id, effective, loaded_at)), effective

@@ -156,3 +156,14 @@ def test_property_watermark_strict_and_typed(spark, values, wm):
     text = wm.strftime("%Y-%m-%d %H:%M:%S.%f")
     got = ids(watermark_filter(df, "d", text))
     assert got == [i for i, v in enumerate(values) if v is not None and v > wm]
+
+
+def test_watermark_overlap_rereads_late_rows(landing, spark):
+    assert ids(watermark_filter(landing, "d", "2024-01-02")) == [4]
+    assert ids(watermark_filter(landing, "d", "2024-01-02", overlap="1 day")) == [2, 4]
+    spec = TableSpec("x_raw", "x", ("id",), "d", watermark_overlap="1 day")
+    df, _ = harmonise(landing, spec, "BLP", "delta", "2024-01-02", target_exists=True)
+    assert ids(df) == [2, 4]
+    with pytest.raises(ValueError):
+        watermark_filter(spark.createDataFrame([(1, "a")], "id int, d string"), "d", "a",
+                         overlap="1 day")
