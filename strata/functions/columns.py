@@ -79,8 +79,19 @@ def rename_projection(df: DataFrame, mapping: Mapping[str, str],
 
 
 _IDENT = re.compile(r"[^A-Za-z0-9_]")
+_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)*$")
 
 
 def safe_identifier(text: str) -> str:
     """SNK-11: make a run id usable inside a view name."""
     return _IDENT.sub("_", text)
+
+
+def sql_name(name: str) -> str:
+    """Validate a (dotted) table/column/schema name before it is spliced into
+    DDL text (views and SQL functions cannot take parameter markers).
+    Config values that are not plain identifiers are rejected, so a registry
+    or map-table row cannot inject SQL into a secured view."""
+    if not isinstance(name, str) or not _NAME.match(name):
+        raise ValueError(f"not a plain SQL name: {name!r}")
+    return name

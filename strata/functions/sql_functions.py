@@ -17,12 +17,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from strata.functions.columns import sql_name
 from strata.operators.security import GLOBAL_SCOPE, MASK_TEXT, PATTERNS
 
 
 def filter_function_sql(function: str, config_db: str, membership_table: str) -> str:
     """``CREATE OR REPLACE FUNCTION`` text of one filter pattern."""
     p = PATTERNS[function]
+    config_db, membership_table = sql_name(config_db), sql_name(membership_table)
     m, g = f"{config_db}.{p.map_table}", membership_table
     return f"""
 CREATE OR REPLACE FUNCTION {config_db}.{p.function}(code STRING)
@@ -39,6 +41,7 @@ RETURN EXISTS (
 
 def mask_function_sql(schema: str, allowed_group: str, membership_table: str) -> str:
     """``mask_pii(val)``: members of ``allowed_group`` see ``val``, others the mask."""
+    schema, membership_table = sql_name(schema), sql_name(membership_table)
     grp = allowed_group.replace("'", "''")
     return f"""
 CREATE OR REPLACE FUNCTION {schema}.mask_pii(val STRING)

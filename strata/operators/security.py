@@ -30,6 +30,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.columns import sql_name
+
 # Fixed values from the reference: the global scope marker and the text a
 # non-member sees in place of a masked value.
 GLOBAL_SCOPE = "GLOBAL"
@@ -220,6 +222,8 @@ def secured_select_sql(base: str, column: str, map_table: str, map_key: str,
     effect on the next query without rebuilding anything; if the base loses
     the filter column the view fails closed (unresolved column).
     """
+    base, column, map_table, map_key, membership_table = map(
+        sql_name, (base, column, map_table, map_key, membership_table))
     return f"""SELECT b.* FROM {base} b
 WHERE EXISTS (
     SELECT 1 FROM {map_table} m JOIN {membership_table} g
@@ -240,6 +244,8 @@ def masked_select_sql(base: str, all_columns: list[str], masked: list[str],
     Evaluated per query against ``current_user()`` (UDF-4 as a view); NULLs
     are masked for non-members too (Q12).
     """
+    base, membership_table = sql_name(base), sql_name(membership_table)
+    all_columns = [sql_name(c) for c in all_columns]
     groups = ", ".join("'" + g.replace("'", "''") + "'" for g in allowed_groups)
     member = (f"EXISTS (SELECT 1 FROM {membership_table} g WHERE g.principal = current_user() "
               f"AND g.group_id IN ({groups}))")
@@ -251,5 +257,6 @@ def masked_select_sql(base: str, all_columns: list[str], masked: list[str],
 def secured_view_sql(view: str, base: str, column: str, map_table: str,
                      map_key: str, membership_table: str) -> str:
     """``CREATE OR REPLACE VIEW`` text for :func:`secured_select_sql`."""
+    view = sql_name(view)
     body = secured_select_sql(base, column, map_table, map_key, membership_table)
     return f"CREATE OR REPLACE VIEW {view} AS\n{body}"

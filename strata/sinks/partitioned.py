@@ -27,6 +27,8 @@ from collections import defaultdict
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+
+from strata.functions.columns import sql_name
 from pyspark.sql import functions as F
 
 from strata.operators.upsert import upsert_counted
@@ -50,6 +52,7 @@ class PartitionedSink:
     _guard: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
     def __post_init__(self):
+        sql_name(self.database)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
 
     def lock(self, name: str) -> threading.Lock:

@@ -24,6 +24,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.functions.columns import sql_name
+
 _VERSION = re.compile(r"^(?P<base>.+)__v(?P<n>\d+)$")
 
 
@@ -42,6 +44,7 @@ class SnapshotSink:
     _guard: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
     def __post_init__(self):
+        sql_name(self.database)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
 
     def lock(self, name: str) -> threading.Lock:

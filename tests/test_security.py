@@ -165,3 +165,13 @@ def test_property_row_filter_matches_brute_force(spark, mrows, members_, fact_co
                                                                  "broadcast_limit": 0}}[path]
     out = sec.row_filter(fact, "lob_code", m, mem, "p", mode=mode, **limits)
     assert vs(out) == expected
+
+
+def test_sql_text_rejects_non_identifier_names():
+    from strata.functions.columns import sql_name
+    assert sql_name("cat.db.t_1") == "cat.db.t_1"
+    for bad in ("t; DROP TABLE x", "a b", "x)--", "1abc", "", None):
+        with pytest.raises(ValueError):
+            sql_name(bad)
+    with pytest.raises(ValueError):
+        sec.secured_select_sql("db.t", "lob_code OR 1=1", "db.m", "lob_code", "db.g")
