@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.columns import sql_name
 from strata.operators.upsert import align_source, check_source_keys
 
 
@@ -27,13 +28,13 @@ class MergeIntoSink:
     fmt: str | None = None  # the row-level format's name; None = session default
 
     def table(self, name: str) -> str:
-        return f"{self.database}.{name}__data"
+        return f"{sql_name(self.database)}.{sql_name(name)}__data"
 
     def base_view(self, name: str) -> str:
         return self.table(name)
 
     def public_name(self, name: str) -> str:
-        return f"{self.database}.{name}"
+        return f"{sql_name(self.database)}.{sql_name(name)}"
 
     def publish(self, df: DataFrame, name: str, keys=None, **_ignored) -> int:
         """Full load: replace the table's contents in one commit."""

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from strata.functions.columns import sql_name
 from strata.operators.security import masked_select_sql
 from strata.sinks.publish import SnapshotSink
 
@@ -21,7 +22,7 @@ def mirror_table(spark: SparkSession, source_table: str, sink: SnapshotSink, nam
                  deep: bool = True, masked: Sequence[str] = (),
                  allowed_groups: Sequence[str] = (), membership_table: str | None = None) -> str:
     """Copy (deep) or reference (shallow) ``source_table`` as ``sink.database.name``."""
-    df = spark.table(source_table)
+    df = spark.table(sql_name(source_table))
     if deep:
         sink.publish(df, name)
     else:

@@ -61,13 +61,13 @@ class PartitionedSink:
             return self._locks[name]
 
     def data_table(self, name: str) -> str:
-        return f"{self.database}.{name}__data"
+        return f"{self.database}.{sql_name(name)}__data"
 
     def base_view(self, name: str) -> str:
-        return f"{self.database}.{name}__base"
+        return f"{self.database}.{sql_name(name)}__base"
 
     def public_name(self, name: str) -> str:
-        return f"{self.database}.{name}"
+        return f"{self.database}.{sql_name(name)}"
 
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self.data_table(name))

@@ -51,15 +51,15 @@ class SnapshotSink:
         with self._guard:
             return self._locks[name]
 
-    # names
+    # names (validated: they are spliced into SQL text)
     def base_view(self, name: str) -> str:
-        return f"{self.database}.{name}__base"
+        return f"{self.database}.{sql_name(name)}__base"
 
     def public_name(self, name: str) -> str:
-        return f"{self.database}.{name}"
+        return f"{self.database}.{sql_name(name)}"
 
     def snapshot_table(self, name: str, version: int) -> str:
-        return f"{self.database}.{name}__v{version}"
+        return f"{self.database}.{sql_name(name)}__v{int(version)}"
 
     def versions(self, name: str) -> list[int]:
         out = []
