@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from strata.sources.local import config_frame
 from strata.sources.registry import logical_schema_col, valid_bindings
 
-FINDING_SCHEMA = "severity string, schema string, table string, detail string"
-
-
 class ContractError(RuntimeError):
     pass
 

@@ -78,9 +78,6 @@ CONTROL_TABLES: dict[str, list[ColumnDef]] = {
     ],
 }
 
-MAP_SCHEMA_COLUMNS = {t: [c.name for c in CONTROL_TABLES[t]]
-                      for t in ("lob_group_map", "legal_entity_group_map", "asset_group_map")}
-
 # LOB seed rows of migration 0003 and the RF row of 0005
 # (lob_code, lob_name, entra_group_id, scope, is_active, updated_by). The
 # reference leaves group ids as placeholders to be replaced per tenant; ours

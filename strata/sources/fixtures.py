@@ -31,10 +31,6 @@ from pyspark.sql import functions as F
 from strata.operators.control import seed_rows_frame
 from strata.sources.local import config_frame
 
-TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
-               "lineitem", "events", "conversations")
-
-
 @dataclass
 class TestTables:
     """Lazy reader of ``{sf_dir}/{name}.parquet``."""

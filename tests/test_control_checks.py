@@ -117,3 +117,15 @@ def test_null_counts_one_pass(spark):
     assert checks.null_findings(df, "s", "t", ["a"]).count() == 1
     with pytest.raises(ValueError):
         checks.require_params(catalog="c", schema="")
+
+
+def test_bindings_from_yaml(spark, tmp_path):
+    f = tmp_path / "bindings.yaml"
+    f.write_text("table_bindings:\n"
+                 "  - schema: plan\n    table: fact_mot\n    row_filter: fn_lob_filter\n"
+                 "    filter_column: lob_code\n    domain: plan\n    group: MSC\n"
+                 "  - schema: euh_BLP\n    table: \"*\"\n    row_filter: none\n"
+                 "    filter_column: none\n    domain: EUH\n    group: MSVC\n")
+    b = registry.bindings_from_yaml(spark, str(f))
+    assert b.count() == 2 and registry.valid_bindings(b).count() == 1
+    assert registry.binding_for(b, "stable_plan", "fact_mot")["row_filter"] == "fn_lob_filter"
