@@ -34,6 +34,9 @@ from pyspark.sql import functions as F
 from strata.operators.upsert import upsert_counted
 
 
+_SESSION_MODE_LOCK = threading.Lock()
+
+
 def key_range(column: str, width: int) -> Column:
     """Partition value = floor(key / width): monotonic keys (new orders,
     new movements) land in the newest partitions, so batches of recent
@@ -118,17 +121,22 @@ class PartitionedSink:
         merged, n = upsert_counted(target, source, keys, **upsert_kwargs)
         # Spark accepts overwriting partitions of a table the same job reads
         # only when the *session* is in dynamic mode (files are staged and
-        # moved in at commit); set it for this write and restore it.
+        # moved in at commit); set it for this write and restore it. The
+        # session setting is shared by all threads, so the window is
+        # serialized across tables (parallel jobs would otherwise restore it
+        # under each other's writes).
         key = "spark.sql.sources.partitionOverwriteMode"
-        previous = self.spark.conf.get(key, None)
-        self.spark.conf.set(key, "dynamic")
-        try:
-            self._ordered(merged, name).write.mode("overwrite").insertInto(self.data_table(name))
-        finally:
-            if previous is None:
-                self.spark.conf.unset(key)
-            else:
-                self.spark.conf.set(key, previous)
+        with _SESSION_MODE_LOCK:
+            previous = self.spark.conf.get(key, None)
+            self.spark.conf.set(key, "dynamic")
+            try:
+                (self._ordered(merged, name).write.mode("overwrite")
+                 .insertInto(self.data_table(name)))
+            finally:
+                if previous is None:
+                    self.spark.conf.unset(key)
+                else:
+                    self.spark.conf.set(key, previous)
         return int(n or 0)
 
     def append(self, df: DataFrame, name: str) -> None:
