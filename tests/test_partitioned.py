@@ -78,3 +78,22 @@ def test_partitioned_fact_job(spark):
     assert jobs.run_fact_job(spark, sink, log, "orders", lambda: _orders(spark),
                              ["o_orderkey"]) == n
     assert spark.table(sink.public_name("orders")).count() == n
+
+
+def test_parallel_upserts_into_two_partitioned_tables(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    sink = PartitionedSink(spark, "ppar_" + uuid.uuid4().hex[:8], "p")
+    base = spark.range(2000).select("id", (F.col("id") / 100).cast("long").alias("p"),
+                                    F.lit("a").alias("v"))
+    for name in ("t1", "t2"):
+        sink.publish(base, name)
+    batch = spark.range(1950, 2050).select("id", (F.col("id") / 100).cast("long").alias("p"),
+                                           F.lit("b").alias("v"))
+    with ThreadPoolExecutor(2) as pool:
+        results = list(pool.map(lambda n: sink.upsert(batch, n, ["id"]), ["t1", "t2"]))
+    assert results == [100, 100]
+    for name in ("t1", "t2"):
+        out = sink.read(name)
+        assert out.count() == 2050 and out.where("v = 'b'").count() == 100
+    # the session's overwrite mode is restored after the writes
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
