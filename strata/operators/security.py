@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.columns import sql_name
+from strata.operators.sizing import DEFAULT_BROADCAST_BYTES, size_of
 
 # Fixed values from the reference: the global scope marker and the text a
 # non-member sees in place of a masked value.
@@ -39,6 +40,7 @@ MASK_TEXT = "***MASKED***"
 
 DEFAULT_BROADCAST_KEYS = 200_000
 DEFAULT_INLINE_KEYS = 1_000
+INLINE_BYTES = 1024 * 1024  # an IN list travels in the plan: keep it small
 
 
 @dataclass(frozen=True)
@@ -111,7 +113,7 @@ def row_filter(df: DataFrame, column: str, group_map: DataFrame,
     if mode != "resolve":
         raise ValueError(f"unknown mode {mode!r}")
     granted = granted_mappings(group_map, membership, principal)
-    is_global, n_keys = resolve_grants(granted, map_key)
+    is_global, n_keys, key_bytes = resolve_grants(granted, map_key)
     if is_global:
         return df
     if n_keys == 0:
@@ -119,24 +121,28 @@ def row_filter(df: DataFrame, column: str, group_map: DataFrame,
         # the scan entirely for a literal-false filter.
         return df.where(F.lit(False))
     keys = permitted_keys(granted, map_key)
-    if n_keys <= inline_limit:
+    if n_keys <= inline_limit and key_bytes <= INLINE_BYTES:
         # a bounded list of codes (config-sized): a pushed-down IN filter
         values = [r[0] for r in keys.collect()]
         return df.where(df[column].isin(values))
-    side = F.broadcast(keys) if n_keys <= broadcast_limit else keys
+    small = n_keys <= broadcast_limit and key_bytes <= DEFAULT_BROADCAST_BYTES
+    side = F.broadcast(keys) if small else keys
     return df.join(side, df[column] == F.col("__permitted_key"), "left_semi")
 
 
-def resolve_grants(granted: DataFrame, map_key: str) -> tuple[bool, int]:
+def resolve_grants(granted: DataFrame, map_key: str) -> tuple[bool, int, int]:
     """JN-7 resolved once, in one small job over the config tables:
-    (does the reader hold an active GLOBAL mapping?, bound on permitted keys)."""
+    (does the reader hold an active GLOBAL mapping?, bound on permitted keys,
+    bound on their bytes)."""
     is_global = F.col("scope") == F.lit(GLOBAL_SCOPE)
-    # a plain count of granted non-global rows bounds the distinct keys
-    # (enough for the broadcast decision) without a distinct's extra shuffle
+    key = F.when(~is_global, F.col(map_key))
+    # plain counts of granted non-global rows bound the distinct keys (enough
+    # for the broadcast decision) without a distinct's extra shuffle
     row = granted.agg(
         F.max(is_global.cast("int")).alias("g"),
-        F.count(F.when(~is_global, F.col(map_key))).alias("n")).first()
-    return bool(row["g"]), int(row["n"] or 0)
+        F.count(key).alias("n"),
+        F.sum(F.octet_length(key.cast("string")) + F.lit(16)).alias("b")).first()
+    return bool(row["g"]), int(row["n"] or 0), int(row["b"] or 0)
 
 
 def _visible_predicate(column: str, granted: DataFrame, map_key: str) -> Column:
@@ -155,15 +161,16 @@ def row_filter_lazy(df: DataFrame, column: str, group_map: DataFrame,
 
     Membership and grants are evaluated each time the result is executed.
     The granted mappings are a subset of the map table, so the map table's
-    row count (config-sized, counted once here) bounds them; within the
-    limit the EXISTS becomes a broadcast ExistenceJoin and the fact is not
+    size (rows and bytes, measured once here) bounds them; within the limits
+    the EXISTS becomes a broadcast ExistenceJoin and the fact is not
     shuffled on its (low-cardinality, skew-prone) filter column.
     """
     if column not in df.columns:
         raise FilterColumnMissing(f"filter column {column!r} not in {df.columns}")
     map_key = map_key or column
     granted = granted_mappings(group_map, membership, principal)
-    if group_map.count() <= broadcast_limit:
+    n_map, map_bytes = size_of(group_map)
+    if n_map <= broadcast_limit and map_bytes <= DEFAULT_BROADCAST_BYTES:
         granted = F.broadcast(granted)
     aliased = df.alias("__secured")
     return aliased.where(_visible_predicate(column, granted, map_key)).select(

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.sizing import DEFAULT_BROADCAST_BYTES, size_of
 from strata.sources.local import config_frame
 
 DEFAULT_HOT_KEY_ROWS = 1_000_000
@@ -90,4 +91,6 @@ def restrict_to_hot(side: DataFrame, side_key: Column, hot: DataFrame,
     this side (many-to-many) stays a shuffled join.
     """
     rows = side.join(F.broadcast(hot), side_key == F.col(HOT), "left_semi")
-    return F.broadcast(rows) if rows.count() <= broadcast_limit else rows
+    n, size = size_of(rows)
+    small = n <= broadcast_limit and size <= DEFAULT_BROADCAST_BYTES
+    return F.broadcast(rows) if small else rows

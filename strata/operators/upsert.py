@@ -29,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.sizing import DEFAULT_BROADCAST_BYTES, row_bytes
+
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
@@ -64,7 +66,13 @@ def align_source(target: DataFrame, source: DataFrame,
 
 def check_source_keys(target: DataFrame, source: DataFrame, keys: Sequence[str],
                       null_keys: str = "raise") -> int:
-    """Validate source keys; returns the number of source rows.
+    """Validate source keys; returns the number of source rows."""
+    return check_source(target, source, keys, null_keys)[0]
+
+
+def check_source(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                 null_keys: str = "raise") -> tuple[int, int]:
+    """Validate source keys; returns (source rows, estimated source bytes).
 
     One job aggregates the source per key (partial aggregation first, so a
     hot key costs one row per map task) and then globally: row count, rows
@@ -72,26 +80,29 @@ def check_source_keys(target: DataFrame, source: DataFrame, keys: Sequence[str],
     against the few duplicate keys) only when duplicates exist.
     """
     nulls = _any_null(keys)
-    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"),
+                                        F.sum(row_bytes(source)).alias("__bytes"))
     stats = per_key.agg(
-        F.sum("c").alias("n"),
-        F.sum(F.when(nulls, F.col("c")).otherwise(F.lit(0))).alias("null_keys"),
-        F.max(F.when(~nulls, F.col("c"))).alias("max_per_key")).first()
+        F.sum("__rows").alias("n"),
+        F.sum("__bytes").alias("bytes"),
+        F.sum(F.when(nulls, F.col("__rows")).otherwise(F.lit(0))).alias("null_keys"),
+        F.max(F.when(~nulls, F.col("__rows"))).alias("max_per_key")).first()
     if stats["null_keys"] and null_keys == "raise":
         raise MergeKeyError(f"{stats['null_keys']} source rows have a NULL key {list(keys)}")
     if (stats["max_per_key"] or 0) > 1:
-        dups = per_key.where(~nulls & (F.col("c") > 1)).select(*keys)
+        dups = per_key.where(~nulls & (F.col("__rows") > 1)).select(*keys)
         hit = target.select(*keys).join(dups, list(keys), "left_semi").limit(1).collect()
         if hit:
             raise MergeKeyError(
                 f"target key {hit[0].asDict()} is matched by several source rows")
-    return int(stats["n"] or 0)
+    return int(stats["n"] or 0), int(stats["bytes"] or 0)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            null_keys: str = "raise", evolve: bool = False, check: bool = True,
            broadcast_limit: int = DEFAULT_BROADCAST_ROWS,
-           delete_missing: bool = False) -> DataFrame:
+           delete_missing: bool = False,
+           broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """SNK-2/3/4: MERGE ... UPDATE SET * / INSERT * on ``keys``.
 
     ``delete_missing=True`` adds ``WHEN NOT MATCHED BY SOURCE THEN DELETE``
@@ -99,20 +110,24 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     source no longer has are dropped. Off by default, as in the reference.
     """
     return upsert_counted(target, source, keys, null_keys, evolve, check, broadcast_limit,
-                          delete_missing)[0]
+                          delete_missing, broadcast_bytes)[0]
 
 
 def upsert_counted(target: DataFrame, source: DataFrame, keys: Sequence[str],
                    null_keys: str = "raise", evolve: bool = False, check: bool = True,
                    broadcast_limit: int = DEFAULT_BROADCAST_ROWS,
-                   delete_missing: bool = False) -> tuple[DataFrame, int | None]:
+                   delete_missing: bool = False,
+                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
+                   ) -> tuple[DataFrame, int | None]:
     """:func:`upsert` plus the number of source rows (from the key check)."""
     keys = list(keys)
     if not keys:
         raise ValueError("upsert needs at least one key column")
     src, extra = align_source(target, source, evolve)
-    n = check_source_keys(target, src, keys, null_keys) if check else None
-    use_broadcast = n is not None and n <= broadcast_limit
+    n, size = check_source(target, src, keys, null_keys) if check else (None, None)
+    # broadcast only a source proven small in rows *and* bytes
+    use_broadcast = (n is not None and n <= broadcast_limit
+                     and size <= broadcast_bytes)
 
     tgt = target
     for c in extra:  # evolved columns: NULL on untouched target rows

@@ -130,3 +130,20 @@ def test_delete_missing_for_full_snapshots(spark):
     assert rows(upsert(t, s, ["k"], delete_missing=True)) == [(2, "B"), (2, "B"), (4, "D")]
     assert rows(upsert(t, s, ["k"], delete_missing=True, broadcast_limit=0)) == \
         [(2, "B"), (2, "B"), (4, "D")]
+
+
+def test_wide_source_is_not_broadcast_beyond_byte_bound(spark):
+    from strata.operators.sizing import size_of
+    t = spark.range(0, 1000).select(F.col("id").alias("k"), F.lit("t").alias("v"))
+    s = spark.range(0, 10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("v"))
+    rows_, size = size_of(s)
+    assert rows_ == 10 and size >= 10 * 1000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # isolate our decision
+    try:
+        def plan(**kw):
+            return upsert(t, s, ["k"], **kw)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan()                       # within both bounds
+        assert "BroadcastHashJoin" not in plan(broadcast_bytes=5000)  # too many bytes
+        assert rows(upsert(t, s, ["k"], broadcast_bytes=5000)) == rows(upsert(t, s, ["k"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
