@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.columns import sql_name
+from strata.operators.sizing import size_of
 
 _VERSION = re.compile(r"^(?P<base>.+)__v(?P<n>\d+)$")
 
@@ -141,14 +142,21 @@ class SnapshotSink:
         """Files behind the current snapshot (listing only, no data read)."""
         return len(self.read(name).inputFiles())
 
-    def compact(self, name: str, files: int = 1, ddl_columns: str | None = None) -> int:
-        """Rewrite the table as a new snapshot of ``files`` files.
+    def compact(self, name: str, files: int | None = None, ddl_columns: str | None = None,
+                target_file_bytes: int = 128 * 1024 * 1024) -> int:
+        """Rewrite the table as a new snapshot of few files.
 
         Appends (audit rows, ledger rows) add one small file each; a long-lived
-        control table is compacted so reads stay one or a few file opens.
+        control table is compacted so reads stay a few file opens. The file
+        count follows the measured size (about ``target_file_bytes`` each), so
+        a table that has grown large is not funnelled through one task;
         ``coalesce`` merges partitions without a shuffle.
         """
-        return self.publish(self.read(name).coalesce(files), name, ddl_columns=ddl_columns)
+        df = self.read(name)
+        if files is None:
+            _, size = size_of(df)
+            files = max(1, -(-size // target_file_bytes))
+        return self.publish(df.coalesce(int(files)), name, ddl_columns=ddl_columns)
 
     def set_public_view(self, name: str, sql_body: str | None = None) -> str:
         """Point the public name at the base view, or at a secured body."""
