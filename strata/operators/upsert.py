@@ -14,12 +14,12 @@ the table:
 Plan. ``target LEFT JOIN source`` produces updated and untouched rows in one
 pass; the inserts are ``source`` anti-joined with the *matched keys*, which
 are found by semi-joining the target's keys with the source's keys and
-collapsing them map-side. When the counted source fits the broadcast limit
-both joins broadcast the source, so the target is scanned but never
-shuffled. Beyond the limit both are sort-merge joins and AQE splits skewed
-target partitions (left outer and left semi joins both allow it). A
-``FULL OUTER`` join would give the same rows but cannot broadcast and cannot
-have its skew split.
+collapsing them map-side. The key-check job also measures the source (rows
+and bytes); when both fit the broadcast limits the joins broadcast the
+source, so the target is scanned but never shuffled. Beyond the limits they
+are sort-merge joins and AQE splits skewed target partitions (left outer and
+left semi joins both allow it). A ``FULL OUTER`` join would give the same
+rows but cannot broadcast and cannot have its skew split.
 """
 
 from __future__ import annotations
