@@ -21,6 +21,7 @@ from strata.operators.harmonise import BLP_TABLES, TableSpec
 from strata.plans import facts, jobs
 from strata.sinks import control_tables
 from strata.sinks.audit import RunLog
+from strata.sinks.mirror import mirror_schema
 from strata.sinks.publish import SnapshotSink
 from strata.sources.registry import bindings_frame
 from strata.sources.tables import full_name, optional_table, read_table
@@ -133,6 +134,23 @@ def migrate_job(spark: SparkSession, catalog: str, env: str,
     return control_tables.apply_migrations(sink, control_tables.platform_migrations(), env)
 
 
+def mirror_job(spark: SparkSession, catalog: str, source_schema: str, target_schema: str,
+               modified: Sequence[str] = (), context: Sequence[str] = (),
+               masked: Sequence[str] = (), allowed_group: str = "",
+               membership_table: str = "") -> dict:
+    """DCL-3/4: mirror a harmonised schema (deep copies of the tables a change
+    modifies, views over the rest), with masking views for sensitive columns."""
+    require_params(catalog=catalog, source_schema=source_schema, target_schema=target_schema)
+    sink = SnapshotSink(spark, full_name(catalog, target_schema))
+    kw = {}
+    if masked:
+        require_params(allowed_group=allowed_group, membership_table=membership_table)
+        kw = {"masked": list(masked), "allowed_groups": [allowed_group],
+              "membership_table": membership_table}
+    return mirror_schema(spark, full_name(catalog, source_schema), sink, list(modified),
+                         list(context), **kw)
+
+
 def contract_check_job(spark: SparkSession, catalog: str,
                        tables: Sequence[tuple[str, str]]) -> int:
     """CHK-1/2/4 over published tables: raise on a dropped filter column,
@@ -144,6 +162,17 @@ def contract_check_job(spark: SparkSession, catalog: str,
     return findings.count()
 
 
+def _split(text: str | None) -> list[str]:
+    return [t.strip() for t in (text or "").split(",") if t.strip()]
+
+
+def _mirror_cli(spark: SparkSession, catalog: str, source_schema: str, target_schema: str,
+                modified: str = "", context: str = "", masked: str = "",
+                allowed_group: str = "", membership_table: str = "") -> dict:
+    return mirror_job(spark, catalog, source_schema, target_schema, _split(modified),
+                      _split(context), _split(masked), allowed_group, membership_table)
+
+
 def _contract_check_cli(spark: SparkSession, catalog: str, tables: str) -> int:
     """``--tables plan.fact_mot,deliver.fact_kabal_logistics``."""
     pairs = [tuple(t.strip().rsplit(".", 1)) for t in tables.split(",") if t.strip()]
@@ -153,7 +182,7 @@ def _contract_check_cli(spark: SparkSession, catalog: str, tables: str) -> int:
 JOBS = {
     "euh": euh_job, "fact_mot": fact_mot_job, "fact_spend": fact_spend_job,
     "fact_logistics": fact_logistics_job, "apply_row_filter": apply_row_filter_job,
-    "migrate": migrate_job, "contract_check": _contract_check_cli,
+    "migrate": migrate_job, "contract_check": _contract_check_cli, "mirror": _mirror_cli,
 }
 
 
@@ -162,7 +191,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("job", choices=sorted(JOBS))
     for opt in ("catalog", "landing_schema", "euh_schema", "euh_schema_arb", "euh_schema_clm",
                 "domain_schema", "load_type", "watermark_value", "schema_name", "table_name",
-                "env", "config_schema", "platform_schema", "watermark_format", "tables"):
+                "env", "config_schema", "platform_schema", "watermark_format", "tables",
+                "source_schema", "target_schema", "modified", "context", "masked",
+                "allowed_group", "membership_table"):
         p.add_argument(f"--{opt}", default=None)
     args = {k: v for k, v in vars(p.parse_args(argv)).items() if v is not None}
     job = JOBS[args.pop("job")]

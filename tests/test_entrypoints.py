@@ -95,3 +95,17 @@ def test_cli_parses_and_dispatches(monkeypatch):
     monkeypatch.setitem(ep.JOBS, "migrate", lambda spark, **kw: seen.update(kw) or "ok")
     ep.main(["migrate", "--catalog", "c", "--env", "dev"])
     assert seen == {"catalog": "c", "env": "dev"}
+
+
+def test_mirror_job_masks_for_non_members(spark, env):
+    me = current_principal(spark)
+    members = f"{CAT}.{env['euh_blp']}.mirror_members"
+    spark.createDataFrame([(me, "uat-developers")], "principal string, group_id string") \
+        .write.saveAsTable(members)
+    out = ep.JOBS["mirror"](spark, CAT, env["euh_kbl"], env["euh_kbl"] + "_mirror",
+                            modified="kabal_assets", context="kabal_asset_movements",
+                            masked="asset_name", allowed_group="uat-business-owners",
+                            membership_table=members)
+    assets = spark.table(out["kabal_assets"])
+    assert assets.where(F.col("asset_name") != "***MASKED***").count() == 0
+    assert spark.table(out["kabal_asset_movements"]).count() > 0
