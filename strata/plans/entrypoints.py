@@ -44,22 +44,26 @@ def _security(spark: SparkSession, catalog: str, domain_schema: str,
 def euh_job(spark: SparkSession, catalog: str, landing_schema: str, euh_schema: str,
             load_type: str = "delta", watermark_value: str = "", source_id: str = "BLP",
             specs: Sequence[TableSpec] = BLP_TABLES, max_parallel: int = 1,
-            platform_schema: str = PLATFORM_SCHEMA, watermark_format: str = "") -> int:
+            platform_schema: str = PLATFORM_SCHEMA, watermark_format: str = "",
+            track_watermarks: bool = False, config_schema: str = CONFIG_SCHEMA) -> int:
     """Landing -> harmonised for one source (the six BLP tables by default).
 
     One watermark text applies to every table, as in the reference; it is
     typed per table (cast, or parsed with ``watermark_format``, e.g.
-    ``yyyyMMdd``) against each table's own watermark column.
+    ``yyyyMMdd``) against each table's own watermark column. With
+    ``track_watermarks`` and no ``watermark_value`` each table instead uses
+    the mark its orchestration row holds, and the job records the new one.
     """
     require_params(catalog=catalog, landing_schema=landing_schema, euh_schema=euh_schema)
     if watermark_format:
         specs = [replace(sp, watermark_format=watermark_format) for sp in specs]
     sink = SnapshotSink(spark, full_name(catalog, euh_schema))
-    marks = {s.target: watermark_value for s in specs} if watermark_value else {}
+    marks = {s.target: watermark_value for s in specs} if watermark_value else None
+    state = SnapshotSink(spark, full_name(catalog, config_schema)) if track_watermarks else None
     return jobs.run_harmonise_job(
         spark, lambda t: read_table(spark, full_name(catalog, landing_schema, t)), sink,
         _log(spark, catalog, platform_schema), specs, source_id, load_type, marks,
-        max_parallel=max_parallel)
+        max_parallel=max_parallel, state=state)
 
 
 def fact_mot_job(spark: SparkSession, catalog: str, euh_schema: str, domain_schema: str,

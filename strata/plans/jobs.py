@@ -16,13 +16,15 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators.checks import require_params
-from strata.operators.harmonise import TableSpec, harmonise
+from strata.operators.harmonise import TableSpec, harmonise, typed_watermark
 from strata.operators.security import PATTERNS, FilterColumnMissing, secured_select_sql
 from strata.operators.upsert import upsert_counted
 from strata.session import stage
 from strata.sinks.audit import RunLog, audited, new_run_id, observe_rows, observed_rows
+from strata.sinks.control_tables import record_watermark
 from strata.sinks.merge_into import MergeIntoSink
 from strata.sinks.partitioned import PartitionedSink
 from strata.sinks.publish import SnapshotSink
@@ -129,11 +131,24 @@ def run_fact_job(spark: SparkSession, sink: SnapshotSink, run_log: RunLog, name:
     return audited(run_log, run_id, target, load_type, body)
 
 
+def stored_watermarks(state: SnapshotSink, table_ids: Mapping[str, str]) -> dict[str, str]:
+    """DCL-2: the watermark each table's orchestration row holds (target -> value)."""
+    if not state.exists("orchestration_config"):
+        return {}
+    ids = list(table_ids.values())
+    rows = (state.read("orchestration_config")
+            .where(F.col("table_id").isin(ids) & F.col("watermark_value").isNotNull())
+            .select("table_id", "watermark_value").collect())  # one row per table
+    by_id = {r["table_id"]: r["watermark_value"] for r in rows}
+    return {t: by_id[i] for t, i in table_ids.items() if i in by_id}
+
+
 def run_harmonise_job(spark: SparkSession, read_landing: Callable[[str], DataFrame],
                       sink: SnapshotSink, run_log: RunLog, specs: Sequence[TableSpec],
                       source_id: str, load_type: str = "delta",
                       watermarks: Mapping[str, str] | None = None,
-                      run_id: str | None = None, max_parallel: int = 1) -> int:
+                      run_id: str | None = None, max_parallel: int = 1,
+                      state: SnapshotSink | None = None) -> int:
     """Harmonise every spec; one audit row per table (Q17). Returns total rows.
 
     Tables are independent Spark jobs. With ``max_parallel > 1`` they are
@@ -145,6 +160,9 @@ def run_harmonise_job(spark: SparkSession, read_landing: Callable[[str], DataFra
     """
     require_params(source_id=source_id, load_type=load_type)
     run_id = run_id or new_run_id()
+    table_ids = {sp.target: sink.public_name(sp.target) for sp in specs}
+    if watermarks is None and state is not None:
+        watermarks = stored_watermarks(state, table_ids)
     watermarks = watermarks or {}
 
     def one(spec: TableSpec) -> int:
@@ -154,6 +172,18 @@ def run_harmonise_job(spark: SparkSession, read_landing: Callable[[str], DataFra
                                       watermarks.get(spec.target), target_exists=exists)
             rows, eff, _ = load(sink, df, spec.target, spec.keys, effective)
             sink.set_public_view(spec.target)
+            if state is not None and spec.watermark_column:
+                # DCL-2: the newest value of the loaded slice, never below the
+                # previous mark (an overlap window may re-read older rows)
+                col = spec.rename.get(spec.watermark_column, spec.watermark_column)
+                newest = F.max(col)
+                prev = watermarks.get(spec.target)
+                if prev:
+                    newest = F.greatest(newest, typed_watermark(
+                        df, col, prev, spec.watermark_format))
+                hwm = df.agg(newest.cast("string").alias("v")).first()["v"]
+                if hwm is not None:
+                    record_watermark(state, table_ids[spec.target], hwm)
             return rows, eff
 
         return audited(run_log, run_id, sink.public_name(spec.target), load_type, body)

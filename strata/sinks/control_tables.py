@@ -162,8 +162,20 @@ def platform_migrations() -> list[Migration]:
 # ── orchestration config state (DCL-2) ──────────────────────────────────────
 
 def record_watermark(sink: SnapshotSink, table_id: str, new_value: str | None) -> None:
-    """Store a table's new high-water mark and mark its first load complete."""
+    """Store a table's new high-water mark and mark its first load complete.
+
+    A table without an orchestration row gets one (active, delta, run order 0).
+    """
+    ensure_table(sink, "orchestration_config")
     current = sink.read("orchestration_config")
+    if not current.where(F.col("table_id") == F.lit(table_id)).limit(1).count():
+        catalog_schema, _, table = table_id.rpartition(".")
+        catalog, _, schema = catalog_schema.rpartition(".")
+        insert_rows(sink, "orchestration_config",
+                    [(table_id, catalog or "", schema, table, "delta", True, 0)],
+                    ["table_id", "catalog_name", "schema_name", "table_name", "load_type",
+                     "is_active", "run_order"])
+        current = sink.read("orchestration_config")
     hit = F.col("table_id") == F.lit(table_id)
     updated = current.withColumns({
         "watermark_value": F.when(hit, F.lit(new_value).cast("string"))

@@ -332,3 +332,29 @@ def test_published_fact_is_clustered_by_filter_column(spark):
     for f in files:
         codes = pq.read_table(f, columns=["lob_code"]).column("lob_code").to_pylist()
         assert codes == sorted(codes)  # each file's rows ordered by the filter column
+
+
+def test_harmonise_job_keeps_watermarks_in_orchestration_config(spark):
+    sink = SnapshotSink(spark, db())
+    state = SnapshotSink(spark, db())
+    log = RunLog(sink)
+    t = fx.TestTables(spark, SF001)
+    orders = t("orders")
+    early = orders.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    landing = {"orders": early}
+    spec = TableSpec("orders", "orders_h", ("o_orderkey",), "o_orderdate")
+    n1 = jobs.run_harmonise_job(spark, lambda n: landing[n], sink, log, [spec], "BLP",
+                                "delta", state=state)
+    assert n1 == early.count()
+    cfg = state.read("orchestration_config").collect()
+    assert len(cfg) == 1 and cfg[0].first_load_complete
+    mark = cfg[0].watermark_value
+    assert mark == early.agg(F.max("o_orderdate").cast("string")).first()[0]
+    # next run: all orders land; only rows newer than the stored mark are read
+    landing["orders"] = orders
+    n2 = jobs.run_harmonise_job(spark, lambda n: landing[n], sink, log, [spec], "BLP",
+                                "delta", state=state)
+    newer = orders.where(F.col("o_orderdate") > F.lit(mark).cast("timestamp_ntz")).count()
+    assert n2 == newer and sink.read("orders_h").count() == orders.count()
+    assert state.read("orchestration_config").first().watermark_value == \
+        orders.agg(F.max("o_orderdate").cast("string")).first()[0]
