@@ -199,6 +199,7 @@ def main(argv: Sequence[str] | None = None) -> None:
                 "source_schema", "target_schema", "modified", "context", "masked",
                 "allowed_group", "membership_table"):
         p.add_argument(f"--{opt}", default=None)
+    p.add_argument("--track_watermarks", action="store_true", default=None)
     args = {k: v for k, v in vars(p.parse_args(argv)).items() if v is not None}
     job = JOBS[args.pop("job")]
     spark = ensure_defaults(SparkSession.builder.getOrCreate())

@@ -95,6 +95,10 @@ def test_cli_parses_and_dispatches(monkeypatch):
     monkeypatch.setitem(ep.JOBS, "migrate", lambda spark, **kw: seen.update(kw) or "ok")
     ep.main(["migrate", "--catalog", "c", "--env", "dev"])
     assert seen == {"catalog": "c", "env": "dev"}
+    monkeypatch.setitem(ep.JOBS, "euh", lambda spark, **kw: seen.update(kw) or "ok")
+    ep.main(["euh", "--catalog", "c", "--landing_schema", "l", "--euh_schema", "e",
+             "--track_watermarks"])
+    assert seen["track_watermarks"] is True
 
 
 def test_mirror_job_masks_for_non_members(spark, env):
