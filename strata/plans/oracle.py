@@ -94,10 +94,11 @@ _LOB_ROWS = [(r[0], r[1], r[2], r[3], r[4]) for r in LOB_SEED] + [
 LOB_MAP = "lob_map AS (" + _values(
     _LOB_ROWS, ["lob_code", "lob_name", "entra_group_id", "scope", "is_active"]) + ")"
 ENTITY_MAP = """entity_map AS (
-  SELECT n_name AS company_code, n_name AS entity_name,
+  SELECT DISTINCT n_name AS company_code, n_name AS entity_name,
          'grp-entity-r' || CAST(r_regionkey AS VARCHAR) AS entra_group_id,
          'ENTITY' AS scope, true AS is_active, r_name
-  FROM nation JOIN region ON n_regionkey = r_regionkey
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+                JOIN region ON n_regionkey = r_regionkey
   UNION ALL SELECT 'GLOBAL', 'All entities', 'grp-entity-global', 'GLOBAL', true, NULL)"""
 ASSET_MAP = """asset_map AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS asset_id, s_name AS asset_name,

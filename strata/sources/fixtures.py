@@ -18,7 +18,7 @@ projection, filter, join or aggregate; nothing is sampled or capped.
 | clm lines (repeated)  | lineitem, returned items     | po_number (n)  |
 | asset movements       | lineitem x orders            | movement_id    |
 | assets                | supplier                     | asset_id       |
-| entity / asset maps   | nation x region / supplier   | code           |
+| entity / asset maps   | supplier x nation x region   | code           |
 """
 
 from __future__ import annotations
@@ -172,17 +172,21 @@ def lob_group_map(spark: SparkSession, with_refinery: bool = True,
 
 
 def legal_entity_group_map(t: TestTables) -> DataFrame:
-    """One mapping per nation, granted to its region's group, plus GLOBAL."""
-    n, r = t("nation"), t("region")
-    per_nation = (n.join(r, n["n_regionkey"] == r["r_regionkey"])
+    """One mapping per legal entity our suppliers belong to (their nation, the
+    company code the spend fact carries), granted to the region's group, plus
+    GLOBAL. Derived with a distinct over the supplier table."""
+    s, n, r = t("supplier"), t("nation"), t("region")
+    per_entity = (s.join(n, s["s_nationkey"] == n["n_nationkey"])
+                  .join(r, n["n_regionkey"] == r["r_regionkey"])
                   .select(F.col("n_name").alias("company_code"),
                           F.col("n_name").alias("entity_name"),
                           F.concat(F.lit("grp-entity-r"), F.col("r_regionkey").cast("string"))
                           .alias("entra_group_id"),
-                          F.lit("ENTITY").alias("scope")))
+                          F.lit("ENTITY").alias("scope"))
+                  .distinct())
     glob = seed_rows_frame(t.spark, "legal_entity_group_map", [
         ("GLOBAL", "All entities", "grp-entity-global", "GLOBAL")])
-    return _with_map_defaults(per_nation, "legal_entity_group_map").unionByName(glob)
+    return _with_map_defaults(per_entity, "legal_entity_group_map").unionByName(glob)
 
 
 def asset_group_map(t: TestTables) -> DataFrame:
