@@ -33,13 +33,27 @@ def trimmed(plan: str) -> str:
     return "\n".join(out)
 
 
+def large_batch_upsert(spark, sf):
+    """upsert_single_key with a batch over the broadcast limit (shuffle path)."""
+    from pyspark.sql import functions as F
+
+    from strata.operators.upsert import upsert
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    cut = F.lit("2000-01-01").cast(orders.schema["o_orderdate"].dataType)
+    return upsert(orders.where(F.col("o_orderdate") < cut),
+                  orders.where(F.col("o_orderdate") >= cut), ["o_orderkey"], broadcast_limit=0)
+
+
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session("explain", cores=8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    for name in HEADLINE:
-        df = QUERIES[name](spark, sf)
+    plans = [(name, lambda n=name: QUERIES[n](spark, sf)) for name in HEADLINE]
+    plans.append(("upsert (batch over the broadcast limit)",
+                  lambda: large_batch_upsert(spark, sf)))
+    for name, build in plans:
+        df = build()
         print(f"### `{name}`\n\n```")
         print(trimmed(df._jdf.queryExecution().executedPlan().toString()))
         print("```\n")
