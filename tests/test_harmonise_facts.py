@@ -167,3 +167,19 @@ def test_watermark_overlap_rereads_late_rows(landing, spark):
     with pytest.raises(ValueError):
         watermark_filter(spark.createDataFrame([(1, "a")], "id int, d string"), "d", "a",
                          overlap="1 day")
+
+
+contracts = st.lists(st.tuples(st.integers(1, 3), st.sampled_from(["K1", "K2", "K3"]),
+                               st.integers(0, 3)), max_size=8)
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows_=contracts)
+def test_property_dedupe_latest_matches_python(spark, rows_):
+    df = spark.createDataFrame(rows_, "po long, cid string, s int")
+    got = sorted(map(tuple, facts.dedupe_latest(df, "po", ["s", "cid"]).collect()))
+    best = {}
+    for po, cid, s in rows_:
+        if po not in best or (s, cid) > (best[po][1], best[po][0]):
+            best[po] = (cid, s)
+    assert got == sorted((po, cid, s) for po, (cid, s) in best.items())

@@ -147,3 +147,32 @@ def test_wide_source_is_not_broadcast_beyond_byte_bound(spark):
         assert rows(upsert(t, s, ["k"], broadcast_bytes=5000)) == rows(upsert(t, s, ["k"]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+ck = st.lists(st.tuples(st.sampled_from([1, 2, None]), st.sampled_from([1, 2]),
+                        st.sampled_from(["a", "b"])), max_size=7)
+
+
+@settings(max_examples=15, deadline=None)
+@given(target=ck, source=ck)
+def test_property_composite_and_null_keys_match_python_merge(spark, target, source):
+    """MERGE on (a, b): NULL never matches; unmatched rows (incl. NULL keys and
+    unmatched duplicates) are inserted; a target row matched twice raises."""
+    sch = "a long, b long, v string"
+    t = spark.createDataFrame(target, sch)
+    s = spark.createDataFrame(source, sch)
+    key = lambda r: (r[0], r[1])
+    matchable = [r for r in source if r[0] is not None]
+    matches = {}
+    for r in matchable:
+        matches.setdefault(key(r), []).append(r)
+    target_keys = {key(r) for r in target if r[0] is not None}
+    if any(len(v) > 1 and k in target_keys for k, v in matches.items()):
+        with pytest.raises(MergeKeyError):
+            upsert(t, s, ["a", "b"], null_keys="allow")
+        return
+    expected = [(r[0], r[1], matches[key(r)][0][2]) if r[0] is not None and key(r) in matches
+                else r for r in target]
+    expected += [r for r in source if r[0] is None or key(r) not in target_keys]
+    got = rows(upsert(t, s, ["a", "b"], null_keys="allow"))
+    assert got == sorted(expected, key=lambda r: tuple((x is None, x) for x in r))
