@@ -31,3 +31,11 @@ def test_query_matches_oracle(spark, con, name):
     want = duck_digest(con, E.oracle_sql()[name])
     assert got[:2] == want[:2]
     assert got == want
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_registered_query_reads_whole_tables(spark, name):
+    """No row caps or samples in any registered query (whole tables, whole
+    texts): the analyzed plan holds no Limit/Sample operator."""
+    plan = E.queries()[name](spark, ORACLE_SF)._jdf.queryExecution().analyzed().toString()
+    assert "Limit" not in plan and "Sample" not in plan, plan[:2000]
