@@ -39,3 +39,10 @@ def test_registered_query_reads_whole_tables(spark, name):
     texts): the analyzed plan holds no Limit/Sample operator."""
     plan = E.queries()[name](spark, ORACLE_SF)._jdf.queryExecution().analyzed().toString()
     assert "Limit" not in plan and "Sample" not in plan, plan[:2000]
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_registered_query_stays_in_the_jvm(spark, name):
+    """No Python UDF (row-at-a-time or Arrow) evaluates data in any query."""
+    plan = E.queries()[name](spark, ORACLE_SF)._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "PythonUDF" not in plan
