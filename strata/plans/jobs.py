@@ -25,6 +25,7 @@ from strata.operators.upsert import upsert_counted
 from strata.session import stage
 from strata.sinks.audit import RunLog, audited, new_run_id, observe_rows, observed_rows
 from strata.sinks.control_tables import record_watermark
+from strata.sinks.base import Sink
 from strata.sinks.merge_into import MergeIntoSink
 from strata.sinks.partitioned import PartitionedSink
 from strata.sinks.publish import SnapshotSink
@@ -44,7 +45,7 @@ class SecurityConfig:
     schema_name: str | None = None  # registry schema (logical domain) of the table
 
 
-def load(sink: SnapshotSink, df: DataFrame, name: str, keys: Sequence[str],
+def load(sink: Sink, df: DataFrame, name: str, keys: Sequence[str],
          load_type: str = "delta", stage_source: bool = True,
          cluster_by: Sequence[str] | None = None,
          **upsert_kwargs) -> tuple[int, str, int]:
@@ -76,7 +77,7 @@ def _cluster(sink, cluster_by) -> dict:
         else {}
 
 
-def publish_public_view(sink: SnapshotSink, name: str, security: SecurityConfig | None,
+def publish_public_view(sink: Sink, name: str, security: SecurityConfig | None,
                         columns: Sequence[str], binding: dict | None = None) -> str:
     """SEC-1/SEC-2: the public name is the secured view if the table is bound."""
     if binding is None and security is not None:
@@ -98,7 +99,7 @@ def publish_public_view(sink: SnapshotSink, name: str, security: SecurityConfig
     return "FILTERED"
 
 
-def run_fact_job(spark: SparkSession, sink: SnapshotSink, run_log: RunLog, name: str,
+def run_fact_job(spark: SparkSession, sink: Sink, run_log: RunLog, name: str,
                  build: Callable[[], DataFrame], keys: Sequence[str], load_type: str = "delta",
                  security: SecurityConfig | None = None, run_id: str | None = None) -> int:
     """One curated table: build -> load -> secure -> audit."""
@@ -144,7 +145,7 @@ def stored_watermarks(state: SnapshotSink, table_ids: Mapping[str, str]) -> dict
 
 
 def run_harmonise_job(spark: SparkSession, read_landing: Callable[[str], DataFrame],
-                      sink: SnapshotSink, run_log: RunLog, specs: Sequence[TableSpec],
+                      sink: Sink, run_log: RunLog, specs: Sequence[TableSpec],
                       source_id: str, load_type: str = "delta",
                       watermarks: Mapping[str, str] | None = None,
                       run_id: str | None = None, max_parallel: int = 1,

@@ -97,3 +97,11 @@ def test_parallel_upserts_into_two_partitioned_tables(spark):
         assert out.count() == 2050 and out.where("v = 'b'").count() == 100
     # the session's overwrite mode is restored after the writes
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_all_sinks_satisfy_the_protocol(spark):
+    from strata.sinks.base import Sink
+    from strata.sinks.merge_into import MergeIntoSink
+    assert isinstance(SnapshotSink(spark, "proto_a"), Sink)
+    assert isinstance(PartitionedSink(spark, "proto_b", "p"), Sink)
+    assert isinstance(MergeIntoSink(spark, "proto_c"), Sink)
