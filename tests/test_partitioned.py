@@ -105,3 +105,26 @@ def test_all_sinks_satisfy_the_protocol(spark):
     assert isinstance(SnapshotSink(spark, "proto_a"), Sink)
     assert isinstance(PartitionedSink(spark, "proto_b", "p"), Sink)
     assert isinstance(MergeIntoSink(spark, "proto_c"), Sink)
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+batches = st.lists(st.tuples(st.integers(0, 40), st.sampled_from(["x", "y", "z"])),
+                   min_size=1, max_size=12, unique_by=lambda r: r[0])
+
+
+@settings(max_examples=5, deadline=None)
+@given(batch=batches)
+def test_property_partitioned_equals_snapshot(spark, batch):
+    base = spark.range(0, 30).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    src = spark.createDataFrame(batch, "k long, v string")
+    with_p = lambda df: df.withColumn("p", key_range("k", 8))
+    part = PartitionedSink(spark, "pq_" + uuid.uuid4().hex[:8], "p")
+    snap = SnapshotSink(spark, "sq_" + uuid.uuid4().hex[:8])
+    part.publish(with_p(base), "t")
+    snap.publish(with_p(base), "t")
+    part.upsert(with_p(src), "t", ["k"])
+    jobs.load(snap, with_p(src), "t", ["k"], "delta")
+    cols = ["k", "v", "p"]
+    assert sorted(map(tuple, part.read("t").select(cols).collect())) == \
+        sorted(map(tuple, snap.read("t").select(cols).collect()))
