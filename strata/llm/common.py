@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,12 +33,23 @@ def pick(df: DataFrame, **wanted: str) -> DataFrame:
     return flat.select(*[F.col(f"c{place[s]}").alias(out) for out, s in wanted.items()])
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Hand Python at most ``rows`` rows at once, unless the session already
-    has a smaller limit."""
+def python_ready(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    """Let tasks import this package, and hand Python at most ``rows`` rows at
+    once unless the session has a smaller limit."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > rows:
         spark.conf.set(key, str(rows))
+    context = spark.sparkContext
+    if getattr(context, "_strata_sent", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    if package.is_dir():  # else it is imported from an archive that Spark has already
+        archive = os.path.join(tempfile.mkdtemp(prefix="strata-code-"), f"{package.name}.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for f in sorted(package.rglob("*.py")):
+                out.write(f, f.relative_to(package.parent))
+        context.addPyFile(archive)  # served by the driver
+    context._strata_sent = True
 
 
 def shared_path(spark: SparkSession, label: str) -> str:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import keep, pick, small_batches
+from strata.llm.common import keep, pick, python_ready
 from strata.llm.components import components
 
 BITS = 64
@@ -104,7 +104,7 @@ def batch_fingerprints(texts: list[bytes | None], size: int) -> np.ndarray:
 def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """``(doc_id, fp)`` per row; fp is the fingerprint as a signed long."""
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
