@@ -156,9 +156,10 @@ def _hits(docs: DataFrame, windows: list[str], shard: int, size_hint: str) -> Da
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
                   per_hit: int = 20, shard_windows: int = SHARD_WINDOWS,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit (words inside any occurrence
-    of a window), items (sorted ids of the items with an occurring window) and
-    contaminated (n_hit > 0 and per_hit * n_hit >= n_words).
+    """Per row of ``docs``: doc_id, h1, h2 (hashes of its text), n_words, n_hit
+    (words inside any occurrence of a window), items (sorted ids of the items
+    with an occurring window) and contaminated (n_hit > 0 and
+    per_hit * n_hit >= n_words).
 
     Null and empty texts have no words and are clean. Rows of one doc_id with
     different texts (or a null doc_id) are judged each for itself; repeated
@@ -206,21 +207,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
               .select("doc_id", "h1", "h2", "item_id").distinct()
               .groupBy("doc_id", "h1", "h2").agg(F.sort_array(F.collect_list("item_id")).alias("items")))
     clean = rows.where("n_hit = 0").select(
-        "doc_id", "n_words", "n_hit", F.array().cast("array<bigint>").alias("items"))
+        "doc_id", "h1", "h2", "n_words", "n_hit", F.array().cast("array<bigint>").alias("items"))
     same = (F.col("r.doc_id").eqNullSafe(F.col("m.doc_id"))
             & (F.col("r.h1") == F.col("m.h1")) & (F.col("r.h2") == F.col("m.h2")))
     hit = rows.where("n_hit > 0").alias("r").join(marked.alias("m"), same, "left").select(
-        "r.doc_id", "r.n_words", "r.n_hit",
+        "r.doc_id", "r.h1", "r.h2", "r.n_words", "r.n_hit",
         F.coalesce("m.items", F.array().cast("array<bigint>")).alias("items"))
     return clean.union(hit).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (per_hit * F.col("n_hit") >= F.col("n_words")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The clean rows of ``docs``, columns as they are. A contaminated row
-    takes only rows of the same doc_id with it; rows with a null doc_id are
-    judged together and stay if none of them is contaminated."""
-    place = docs.columns.index("doc_id")
-    bad = keep(contamination(docs, benchmark).where("contaminated").select("doc_id").distinct(), "bad")
+    """The clean rows of ``docs``, columns as they are. Rows are told apart by
+    doc_id and text, so a clean row stays also where another of its doc_id, or
+    another without one, is contaminated."""
+    key, text = (f"c{docs.columns.index(k)}" for k in ("doc_id", "text"))
+    bad = keep(contamination(docs, benchmark).where("contaminated").select("doc_id", "h1", "h2").distinct(), "bad")
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    return flat.join(bad, F.col(f"c{place}").eqNullSafe(F.col("doc_id")), "left_anti").toDF(*docs.columns)
+    same = (F.col(key).eqNullSafe(F.col("doc_id")) & (F.xxhash64(text) == F.col("h1"))
+            & (F.hash(text) == F.col("h2")))
+    return flat.join(bad, same, "left_anti").toDF(*docs.columns)
