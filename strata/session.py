@@ -49,7 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name "
                                "a shared folder (a machine-local one would lose data)")
         current = tempfile.mkdtemp(prefix="strata-ckpt-")
@@ -94,10 +95,10 @@ def stage(df, label: str):
     Used where a plan would otherwise be recomputed by several branches
     (the upsert source feeds its key check, the update join and the insert
     anti join). Columnar staging lets each branch read only its columns.
-    The folder is per label and overwritten by the next run, so staging data
-    does not pile up.
+    The folder is per application and label and overwritten by that
+    application's next run, so staging data does not pile up there.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/staging/{label}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staging/{spark.sparkContext.applicationId}/{label}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

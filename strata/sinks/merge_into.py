@@ -36,9 +36,9 @@ class MergeIntoSink:
     def public_name(self, name: str) -> str:
         return f"{sql_name(self.database)}.{sql_name(name)}"
 
-    def publish(self, df: DataFrame, name: str, keys=None, **_ignored) -> int:
-        """Full load: replace the table's contents in one commit."""
-        w = df.write.mode("overwrite")
+    def publish(self, df: DataFrame, name: str, keys=None) -> int:
+        """Full load: replace the table's contents and schema in one commit."""
+        w = df.write.mode("overwrite").option("overwriteSchema", "true")
         if self.fmt:
             w = w.format(self.fmt)
         w.saveAsTable(self.table(name))
@@ -56,15 +56,23 @@ class MergeIntoSink:
         return self.spark.table(self.table(name))
 
     def upsert(self, source: DataFrame, name: str, keys: Sequence[str],
-               null_keys: str = "raise", **_ignored) -> int:
+               null_keys: str = "raise", evolve: bool = False,
+               delete_missing: bool = False) -> int:
+        """MERGE by the format itself, which may refuse ``evolve`` or
+        ``delete_missing``; other options of the upsert operator are errors."""
         target = self.read(name)
-        src, _ = align_source(target, source)
+        src, _ = align_source(target, source, evolve)
         n = check_source_keys(target, src, list(keys), null_keys)
         table = self.table(name)
         cond = None
         for k in keys:  # target columns are qualified by the table name
             c = F.col(f"{table}.{k}") == F.col(f"__s.{k}")
             cond = c if cond is None else cond & c
-        (src.alias("__s").mergeInto(table, cond)
-         .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+        merge = (src.alias("__s").mergeInto(table, cond)
+                 .whenMatched().updateAll().whenNotMatched().insertAll())
+        if delete_missing:
+            merge = merge.whenNotMatchedBySource().delete()
+        if evolve:
+            merge = merge.withSchemaEvolution()
+        merge.merge()
         return n

@@ -128,3 +128,85 @@ def test_property_partitioned_equals_snapshot(spark, batch):
     cols = ["k", "v", "p"]
     assert sorted(map(tuple, part.read("t").select(cols).collect())) == \
         sorted(map(tuple, snap.read("t").select(cols).collect()))
+
+
+# ── stored loads that change partitions, columns and whole tables ────────────
+
+def _sink(spark, **kw):
+    return PartitionedSink(spark, "px_" + uuid.uuid4().hex[:8], "p", **kw)
+
+
+def _kvp(spark, rows, schema="k long, v string, p string"):
+    return spark.createDataFrame(rows, schema)
+
+
+def _rows(sink, cols=("k", "v", "p")):
+    return sorted(map(str, sink.read("t").select(*cols).collect()))
+
+
+def _want(spark, rows, schema="k long, v string, p string"):
+    return sorted(map(str, spark.createDataFrame(rows, schema).collect()))
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_pruned_partitions": 0}])
+@pytest.mark.parametrize("stable", [True, False])
+def test_null_partition_keeps_its_rows(spark, limits, stable):
+    sink = _sink(spark, stable_keys=stable, **limits)
+    sink.publish(_kvp(spark, [(1, "a", None), (2, "a", None), (3, "a", "x")]), "t")
+    sink.upsert(_kvp(spark, [(2, "b", None), (4, "b", None)]), "t", ["k"])
+    assert _rows(sink) == _want(spark, [(1, "a", None), (2, "b", None), (3, "a", "x"), (4, "b", None)])
+
+
+def test_moved_keys_leave_their_old_partition(spark):
+    sink = _sink(spark)
+    sink.publish(_kvp(spark, [(1, "a", "x"), (2, "a", "y"), (3, "a", "y"), (4, "a", "o'z"), (5, "a", None)]), "t")
+    # 1 leaves x empty, 2 leaves y, 4 leaves a partition with a quote, 5 the NULL partition
+    sink.upsert(_kvp(spark, [(1, "b", "y"), (2, "b", "w"), (4, "b", "y"), (5, "b", "y")]), "t", ["k"])
+    assert _rows(sink) == _want(spark, [(1, "b", "y"), (2, "b", "w"), (3, "a", "y"), (4, "b", "y"), (5, "b", "y")])
+
+
+def test_evolve_adds_the_column(spark):
+    sink = _sink(spark)
+    sink.publish(_kvp(spark, [(1, "a", "x"), (2, "a", "y")]), "t")
+    jobs.load(sink, _kvp(spark, [(2, "b", 7, "y"), (3, "b", 8, "z")], "k long, v string, n int, p string"),
+              "t", ["k"], "delta", evolve=True)
+    assert _rows(sink, ("k", "v", "n", "p")) == _want(
+        spark, [(1, "a", None, "x"), (2, "b", 7, "y"), (3, "b", 8, "z")], "k long, v string, n int, p string")
+
+
+def test_delete_missing_reaches_other_partitions(spark):
+    sink = _sink(spark)
+    sink.publish(_kvp(spark, [(1, "a", "x"), (2, "a", "y"), (3, "a", None)]), "t")
+    assert sink.upsert(_kvp(spark, [(2, "b", "y")]), "t", ["k"], delete_missing=True) == 1
+    assert _rows(sink) == _want(spark, [(2, "b", "y")])
+
+
+def test_full_load_may_change_the_schema(spark):
+    sink = _sink(spark)
+    for i, schema in enumerate(("k long, v string, p string", "k long, w int, p string", "k long, p string")):
+        row = {"k": i, "v": "a", "w": 5, "p": "x"}
+        names = [c.split()[0] for c in schema.split(", ")]
+        jobs.load(sink, spark.createDataFrame([tuple(row[n] for n in names)], schema), "t", ["k"], "full")
+        assert sink.read("t").columns == names and sink.read("t").count() == 1
+    assert len([t for t in spark.catalog.listTables(sink.database) if "__data" in t.name]) == 1
+
+
+def test_failed_full_load_leaves_the_table(spark):
+    sink = _sink(spark)
+    sink.publish(_kvp(spark, [(1, "a", "x")]), "t")
+    bad = _kvp(spark, [(2, "b", "y")]).withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
+    with pytest.raises(Exception, match="boom"):
+        sink.publish(bad, "t")
+    assert _rows(sink) == _want(spark, [(1, "a", "x")])
+    sink.publish(_kvp(spark, [(3, "c", "z")]), "t")
+    assert _rows(sink) == _want(spark, [(3, "c", "z")])
+
+
+def test_merge_into_refuses_unknown_options(spark):
+    from strata.sinks.merge_into import MergeIntoSink
+    sink = MergeIntoSink(spark, "mi")
+    with pytest.raises(TypeError):
+        sink.upsert(spark.range(1), "t", ["id"], broadcast_limit=3)
