@@ -77,10 +77,11 @@ def require_params(**params) -> None:
         raise ValueError(f"required parameters missing: {missing}")
 
 
-def raise_on_errors(findings: DataFrame, limit: int = 20) -> DataFrame:
-    """CHK-4: raise when any error finding exists; return the findings."""
-    errors = findings.where(F.col("severity") == F.lit("error")).limit(limit).collect()
+def raise_on_errors(findings: DataFrame) -> DataFrame:
+    """CHK-4: raise with every error finding when there is one; return the
+    findings. There is at most one finding per table and required column."""
+    errors = findings.where(F.col("severity") == F.lit("error")).collect()
     if errors:
         lines = [f"{r['schema']}.{r['table']}: {r['detail']}" for r in errors]
-        raise ContractError("contract check failed:\n  " + "\n  ".join(lines))
+        raise ContractError(f"contract check failed, {len(lines)} errors:\n  " + "\n  ".join(lines))
     return findings

@@ -13,14 +13,13 @@ is visible when an *active* mapping for the row's own code names a group of
 the reader, or when any active GLOBAL mapping names a group of the reader.
 NULL codes are visible only through GLOBAL. Inactive mappings grant nothing.
 
-Scale notes. The fact is the only large input. The permitted-key set is at
-most the size of the map table; it is counted first. A handful of codes
-becomes an ``IN`` filter pushed into the scan; a larger set is broadcast to a
-semi join; beyond the broadcast limit a plain (AQE-managed) semi join runs.
-The GLOBAL check is resolved once against the config tables so a GLOBAL
-reader's plan is the bare scan. With few codes (three LOBs hold everything)
-a shuffle on the filter column would put a third of the fact into one task,
-so neither of the first two forms shuffles the fact.
+Scale notes. The fact is the only large input. There is one form for every
+number of codes, and map and membership are read each time it is executed: a
+left join of the fact with the reader's distinct codes, and a scalar subquery
+for GLOBAL. Codes are unique on the right, so the join adds no rows; Spark
+broadcasts them while the map is small, by its size at that execution, and
+beyond that a left join is one whose hot partitions adaptive execution splits
+(an existence join's are not).
 """
 
 from __future__ import annotations
@@ -31,17 +30,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.columns import sql_name
-from strata.operators.sizing import DEFAULT_BROADCAST_BYTES, size_of
 
 # Fixed values from the reference: the global scope marker and the text a
 # non-member sees in place of a masked value.
 GLOBAL_SCOPE = "GLOBAL"
 MASK_TEXT = "***MASKED***"
 
-DEFAULT_BROADCAST_KEYS = 200_000
-DEFAULT_INLINE_KEYS = 1_000
-INLINE_BYTES = 1024 * 1024  # an IN list travels in the plan: keep it small
-
 
 @dataclass(frozen=True)
 class FilterPattern:
@@ -85,96 +79,58 @@ def granted_mappings(group_map: DataFrame, membership: DataFrame,
 
 
 def permitted_keys(granted: DataFrame, map_key: str) -> DataFrame:
-    """Distinct codes the reader may see (excluding the GLOBAL marker rows)."""
-    return (granted.where(F.col("scope") != F.lit(GLOBAL_SCOPE))
-            .where(F.col(map_key).isNotNull())
-            .select(F.col(map_key).alias("__permitted_key")).distinct())
+    """Distinct codes that the reader's active mappings name.
+
+    They are made distinct together with their hash, which keeps the rows as
+    they are but not the partitioning: a join by code then shuffles this side
+    once more (it is small), and only a join of two plain shuffles has its hot
+    partitions split by adaptive execution."""
+    code = F.col(map_key)
+    return (granted.where(code.isNotNull())
+            .select(code.alias("__permitted_key"), F.hash(code).alias("__h")).distinct()
+            .select("__permitted_key"))
 
 
 def row_filter(df: DataFrame, column: str, group_map: DataFrame,
-               membership: DataFrame, principal: str, map_key: str | None = None,
-               broadcast_limit: int = DEFAULT_BROADCAST_KEYS,
-               mode: str = "resolve", inline_limit: int = DEFAULT_INLINE_KEYS) -> DataFrame:
+               membership: DataFrame, principal: str, map_key: str | None = None) -> DataFrame:
     """UDF-1/2/3: keep rows the principal may see.
 
-    ``mode="resolve"`` (default) checks GLOBAL once and counts the permitted
-    keys. Up to ``inline_limit`` keys become an ``IN`` list, which reaches the
-    parquet scan (row groups and partitions that cannot match are skipped);
-    up to ``broadcast_limit`` a broadcast semi join; beyond that a plain semi
-    join. ``mode="lazy"`` builds the EXISTS form, which re-reads the map and
-    membership on every execution (for long-lived DataFrames).
+    Nothing is resolved while the plan is built: a group granted or revoked
+    later counts at the next execution, however many codes the reader has.
     """
     if column not in df.columns:
         raise FilterColumnMissing(f"filter column {column!r} not in {df.columns}")
-    map_key = map_key or column
-    if mode == "lazy":
-        return row_filter_lazy(df, column, group_map, membership, principal, map_key,
-                               broadcast_limit)
-    if mode != "resolve":
-        raise ValueError(f"unknown mode {mode!r}")
     granted = granted_mappings(group_map, membership, principal)
-    is_global, n_keys, key_bytes = resolve_grants(granted, map_key)
-    if is_global:
-        return df
-    if n_keys == 0:
-        # No grant at all: empty result with the input schema; Spark prunes
-        # the scan entirely for a literal-false filter.
-        return df.where(F.lit(False))
-    keys = permitted_keys(granted, map_key)
-    if n_keys <= inline_limit and key_bytes <= INLINE_BYTES:
-        # a bounded list of codes (config-sized): a pushed-down IN filter
-        values = [r[0] for r in keys.collect()]
-        return df.where(df[column].isin(values))
-    small = n_keys <= broadcast_limit and key_bytes <= DEFAULT_BROADCAST_BYTES
-    side = F.broadcast(keys) if small else keys
-    return df.join(side, df[column] == F.col("__permitted_key"), "left_semi")
-
-
-def resolve_grants(granted: DataFrame, map_key: str) -> tuple[bool, int, int]:
-    """JN-7 resolved once, in one small job over the config tables:
-    (does the reader hold an active GLOBAL mapping?, bound on permitted keys,
-    bound on their bytes)."""
-    is_global = F.col("scope") == F.lit(GLOBAL_SCOPE)
-    key = F.when(~is_global, F.col(map_key))
-    # plain counts of granted non-global rows bound the distinct keys (enough
-    # for the broadcast decision) without a distinct's extra shuffle
-    row = granted.agg(
-        F.max(is_global.cast("int")).alias("g"),
-        F.count(key).alias("n"),
-        F.sum(F.octet_length(key.cast("string")) + F.lit(16)).alias("b")).first()
-    return bool(row["g"]), int(row["n"] or 0), int(row["b"] or 0)
-
-
-def _visible_predicate(column: str, granted: DataFrame, map_key: str) -> Column:
-    # The correlated column is qualified by the alias row_filter_lazy sets.
-    outer = F.col(f"__secured.{column}").outer()
-    by_code = granted.where(F.col(map_key) == outer).exists()
-    by_global = granted.where(F.col("scope") == F.lit(GLOBAL_SCOPE)).exists()
-    return by_code | by_global
-
-
-def row_filter_lazy(df: DataFrame, column: str, group_map: DataFrame,
-                    membership: DataFrame, principal: str,
-                    map_key: str | None = None,
-                    broadcast_limit: int = DEFAULT_BROADCAST_KEYS) -> DataFrame:
-    """EXISTS-subquery form of :func:`row_filter`.
-
-    Membership and grants are evaluated each time the result is executed.
-    The granted mappings are a subset of the map table, so the map table's
-    size (rows and bytes, measured once here) bounds them; within the limits
-    the EXISTS becomes a broadcast ExistenceJoin and the fact is not
-    shuffled on its (low-cardinality, skew-prone) filter column.
-    """
-    if column not in df.columns:
-        raise FilterColumnMissing(f"filter column {column!r} not in {df.columns}")
+    keys = permitted_keys(granted, map_key or column)
+    everything = granted.where(F.col("scope") == F.lit(GLOBAL_SCOPE)).exists()
+    f = df.alias("__secured")
+    joined = f.join(keys, F.col(f"__secured.{column}") == F.col("__permitted_key"), "left")
+    return (joined.where(F.col("__permitted_key").isNotNull() | everything)
+            .select(*[F.col(f"__secured.{c}") for c in df.columns]))
+
+
+def visible_rows(df: DataFrame, column: str, group_map: DataFrame, membership: DataFrame,
+                 map_key: str | None = None) -> DataFrame:
+    """``(principal, visible_rows)`` of every principal in ``membership``, zeros
+    included: what :func:`row_filter` would leave each of them.
+
+    The fact is read once and reduced to a count per code on the map side; the
+    counts, not the rows, meet the grants."""
     map_key = map_key or column
-    granted = granted_mappings(group_map, membership, principal)
-    n_map, map_bytes = size_of(group_map)
-    if n_map <= broadcast_limit and map_bytes <= DEFAULT_BROADCAST_BYTES:
-        granted = F.broadcast(granted)
-    aliased = df.alias("__secured")
-    return aliased.where(_visible_predicate(column, granted, map_key)).select(
-        *[F.col(f"__secured.{c}") for c in df.columns])
+    counts = df.groupBy(F.col(column).alias("__code")).agg(F.count(F.lit(1)).alias("__rows"))
+    total = counts.agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("__total"))
+    active = group_map.where(F.col("is_active") == F.lit(True))
+    grants = (membership.join(active, F.col("group_id") == F.col("entra_group_id"))
+              .select("principal", F.col(map_key).alias("__key"),
+                      (F.col("scope") == F.lit(GLOBAL_SCOPE)).alias("__global")).distinct())
+    own = (grants.select("principal", "__key").distinct()
+           .join(counts, F.col("__key") == F.col("__code"))
+           .groupBy("principal").agg(F.sum("__rows").alias("__own")))
+    everything = grants.where("__global").select("principal", F.lit(True).alias("__all")).distinct()
+    return (membership.select("principal").distinct()
+            .join(own, "principal", "left").join(everything, "principal", "left").join(total)
+            .select("principal", F.when(F.col("__all"), F.col("__total"))
+                    .otherwise(F.coalesce("__own", F.lit(0))).cast("long").alias("visible_rows")))
 
 
 def is_member(membership: DataFrame, principal: str, groups: list[str]) -> bool:
@@ -189,16 +145,17 @@ def mask_columns(df: DataFrame, columns: list[str], allowed_groups: list[str],
 
     As in the reference, a NULL is masked for non-members too (Q12). The
     membership test runs once against the (small) membership frame, so the
-    plan over the data is a single projection.
+    plan over the data is a single projection. Masked columns are strings for
+    every reader.
     """
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"mask columns not found: {missing}")
-    if is_member(membership, principal, allowed_groups):
-        return df
+    member = is_member(membership, principal, allowed_groups)
     masked = set(columns)
     return df.select(*[
-        (F.lit(MASK_TEXT).alias(c) if c in masked else F.col(c)) for c in df.columns
+        ((F.col(c).cast("string") if member else F.lit(MASK_TEXT)).alias(c)
+         if c in masked else F.col(c)) for c in df.columns
     ])
 
 
@@ -223,7 +180,7 @@ def secure(df: DataFrame, binding: dict | None, maps: dict[str, DataFrame],
 
 def secured_select_sql(base: str, column: str, map_table: str, map_key: str,
                        membership_table: str) -> str:
-    """SQL body of a secured view (EXISTS form, evaluated per query).
+    """SQL body of a secured view: :func:`row_filter` as SQL, evaluated per query.
 
     The reader is ``current_user()``, so a membership or mapping change takes
     effect on the next query without rebuilding anything; if the base loses
@@ -231,17 +188,16 @@ def secured_select_sql(base: str, column: str, map_table: str, map_key: str,
     """
     base, column, map_table, map_key, membership_table = map(
         sql_name, (base, column, map_table, map_key, membership_table))
+    granted = f"""FROM {map_table} m JOIN {membership_table} g ON g.group_id = m.entra_group_id
+    WHERE m.is_active = true AND g.principal = current_user()"""
     return f"""SELECT b.* FROM {base} b
-WHERE EXISTS (
-    SELECT 1 FROM {map_table} m JOIN {membership_table} g
-      ON g.group_id = m.entra_group_id
-    WHERE m.{map_key} = b.{column} AND m.is_active = true
-      AND g.principal = current_user())
+LEFT JOIN (
+    SELECT permitted_key FROM (
+      SELECT DISTINCT m.{map_key} AS permitted_key, hash(m.{map_key}) AS h {granted})) k
+  ON k.permitted_key = b.{column}
+WHERE k.permitted_key IS NOT NULL
    OR EXISTS (
-    SELECT 1 FROM {map_table} m JOIN {membership_table} g
-      ON g.group_id = m.entra_group_id
-    WHERE m.scope = '{GLOBAL_SCOPE}' AND m.is_active = true
-      AND g.principal = current_user())"""
+    SELECT 1 {granted} AND m.scope = '{GLOBAL_SCOPE}')"""
 
 
 def masked_select_sql(base: str, all_columns: list[str], masked: list[str],

@@ -5,9 +5,9 @@ shuffle stages; when a side reuses an earlier partitioning (a header derived
 from its own items, a chain of joins on one key) the hot partition stays in
 one task. ``find_hot_keys`` + ``split_hot`` handle that explicitly:
 
-1. ``find_hot_keys`` finds keys with more than ``min_rows`` rows in two
-   narrow passes over the key column and no key shuffle; the set is bounded
-   (at most ``max_candidates`` keys) and held as a literal frame;
+1. ``find_hot_keys`` finds all keys with more than ``min_rows`` rows from the
+   key column alone; there are at most rows / ``min_rows`` of them, held as a
+   literal frame;
 2. the set is broadcast;
 3. rows of hot keys join the per-key side's hot rows by broadcast, where
    they already are (no shuffle at all); all other rows take the normal
@@ -29,36 +29,34 @@ DEFAULT_HOT_KEY_ROWS = 1_000_000
 HOT = "__hot_key"
 
 
-def find_hot_keys(df: DataFrame, key: str, min_rows: int, label: str = "",
-                  max_candidates: int = 10_000) -> DataFrame | None:
-    """Keys of ``df`` holding more than ``min_rows`` rows, or ``None``.
+# the smallest support that ``freqItems`` takes
+LEAST_SUPPORT = 1e-4
 
-    No shuffle of the key column:
 
-    1. a row count (answered from parquet footers) short-cuts inputs too
-       small to hold such a key;
-    2. ``freqItems`` (one pass, bounded counters per task) returns every key
-       above the support ``min_rows / rows`` (floored at
-       ``1 / max_candidates``), possibly with false positives, never with
-       false negatives: at most ``max_candidates`` values;
-    3. the candidates are counted exactly with a broadcast semi join and a
-       map-side-combined count, and only true hot keys are kept.
+def find_hot_keys(df: DataFrame, key: str, min_rows: int, label: str = "") -> DataFrame | None:
+    """All keys of ``df`` holding more than ``min_rows`` rows, or ``None``.
 
-    The result is a literal frame of at most ``max_candidates`` keys.
+    Where ``min_rows`` is a share of the rows that ``freqItems`` can look for,
+    its one pass with bounded counters gives a superset of the keys (it has
+    no false negatives), which is then counted exactly by a broadcast semi
+    join: no shuffle of the key column. For a smaller share the keys are
+    counted with a map-side-combined aggregate. Either way the result is
+    exact and has fewer than rows / ``min_rows`` keys.
     ``label`` is kept for callers that name their detection runs.
     """
     n = df.count()
-    if n <= min_rows:
-        return None
-    support = min(1.0, max(min_rows / n, 1.0 / max_candidates))
-    candidates = df.stat.freqItems([key], support).first()[0] or []
-    if not candidates:
+    if n <= min_rows:  # no key can have more rows than the table
         return None
     dtype = df.schema[key].dataType
-    cand = config_frame(df.sparkSession, [(v,) for v in candidates],
-                        T.StructType([T.StructField(HOT, dtype)]))
-    hot = (df.select(key).join(F.broadcast(cand), F.col(key) == F.col(HOT), "left_semi")
-           .groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    rows = df.select(key)
+    if min_rows / n >= LEAST_SUPPORT:
+        candidates = df.stat.freqItems([key], min_rows / n).first()[0] or []
+        if not candidates:
+            return None
+        cand = config_frame(df.sparkSession, [(v,) for v in candidates],
+                            T.StructType([T.StructField(HOT, dtype)]))
+        rows = rows.join(F.broadcast(cand), F.col(key) == F.col(HOT), "left_semi")
+    hot = (rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
            .where(F.col("__rows") > F.lit(min_rows)).collect())
     if not hot:
         return None

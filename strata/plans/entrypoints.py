@@ -10,6 +10,7 @@ one from spark-submit.
 from __future__ import annotations
 
 import argparse
+import logging
 from collections.abc import Sequence
 from dataclasses import replace
 
@@ -27,6 +28,8 @@ from strata.sources.registry import bindings_frame
 from strata.sources.tables import full_name, optional_table, read_table
 from strata.session import ensure_defaults
 
+log = logging.getLogger("strata.entrypoints")
+
 PLATFORM_SCHEMA = "platform_config"
 CONFIG_SCHEMA = "config"
 
@@ -158,12 +161,15 @@ def mirror_job(spark: SparkSession, catalog: str, source_schema: str, target_sch
 def contract_check_job(spark: SparkSession, catalog: str,
                        tables: Sequence[tuple[str, str]]) -> int:
     """CHK-1/2/4 over published tables: raise on a dropped filter column,
-    return the number of warnings (unregistered tables)."""
+    log every warning (unregistered tables) and return their number."""
     outputs = {(s, t): read_table(spark, full_name(catalog, s, t + "__base")) for s, t in tables}
     cols = output_columns(spark, outputs)
     findings = raise_on_errors(contract_findings(cols.select("schema", "table").distinct(),
                                                  cols, bindings_frame(spark)))
-    return findings.count()
+    warnings = findings.collect()  # one per table at most
+    for r in warnings:
+        log.warning("%s.%s: %s", r["schema"], r["table"], r["detail"])
+    return len(warnings)
 
 
 def _split(text: str | None) -> list[str]:

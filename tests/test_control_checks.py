@@ -129,3 +129,11 @@ def test_bindings_from_yaml(spark, tmp_path):
     b = registry.bindings_from_yaml(spark, str(f))
     assert b.count() == 2 and registry.valid_bindings(b).count() == 1
     assert registry.binding_for(b, "stable_plan", "fact_mot")["row_filter"] == "fn_lob_filter"
+
+
+def test_every_error_is_reported(spark):
+    rows = [("error", "s", f"t{i}", "d") for i in range(30)]
+    f = spark.createDataFrame(rows, "severity string, schema string, table string, detail string")
+    with pytest.raises(checks.ContractError) as e:
+        checks.raise_on_errors(f)
+    assert all(f"s.t{i}: d" in str(e.value) for i in range(30)) and "30 errors" in str(e.value)

@@ -31,13 +31,15 @@ def vs(df):
     return sorted(r["v"] for r in df.collect())
 
 
-@pytest.mark.parametrize("mode", ["resolve", "lazy"])
 @pytest.mark.parametrize("who,expected", [
     ("up", [1]), ("two", [1, 2]), ("glob", [1, 2, 3, 4, 5]), ("rf", []), ("nobody", []),
 ])
-def test_row_filter_semantics(fact, lob_map, members, who, expected, mode):
-    out = sec.row_filter(fact, "lob_code", lob_map, members, who, mode=mode)
+def test_row_filter_semantics(fact, lob_map, members, who, expected):
+    out = sec.row_filter(fact, "lob_code", lob_map, members, who)
     assert vs(out) == expected
+    counts = {r.principal: r.visible_rows for r in
+              sec.visible_rows(fact, "lob_code", lob_map, members).collect()}
+    assert counts.get(who, 0) == len(expected)
 
 
 def test_no_leak_through_name_shadowing(fact, lob_map, members):
@@ -63,42 +65,74 @@ def test_missing_filter_column_raises(fact, lob_map, members):
         sec.row_filter(fact.drop("lob_code"), "lob_code", lob_map, members, "up")
 
 
-def test_few_permitted_keys_push_an_in_filter_to_parquet(spark, lob_map, members, tmp_path):
-    path = str(tmp_path / "fact")
-    spark.range(0, 3000).select(
-        F.element_at(F.array(F.lit("UP"), F.lit("DS"), F.lit("GF")),
-                     (F.col("id") % 3 + 1).cast("int")).alias("lob_code"), F.col("id")) \
-        .write.parquet(path)
-    out = sec.row_filter(spark.read.parquet(path), "lob_code", lob_map, members, "two")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [In(lob_code, [DS,UP])]" in plan and "Join" not in plan
-    assert out.count() == 2000
-
-
-def test_permitted_keys_are_broadcast(spark, lob_map, members):
-    big = spark.range(0, 5000).select(
-        F.element_at(F.array(F.lit("UP"), F.lit("DS"), F.lit("GF")),
-                     (F.col("id") % 3 + 1).cast("int")).alias("lob_code"), F.col("id"))
-    out = sec.row_filter(big, "lob_code", lob_map, members, "two", inline_limit=0)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
-    assert out.count() == sum(1 for i in range(5000) if i % 3 != 2)
-
-
-def test_lazy_mode_broadcasts_bounded_grants(spark, lob_map, members):
+def test_small_grants_are_broadcast(spark, lob_map, members):
     big = spark.range(0, 3000).select(
         F.element_at(F.array(F.lit("UP"), F.lit("DS"), F.lit("GF")),
                      (F.col("id") % 3 + 1).cast("int")).alias("lob_code"), F.col("id"))
-    out = sec.row_filter(big, "lob_code", lob_map, members, "two", mode="lazy")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "ExistenceJoin" in plan and "BroadcastHashJoin" in plan
+    out = sec.row_filter(big, "lob_code", lob_map, members, "two")
     assert out.count() == 2000
-
-
-def test_over_limit_falls_back_to_plain_semi_join(fact, lob_map, members):
-    out = sec.row_filter(fact, "lob_code", lob_map, members, "two", broadcast_limit=0,
-                         inline_limit=0)
-    assert vs(out) == [1, 2]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "ExistenceJoin" not in plan
+
+
+def test_large_maps_split_a_hot_code(spark):
+    """With a map beyond broadcasting, a code holding a third of the fact is
+    dealt to several tasks by adaptive execution."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        fact = spark.range(0, 300_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 5000)).alias("code"),
+            F.col("id").alias("v"))
+        grants = [("hot", "g")] + [(f"c{i}", "g") for i in range(0, 5000, 2)]
+        m = spark.createDataFrame(grants, "code string, entra_group_id string").withColumns(
+            {"scope": F.lit("LOB"), "is_active": F.lit(True)})
+        mem = spark.createDataFrame([("p", "g")], "principal string, group_id string")
+        out = sec.row_filter(fact, "code", m, mem, "p")
+        n = out.groupBy().count().collect()[0][0]
+        assert n == sum(1 for i in range(300_000) if i % 3 == 0 or i % 5000 % 2 == 0)
+        df = out.withColumn("w", F.col("v") + 1)
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("n_codes", [1, 5000])
+def test_grants_are_read_at_execution(spark, tmp_path, n_codes):
+    """A group revoked after the plan was built no longer counts, however many
+    codes the reader had."""
+    path = str(tmp_path / "members")
+    spark.createDataFrame([("p", "g1"), ("p", "g2")], "principal string, group_id string") \
+        .write.parquet(path)
+    codes = [(f"c{i}", "g1") for i in range(n_codes)] + [("z", "g2")]
+    m = spark.createDataFrame(codes, "code string, entra_group_id string").withColumns(
+        {"scope": F.lit(None).cast("string"), "is_active": F.lit(True)})  # a mapping without a scope grants its code
+    fact = spark.createDataFrame([("c0", 1), ("z", 2), ("y", 3), (None, 4)], "code string, v int")
+    build = lambda: sec.row_filter(fact, "code", m, spark.read.parquet(path), "p")
+    assert vs(build()) == [1, 2]
+    spark.createDataFrame([("p", "g2")], "principal string, group_id string") \
+        .write.mode("overwrite").parquet(path)
+    assert vs(build()) == [2]
+
+
+def test_a_built_filter_follows_its_tables(spark, fact, lob_map):
+    db = "sec_live"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    for rows, mode in (([("p", "grp-lob-up"), ("p", "grp-lob-gf")], "overwrite"),):
+        spark.createDataFrame(rows, "principal string, group_id string").write.mode(mode).saveAsTable(f"{db}.m")
+    out = sec.row_filter(fact, "lob_code", lob_map, spark.table(f"{db}.m"), "p")
+    out.createOrReplaceTempView("sec_live_view")
+    assert vs(spark.sql("SELECT * FROM sec_live_view")) == [1, 3]
+    spark.createDataFrame([("p", "grp-lob-up")], "principal string, group_id string") \
+        .write.mode("overwrite").saveAsTable(f"{db}.m")
+    assert vs(sec.row_filter(fact, "lob_code", lob_map, spark.table(f"{db}.m"), "p")) == [1]
 
 
 def test_mask_member_and_non_member_null(spark, members):
@@ -107,6 +141,9 @@ def test_mask_member_and_non_member_null(spark, members):
     hidden = sec.mask_columns(df, ["name"], ["grp-lob-up"], members, "glob")
     assert sorted((r["name"] or "") for r in shown.collect()) == ["", "alice"]
     assert [r["name"] for r in hidden.collect()] == [sec.MASK_TEXT, sec.MASK_TEXT]
+    for who in ("up", "glob"):  # one type for every reader
+        out = sec.mask_columns(df, ["v"], ["grp-lob-up"], members, who)
+        assert out.schema["v"].dataType.simpleString() == "string"
 
 
 def test_secure_dispatch(fact, lob_map, members):
@@ -131,7 +168,7 @@ def test_secured_view_follows_membership(spark, lob_map, fact):
                                    "sec_t.lob_group_map", "lob_code", "sec_t.members"))
     assert vs(spark.table("sec_t.fact_secured")) == [1]
     plan = spark.table("sec_t.fact_secured")._jdf.queryExecution().executedPlan().toString()
-    assert "ExistenceJoin" in plan and "BroadcastHashJoin" in plan
+    assert "ExistenceJoin" not in plan and "BroadcastHashJoin" in plan
     spark.createDataFrame([(me, "grp-lob-global")], "principal string, group_id string") \
         .write.mode("append").saveAsTable("sec_t.members")
     assert vs(spark.table("sec_t.fact_secured")) == [1, 2, 3, 4, 5]
@@ -146,9 +183,8 @@ member_rows = st.lists(st.tuples(st.sampled_from(["p", "q"]),
 
 
 @settings(max_examples=12, deadline=None)
-@given(mrows=map_rows, members_=member_rows, fact_codes=st.lists(codes, max_size=8),
-       mode=st.sampled_from(["resolve", "lazy"]), path=st.sampled_from(["in", "bcast", "plain"]))
-def test_property_row_filter_matches_brute_force(spark, mrows, members_, fact_codes, mode, path):
+@given(mrows=map_rows, members_=member_rows, fact_codes=st.lists(codes, max_size=8))
+def test_property_row_filter_matches_brute_force(spark, mrows, members_, fact_codes):
     m = spark.createDataFrame(
         [(c, g, "GLOBAL" if c == "GLOBAL" else "LOB", act) for c, g, act in mrows],
         "lob_code string, entra_group_id string, scope string, is_active boolean")
@@ -161,9 +197,7 @@ def test_property_row_filter_matches_brute_force(spark, mrows, members_, fact_co
     else:
         ok = {c for c, _ in active}
         expected = [i for i, c in enumerate(fact_codes) if c is not None and c in ok]
-    limits = {"in": {}, "bcast": {"inline_limit": 0}, "plain": {"inline_limit": 0,
-                                                                 "broadcast_limit": 0}}[path]
-    out = sec.row_filter(fact, "lob_code", m, mem, "p", mode=mode, **limits)
+    out = sec.row_filter(fact, "lob_code", m, mem, "p")
     assert vs(out) == expected
 
 

@@ -139,3 +139,17 @@ def test_logistics_asset_join_splits_hot_asset(spark, skew_conf):
                                            F.lit("hot").alias("asset_name")))
     fact = facts.logistics_fact(mv, assets)
     assert "skew=true" in executed(fact)
+
+
+def test_hot_keys_below_the_sketch_support(spark):
+    """Ten keys of 1,000 rows are found whatever share of the table they are."""
+    from strata.operators import skew
+    df = spark.range(0, 100_000).select(
+        F.when(F.col("id") < 10_000, F.col("id") % 10).otherwise(F.col("id")).alias("k"))
+    for least in (skew.LEAST_SUPPORT, 0.5):  # 0.5: as if the table were far larger
+        before, skew.LEAST_SUPPORT = skew.LEAST_SUPPORT, least
+        try:
+            hot = skew.find_hot_keys(df, "k", 500)
+        finally:
+            skew.LEAST_SUPPORT = before
+        assert sorted(r[0] for r in hot.collect()) == list(range(10))
