@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from strata.operators.security import PATTERNS, FilterColumnMissing, secured_sel
 from strata.operators.upsert import upsert_counted
 from strata.session import stage
 from strata.sinks.audit import RunLog, audited, new_run_id, observe_rows, observed_rows
-from strata.sinks.control_tables import record_watermark
+from strata.sinks.control_tables import record_watermarks
 from strata.sinks.base import Sink
 from strata.sinks.merge_into import MergeIntoSink
 from strata.sinks.partitioned import PartitionedSink
@@ -47,7 +47,6 @@ class SecurityConfig:
 
 def load(sink: Sink, df: DataFrame, name: str, keys: Sequence[str],
          load_type: str = "delta", stage_source: bool = True,
-         cluster_by: Sequence[str] | None = None,
          **upsert_kwargs) -> tuple[int, str, int]:
     """SNK-12: full load (or first load) vs keyed upsert into a snapshot.
 
@@ -56,25 +55,32 @@ def load(sink: Sink, df: DataFrame, name: str, keys: Sequence[str],
     stage the source once (``session.stage``) so the upsert's branches do
     not recompute it, and take the count from the upsert's key check.
     """
+    return load_marked(sink, df, name, keys, load_type, None, stage_source, **upsert_kwargs)[:3]
+
+
+def load_marked(sink: Sink, df: DataFrame, name: str, keys: Sequence[str],
+                load_type: str = "delta", mark_column: str | None = None,
+                stage_source: bool = True, **upsert_kwargs) -> tuple[int, str, int, str | None]:
+    """:func:`load`, and the largest ``mark_column`` (as text) among the very
+    rows that were loaded: from the observed write of a full load, from the
+    staged rows of a delta load. The source is never read again for it, so
+    rows that arrive meanwhile stay above the mark."""
     if load_type not in ("full", "delta"):
         raise ValueError(f"load_type must be 'full' or 'delta', not {load_type!r}")
     if load_type == "full" or not sink.exists(name):
-        observed, obs = observe_rows(df)
-        version = sink.publish(observed, name, keys=list(keys) or None,
-                               **_cluster(sink, cluster_by))
-        return observed_rows(obs), "full", version
-    if stage_source:
+        observed, obs = observe_rows(df, newest=F.col(mark_column) if mark_column else None)
+        version = sink.publish(observed, name, keys=list(keys) or None)
+        return observed_rows(obs), "full", version, obs.get.get("newest")
+    mark = None
+    if stage_source or mark_column:
         df = stage(df, f"{sink.database}/{name}")
+    if mark_column:
+        mark = df.agg(F.max(mark_column).cast("string")).first()[0]
     if isinstance(sink, (PartitionedSink, MergeIntoSink)):  # touched data only
-        return sink.upsert(df, name, keys, **upsert_kwargs), "delta", 0
+        return sink.upsert(df, name, keys, **upsert_kwargs), "delta", 0, mark
     merged, n = upsert_counted(sink.read(name), df, keys, **upsert_kwargs)
-    version = sink.publish(merged, name, keys=list(keys) or None, **_cluster(sink, cluster_by))
-    return int(n or 0), "delta", version
-
-
-def _cluster(sink, cluster_by) -> dict:
-    return {"cluster_by": list(cluster_by)} if cluster_by and isinstance(sink, SnapshotSink) \
-        else {}
+    version = sink.publish(merged, name, keys=list(keys) or None)
+    return int(n or 0), "delta", version, mark
 
 
 def publish_public_view(sink: Sink, name: str, security: SecurityConfig | None,
@@ -121,9 +127,7 @@ def run_fact_job(spark: SparkSession, sink: Sink, run_log: RunLog, name: str,
                     if not spark.catalog.tableExists(f"{security.config_database}.{t}"):
                         raise RuntimeError(f"{name}: security table "
                                            f"{security.config_database}.{t} is missing")
-        # cluster the fact by its filter column: secured reads skip row groups
-        cluster = [b["filter_column"]] if b else None
-        rows, effective, _ = load(sink, df, name, keys, load_type, cluster_by=cluster)
+        rows, effective, _ = load(sink, df, name, keys, load_type)
         action = publish_public_view(sink, name, security, df.columns, binding=b)
         log.info("%s: %s load of %d rows, public view %s (run %s)", target, effective, rows,
                  action, run_id)
@@ -162,36 +166,50 @@ def run_harmonise_job(spark: SparkSession, read_landing: Callable[[str], DataFra
     require_params(source_id=source_id, load_type=load_type)
     run_id = run_id or new_run_id()
     table_ids = {sp.target: sink.public_name(sp.target) for sp in specs}
-    if watermarks is None and state is not None:
+    from_state = watermarks is None and state is not None
+    if from_state:
         watermarks = stored_watermarks(state, table_ids)
     watermarks = watermarks or {}
+    marks: dict[str, str] = {}  # one entry per loaded table, stored once at the end
 
     def one(spec: TableSpec) -> int:
+        if from_state:  # a stored mark is the column's own text; a format is for what users type
+            spec = replace(spec, watermark_format=None)
+
         def body():
             exists = sink.exists(spec.target)
             df, effective = harmonise(read_landing(spec.source), spec, source_id, load_type,
                                       watermarks.get(spec.target), target_exists=exists)
-            rows, eff, _ = load(sink, df, spec.target, spec.keys, effective)
-            sink.set_public_view(spec.target)
+            col = None
             if state is not None and spec.watermark_column:
-                # DCL-2: the newest value of the loaded slice, never below the
-                # previous mark (an overlap window may re-read older rows)
                 col = spec.rename.get(spec.watermark_column, spec.watermark_column)
-                newest = F.max(col)
+            rows, eff, _, newest = load_marked(sink, df, spec.target, spec.keys, effective, col)
+            sink.set_public_view(spec.target)
+            if newest is not None:
+                # DCL-2: never below the previous mark (an overlap window may
+                # re-read older rows); compared in the column's own type
                 prev = watermarks.get(spec.target)
                 if prev:
-                    newest = F.greatest(newest, typed_watermark(
-                        df, col, prev, spec.watermark_format))
-                hwm = df.agg(newest.cast("string").alias("v")).first()["v"]
-                if hwm is not None:
-                    record_watermark(state, table_ids[spec.target], hwm)
+                    kind = df.schema[col].dataType
+                    newest = spark.range(1).select(F.greatest(
+                        F.lit(newest).cast(kind), typed_watermark(df, col, prev, spec.watermark_format)
+                    ).cast("string")).first()[0]
+                marks[table_ids[spec.target]] = newest
             return rows, eff
 
         return audited(run_log, run_id, sink.public_name(spec.target), load_type, body)
 
-    if max_parallel <= 1:
-        return sum(one(spec) for spec in specs)
+    try:
+        if max_parallel <= 1:
+            return sum(one(spec) for spec in specs)
+        return _in_parallel(spark, one, specs, max_parallel)
+    finally:
+        if marks:  # also those of the tables loaded before a failure
+            record_watermarks(state, marks)
+
 
+def _in_parallel(spark: SparkSession, one: Callable[[TableSpec], int],
+                 specs: Sequence[TableSpec], max_parallel: int) -> int:
     from concurrent.futures import ThreadPoolExecutor
 
     def in_pool(spec: TableSpec) -> int:

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.control import table_ddl_columns, table_schema
@@ -26,10 +26,13 @@ def new_run_id() -> str:
     return uuid.uuid4().hex
 
 
-def observe_rows(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """AGG-1: attach a row counter that fills in when ``df`` is written."""
+def observe_rows(df: DataFrame, name: str = "rows",
+                 newest: Column | None = None) -> tuple[DataFrame, Observation]:
+    """AGG-1: attach a row counter that fills in when ``df`` is written, and
+    the largest ``newest`` of the rows written (DCL-2)."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    more = [] if newest is None else [F.max(newest).cast("string").alias("newest")]
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *more), obs
 
 
 def observed_rows(obs: Observation) -> int:

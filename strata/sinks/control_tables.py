@@ -8,7 +8,7 @@ migration is retried by the next run.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,11 +57,14 @@ def insert_frame(sink: SnapshotSink, table: str, df: DataFrame) -> int:
 
 
 def soft_delete_rows(sink: SnapshotSink, table: str, predicate: Column, by: str) -> int:
-    """SNK-10 on storage: rewrite as a new snapshot with rows deactivated."""
-    current = sink.read(table)
-    updated = soft_delete(current, predicate, by)
-    sink.publish(updated, table, ddl_columns=table_ddl_columns(table))
-    return 1
+    """SNK-10 on storage: rewrite as a new snapshot with rows deactivated.
+    Returns the number of active rows that it deactivated."""
+    with sink.lock(f"{table}__state"):
+        current = sink.read(table)
+        n = current.where(predicate & F.col("is_active")).count()
+        sink.publish(soft_delete(current, predicate, by), table,
+                     ddl_columns=table_ddl_columns(table))
+    return n
 
 
 # ── migrations ──────────────────────────────────────────────────────────────
@@ -161,31 +164,47 @@ def platform_migrations() -> list[Migration]:
 
 # ── orchestration config state (DCL-2) ──────────────────────────────────────
 
-def record_watermark(sink: SnapshotSink, table_id: str, new_value: str | None) -> None:
-    """Store a table's new high-water mark and mark its first load complete.
+def record_watermarks(sink: SnapshotSink, marks: Mapping[str, str]) -> None:
+    """Store tables' new high-water marks and mark their first loads complete,
+    all in one snapshot, under the table's lock from read to repoint.
 
     A table without an orchestration row gets one (active, delta, run order 0).
     """
+    if not marks:
+        return
     ensure_table(sink, "orchestration_config")
-    current = sink.read("orchestration_config")
-    if not current.where(F.col("table_id") == F.lit(table_id)).limit(1).count():
-        catalog_schema, _, table = table_id.rpartition(".")
-        catalog, _, schema = catalog_schema.rpartition(".")
-        insert_rows(sink, "orchestration_config",
-                    [(table_id, catalog or "", schema, table, "delta", True, 0)],
-                    ["table_id", "catalog_name", "schema_name", "table_name", "load_type",
-                     "is_active", "run_order"])
+    with sink.lock("orchestration_config__state"):
         current = sink.read("orchestration_config")
-    hit = F.col("table_id") == F.lit(table_id)
-    updated = current.withColumns({
-        "watermark_value": F.when(hit, F.lit(new_value).cast("string"))
-                            .otherwise(F.col("watermark_value")),
-        "first_load_complete": F.when(hit, F.lit(True)).otherwise(F.col("first_load_complete")),
-        "updated_at": F.when(hit, F.current_timestamp()).otherwise(F.col("updated_at")),
-    })
-    sink.publish(updated, "orchestration_config",
-                 ddl_columns=table_ddl_columns("orchestration_config"))
+        known = {r[0] for r in current.where(F.col("table_id").isin(list(marks)))
+                 .select("table_id").collect()}
+        fresh = []
+        for table_id in sorted(set(marks) - known):
+            catalog_schema, _, table = table_id.rpartition(".")
+            catalog, _, schema = catalog_schema.rpartition(".")
+            fresh.append((table_id, catalog or "", schema, table, "delta", True, 0))
+        if fresh:
+            rows = seed_rows_frame(sink.spark, "orchestration_config", fresh,
+                                   ["table_id", "catalog_name", "schema_name", "table_name",
+                                    "load_type", "is_active", "run_order"])
+            rows = apply_defaults(rows, "orchestration_config")
+            current = current.unionByName(rows.select(*current.columns))
+        new = config_frame(sink.spark, list(marks.items()), "__id string, __mark string")
+        hit = F.col("__id").isNotNull()
+        updated = (current.join(F.broadcast(new), F.col("table_id") == F.col("__id"), "left")
+                   .withColumns({
+                       "watermark_value": F.when(hit, F.col("__mark")).otherwise(F.col("watermark_value")),
+                       "first_load_complete": hit | F.col("first_load_complete"),
+                       "updated_at": F.when(hit, F.current_timestamp()).otherwise(F.col("updated_at")),
+                   }).drop("__id", "__mark"))
+        sink.publish(updated, "orchestration_config",
+                     ddl_columns=table_ddl_columns("orchestration_config"))
+
+
+def record_watermark(sink: SnapshotSink, table_id: str, new_value: str | None) -> None:
+    """:func:`record_watermarks` for one table."""
+    record_watermarks(sink, {table_id: new_value})
 
 
 __all__ = ["CONTROL_TABLES", "Migration", "apply_migrations", "ensure_table", "insert_rows",
-           "insert_frame", "soft_delete_rows", "platform_migrations", "record_watermark"]
+           "insert_frame", "soft_delete_rows", "platform_migrations", "record_watermark",
+           "record_watermarks"]

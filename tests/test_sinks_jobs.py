@@ -4,7 +4,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators.harmonise import TableSpec
+from strata.operators.harmonise import BLP_TABLES, TableSpec
 from strata.operators.security import current_principal
 from strata.plans import facts, jobs
 from strata.sinks import control_tables as ct
@@ -320,20 +320,6 @@ def test_run_log_compacts_small_files(spark):
     assert sorted(r.rows for r in log.read().collect()) == [0, 1, 2, 3, 4]
 
 
-def test_published_fact_is_clustered_by_filter_column(spark):
-    import pyarrow.parquet as pq
-    sink = SnapshotSink(spark, db())
-    df = spark.range(0, 6000, numPartitions=4).select(
-        F.element_at(F.array(*[F.lit(c) for c in ("GF", "UP", "DS")]),
-                     (F.col("id") % 3 + 1).cast("int")).alias("lob_code"), F.col("id"))
-    sink.publish(df, "f", cluster_by=["lob_code"])
-    files = [f.replace("file:", "") for f in sink.read("f").inputFiles()]
-    assert files
-    for f in files:
-        codes = pq.read_table(f, columns=["lob_code"]).column("lob_code").to_pylist()
-        assert codes == sorted(codes)  # each file's rows ordered by the filter column
-
-
 def test_harmonise_job_keeps_watermarks_in_orchestration_config(spark):
     sink = SnapshotSink(spark, db())
     state = SnapshotSink(spark, db())
@@ -358,3 +344,62 @@ def test_harmonise_job_keeps_watermarks_in_orchestration_config(spark):
     assert n2 == newer and sink.read("orders_h").count() == orders.count()
     assert state.read("orchestration_config").first().watermark_value == \
         orders.agg(F.max("o_orderdate").cast("string")).first()[0]
+
+
+# ── watermark state ─────────────────────────────────────────────────────────
+
+def test_parallel_harmonise_keeps_every_mark(spark):
+    sink, state = SnapshotSink(spark, db()), SnapshotSink(spark, db())
+    landing = fx.blp_landing(fx.TestTables(spark, SF001))
+    specs = [TableSpec(s.source, s.target, (), s.watermark_column) for s in BLP_TABLES]
+    jobs.run_harmonise_job(spark, landing.__getitem__, sink, RunLog(sink), specs, "BLP", "delta",
+                           max_parallel=6, state=state)
+    rows = state.read("orchestration_config").collect()
+    assert len(rows) == 6 and all(r.watermark_value and r.first_load_complete for r in rows)
+    assert len(state.versions("orchestration_config")) <= 2  # the empty table and one publish
+
+
+def test_rows_that_arrive_during_a_load_are_not_lost(spark):
+    """The mark comes from the rows that were written, not from a second read."""
+    sink, state = SnapshotSink(spark, db()), SnapshotSink(spark, db())
+    name = db()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    rows = lambda a, b: spark.range(a, b).select(F.col("id").alias("k"), F.col("id").alias("w"))
+    rows(0, 10).write.saveAsTable(f"{name}.landing")
+    spec = TableSpec("landing", "t", ("k",), "w")
+
+    class Late(SnapshotSink):
+        late = 10
+
+        def publish(self, df, table, *a, **kw):
+            out = super().publish(df, table, *a, **kw)
+            if table == "t":  # rows land once the table is written, before its mark is
+                rows(self.late, self.late + 5).write.mode("append").saveAsTable(f"{name}.landing")
+                self.late += 5
+            return out
+
+    late = Late(spark, sink.database)
+    for _ in range(3):
+        jobs.run_harmonise_job(spark, lambda n: spark.table(f"{name}.{n}"), late, RunLog(state), [spec],
+                               "BLP", "delta", state=state)
+    got = sorted(r.k for r in late.read("t").collect())
+    assert got == list(range(20))
+    assert state.read("orchestration_config").first().watermark_value == "19"
+
+
+def test_stored_marks_need_no_format(spark):
+    sink, state = SnapshotSink(spark, db()), SnapshotSink(spark, db())
+    orders = fx.TestTables(spark, SF001)("orders")
+    spec = TableSpec("orders", "orders_h", ("o_orderkey",), "o_orderdate", watermark_format="yyyyMMdd")
+    early = orders.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    for frame in (early, orders):
+        jobs.run_harmonise_job(spark, lambda n, f=frame: f, sink, RunLog(sink), [spec], "BLP", "delta", state=state)
+    assert sink.read("orders_h").count() == orders.count()
+
+
+def test_soft_delete_counts_what_it_changed(spark):
+    sink = SnapshotSink(spark, db())
+    ct.apply_migrations(sink, ct.platform_migrations(), "dev")
+    hit = F.col("lob_code").isin("UP", "DS", "none")
+    assert ct.soft_delete_rows(sink, "lob_group_map", hit, "t") == 2
+    assert ct.soft_delete_rows(sink, "lob_group_map", hit, "t") == 0
