@@ -2,16 +2,13 @@
 
 Written independently of the Spark plans: plain SQL over the test tables,
 with MERGE expressed as ``LEFT JOIN ... UNION ALL ... NOT EXISTS`` and the
-row filters as the EXISTS form of the reference's filter functions. The
-config rows (LOB seed, membership) are rendered from the same constants
-the Spark side uses, so both read identical inputs.
+row filters as EXISTS predicates. The config rows are written out here on
+their own: nothing is imported from the library, so a wrong seed or
+membership on its side shows.
 """
 
 from __future__ import annotations
 
-from strata.operators.control import LOB_REFINERY, LOB_SEED
-from strata.sources.fixtures import MEMBERSHIP
-
 
 def _q(v) -> str:
     if v is None:
@@ -89,8 +86,25 @@ LOGI_CTES = [
 
 # ── config tables ───────────────────────────────────────────────────────────
 
-_LOB_ROWS = [(r[0], r[1], r[2], r[3], r[4]) for r in LOB_SEED] + [
-    (LOB_REFINERY[0], LOB_REFINERY[1], LOB_REFINERY[2], LOB_REFINERY[3], False)]
+# lob_code, lob_name, entra_group_id, scope, is_active.
+_LOB_ROWS = [
+    ("UP", "Upstream", "grp-lob-up", "LOB", True),
+    ("DS", "Downstream", "grp-lob-ds", "LOB", True),
+    ("GF", "Functions", "grp-lob-gf", "LOB", True),
+    ("GLOBAL", "All LOBs", "grp-lob-global", "GLOBAL", True),
+    ("RF", "Refinery", "grp-lob-rf", "LOB", False),
+]
+# Principal, group. The viewer is the user who runs the session.
+_MEMBERS = [
+    ("ana", "grp-lob-up"), ("ana", "grp-lob-gf"),
+    ("gil", "grp-lob-global"), ("gil", "grp-entity-global"), ("gil", "grp-asset-global"),
+    ("eve", "grp-entity-r0"), ("eve", "grp-entity-r3"),
+    ("ash", "grp-asset-n7"), ("ash", "grp-asset-n11"),
+    ("rita", "grp-lob-rf"), ("bo", "uat-business-owners"),
+    ("nobody", "grp-of-no-map"),
+    ("viewer", "grp-lob-ds"), ("viewer", "grp-lob-rf"), ("viewer", "grp-entity-r1"),
+    ("viewer", "grp-entity-r2"), ("viewer", "grp-asset-n3"), ("viewer", "grp-asset-n20"),
+]
 LOB_MAP = "lob_map AS (" + _values(
     _LOB_ROWS, ["lob_code", "lob_name", "entra_group_id", "scope", "is_active"]) + ")"
 ENTITY_MAP = """entity_map AS (
@@ -105,7 +119,7 @@ ASSET_MAP = """asset_map AS (
          'grp-asset-n' || CAST(s_nationkey AS VARCHAR) AS entra_group_id,
          'ASSET' AS scope, true AS is_active FROM supplier
   UNION ALL SELECT 'GLOBAL', 'All assets', 'grp-asset-global', 'GLOBAL', true)"""
-MEMBERS = "membership AS (" + _values(MEMBERSHIP, ["principal", "group_id"]) + ")"
+MEMBERS = "membership AS (" + _values(_MEMBERS, ["principal", "group_id"]) + ")"
 
 
 def _with(ctes: list[str], body: str) -> str:
@@ -154,6 +168,7 @@ def oracle_sql() -> dict[str, str]:
     q["secured_material_on_time"] = _with(MOT_CTES + [LOB_MAP, MEMBERS],
                                           _filtered("mot", "lob_code", "lob_map", "lob_code",
                                                     "ana"))
+    q["material_on_time_hot"] = q["material_on_time"]
     q["spend_rename"] = _with(SPEND_CTES, _SPEND_BODY)
     q["spend_with_contract"] = _with(
         SPEND_CTES + [CLM],
@@ -173,7 +188,7 @@ def oracle_sql() -> dict[str, str]:
 
     q["watermark_delta"] = (f"SELECT *, {_PROV.format(lt='delta')} FROM orders "
                             "WHERE o_orderdate > TIMESTAMP '2000-01-01'")
-    q["watermark_compact"] = q["watermark_delta"]
+    q["watermark_compact"] = q["watermark_delta"].replace("2000-01-01", "1998-06-01")
     q["watermark_events"] = ("SELECT *, 'APP' AS _source_id, 'delta' AS _load_type, "
                              "true AS has_loaded_at FROM events "
                              "WHERE ts > TIMESTAMP '2024-01-15 12:00:00.5'")
@@ -219,34 +234,73 @@ def oracle_sql() -> dict[str, str]:
     lob = MOT_CTES + [LOB_MAP, MEMBERS]
     q["row_filter_lob"] = _with(lob, _filtered("mot_all", "lob_code", "lob_map", "lob_code",
                                                "ana"))
-    q["row_filter_lob_lazy"] = q["row_filter_lob"]
     ent = SPEND_CTES + [ENTITY_MAP, MEMBERS]
     q["row_filter_entity"] = _with(ent, _filtered("spend", "company_code", "entity_map",
                                                   "company_code", "eve"))
     q["row_filter_asset"] = _with(LOGI_CTES + [ASSET_MAP, MEMBERS],
                                   _filtered("logi", "asset_id", "asset_map", "asset_id", "ash"))
-    q["row_filter_asset_lazy"] = q["row_filter_asset"]
     q["row_filter_global"] = _with(ent, _filtered("spend", "company_code", "entity_map",
                                                   "company_code", "gil"))
-    q["row_filter_no_group"] = _with(lob, _filtered("mot", "lob_code", "lob_map", "lob_code",
-                                                    "nobody"))
-    q["row_filter_inactive"] = _with(lob, _filtered("mot", "lob_code", "lob_map", "lob_code",
-                                                    "rita"))
+    counted = []
+    for table, fact, column, map_cte, key in (
+            ("fact_mot", "mot_all", "lob_code", "lob_map", "lob_code"),
+            ("fact_spend", "spend_all", "company_code", "entity_map", "company_code"),
+            ("fact_kabal_logistics", "logi", "asset_id", "asset_map", "asset_id")):
+        counted.append(f"""SELECT '{table}' AS target, p.principal, count(f.{column}_row) AS visible_rows
+FROM (SELECT DISTINCT principal FROM membership WHERE principal <> 'viewer') p
+LEFT JOIN (SELECT *, 1 AS {column}_row FROM {fact}) f ON EXISTS (
+    SELECT 1 FROM {map_cte} m JOIN membership g ON g.group_id = m.entra_group_id
+    WHERE m.is_active AND g.principal = p.principal
+      AND (m.{key} = f.{column} OR m.scope = 'GLOBAL'))
+GROUP BY p.principal""")
+    q["visible_rows_per_principal"] = _with(
+        MOT_CTES + SPEND_CTES + LOGI_CTES + [LOB_MAP, ENTITY_MAP, ASSET_MAP, MEMBERS],
+        "\nUNION ALL\n".join(counted))
+    q["published_fact_mot"] = _with(lob, _filtered("mot", "lob_code", "lob_map", "lob_code",
+                                                   "viewer"))
+    q["published_fact_spend"] = _with(
+        SPEND_CTES + [CLM, ENTITY_MAP, MEMBERS, "spend_c AS (SELECT * FROM spend LEFT JOIN (SELECT po_number, "
+                      "contract_id, contract_type FROM clm) c USING (po_number))"],
+        _filtered("spend_c", "company_code", "entity_map", "company_code", "viewer"))
+    q["published_fact_logistics"] = _with(
+        LOGI_CTES + [ASSET_MAP, MEMBERS], _filtered("logi", "asset_id", "asset_map", "asset_id", "viewer"))
     q["row_filter_null_code"] = _with(ent, _filtered("spend_all", "company_code", "entity_map",
                                                      "company_code", "eve"))
     q["row_filter_null_code_global"] = _with(ent, _filtered("spend_all", "company_code",
                                                             "entity_map", "company_code", "gil"))
 
-    q["mask_member"] = q["harmonise_passthrough"]
-    q["mask_non_member"] = (f"SELECT c_custkey, {_MASK} AS c_name, c_nationkey, c_acctbal, "
-                            f"c_mktsegment, {_PROV.format(lt='full')} FROM customer")
+    q["mask_member"] = ("SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS VARCHAR) AS c_acctbal, "
+                        "c_mktsegment FROM customer")
+    q["mask_non_member"] = (f"SELECT c_custkey, {_MASK} AS c_name, c_nationkey, {_MASK} AS c_acctbal, "
+                            "c_mktsegment FROM customer")
 
     q["run_audit_totals"] = _with(
         ["per_table AS (" + " UNION ALL ".join(
-            f"SELECT '{t}' AS target, count(*) AS rows FROM {t}"
-            for t in ("customer", "orders", "part", "supplier")) + ")"],
-        "SELECT target, rows FROM per_table UNION ALL "
-        "SELECT 'TOTAL', CAST(sum(rows) AS BIGINT) FROM per_table")
+            f"SELECT '{t}' AS target, 'success' AS status, count(*) AS rows FROM {t}"
+            for t in ("customer", "orders", "part", "supplier", "lineitem", "events")) + ")"],
+        "SELECT target, status, rows FROM per_table UNION ALL "
+        "SELECT 'TOTAL', 'success', CAST(sum(rows) AS BIGINT) FROM per_table")
+    loaded = []
+    for t, c, first in (("orders", "o_orderdate", "1999-01-01"), ("events", "ts", "2024-01-10")):
+        split = f"CASE WHEN {c} < TIMESTAMP '{first}' THEN 'full' ELSE 'delta' END"
+        loaded.append(f"SELECT '{t}' AS target, {split} AS _load_type, count(*) AS rows, "
+                      f"CAST(max({c}) AS VARCHAR) AS newest FROM {t} GROUP BY 2")
+        loaded.append(f"SELECT '{t}', 'mark', CAST(NULL AS BIGINT), CAST(max({c}) AS VARCHAR) FROM {t}")
+    q["harmonise_then_delta"] = " UNION ALL ".join(loaded)
+    batch = _ORDERS_BATCH.replace("o_orderpriority FROM", "o_orderpriority, 'b1' AS o_batch FROM")
+    q["load_full_then_delta_snapshot"] = _merge(
+        "SELECT *, CAST(NULL AS VARCHAR) AS o_batch FROM orders "
+        "WHERE o_orderdate < TIMESTAMP '2000-01-01'", batch, ORDERS_COLS + ["o_batch"], ["o_orderkey"])
+    year = "SELECT *, CASE WHEN o_orderstatus <> 'P' THEN year(o_orderdate) END AS o_year FROM ({})"
+    q["load_full_then_delta_partitioned"] = _merge(
+        year.format("SELECT *, CAST(NULL AS VARCHAR) AS o_batch FROM orders "
+                    "WHERE o_orderdate < TIMESTAMP '2000-01-01'"),
+        year.format(batch.replace("o_orderdate, o", "o_orderdate + INTERVAL 400 DAYS AS o_orderdate, o")),
+        ORDERS_COLS + ["o_batch", "o_year"], ["o_orderkey"])
+    q["load_recent_orders_partitioned"] = (
+        "SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate > TIMESTAMP '2001-06-01' THEN 'X' "
+        "ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, "
+        "o_orderkey // 2000 AS okr FROM orders")
     q["seed_entity_map"] = _with(
         [ENTITY_MAP], "SELECT company_code, entity_name, entra_group_id, scope, is_active, "
                       "CAST(NULL AS VARCHAR) AS updated_by, true AS has_created_at "

@@ -1,14 +1,17 @@
 """Registered queries: each runs a library operator over the test tables.
 
-Every callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose
-work grows with the tables. Small config inputs (group maps, membership)
-are fixed rows; the data they filter is always the whole table.
+Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose work
+grows with the tables. Small config inputs (group maps, membership) are fixed
+rows; the data they filter is always the whole table. Queries of the write
+path run the jobs into a database of their own under the shared checkpoint
+folder and return what a reader finds there.
 Non-deterministic columns (load timestamps) are reported as
 ``has_<col>`` booleans so results can be compared.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +20,14 @@ from pyspark.sql import functions as F
 from strata.operators import checks, control, security
 from strata.operators.harmonise import TableSpec, harmonise, high_water_mark
 from strata.operators.upsert import load_frame, upsert
-from strata.plans import facts
+from strata.plans import facts, jobs
+from strata.session import checkpoint_dir
+from strata.sinks.audit import RunLog, run_totals
+from strata.sinks.mirror import mirror_table
+from strata.sinks.partitioned import PartitionedSink, key_range
+from strata.sinks.publish import SnapshotSink
 from strata.sources import fixtures as fx
+from strata.sources.registry import bindings_frame
 from strata.sources.tables import optional_table
 
 SOFT_DELETE_AT = "2026-01-01 00:00:00"
@@ -28,6 +37,13 @@ def _tables(spark: SparkSession, sf_dir: str) -> fx.TestTables:
     return fx.TestTables(spark, sf_dir)
 
 
+def _database(spark: SparkSession, label: str) -> str:
+    """A new database in the shared folder, so that executors can write to it."""
+    name = f"strata_{label}_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{checkpoint_dir(spark).rstrip('/')}/{name}'")
+    return name
+
+
 def _ts(df: DataFrame, column: str, value: str):
     """A literal of the column's own timestamp type."""
     return F.lit(value).cast(df.schema[column].dataType)
@@ -56,6 +72,13 @@ def material_on_time_all(spark, sf_dir):
     return material_on_time(spark, sf_dir, exclude_unknown=False)
 
 
+def material_on_time_hot(spark, sf_dir):
+    """JN-1 with the hot-key path taken: deliveries of over eight items."""
+    t = _tables(spark, sf_dir)
+    return facts.material_on_time_fact(fx.delivery_header(t), fx.delivery_items(t),
+                                       fx.sales_orders(t), fx.materials(t), hot_key_rows=8)
+
+
 def spend_rename(spark, sf_dir):
     return facts.spend_lines_renamed(fx.spend_lines(_tables(spark, sf_dir)))
 
@@ -115,7 +138,7 @@ ORDERS_COMPACT = TableSpec("orders", "orders", ("o_orderkey",), "o_orderdate",
 def watermark_compact(spark, sf_dir):
     """FLT-1 with a compact text watermark parsed into the column's type."""
     df, _ = harmonise(_tables(spark, sf_dir)("orders"), ORDERS_COMPACT, "BLP", "delta",
-                      watermark="20000101")
+                      watermark="19980601")
     return _stable(df)
 
 
@@ -219,23 +242,12 @@ def row_filter_lob(spark, sf_dir):
                                fx.membership(spark), "ana")
 
 
-def row_filter_lob_lazy(spark, sf_dir):
-    return security.row_filter(material_on_time_all(spark, sf_dir), "lob_code", _lob(spark),
-                               fx.membership(spark), "ana", mode="lazy")
-
-
 def secured_material_on_time(spark, sf_dir):
     """Flagship: the curated on-time fact as one LOB reader sees it."""
     return security.row_filter(material_on_time(spark, sf_dir), "lob_code", _lob(spark),
                                fx.membership(spark), "ana")
 
 
-def row_filter_asset_lazy(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    return security.row_filter(logistics_on_time(spark, sf_dir), "asset_id",
-                               fx.asset_group_map(t), fx.membership(spark), "ash", mode="lazy")
-
-
 def row_filter_entity(spark, sf_dir):
     t = _tables(spark, sf_dir)
     return security.row_filter(spend_rename(spark, sf_dir), "company_code",
@@ -254,14 +266,62 @@ def row_filter_global(spark, sf_dir):
                                fx.legal_entity_group_map(t), fx.membership(spark), "gil")
 
 
-def row_filter_no_group(spark, sf_dir):
-    return security.row_filter(material_on_time(spark, sf_dir), "lob_code", _lob(spark),
-                               fx.membership(spark), "nobody")
+def visible_rows_per_principal(spark, sf_dir):
+    """FLT-6, FN-6: how many rows of each fact every principal sees, zeros of
+    readers without a group or with an inactive mapping included."""
+    t = _tables(spark, sf_dir)
+    members = fx.membership(spark).unionByName(
+        fx.membership(spark).select(F.lit("nobody").alias("principal"),
+                                    F.lit("grp-of-no-map").alias("group_id")).distinct())
+    out = None
+    for table, fact, column, group_map in (
+            ("fact_mot", material_on_time_all(spark, sf_dir), "lob_code", _lob(spark)),
+            ("fact_spend", _spend_with_nulls(spark, sf_dir), "company_code",
+             fx.legal_entity_group_map(t)),
+            ("fact_kabal_logistics", logistics_on_time(spark, sf_dir), "asset_id",
+             fx.asset_group_map(t))):
+        rows = security.visible_rows(fact, column, group_map, members).select(
+            F.lit(table).alias("target"), "principal", "visible_rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
-def row_filter_inactive(spark, sf_dir):
-    return security.row_filter(material_on_time(spark, sf_dir), "lob_code", _lob(spark),
-                               fx.membership(spark), "rita")
+# groups of the session's user in the queries that read a published view
+VIEWER_GROUPS = ["grp-lob-ds", "grp-lob-rf", "grp-entity-r1", "grp-entity-r2", "grp-asset-n3",
+                 "grp-asset-n20"]
+
+
+def _published(spark, sf_dir, schema: str, table: str, build, keys, maps) -> DataFrame:
+    """SEC-1..3: run the fact job with its registry binding and read the
+    public name as the session's user."""
+    config = _database(spark, "config")
+    for name, frame in maps.items():
+        frame.write.saveAsTable(f"{config}.{name}")
+    me = security.current_principal(spark)
+    fx.config_frame(spark, [(me, g) for g in VIEWER_GROUPS], "principal string, group_id string") \
+        .write.saveAsTable(f"{config}.group_membership")
+    sink = SnapshotSink(spark, _database(spark, schema))
+    rules = jobs.SecurityConfig(bindings_frame(spark), config, schema_name=schema)
+    jobs.run_fact_job(spark, sink, RunLog(SnapshotSink(spark, config)), table,
+                      lambda: build(spark, sf_dir), keys, "delta", rules)
+    return spark.table(sink.public_name(table))
+
+
+def published_fact_mot(spark, sf_dir):
+    return _published(spark, sf_dir, "plan", "fact_mot", material_on_time, facts.MOT_KEYS,
+                      {"lob_group_map": _lob(spark)})
+
+
+def published_fact_spend(spark, sf_dir):
+    return _published(spark, sf_dir, "sourcing", "fact_spend", spend_with_contract,
+                      facts.SPEND_KEYS,
+                      {"legal_entity_group_map": fx.legal_entity_group_map(_tables(spark, sf_dir))})
+
+
+def published_fact_logistics(spark, sf_dir):
+    return _published(spark, sf_dir, "deliver", "fact_kabal_logistics", logistics_on_time,
+                      facts.LOGISTICS_KEYS,
+                      {"asset_group_map": fx.asset_group_map(_tables(spark, sf_dir))})
 
 
 def _spend_with_nulls(spark, sf_dir):
@@ -284,40 +344,120 @@ def row_filter_null_code_global(spark, sf_dir):
 MASK_GROUPS = ["uat-business-owners"]
 
 
-def _mirror_customer(spark, sf_dir):
-    df, _ = harmonise(_tables(spark, sf_dir)("customer"), CUSTOMER_SPEC, "BLP", "full")
-    return _stable(df)
+def _masked_mirror(spark, sf_dir, groups: list[str]) -> DataFrame:
+    """DCL-3, SEC-4: mirror the customers behind a masking view (a text and a
+    numeric column) and read it as the session's user, a member of ``groups``."""
+    source, target = _database(spark, "euh"), _database(spark, "mirror")
+    _tables(spark, sf_dir)("customer").write.saveAsTable(f"{source}.customer")
+    me = security.current_principal(spark)
+    fx.config_frame(spark, [(me, g) for g in groups], "principal string, group_id string") \
+        .write.saveAsTable(f"{source}.group_membership")
+    sink = SnapshotSink(spark, target)
+    mirror_table(spark, f"{source}.customer", sink, "customer", deep=True,
+                 masked=["c_name", "c_acctbal"], allowed_groups=MASK_GROUPS,
+                 membership_table=f"{source}.group_membership")
+    return spark.table(sink.public_name("customer"))
 
 
 def mask_member(spark, sf_dir):
-    return security.mask_columns(_mirror_customer(spark, sf_dir), ["c_name"], MASK_GROUPS,
-                                 fx.membership(spark), "bo")
+    return _masked_mirror(spark, sf_dir, MASK_GROUPS)
 
 
 def mask_non_member(spark, sf_dir):
-    return security.mask_columns(_mirror_customer(spark, sf_dir), ["c_name"], MASK_GROUPS,
-                                 fx.membership(spark), "ana")
+    return _masked_mirror(spark, sf_dir, ["grp-lob-up"])
 
 
 # ── audit, control, checks ──────────────────────────────────────────────────
 
-AUDITED = ("customer", "orders", "part", "supplier")
+AUDITED = (("customer", None), ("orders", "o_orderdate"), ("part", None), ("supplier", None),
+           ("lineitem", "l_shipdate"), ("events", "ts"))
 
 
 def run_audit_totals(spark, sf_dir):
-    """AGG-1/AGG-2: rows per harmonised table and the run total."""
-    t = _tables(spark, sf_dir)
-    per_table = None
-    for name in AUDITED:
-        df, _ = harmonise(t(name), TableSpec(name, name, ()), "BLP", "full")
-        counted = df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("target"), F.col("rows"))
-        per_table = counted if per_table is None else per_table.unionByName(counted)
-    total = per_table.agg(F.sum("rows").cast("bigint").alias("rows")).select(
-        F.lit("TOTAL").alias("target"), F.col("rows"))
+    """AGG-1/AGG-2, SNK-5: harmonise six tables, then their run-log rows and
+    the run's total. Counts come from the observed writes."""
+    sink = SnapshotSink(spark, _database(spark, "audit"))
+    log = RunLog(sink)
+    jobs.run_harmonise_job(spark, _tables(spark, sf_dir), sink, log,
+                           [TableSpec(n, n, (), w) for n, w in AUDITED], "BLP", "full",
+                           max_parallel=3)
+    rows = log.read()
+    total = run_totals(rows).select(F.lit("TOTAL").alias("target"), "status", "rows")
+    per_table = rows.select(F.substring_index("target", ".", -1).alias("target"), "status",
+                            F.col("rows").cast("bigint").alias("rows"))
     return per_table.unionByName(total)
 
 
+def harmonise_then_delta(spark, sf_dir):
+    """DCL-2, SNK-4: a first load and a delta from the stored mark, both
+    tables in parallel; the tables and their marks as stored."""
+    t = _tables(spark, sf_dir)
+    sink, state = (SnapshotSink(spark, _database(spark, n)) for n in ("euh", "state"))
+    specs = [TableSpec("orders", "orders", ("o_orderkey",), "o_orderdate", watermark_format="yyyyMMdd"),
+             TableSpec("events", "events", ("event_id",), "ts")]
+    early = {"orders": "1999-01-01", "events": "2024-01-10"}
+
+    def first(name):
+        df, col = t(name), {s.source: s.watermark_column for s in specs}[name]
+        return df.where(F.col(col) < _ts(df, col, early[name]))
+
+    for read in (first, t):
+        jobs.run_harmonise_job(spark, read, sink, RunLog(sink), specs, "BLP", "delta",
+                               max_parallel=2, state=state)
+    out = None
+    for sp in specs:
+        rows = sink.read(sp.target).groupBy("_load_type").agg(
+            F.count(F.lit(1)).alias("rows"), F.max(sp.watermark_column).cast("string").alias("newest"))
+        rows = rows.select(F.lit(sp.target).alias("target"), "_load_type", "rows", "newest")
+        out = rows if out is None else out.unionByName(rows)
+    marks = state.read("orchestration_config").select(
+        F.col("table_name").alias("target"), F.lit("mark").alias("_load_type"),
+        F.lit(None).cast("bigint").alias("rows"), F.col("watermark_value").alias("newest"))
+    return out.unionByName(marks)
+
+
+# ── stored loads ────────────────────────────────────────────────────────────
+
+def _full_then_delta(sink, base: DataFrame, batch: DataFrame) -> DataFrame:
+    jobs.load(sink, base, "orders", ["o_orderkey"], "full")
+    jobs.load(sink, batch, "orders", ["o_orderkey"], "delta", evolve=True)
+    return sink.read("orders")
+
+
+def _dated(df: DataFrame) -> DataFrame:
+    """Partition value: the year, NULL for pending orders."""
+    return df.withColumn("o_year", F.when(F.col("o_orderstatus") != F.lit("P"), F.year("o_orderdate")))
+
+
+def load_full_then_delta_partitioned(spark, sf_dir):
+    """SNK-1/2 stored: a full load and a delta that brings a column, moves
+    orders between partitions and touches the NULL partition."""
+    orders = _tables(spark, sf_dir)("orders")
+    base = _dated(orders.where(F.col("o_orderdate") < _ts(orders, "o_orderdate", "2000-01-01")))
+    batch = _dated(_orders_batch(orders).withColumn(
+        "o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 400 DAYS")).withColumn(
+        "o_batch", F.lit("b1")))
+    return _full_then_delta(PartitionedSink(spark, _database(spark, "part"), "o_year"), base, batch)
+
+
+def load_full_then_delta_snapshot(spark, sf_dir):
+    orders = _tables(spark, sf_dir)("orders")
+    base = orders.where(F.col("o_orderdate") < _ts(orders, "o_orderdate", "2000-01-01"))
+    batch = _orders_batch(orders).withColumn("o_batch", F.lit("b1"))
+    return _full_then_delta(SnapshotSink(spark, _database(spark, "snap")), base, batch)
+
+
+def load_recent_orders_partitioned(spark, sf_dir):
+    """SNK-2 stored, keys that never move: a small batch of the newest keys
+    rewrites only their ranges."""
+    orders = _tables(spark, sf_dir)("orders").withColumn("okr", key_range("o_orderkey", 2000))
+    sink = PartitionedSink(spark, _database(spark, "ranges"), "okr", stable_keys=True)
+    jobs.load(sink, orders, "orders", ["o_orderkey"], "full")
+    recent = orders.where(F.col("o_orderdate") > _ts(orders, "o_orderdate", "2001-06-01"))
+    jobs.load(sink, recent.withColumn("o_orderstatus", F.lit("X")), "orders", ["o_orderkey"], "delta")
+    return sink.read("orders")
+
+
 def _entity_map_view(df: DataFrame) -> DataFrame:
     return df.select("company_code", "entity_name", "entra_group_id", "scope", "is_active",
                      "updated_by", F.col("created_at").isNotNull().alias("has_created_at"))
@@ -351,6 +491,7 @@ def null_violations(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "material_on_time": material_on_time,
     "material_on_time_all": material_on_time_all,
+    "material_on_time_hot": material_on_time_hot,
     "secured_material_on_time": secured_material_on_time,
     "spend_rename": spend_rename,
     "spend_with_contract": spend_with_contract,
@@ -370,18 +511,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_evolve": upsert_evolve,
     "upsert_events_late": upsert_events_late,
     "row_filter_lob": row_filter_lob,
-    "row_filter_lob_lazy": row_filter_lob_lazy,
     "row_filter_entity": row_filter_entity,
     "row_filter_asset": row_filter_asset,
-    "row_filter_asset_lazy": row_filter_asset_lazy,
     "row_filter_global": row_filter_global,
-    "row_filter_no_group": row_filter_no_group,
-    "row_filter_inactive": row_filter_inactive,
+    "visible_rows_per_principal": visible_rows_per_principal,
+    "published_fact_mot": published_fact_mot,
+    "published_fact_spend": published_fact_spend,
+    "published_fact_logistics": published_fact_logistics,
     "row_filter_null_code": row_filter_null_code,
     "row_filter_null_code_global": row_filter_null_code_global,
     "mask_member": mask_member,
     "mask_non_member": mask_non_member,
     "run_audit_totals": run_audit_totals,
+    "harmonise_then_delta": harmonise_then_delta,
+    "load_full_then_delta_partitioned": load_full_then_delta_partitioned,
+    "load_full_then_delta_snapshot": load_full_then_delta_snapshot,
+    "load_recent_orders_partitioned": load_recent_orders_partitioned,
     "seed_entity_map": seed_entity_map,
     "soft_delete_entity_map": soft_delete_entity_map,
     "null_violations": null_violations,
