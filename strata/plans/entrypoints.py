@@ -22,7 +22,10 @@ from strata.operators.harmonise import BLP_TABLES, TableSpec
 from strata.plans import facts, jobs
 from strata.sinks import control_tables
 from strata.sinks.audit import RunLog
+from strata.sinks.base import Sink
+from strata.sinks.merge_into import MergeIntoSink
 from strata.sinks.mirror import mirror_schema
+from strata.sinks.partitioned import PartitionedSink
 from strata.sinks.publish import SnapshotSink
 from strata.sources.registry import bindings_frame
 from strata.sources.tables import full_name, optional_table, read_table
@@ -44,11 +47,30 @@ def _security(spark: SparkSession, catalog: str, domain_schema: str,
                                schema_name=domain_schema)
 
 
+def make_sink(spark: SparkSession, database: str, spec: str = "snapshot") -> Sink:
+    """The sink that a table's configuration names:
+
+    - ``snapshot``: small tables, and any table where nothing else is set up;
+    - ``partitioned:<column>``: large tables; a delta rewrites only the
+      partitions it touches;
+    - ``merge`` or ``merge:<format>``: tables of a format with row-level
+      operations; a delta is the format's own MERGE."""
+    kind, _, argument = spec.partition(":")
+    if kind == "snapshot" and not argument:
+        return SnapshotSink(spark, database)
+    if kind == "partitioned" and argument:
+        return PartitionedSink(spark, database, argument)
+    if kind == "merge":
+        return MergeIntoSink(spark, database, argument or None)
+    raise ValueError(f"unknown sink {spec!r}: snapshot, partitioned:<column> or merge[:<format>]")
+
+
 def euh_job(spark: SparkSession, catalog: str, landing_schema: str, euh_schema: str,
             load_type: str = "delta", watermark_value: str = "", source_id: str = "BLP",
             specs: Sequence[TableSpec] = BLP_TABLES, max_parallel: int = 1,
             platform_schema: str = PLATFORM_SCHEMA, watermark_format: str = "",
-            track_watermarks: bool = False, config_schema: str = CONFIG_SCHEMA) -> int:
+            track_watermarks: bool = False, config_schema: str = CONFIG_SCHEMA,
+            sink: str = "snapshot") -> int:
     """Landing -> harmonised for one source (the six BLP tables by default).
 
     One watermark text applies to every table, as in the reference; it is
@@ -60,18 +82,18 @@ def euh_job(spark: SparkSession, catalog: str, landing_schema: str, euh_schema:
     require_params(catalog=catalog, landing_schema=landing_schema, euh_schema=euh_schema)
     if watermark_format:
         specs = [replace(sp, watermark_format=watermark_format) for sp in specs]
-    sink = SnapshotSink(spark, full_name(catalog, euh_schema))
+    target = make_sink(spark, full_name(catalog, euh_schema), sink)
     marks = {s.target: watermark_value for s in specs} if watermark_value else None
     state = SnapshotSink(spark, full_name(catalog, config_schema)) if track_watermarks else None
     return jobs.run_harmonise_job(
-        spark, lambda t: read_table(spark, full_name(catalog, landing_schema, t)), sink,
+        spark, lambda t: read_table(spark, full_name(catalog, landing_schema, t)), target,
         _log(spark, catalog, platform_schema), specs, source_id, load_type, marks,
         max_parallel=max_parallel, state=state)
 
 
 def fact_mot_job(spark: SparkSession, catalog: str, euh_schema: str, domain_schema: str,
                  load_type: str = "delta", config_schema: str = CONFIG_SCHEMA,
-                 platform_schema: str = PLATFORM_SCHEMA) -> int:
+                 platform_schema: str = PLATFORM_SCHEMA, sink: str = "snapshot") -> int:
     """plan.fact_mot from the harmonised delivery, order and material tables."""
     require_params(catalog=catalog, euh_schema=euh_schema, domain_schema=domain_schema)
     euh = lambda t: read_table(spark, full_name(catalog, euh_schema, t))
@@ -79,7 +101,7 @@ def fact_mot_job(spark: SparkSession, catalog: str, euh_schema: str, domain_sche
     def build():
         return facts.material_on_time_fact(euh("likp"), euh("lips"), euh("vbak"), euh("mara"))
 
-    return jobs.run_fact_job(spark, SnapshotSink(spark, full_name(catalog, domain_schema)),
+    return jobs.run_fact_job(spark, make_sink(spark, full_name(catalog, domain_schema), sink),
                              _log(spark, catalog, platform_schema), "fact_mot", build,
                              facts.MOT_KEYS, load_type,
                              _security(spark, catalog, domain_schema, config_schema))
@@ -88,7 +110,7 @@ def fact_mot_job(spark: SparkSession, catalog: str, euh_schema: str, domain_sche
 def fact_spend_job(spark: SparkSession, catalog: str, euh_schema_arb: str, domain_schema: str,
                    euh_schema_clm: str = "", load_type: str = "delta",
                    contract_policy: str = "check", config_schema: str = CONFIG_SCHEMA,
-                   platform_schema: str = PLATFORM_SCHEMA) -> int:
+                   platform_schema: str = PLATFORM_SCHEMA, sink: str = "snapshot") -> int:
     """sourcing.fact_spend; the contract source is optional (SRC-2)."""
     require_params(catalog=catalog, euh_schema_arb=euh_schema_arb, domain_schema=domain_schema)
 
@@ -97,7 +119,7 @@ def fact_spend_job(spark: SparkSession, catalog: str, euh_schema_arb: str, domai
         clm = optional_table(spark, euh_schema_clm, "clm_contract_lines", catalog)
         return facts.spend_fact(spend, clm, contract_policy)
 
-    return jobs.run_fact_job(spark, SnapshotSink(spark, full_name(catalog, domain_schema)),
+    return jobs.run_fact_job(spark, make_sink(spark, full_name(catalog, domain_schema), sink),
                              _log(spark, catalog, platform_schema), "fact_spend", build,
                              facts.SPEND_KEYS, load_type,
                              _security(spark, catalog, domain_schema, config_schema))
@@ -105,7 +127,7 @@ def fact_spend_job(spark: SparkSession, catalog: str, euh_schema_arb: str, domai
 
 def fact_logistics_job(spark: SparkSession, catalog: str, euh_schema: str, domain_schema: str,
                        load_type: str = "delta", config_schema: str = CONFIG_SCHEMA,
-                       platform_schema: str = PLATFORM_SCHEMA) -> int:
+                       platform_schema: str = PLATFORM_SCHEMA, sink: str = "snapshot") -> int:
     """deliver.fact_kabal_logistics from asset movements and assets."""
     require_params(catalog=catalog, euh_schema=euh_schema, domain_schema=domain_schema)
 
@@ -113,7 +135,7 @@ def fact_logistics_job(spark: SparkSession, catalog: str, euh_schema: str, domai
         r = lambda t: read_table(spark, full_name(catalog, euh_schema, t))
         return facts.logistics_fact(r("kabal_asset_movements"), r("kabal_assets"))
 
-    return jobs.run_fact_job(spark, SnapshotSink(spark, full_name(catalog, domain_schema)),
+    return jobs.run_fact_job(spark, make_sink(spark, full_name(catalog, domain_schema), sink),
                              _log(spark, catalog, platform_schema), "fact_kabal_logistics",
                              build, facts.LOGISTICS_KEYS, load_type,
                              _security(spark, catalog, domain_schema, config_schema))
@@ -203,7 +225,7 @@ def main(argv: Sequence[str] | None = None) -> None:
                 "domain_schema", "load_type", "watermark_value", "schema_name", "table_name",
                 "env", "config_schema", "platform_schema", "watermark_format", "tables",
                 "source_schema", "target_schema", "modified", "context", "masked",
-                "allowed_group", "membership_table"):
+                "allowed_group", "membership_table", "sink"):
         p.add_argument(f"--{opt}", default=None)
     p.add_argument("--track_watermarks", action="store_true", default=None)
     args = {k: v for k, v in vars(p.parse_args(argv)).items() if v is not None}
