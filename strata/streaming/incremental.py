@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from strata.operators.harmonise import TableSpec, harmonise
 from strata.session import checkpoint_dir
-from strata.sinks.audit import RunLog, new_run_id
+from strata.sinks.audit import RunLog, audited, new_run_id
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
@@ -47,13 +47,17 @@ def harmonise_stream(spark: SparkSession, landing_path: str, spec: TableSpec, si
     run_id = new_run_id()
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        exists = sink.exists(spec.target)
-        df, effective = harmonise(batch, spec, source_id, "delta", None, target_exists=exists)
-        rows, eff, _ = load(sink, df, spec.target, spec.keys, effective)
-        sink.set_public_view(spec.target)
-        if log is not None:
-            log.write(f"{run_id}:{epoch_id}", sink.public_name(spec.target), eff, rows,
-                      "success")
+        def body() -> tuple[int, str]:
+            exists = sink.exists(spec.target)
+            df, effective = harmonise(batch, spec, source_id, "delta", None, target_exists=exists)
+            rows, eff, _ = load(sink, df, spec.target, spec.keys, effective)
+            sink.set_public_view(spec.target)
+            return rows, eff
+
+        if log is None:
+            body()
+        else:  # SNK-6: a failed micro-batch leaves a failed row, then fails the stream
+            audited(log, f"{run_id}:{epoch_id}", sink.public_name(spec.target), "delta", body)
 
     query = (stream.writeStream.foreachBatch(load_batch)
              .option("checkpointLocation", checkpoint or stream_checkpoint(spark, spec.target))

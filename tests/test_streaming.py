@@ -58,3 +58,19 @@ def test_streams_for_several_tables(spark):
     assert sink.read("part").count() == t("part").count()
     assert harmonise_streams(spark, root, specs, sink, "BLP", checkpoint_root=ckpt) == \
         {"customer": 0, "part": 0}
+
+
+def test_failed_micro_batch_is_audited(spark):
+    import pytest
+    landing, ckpt = tempfile.mkdtemp(prefix="landing-"), tempfile.mkdtemp(prefix="ckpt-")
+    sink = SnapshotSink(spark, "fs_" + uuid.uuid4().hex[:8])
+    log = RunLog(sink)
+    spec = TableSpec("t", "t_h", ("k",))
+    spark.createDataFrame([(1, "a")], "k long, v string").write.mode("append").parquet(landing)
+    harmonise_stream(spark, landing, spec, sink, "BLP", log=log, checkpoint=ckpt)
+    spark.createDataFrame([(None, "b")], "k long, v string").write.mode("append").parquet(landing)
+    with pytest.raises(Exception):
+        harmonise_stream(spark, landing, spec, sink, "BLP", log=log, checkpoint=ckpt)
+    rows = log.read().orderBy("logged_at").collect()
+    assert [(r.status, r.rows) for r in rows] == [("success", 1), ("failed", 0)]
+    assert "NULL key" in rows[1].error
