@@ -10,7 +10,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 def test_bench_prints_one_json_line():
     env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_REPEATS="1",
-               BENCH_CPUS="4")
+               BENCH_CPUS="4", BENCH_QUERIES="core")
     res = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env,
                          capture_output=True, text=True, timeout=900, cwd=ROOT)
     lines = [ln for ln in res.stdout.splitlines() if ln.strip()]
