@@ -28,23 +28,16 @@ def con():
 
 
 @pytest.mark.parametrize("name", sorted(CORE))
-def test_query_matches_oracle(spark, con, name):
-    got = spark_digest(E.queries()[name](spark, ORACLE_SF))
+def test_query(spark, con, name):
+    """Same rows as the oracle; no row cap or sample in the analyzed plan (whole
+    tables, whole texts) and no Python evaluating data in the executed one."""
+    df = E.queries()[name](spark, ORACLE_SF)
+    got = spark_digest(df)
     want = duck_digest(con, E.oracle_sql()[name])
     assert got[:2] == want[:2]
     assert got == want
-
-
-@pytest.mark.parametrize("name", sorted(CORE))
-def test_registered_query_reads_whole_tables(spark, name):
-    """No row caps or samples in any registered query (whole tables, whole
-    texts): the analyzed plan holds no Limit/Sample operator."""
-    plan = E.queries()[name](spark, ORACLE_SF)._jdf.queryExecution().analyzed().toString()
-    assert "Limit" not in plan and "Sample" not in plan, plan[:2000]
-
-
-@pytest.mark.parametrize("name", sorted(CORE))
-def test_registered_query_stays_in_the_jvm(spark, name):
-    """No Python UDF (row-at-a-time or Arrow) evaluates data in any query."""
-    plan = E.queries()[name](spark, ORACLE_SF)._jdf.queryExecution().executedPlan().toString()
+    execution = df._jdf.queryExecution()
+    analyzed = execution.analyzed().toString()
+    assert "Limit" not in analyzed and "Sample" not in analyzed, analyzed[:2000]
+    plan = execution.executedPlan().toString()
     assert "EvalPython" not in plan and "PythonUDF" not in plan
