@@ -273,7 +273,7 @@ def links(fps: DataFrame, distance: int = 2, max_bucket: int = 128,
             probes.append(fps.select("fp", F.lit(i).alias("i"), value.alias("v"),
                                      F.explode(_flips(bits, t)).alias("x")).select(
                 "fp", "i", F.col("v").bitwiseXOR(F.col("x")).alias("v")))
-    data = fps.select("fp", F.explode(F.array(*own)).alias("k")).select("fp", "k.i", "k.v")
+    data = keep(fps.select("fp", F.explode(F.array(*own)).alias("k")).select("fp", "k.i", "k.v"), "keys")
     exact = [i for i, (_, t) in enumerate(plan) if not t]
     found = []
     asks = data.where(F.col("i").isin(exact))
@@ -328,7 +328,9 @@ def keep_first(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
     kept = keep(near.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n")), "kept")
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     match = F.col(place) == F.col("kept_id")
-    rows = flat.join(kept.where("n = 1"), match, "left_semi")
+    # the kept ids grow with the corpus: merged, whatever their size, never broadcast
+    rows = flat.join(kept.where("n = 1").hint("merge"), match, "left_semi")
     if not kept.where("n > 1").isEmpty():
-        rows = rows.union(flat.join(kept.where("n > 1"), match, "left_semi").dropDuplicates([place]))
+        more = flat.join(kept.where("n > 1").hint("merge"), match, "left_semi")
+        rows = rows.union(more.dropDuplicates([place]))
     return rows.union(flat.where(F.col(place).isNull())).toDF(*docs.columns)
