@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import lower_ascii, pick
+from strata.sources.local import config_frame
 
 # Licence notices by SPDX identifier.
 KNOWN = [
@@ -66,10 +67,16 @@ def canonical(text: Column) -> Column:
     words = F.concat(F.lit(" "), F.regexp_replace(lower_ascii(F.array_join(lines, "\n")), SEPARATORS, " "),
                      F.lit(" "))
     variants = F.create_map(*[F.lit(x) for pair in EQUIVALENT.items() for x in pair])
-    changed = F.array_join(F.transform(F.split(words, " ", -1), lambda w: F.coalesce(
-        F.element_at(variants, w), w)), " ")
     some = r"\x20(" + "|".join(EQUIVALENT) + r")\x20"
-    return F.trim(F.regexp_replace(F.when(words.rlike(some), changed).otherwise(words), r"\x20+", " "))
+
+    def spelt(w: Column) -> Column:
+        changed = F.array_join(F.transform(F.split(w, " ", -1), lambda x: F.coalesce(
+            F.element_at(variants, x), x)), " ")
+        return F.when(w.rlike(some), changed).otherwise(w)
+
+    # a lambda's argument is evaluated once, however often it is used
+    out = F.transform(F.array(words), spelt)[0]
+    return F.trim(F.regexp_replace(out, r"\x20+", " "))
 
 
 def digest(text: Column) -> Column:
@@ -81,7 +88,7 @@ def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFr
     the notices above. Of texts with one canonical form the first licence by
     name counts; texts that are null or have an empty form are left out."""
     src = (pick(known, license="license", text="text") if known is not None
-           else spark.createDataFrame(KNOWN, "license string, text string"))
+           else config_frame(spark, KNOWN, "license string, text string"))
     return (src.where(canonical(F.col("text")) != "").groupBy(digest(F.col("text")).alias("digest"))
             .agg(F.min("license").alias("license")))
 
