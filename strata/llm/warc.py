@@ -36,7 +36,7 @@ REVISIT_BYTES = 1000
 ROLL_BYTES = 64 << 20
 SHARD_BYTES = 16 << 20
 MAX_SHARDS = 4096
-# hash-chosen records that the ranges are cut by
+# hash-chosen records that the ranges are cut by, about
 RANGE_SAMPLE = 20_000
 DATE = "2020-01-01T00:00:00Z"
 _URN = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace of RFC 4122
@@ -103,12 +103,17 @@ def _small(first: DataFrame, rows: int = 100_000) -> bool:
     return first.limit(rows + 1).count() <= rows
 
 
-def _ranges(rows: DataFrame, shards: int, sample: int = RANGE_SAMPLE) -> Column:
+def _ranges(rows: DataFrame, shards: int, n_rows: int, sample: int = RANGE_SAMPLE) -> Column:
     """Shard number of a row, by cuts of (page_id, row hash) at equal shares of
-    the bytes of the ``sample`` rows with the smallest hashes."""
-    chosen = (rows.select("page_id", "h", "bytes").orderBy(F.xxhash64("page_id", "h"), "page_id", "h")
-              .limit(sample).collect())
-    keys = sorted(((r.page_id is not None, r.page_id or 0, r.h), r.bytes + 500) for r in chosen)
+    the bytes of about ``sample`` rows: those whose hash falls in the share
+    sample / n_rows of all hashes, so no task sends more than its share.
+    Repeated rows are added up before they come to the driver."""
+    if shards == 1:
+        return F.lit(0)
+    below = -(1 << 63) + min((1 << 64) - 1, (1 << 64) * sample // max(1, n_rows))
+    chosen = (rows.where(F.xxhash64("page_id", "h") <= F.lit(below).cast("long"))
+              .groupBy("page_id", "h").agg(F.sum(F.col("bytes") + 500).alias("bytes")).collect())
+    keys = sorted(((r.page_id is not None, r.page_id or 0, r.h), r.bytes) for r in chosen)
     total, done, cuts = sum(b for _, b in keys), 0, []
     for key, b in keys:
         if len(cuts) + 1 < shards and done >= total * (len(cuts) + 1) / shards:
@@ -146,9 +151,9 @@ def write(pages: DataFrame, path: str, shards: int | None = None, roll_bytes: in
     rows = plan_records(pages, least, **columns)
     rows = rows.withColumn("h", F.xxhash64("url", "html")).withColumn(
         "bytes", F.octet_length(F.coalesce("html", F.lit(""))))
+    n_rows, total = rows.agg(F.count("*"), F.sum(F.col("bytes") + 500)).first()
     if shards is None:
-        total = rows.agg(F.sum(F.col("bytes") + 500)).first()[0] or 0
-        shards = min(MAX_SHARDS, max(1, -(-int(total) // SHARD_BYTES)))
+        shards = min(MAX_SHARDS, max(1, -(-int(total or 0) // SHARD_BYTES)))
     base = _where(spark, path)
     run_id = uuid.uuid4().hex
 
@@ -190,7 +195,7 @@ def write(pages: DataFrame, path: str, shards: int | None = None, roll_bytes: in
                 pa.string(), pa.string(), *[pa.int64()] * 4, pa.string()])],
             ["file", "temporary", "shard", "part", "records", "bytes", "sha256"])
 
-    dealt = (rows.withColumn("shard", _ranges(rows, shards)).select("shard", "page_id", "url", "html", "revisit_of", "h")
+    dealt = (rows.withColumn("shard", _ranges(rows, shards, n_rows)).select("shard", "page_id", "url", "html", "revisit_of", "h")
              .repartitionById(shards, F.col("shard"))
              .sortWithinPartitions("shard", "page_id", "h", "url", "html")
              .select("shard", "page_id", "url", "html", "revisit_of"))
