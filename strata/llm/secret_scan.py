@@ -110,15 +110,19 @@ def ownership(found: DataFrame) -> DataFrame:
 
 def findings(docs: DataFrame, owner: Column, repository: Column,
              example_owners: int = EXAMPLE_OWNERS, id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
+             text_col: str = "text", overlapping: bool = False) -> DataFrame:
     """``(doc_id, h1, h2, kind, start, end, digest, n_owners, n_repositories,
     live)``: all base spans, and the spans of the wider pattern that look live
-    and overlap no base span. live: under fewer than ``example_owners``."""
+    and, unless ``overlapping``, overlap no base span. live: under fewer than
+    ``example_owners``."""
     found = keep(candidates(docs, owner, repository, id_col, text_col), "candidates")
     known = ownership(found).withColumn("live", F.col("n_owners") < example_owners)
     spans = (found.select(*KEY, "kind", "start", "end", F.sha2("value", 256).alias("digest")).distinct()
              .join(known, "digest"))
     base = F.col("kind") != OWNED.name
+    if overlapping:
+        return (spans.where(base | F.col("live"))
+                .select(*KEY, "kind", "start", "end", "digest", "n_owners", "n_repositories", "live"))
     row = Window.partitionBy(*KEY).orderBy("start")
     before = F.max(F.when(base, F.col("end"))).over(
         row.rangeBetween(Window.unboundedPreceding, Window.currentRow))
@@ -150,11 +154,11 @@ def scan(docs: DataFrame, owner: Column, repository: Column, **options) -> DataF
 def redact(docs: DataFrame, owner: Column, repository: Column, mask: str = "[SECRET]",
            **options) -> DataFrame:
     """``docs`` with every span found replaced by ``mask`` and n_chars, where
-    there is such a column, counted anew. Overlapping spans are masked as one.
-    Every row stays."""
+    there is such a column, counted anew. Overlapping spans are masked as one,
+    also a live wider span with the base spans in it. Every row stays."""
     names = list(docs.columns)
     at = names.index("text")
-    spans = (findings(docs, owner, repository, **options)
+    spans = (findings(docs, owner, repository, overlapping=True, **options)
              .groupBy(*KEY).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")))
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
     keyed = flat.select("*", F.col(f"c{names.index('doc_id')}").cast("long").alias("doc_id"),

@@ -109,3 +109,11 @@ def test_redaction_masks_every_span(spark):
 def test_no_python_in_the_plan(spark):
     plan = QUERIES["op9_secret_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
+
+
+def test_a_live_token_around_a_base_span_is_masked_whole(spark):
+    token = "Zk39fQpL0aXw-" + "0123456789abcdef01234567" + "-72MvBn41"
+    df = spark.createDataFrame([(1, f"see {token} here", "s", "l"), (2, f"token={token} end", "s", "l")],
+                               "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: r.text for r in S.redact(df, *source_owner()).collect()}
+    assert got == {1: "see [SECRET] here", 2: "[SECRET] end"}
