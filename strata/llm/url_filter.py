@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import keep, lower_ascii, pick
+from strata.llm.common import keep, lower_ascii, pick, shared_path
 
 # (verdict, host/path beginning)
 Rule = tuple[str, str]
@@ -79,8 +79,13 @@ def train(labelled: DataFrame, max_train: int = MAX_TRAIN, buckets: int = BUCKET
     n, blocked = rows.agg(F.count("*"), F.sum("label")).first()
     if not n or blocked in (0, n):
         return float(blocked / n) if n else 0.0
-    return LogisticRegression(regParam=0.01, maxIter=30, featuresCol="features",
-                              labelCol="label").fit(rows.coalesce(1))
+    fitted = LogisticRegression(regParam=0.01, maxIter=30, featuresCol="features",
+                                labelCol="label").fit(rows.coalesce(1))
+    # a fitted model holds its training summary and, through it, the session,
+    # which tasks cannot be sent; a model that was read back holds neither
+    path = shared_path(labelled.sparkSession, "url-model")
+    fitted.save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def judge(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None = None,
