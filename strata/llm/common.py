@@ -6,8 +6,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +79,19 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def by_size(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs ``[a, b)`` of consecutive rows whose sizes add up to ``most`` at
+    most; a larger row is a run of its own."""
+    a, total = 0, 0
+    for b, size in enumerate(np.asarray(sizes).tolist()):
+        if b > a and total + size > most:
+            yield a, b
+            a, total = b, 0
+        total += size
+    if len(sizes):
+        yield a, len(sizes)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -136,10 +136,29 @@ SELECT w.doc_id, sha256(w.form) AS canonical_sha256, k.license AS text_license,
 FROM w LEFT JOIN k ON k.form = w.form LEFT JOIN a ON a.doc_id = w.doc_id
 """
 
+LEXICAL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+c AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS term FROM benchmark),
+tf AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY doc_id, n, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), c),
+s AS (
+  SELECT item_id, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term), c GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 ORACLE_SQL = {
     "op1_decontamination": DECONTAMINATION,
     "op2_embedding_dedup": EMBEDDINGS,
     "op4_warc": WARC,
     "op7_license_scan": LICENSES,
     "op9_secret_scan": SECRETS,
+    "op11_lexical_search": LEXICAL,
 }

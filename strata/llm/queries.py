@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (decontaminate, embedding_dedup, licenses, packing, secret_scan, simhash,
-                        token_counts, toxicity, url_filter, warc)
+from strata.llm import (decontaminate, embedding_dedup, lexical, licenses, packing, secret_scan,
+                        simhash, token_counts, toxicity, url_filter, warc)
 from strata.llm.common import shared_path
 from strata.llm.oracle import ORACLE_SQL  # noqa: F401 (read by the driver's entry)
 from strata.session import ensure_defaults
@@ -101,6 +101,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "component_id")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -112,4 +116,5 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
+    "op11_lexical_search": op11_lexical_search,
 }
