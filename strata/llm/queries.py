@@ -7,13 +7,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (decontaminate, embedding_dedup, lexical, licenses, packing, secret_scan,
-                        simhash, token_counts, toxicity, url_filter, warc)
+from strata.llm import (alignment, decontaminate, embedding_dedup, lexical, licenses, packing,
+                        secret_scan, simhash, token_counts, toxicity, url_filter, warc)
 from strata.llm.common import shared_path
 from strata.llm.oracle import ORACLE_SQL  # noqa: F401 (read by the driver's entry)
 from strata.session import ensure_defaults
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 # The rules of the registered URL query, (verdict, host/path).
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -105,6 +106,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_read(spark, sf_dir, "documents"), vocabulary(), public_tokenizers.path(PIECES))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -117,4 +122,5 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
     "op11_lexical_search": op11_lexical_search,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
 }
