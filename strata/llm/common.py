@@ -79,6 +79,19 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def uri_of(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI that pyarrow's file systems understand."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(jpath).toString()
+    return "file://" + full[len("file:"):] if full.startswith("file:/") and not full.startswith("file://") else full
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def by_size(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Runs ``[a, b)`` of consecutive rows whose sizes add up to ``most`` at
     most; a larger row is a run of its own."""

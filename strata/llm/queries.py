@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (alignment, decontaminate, embedding_dedup, lexical, licenses, packing,
-                        secret_scan, simhash, token_counts, toxicity, url_filter, warc)
+from strata.llm import (alignment, decontaminate, embedding_dedup, lexical, licenses, ngram_lm,
+                        packing, secret_scan, simhash, token_counts, toxicity, url_filter, warc)
 from strata.llm.common import shared_path
 from strata.llm.oracle import ORACLE_SQL  # noqa: F401 (read by the driver's entry)
 from strata.session import ensure_defaults
@@ -110,6 +110,10 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(_read(spark, sf_dir, "documents"), vocabulary(), public_tokenizers.path(PIECES))
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.held_out_scores(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -123,4 +127,5 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op11_lexical_search": op11_lexical_search,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_language_model": op13_language_model,
 }
