@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import (DIVISION_TO_LOB, UNKNOWN_LOB, code_map,
                                       on_time_flag, source_tag, typed_null)
+from strata.operators.propagate import JoinGraph, Link
 from strata.operators.skew import (DEFAULT_HOT_KEY_ROWS, find_hot_keys, restrict_to_hot,
                                    split_hot)
 
@@ -33,6 +34,15 @@ SPEND_KEYS = ["po_number", "po_line_number"]
 MOT_KEYS = ["delivery_number", "delivery_item"]
 LOGISTICS_KEYS = ["movement_id"]
 
+# The joins of each fact, for loads that read only what changed.
+MOT_GRAPH = JoinGraph("lips", ("VBELN", "POSNR"), tuple(MOT_KEYS), {
+    "lips": (Link("likp", (("VBELN", "VBELN"),)), Link("mara", (("MATNR", "MATNR"),))),
+    "likp": (Link("vbak", (("VGBEL", "VBELN"),)),)})
+SPEND_GRAPH = JoinGraph("arb_spend_lines", ("EBELN", "EBELP"), tuple(SPEND_KEYS), {
+    "arb_spend_lines": (Link("clm_contract_lines", (("EBELN", "po_number"),)),)})
+LOGISTICS_GRAPH = JoinGraph("movements", ("movement_id",), tuple(LOGISTICS_KEYS), {
+    "movements": (Link("assets", (("asset_id", "asset_id"),)),)})
+
 
 class NonUniqueJoinSide(ValueError):
     """The right side of a lookup join repeats a key (would fan out rows)."""

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.checks import require_params
 from strata.operators.harmonise import TableSpec, harmonise, typed_watermark
+from strata.operators.propagate import JoinGraph, propagate
 from strata.operators.security import PATTERNS, FilterColumnMissing, secured_select_sql
 from strata.operators.upsert import upsert_counted
 from strata.session import stage
@@ -105,6 +106,24 @@ def publish_public_view(sink: Sink, name: str, security: SecurityConfig | None,
     return "FILTERED"
 
 
+def _binding(spark: SparkSession, sink: Sink, name: str, security: SecurityConfig | None,
+             columns: Sequence[str]) -> dict | None:
+    """The table's row filter binding; fails before anything is written if its
+    secured view could not be built."""
+    if security is None:
+        return None
+    b = binding_for(security.bindings, security.schema_name or sink.database, name)
+    if b and b["filter_column"] not in columns:
+        raise FilterColumnMissing(f"{name}: filter column {b['filter_column']!r} not produced")
+    if b:
+        pattern = PATTERNS[b["row_filter"]]
+        for t in (pattern.map_table, security.membership_table):
+            if not spark.catalog.tableExists(f"{security.config_database}.{t}"):
+                raise RuntimeError(f"{name}: security table "
+                                   f"{security.config_database}.{t} is missing")
+    return b
+
+
 def run_fact_job(spark: SparkSession, sink: Sink, run_log: RunLog, name: str,
                  build: Callable[[], DataFrame], keys: Sequence[str], load_type: str = "delta",
                  security: SecurityConfig | None = None, run_id: str | None = None) -> int:
@@ -115,18 +134,7 @@ def run_fact_job(spark: SparkSession, sink: Sink, run_log: RunLog, name: str,
 
     def body():
         df = build()
-        b = None
-        if security is not None:
-            b = binding_for(security.bindings, security.schema_name or sink.database, name)
-            if b and b["filter_column"] not in df.columns:
-                raise FilterColumnMissing(f"{name}: filter column {b['filter_column']!r} "
-                                          "not produced")
-            if b:  # fail before writing anything if the secured view cannot be built
-                pattern = PATTERNS[b["row_filter"]]
-                for t in (pattern.map_table, security.membership_table):
-                    if not spark.catalog.tableExists(f"{security.config_database}.{t}"):
-                        raise RuntimeError(f"{name}: security table "
-                                           f"{security.config_database}.{t} is missing")
+        b = _binding(spark, sink, name, security, df.columns)
         rows, effective, _ = load(sink, df, name, keys, load_type)
         action = publish_public_view(sink, name, security, df.columns, binding=b)
         log.info("%s: %s load of %d rows, public view %s (run %s)", target, effective, rows,
@@ -136,6 +144,42 @@ def run_fact_job(spark: SparkSession, sink: Sink, run_log: RunLog, name: str,
     return audited(run_log, run_id, target, load_type, body)
 
 
+def run_fact_changes_job(spark: SparkSession, sink: Sink, run_log: RunLog, name: str,
+                         build: Callable[[Mapping[str, DataFrame]], DataFrame], graph: JoinGraph,
+                         tables: Mapping[str, DataFrame], changes: Mapping[str, DataFrame],
+                         security: SecurityConfig | None = None, run_id: str | None = None) -> int:
+    """One curated table from what changed in its inputs (``operators.propagate``):
+    only fact rows that a changed row of any input reaches are recomputed, and
+    rows without inputs are deleted. Returns the rows recomputed.
+
+    A first load builds the whole fact. A sink that merges by key gets the
+    recomputed rows alone, as long as no key is to be deleted (its keys must be
+    unique, as for any upsert); otherwise the table is published with them.
+    """
+    require_params(name=name)
+    run_id = run_id or new_run_id()
+    target = sink.public_name(name)
+
+    def body():
+        if not sink.exists(name):
+            df = build(tables)
+            b = _binding(spark, sink, name, security, df.columns)
+            rows, effective, _ = load(sink, df, name, graph.fact_keys, "full")
+        else:
+            fact = sink.read(name)
+            b = _binding(spark, sink, name, security, fact.columns)
+            done = propagate(fact, build, graph, tables, changes, f"{sink.database}/{name}")
+            rows, effective = done.rows.count() if done else 0, "delta"
+            if done and isinstance(sink, (PartitionedSink, MergeIntoSink)) and not done.deletes(fact):
+                sink.upsert(done.rows, name, list(graph.fact_keys))
+            elif done:
+                sink.publish(done.fact, name, keys=list(graph.fact_keys))
+        publish_public_view(sink, name, security, sink.read(name).columns, binding=b)
+        return rows, effective
+
+    return audited(run_log, run_id, target, "delta", body)
+
+
 def stored_watermarks(state: SnapshotSink, table_ids: Mapping[str, str]) -> dict[str, str]:
     """DCL-2: the watermark each table's orchestration row holds (target -> value)."""
     if not state.exists("orchestration_config"):

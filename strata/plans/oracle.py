@@ -170,10 +170,12 @@ def oracle_sql() -> dict[str, str]:
                                                     "ana"))
     q["material_on_time_hot"] = q["material_on_time"]
     q["spend_rename"] = _with(SPEND_CTES, _SPEND_BODY)
+    q["fact_mot_from_changes"] = q["material_on_time_all"]  # a full rebuild
     q["spend_with_contract"] = _with(
         SPEND_CTES + [CLM],
         "SELECT * FROM spend LEFT JOIN (SELECT po_number, contract_id, contract_type FROM clm) c"
         " USING (po_number)")
+    q["fact_spend_from_changes"] = q["spend_with_contract"]
     q["spend_without_contract"] = _with(
         SPEND_CTES, "SELECT *, CAST(NULL AS VARCHAR) AS contract_id, "
                     "CAST(NULL AS VARCHAR) AS contract_type FROM spend")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import checks, control, security
 from strata.operators.harmonise import TableSpec, harmonise, high_water_mark
+from strata.operators.propagate import changed_rows
 from strata.operators.upsert import load_frame, upsert
 from strata.plans import facts, jobs
 from strata.session import checkpoint_dir
@@ -324,6 +325,77 @@ def published_fact_logistics(spark, sf_dir):
                       {"asset_group_map": fx.asset_group_map(_tables(spark, sf_dir))})
 
 
+# ── facts from what changed ─────────────────────────────────────────────────
+
+def _changes(spark, label: str, graph, build, before: dict, after: dict) -> DataFrame:
+    """A fact loaded from the inputs ``before`` and then brought up to date with
+    ``after`` by the rows that differ in each."""
+    sink = SnapshotSink(spark, _database(spark, label))
+    log = RunLog(sink)
+    jobs.run_fact_changes_job(spark, sink, log, label, build, graph, before, {})
+    changes = {n: changed_rows(before[n], after[n]) for n in after}
+    jobs.run_fact_changes_job(spark, sink, log, label, build, graph, after, changes)
+    return sink.read(label)
+
+
+def fact_mot_from_changes(spark, sf_dir):
+    """JN-1..JN-5, SNK-12: since the fact was loaded, late shipments moved
+    headers, urgent orders got another date or were confirmed, small materials
+    another division, and items were added, removed and corrected."""
+    t = _tables(spark, sf_dir)
+    after = {"likp": fx.delivery_header(t), "lips": fx.delivery_items(t),
+             "vbak": fx.sales_orders(t), "mara": fx.materials(t)}
+    li, orders, part = t("lineitem"), t("orders"), t("part")
+    late, confirmed = _ts(li, "l_shipdate", "2001-06-01"), _ts(orders, "o_orderdate", "2001-05-01")
+    before = {
+        "likp": after["likp"].withColumn("WADAT_IST", F.least("WADAT_IST", late)),
+        # the last line of large returns is new, three lines of others are gone
+        "lips": after["lips"].where((F.col("POSNR") < 7) | (F.col("LFIMG") < 40))
+                .withColumn("LFIMG", F.when(F.col("LFIMG") == 13, F.col("LFIMG") + 1).otherwise(F.col("LFIMG")))
+                .unionByName(after["lips"].where((F.col("POSNR") == 1) & (F.col("LFIMG") > 48))
+                             .withColumn("POSNR", F.lit(8))),
+        "vbak": orders.where(F.col("o_orderstatus") != F.lit("P"))
+                .where((F.col("o_orderdate") < confirmed) | (F.col("o_orderpriority") != F.lit("5-LOW")))
+                .select(F.col("o_orderkey").alias("VBELN"),
+                        F.when(F.col("o_orderpriority") == F.lit("1-URGENT"), F.least("o_orderdate", confirmed))
+                        .otherwise(F.col("o_orderdate")).alias("VDATU")),
+        "mara": after["mara"].join(part.select(F.col("p_partkey").alias("MATNR"), "p_size"), "MATNR")
+                .select("MATNR", F.when(F.col("p_size") <= 2, F.lit("02")).otherwise(F.col("SPART")).alias("SPART")),
+    }
+
+    def build(i):
+        return facts.material_on_time_fact(i["likp"], i["lips"], i["vbak"], i["mara"], exclude_unknown=False)
+
+    return _changes(spark, "fact_mot", facts.MOT_GRAPH, build, before, after)
+
+
+def fact_spend_from_changes(spark, sf_dir):
+    """The same for PO lines and their contracts: lines repriced, removed and
+    moved to another company, contracts signed, ended and of another type."""
+    t = _tables(spark, sf_dir)
+    after = {"arb_spend_lines": fx.spend_lines(t), "clm_contract_lines": fx.contract_lines(t)}
+    lines, orders = after["arb_spend_lines"], t("orders")
+    recent = _ts(orders, "o_orderdate", "2001-03-01")
+    signed = orders.where((F.col("o_orderstatus") == F.lit("F")) & (F.col("o_orderdate") < recent))
+    ended = orders.where((F.col("o_orderstatus") == F.lit("O")) & (F.col("o_orderdate") >= recent))
+    before = {
+        "arb_spend_lines": lines.withColumns({
+            "BUKRS": F.when(F.col("MENGE") == 7, F.lit(None)).otherwise(F.col("BUKRS")),
+            "NETWR": F.when(F.col("MENGE") == 9, F.col("NETWR") * 2).otherwise(F.col("NETWR"))})
+            .unionByName(lines.where("MENGE = 50").withColumn("EBELP", F.lit(8))),
+        "clm_contract_lines": signed.unionByName(ended).select(
+            F.col("o_orderkey").alias("po_number"),
+            F.concat(F.lit("CT-"), F.col("o_orderkey").cast("string")).alias("contract_id"),
+            F.when(F.col("o_orderpriority") == F.lit("2-HIGH"), F.lit("3-MEDIUM"))
+            .otherwise(F.col("o_orderpriority")).alias("contract_type")),
+    }
+
+    def build(i):
+        return facts.spend_fact(i["arb_spend_lines"], i["clm_contract_lines"])
+
+    return _changes(spark, "fact_spend", facts.SPEND_GRAPH, build, before, after)
+
+
 def _spend_with_nulls(spark, sf_dir):
     return facts.spend_lines_renamed(fx.spend_lines(_tables(spark, sf_dir)),
                                      keep_null_company=True)
@@ -498,6 +570,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spend_without_contract": spend_without_contract,
     "spend_latest_contract": spend_latest_contract,
     "logistics_on_time": logistics_on_time,
+    "fact_mot_from_changes": fact_mot_from_changes,
+    "fact_spend_from_changes": fact_spend_from_changes,
     "watermark_delta": watermark_delta,
     "watermark_compact": watermark_compact,
     "watermark_events": watermark_events,
