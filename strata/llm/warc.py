@@ -26,16 +26,18 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import keep, pick, python_ready
+from strata.llm.common import keep, pick, python_ready, uri_of as _where
 
 # payloads of at least so many bytes are written once, their copies as revisits
 REVISIT_BYTES = 1000
 ROLL_BYTES = 64 << 20
 SHARD_BYTES = 16 << 20
 MAX_SHARDS = 4096
+# tasks that read or name files, at most; beyond it a task takes several
+MAX_SPREAD = 20_000
 # hash-chosen records that the ranges are cut by, about
 RANGE_SAMPLE = 20_000
 DATE = "2020-01-01T00:00:00Z"
@@ -130,11 +132,16 @@ def _ranges(rows: DataFrame, shards: int, n_rows: int, sample: int = RANGE_SAMPL
     return F.size(F.filter(places, lambda c: c <= at))
 
 
-def _where(spark: SparkSession, path: str) -> str:
-    """``path`` as a URI that pyarrow's file systems understand."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    full = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(jpath).toString()
-    return "file://" + full[len("file:"):] if full.startswith("file:/") and not full.startswith("file://") else full
+def _spread(files: DataFrame) -> DataFrame:
+    """Rows of files in as many partitions as files, up to ``MAX_SPREAD``, dealt
+    by number: a list of files is tiny, so nothing else would split it. Large
+    files go round first, so no task gets two of the largest."""
+    many = min(MAX_SPREAD, max(1, files.count()))
+    if many == 1:
+        return files.coalesce(1)
+    place = F.row_number().over(Window.orderBy(F.desc("bytes"), "file"))
+    return files.withColumn("__place", place).repartitionById(
+        many, F.pmod("__place", F.lit(many)).cast("int")).drop("__place")
 
 
 def write(pages: DataFrame, path: str, shards: int | None = None, roll_bytes: int = ROLL_BYTES,
@@ -195,7 +202,7 @@ def write(pages: DataFrame, path: str, shards: int | None = None, roll_bytes: in
                 pa.string(), pa.string(), *[pa.int64()] * 4, pa.string()])],
             ["file", "temporary", "shard", "part", "records", "bytes", "sha256"])
 
-    dealt = (rows.withColumn("shard", _ranges(rows, shards, n_rows)).select("shard", "page_id", "url", "html", "revisit_of", "h")
+    dealt = (rows.withColumn("shard", _ranges(rows, shards, n_rows, max(RANGE_SAMPLE, 32 * shards))).select("shard", "page_id", "url", "html", "revisit_of", "h")
              .repartitionById(shards, F.col("shard"))
              .sortWithinPartitions("shard", "page_id", "h", "url", "html")
              .select("shard", "page_id", "url", "html", "revisit_of"))
@@ -213,7 +220,7 @@ def write(pages: DataFrame, path: str, shards: int | None = None, roll_bytes: in
             yield batch.select(["file", "shard", "part", "records", "bytes", "sha256"])
 
     schema = "file string, shard long, part long, records long, bytes long, sha256 string"
-    written.repartition(F.col("file")).mapInArrow(name_files, schema).write.parquet(f"{path}/_manifest")
+    _spread(written).mapInArrow(name_files, schema).write.parquet(f"{path}/_manifest")
     left = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_temporary/{run_id}")  # files of lost attempts
     left.getFileSystem(spark._jsc.hadoopConfiguration()).delete(left, True)
     return spark.read.schema(schema).parquet(f"{path}/_manifest")
@@ -285,6 +292,6 @@ def read(manifest: DataFrame, path: str, payloads: bool = True) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, (_, t) in zip(zip(*rows), kinds)], [k for k, _ in kinds])
 
-    return manifest.select("file", "records", "bytes").repartition(F.col("file")).mapInArrow(
+    return _spread(manifest.select("file", "records", "bytes")).mapInArrow(
         read_files, "file string, page_id long, url string, payload_bytes long, payload_digest string, "
         "record_type string, refers_to long, payload binary")

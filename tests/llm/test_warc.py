@@ -95,6 +95,19 @@ def test_a_lost_attempt_leaves_nothing(spark, tmp_path):
         pafs.FileSelector(folder)) if f.path.endswith(".gz")}
 
 
+def test_a_task_for_each_file(spark, tmp_path):
+    """Files are read and named in as many tasks as there are, not in one."""
+    df = spark.read.parquet(f"{SF}/pages.parquet")
+    path = str(tmp_path / "p")
+    m = warc.write(df, path, shards=8)
+    assert m.count() == 8
+    back = warc.read(m, path)
+    assert back.rdd.getNumPartitions() == 8
+    held = back.withColumn("t", F.spark_partition_id()).groupBy("t").agg(F.count_distinct("file")).collect()
+    assert len(held) == 8 and {r[1] for r in held} == {1}
+    assert back.count() == df.count()
+
+
 def test_records_reader_rejects_other_data():
     with pytest.raises(ValueError, match="not a WARC record"):
         list(warc._records(io.BytesIO(b"hello\r\n")))
