@@ -103,17 +103,20 @@ def batch_fingerprints(texts: list[bytes | None], size: int) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` per row; fp is the fingerprint as a signed long."""
+    """``(doc_id, h1, h2, fp)`` per row; fp is the fingerprint as a signed long,
+    h1 and h2 are hashes of the text."""
     python_ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             fps = batch_fingerprints(texts, size).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(fps)],
+                                             ["doc_id", "h1", "h2", "fp"])
 
-    src = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    src = pick(docs, doc_id=id_col, text=text_col).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h1"), F.hash("text").alias("h2"))
+    return src.mapInArrow(run, "doc_id long, h1 long, h2 int, fp long")
 
 
 # --- the plan: partitions and thresholds ---------------------------------------
@@ -308,29 +311,48 @@ def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2, max_bucke
     if not 0 <= distance <= BITS:
         raise ValueError("distance must be between 0 and 64 bits")
     fps = keep(fingerprints(docs, size, id_col, text_col), "fingerprints")
+    return fps.join(_components(fps, distance, max_bucket), "fp").select("doc_id", "fp", "component_id")
+
+
+def _components(fps: DataFrame, distance: int, max_bucket: int = 128) -> DataFrame:
+    """``(fp, root, component_id)`` of each distinct fingerprint: its component
+    by a fingerprint of it, and by the smallest doc_id."""
     classes = keep(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     if not distance:
-        return fps.join(classes, "fp").select("doc_id", "fp", F.col("first_id").alias("component_id"))
+        return classes.select("fp", F.col("fp").alias("root"), F.col("first_id").alias("component_id"))
     roots = keep(components(links(classes.select("fp"), distance, max_bucket), "a", "b"), "roots")
     named = (classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
              .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = keep(named.join(ids, "root").select("fp", "component_id"), "named")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return keep(named.join(ids, "root").select("fp", "root", "component_id"), "named")
 
 
 def keep_first(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
-    """One document of each near-duplicate group: the one whose doc_id is the
-    component's. Columns as in ``docs``. Of rows that repeat a doc_id one
-    stays; rows with a null doc_id all stay, as no decision can name them."""
-    place = f"c{docs.columns.index('doc_id')}"
-    near = near_duplicates(docs, size, distance).where("doc_id = component_id")
-    kept = keep(near.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n")), "kept")
+    """One document of each near-duplicate group, columns as in ``docs``: of the
+    rows with a doc_id the one with the least (doc_id, hashes of its text), so
+    unrelated texts under one doc_id are judged each for itself. No doc_id can
+    name the rows without one: of those in a group one stays beside it, the one
+    with the least hashes. Of rows that repeat doc_id and text one stays, with
+    the least hash over its columns. The result depends on the rows alone, not
+    on how they are split."""
+    place, body = (f"c{docs.columns.index(n)}" for n in ("doc_id", "text"))
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    match = F.col(place) == F.col("kept_id")
-    # the kept ids grow with the corpus: merged, whatever their size, never broadcast
+    fps = keep(fingerprints(docs, size), "fingerprints")
+    near = fps.join(_components(fps, distance).select("fp", "root"), "fp")
+    least = near.groupBy("root", F.col("doc_id").isNull().alias("unknown")).agg(
+        F.min(F.struct("doc_id", "h1", "h2")).alias("k"))
+    kept = keep(least.select("k.*").groupBy("doc_id", "h1", "h2").agg(F.count("*").alias("groups")), "kept")
+    many = near.groupBy("doc_id", "h1", "h2").agg(F.count("*").alias("n"))
+    key = ["doc_id", "h1", "h2"]
+    same = [F.col(f"k.{c}").eqNullSafe(F.col(f"m.{c}")) for c in key]
+    kept = keep(kept.alias("k").join(many.alias("m").hint("merge"), same).select("k.*", "m.n"), "kept-rows")
+    match = (F.col(place).cast("long").eqNullSafe(F.col("doc_id")) & (F.xxhash64(body) == F.col("h1"))
+             & (F.hash(body) == F.col("h2")))
+    # the kept keys grow with the corpus: merged, whatever their size, never broadcast
     rows = flat.join(kept.where("n = 1").hint("merge"), match, "left_semi")
     if not kept.where("n > 1").isEmpty():
         more = flat.join(kept.where("n > 1").hint("merge"), match, "left_semi")
-        rows = rows.union(more.dropDuplicates([place]))
-    return rows.union(flat.where(F.col(place).isNull())).toDF(*docs.columns)
+        one = (more.groupBy(F.col(place).alias("doc_id"), F.xxhash64(body).alias("h1"), F.hash(body).alias("h2"))
+               .agg(F.min_by(F.struct(*more.columns), F.xxhash64(*more.columns)).alias("r")))
+        rows = rows.union(one.select("r.*"))
+    return rows.toDF(*docs.columns)

@@ -103,6 +103,25 @@ def test_edge_cases(spark):
     assert twice.count() == 1
 
 
+def test_keep_first_tells_rows_apart_by_text(spark):
+    """Unrelated texts under one doc_id all stay, copies without an id do not,
+    and any split of the rows gives the same ones."""
+    rows = [(1, "alpha beta gamma delta", "a"), (1, "one two three four five", "b"),
+            (2, "alpha beta gamma delta", "c"), (None, "six seven eight nine", "d"),
+            (None, "six seven eight nine", "e"), (None, "ten eleven twelve", "f"),
+            (3, "same id same text", "g"), (3, "same id same text", "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = None
+    for parts in (1, 3, 8):
+        got = sorted(map(str, simhash.keep_first(df.repartition(parts)).collect()))
+        assert want is None or got == want
+        want = got
+    kept = [(r.doc_id, r.text) for r in simhash.keep_first(df).collect()]
+    assert sorted(kept, key=str) == sorted([
+        (1, "alpha beta gamma delta"), (1, "one two three four five"), (None, "six seven eight nine"),
+        (None, "ten eleven twelve"), (3, "same id same text")], key=str)
+
+
 def test_long_text_votes_in_blocks():
     text = " ".join(str(i * 7919 % 100003) for i in range(70000))
     h = simhash._hashes(text.encode(), 3)
