@@ -143,18 +143,19 @@ def mask_columns(df: DataFrame, columns: list[str], allowed_groups: list[str],
                  membership: DataFrame, principal: str) -> DataFrame:
     """UDF-4 / SEC-4: members of ``allowed_groups`` see values, others the mask.
 
-    As in the reference, a NULL is masked for non-members too (Q12). The
-    membership test runs once against the (small) membership frame, so the
-    plan over the data is a single projection. Masked columns are strings for
-    every reader.
+    A NULL is masked for non-members too (Q12). Membership is a scalar
+    subquery, read at each execution (a grant revoked after the plan was built
+    no longer counts); the plan over the data stays a single projection. Masked
+    columns are strings for every reader.
     """
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"mask columns not found: {missing}")
-    member = is_member(membership, principal, allowed_groups)
+    member = membership.where((F.col("principal") == F.lit(principal))
+                              & F.col("group_id").isin(list(allowed_groups))).exists()
     masked = set(columns)
     return df.select(*[
-        ((F.col(c).cast("string") if member else F.lit(MASK_TEXT)).alias(c)
+        (F.when(member, F.col(c).cast("string")).otherwise(F.lit(MASK_TEXT)).alias(c)
          if c in masked else F.col(c)) for c in df.columns
     ])
 

@@ -18,18 +18,29 @@ collapsing them map-side. The key-check job also measures the source (rows
 and bytes); when both fit the broadcast limits the joins broadcast the
 source, so the target is scanned but never shuffled. Beyond the limits they
 are sort-merge joins and AQE splits skewed target partitions (left outer and
-left semi joins both allow it). A ``FULL OUTER`` join would give the same
-rows but cannot broadcast and cannot have its skew split.
+left semi joins both allow it).
+
+``one_scan=True`` takes another plan beyond those limits: one ``FULL OUTER``
+join, which reads and shuffles the target once. Adaptive execution cannot split
+such a join, so hot target keys are salted beforehand: keys that hold more than
+half of a partition's share (found from the key columns alone) have their rows
+dealt over as many salts as that share asks for, and their source rows are
+repeated for each salt. A source row of such a key is never an insert (the key
+is in the target), and rows with a NULL key match nothing, so they are dealt
+out freely.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.sizing import DEFAULT_BROADCAST_BYTES, row_bytes
+from strata.operators.skew import LEAST_SUPPORT
+from strata.session import stage
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
@@ -102,7 +113,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            null_keys: str = "raise", evolve: bool = False, check: bool = True,
            broadcast_limit: int = DEFAULT_BROADCAST_ROWS,
            delete_missing: bool = False,
-           broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+           broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, one_scan: bool = False) -> DataFrame:
     """SNK-2/3/4: MERGE ... UPDATE SET * / INSERT * on ``keys``.
 
     ``delete_missing=True`` adds ``WHEN NOT MATCHED BY SOURCE THEN DELETE``
@@ -110,14 +121,77 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     source no longer has are dropped. Off by default, as in the reference.
     """
     return upsert_counted(target, source, keys, null_keys, evolve, check, broadcast_limit,
-                          delete_missing, broadcast_bytes)[0]
+                          delete_missing, broadcast_bytes, one_scan)[0]
+
+
+def hot_target_keys(target: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame | None:
+    """``keys`` and ``__salts`` of the target keys that hold more than half of a
+    partition's even share of the rows, staged; ``None`` without any.
+
+    Candidates come from one pass with bounded counters over a hash of the key
+    (no false negatives, no shuffle); their rows are then counted by key, map
+    side first. There are at most two keys for each partition."""
+    known = target.where(~_any_null(keys)).select(*keys)
+    hashed = known.select(F.xxhash64(*keys).alias("__h"))
+    rows = hashed.count()
+    share = max(LEAST_SUPPORT, 1 / (2 * partitions))
+    if rows * share <= 1:
+        return None
+    found = hashed.stat.freqItems(["__h"], share).first()[0] or []
+    if not found:
+        return None
+    candidates = target.sparkSession.createDataFrame([(h,) for h in found], "__h long")
+    counted = (known.join(F.broadcast(candidates), F.xxhash64(*keys) == F.col("__h"), "left_semi")
+               .groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > rows * share))
+    salts = F.least(F.lit(partitions), F.ceil(F.col("__rows") * 2 * partitions / rows)).cast("int")
+    hot = stage(counted.select(*keys, salts.alias("__salts")), f"hot-target-keys/{uuid.uuid4().hex}")
+    return None if hot.isEmpty() else hot
+
+
+def _one_scan(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str],
+              delete_missing: bool) -> DataFrame:
+    """The merged table by one full outer join of salted rows."""
+    partitions = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_target_keys(target, keys, partitions)
+    free = F.when(_any_null(keys), F.lit(partitions))  # matches nothing: dealt freely
+
+    def salted(df: DataFrame) -> DataFrame:
+        if hot is None:
+            return df.withColumn("__salts", free)
+        named = hot.toDF(*[f"__{k}" for k in keys], "__hot")
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & (df[k] == named[f"__{k}"])
+        return (df.join(F.broadcast(named), cond, "left").drop(*[f"__{k}" for k in keys])
+                .withColumn("__salts", F.coalesce(F.col("__hot"), free)).drop("__hot"))
+
+    # numbers of rows within their task: salts as even as can be, repeated rows too
+    t = salted(target).withColumn("__salt", F.when(
+        F.col("__salts").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.col("__salts"))).otherwise(F.lit(0)))
+    s = salted(source)
+    is_hot = F.col("__salts").isNotNull() & ~_any_null(keys)
+    s = (s.withColumn("__is_hot", is_hot)
+         .withColumn("__salt", F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.col("__salts") - 1))
+                     .when(F.col("__salts").isNotNull(),
+                           F.array(F.pmod(F.monotonically_increasing_id(), F.col("__salts")).cast("int")))
+                     .otherwise(F.array(F.lit(0))))
+         .withColumn("__salt", F.explode("__salt")).withColumn("__src", F.lit(True)))
+    t = t.withColumn("__tgt", F.lit(True)).drop("__salts").alias("t")
+    s = s.drop("__salts").alias("s")
+    cond = F.col("t.__salt") == F.col("s.__salt")
+    for k in keys:
+        cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))
+    both = t.join(s, cond, "right" if delete_missing else "full")
+    both = both.where(F.col("t.__tgt").isNotNull() | ~F.col("s.__is_hot"))
+    return both.select(*[F.when(F.col("s.__src"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+                         for c in columns])
 
 
 def upsert_counted(target: DataFrame, source: DataFrame, keys: Sequence[str],
                    null_keys: str = "raise", evolve: bool = False, check: bool = True,
                    broadcast_limit: int = DEFAULT_BROADCAST_ROWS,
                    delete_missing: bool = False,
-                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
+                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, one_scan: bool = False
                    ) -> tuple[DataFrame, int | None]:
     """:func:`upsert` plus the number of source rows (from the key check)."""
     keys = list(keys)
@@ -133,6 +207,8 @@ def upsert_counted(target: DataFrame, source: DataFrame, keys: Sequence[str],
     for c in extra:  # evolved columns: NULL on untouched target rows
         tgt = tgt.withColumn(c, F.lit(None).cast(src.schema[c].dataType))
     columns = list(tgt.columns)
+    if one_scan and not use_broadcast:
+        return _one_scan(tgt, src, keys, columns, delete_missing), n
 
     marked = src.withColumn("__src", F.lit(True))
     s_side = F.broadcast(marked) if use_broadcast else marked

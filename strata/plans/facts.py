@@ -127,28 +127,30 @@ def material_on_time_fact(deliveries: DataFrame, delivery_items: DataFrame,
     """
     d, i = deliveries.alias("d"), delivery_items.alias("i")
     o, m = orders.alias("o"), materials.alias("m")
-    dh = d.join(o, F.col("d.VGBEL") == F.col("o.VBELN"), "left")
+    dh = d.join(o, F.col("d.VGBEL") == F.col("o.VBELN"), "left").select(
+        F.col("d.VBELN").alias("delivery"), F.col("o.VBELN").alias("order_number"),
+        F.col("d.WADAT_IST").alias("issued"), F.col("o.VDATU").alias("requested"))
     hot = (find_hot_keys(delivery_items, "VBELN", hot_key_rows, "material_on_time")
            if hot_key_rows else None)
 
     def build(items: DataFrame, hot_branch: bool) -> DataFrame:
         header = dh
         if hot_branch:
-            header = restrict_to_hot(dh, F.col("d.VBELN"), hot)
+            header = restrict_to_hot(dh, F.col("delivery"), hot)
         return (
             items.join(m, F.col("i.MATNR") == F.col("m.MATNR"), "left")
-            .join(header, F.col("d.VBELN") == F.col("i.VBELN"), "inner")
+            .join(header, F.col("delivery") == F.col("i.VBELN"), "inner")
             .select(
                 F.col("i.VBELN").alias("delivery_number"),
                 F.col("i.POSNR").alias("delivery_item"),
-                F.col("o.VBELN").alias("order_number"),
+                F.col("order_number"),
                 F.col("i.MATNR").alias("material_number"),
                 F.col("i.LFIMG").alias("delivered_quantity"),
                 F.col("i.VRKME").alias("unit_of_measure"),
-                F.col("d.WADAT_IST").alias("actual_goods_issue_date"),
-                F.col("o.VDATU").alias("requested_delivery_date"),
+                F.col("issued").alias("actual_goods_issue_date"),
+                F.col("requested").alias("requested_delivery_date"),
                 code_map(F.col("m.SPART"), DIVISION_TO_LOB, UNKNOWN_LOB).alias("lob_code"),
-                on_time_flag(F.col("d.WADAT_IST"), F.col("o.VDATU")).alias("is_on_time"),
+                on_time_flag(F.col("issued"), F.col("requested")).alias("is_on_time"),
                 source_tag("BLP").alias("source_id"),
             )
         )

@@ -79,7 +79,7 @@ def load_marked(sink: Sink, df: DataFrame, name: str, keys: Sequence[str],
         mark = df.agg(F.max(mark_column).cast("string")).first()[0]
     if isinstance(sink, (PartitionedSink, MergeIntoSink)):  # touched data only
         return sink.upsert(df, name, keys, **upsert_kwargs), "delta", 0, mark
-    merged, n = upsert_counted(sink.read(name), df, keys, **upsert_kwargs)
+    merged, n = upsert_counted(sink.read(name), df, keys, **{"one_scan": True, **upsert_kwargs})
     version = sink.publish(merged, name, keys=list(keys) or None)
     return int(n or 0), "delta", version, mark
 

@@ -233,6 +233,16 @@ def oracle_sql() -> dict[str, str]:
         "o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus = 'P'",
         ORDERS_COLS, ["o_orderkey"])
 
+    line_cols = ["line_group", "l_linenumber", "l_quantity", "l_shipdate"]
+    fulfilled = ("SELECT o_orderkey + 1 AS line_group, 0 AS l_linenumber, o_totalprice AS l_quantity, "
+                 "o_orderdate AS l_shipdate FROM orders WHERE o_orderstatus = 'F'")
+    q["upsert_hot_target"] = _merge(
+        "SELECT CASE WHEN l_returnflag = 'R' THEN 0 WHEN l_quantity < 49 THEN l_orderkey + 1 END AS line_group, "
+        "l_linenumber, l_quantity, l_shipdate FROM lineitem",
+        f"{fulfilled} UNION ALL SELECT 0, 9, 1.5, max(o_orderdate) FROM orders UNION ALL "
+        f"SELECT NULL, l_linenumber, l_quantity, l_shipdate FROM ({fulfilled}) WHERE l_quantity > 400000",
+        line_cols, ["line_group"])
+
     lob = MOT_CTES + [LOB_MAP, MEMBERS]
     q["row_filter_lob"] = _with(lob, _filtered("mot_all", "lob_code", "lob_map", "lob_code",
                                                "ana"))
@@ -243,6 +253,11 @@ def oracle_sql() -> dict[str, str]:
                                   _filtered("logi", "asset_id", "asset_map", "asset_id", "ash"))
     q["row_filter_global"] = _with(ent, _filtered("spend", "company_code", "entity_map",
                                                   "company_code", "gil"))
+    q["function_filter_lob"] = _with(lob, _filtered("mot_all", "lob_code", "lob_map", "lob_code", "viewer"))
+    q["function_filter_entity"] = _with(ent, _filtered("spend_all", "company_code", "entity_map",
+                                                       "company_code", "viewer"))
+    q["function_filter_asset"] = _with(LOGI_CTES + [ASSET_MAP, MEMBERS],
+                                       _filtered("logi", "asset_id", "asset_map", "asset_id", "viewer"))
     counted = []
     for table, fact, column, map_cte, key in (
             ("fact_mot", "mot_all", "lob_code", "lob_map", "lob_code"),

@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.sql_functions import create_security_functions
 from strata.operators import checks, control, security
 from strata.operators.harmonise import TableSpec, harmonise, high_water_mark
 from strata.operators.propagate import changed_rows
@@ -225,6 +226,25 @@ def upsert_events_late(spark, sf_dir):
     return upsert(base, batch, ["event_id"])
 
 
+def upsert_hot_target(spark, sf_dir):
+    """SNK-4 by one scan of the target: returned lines, a third of all, share
+    one key, and lines without a key match nothing."""
+    t = _tables(spark, sf_dir)
+    lines = t("lineitem").select(
+        F.when(F.col("l_returnflag") == F.lit("R"), F.lit(0))
+        .when(F.col("l_quantity") < 49, F.col("l_orderkey") + 1).cast("bigint").alias("line_group"),
+        "l_linenumber", "l_quantity", "l_shipdate")
+    batch = (t("orders").where(F.col("o_orderstatus") == F.lit("F"))
+             .select((F.col("o_orderkey") + 1).alias("line_group"), F.lit(0).alias("l_linenumber"),
+                     F.col("o_totalprice").alias("l_quantity"), F.col("o_orderdate").alias("l_shipdate")))
+    rest = t("orders").agg(F.max("o_orderdate").alias("l_shipdate")).select(
+        F.lit(0).cast("bigint").alias("line_group"), F.lit(9).alias("l_linenumber"),
+        F.lit(1.5).alias("l_quantity"), "l_shipdate")
+    unnumbered = batch.where("l_quantity > 400000").withColumn("line_group", F.lit(None).cast("bigint"))
+    return upsert(lines, batch.unionByName(rest).unionByName(unnumbered), ["line_group"],
+                  null_keys="allow", broadcast_limit=0, one_scan=True)
+
+
 def upsert_null_keys(spark, sf_dir):
     orders = _tables(spark, sf_dir)("orders")
     unnumbered = (orders.where(F.col("o_orderstatus") == F.lit("P"))
@@ -325,6 +345,46 @@ def published_fact_logistics(spark, sf_dir):
                       {"asset_group_map": fx.asset_group_map(_tables(spark, sf_dir))})
 
 
+def _by_function(spark, sf_dir, function: str, fact: DataFrame, maps) -> DataFrame:
+    """UDF-1..3: the fact bound to a persisted catalog function, as the view's
+    predicate; the function's body is inlined and decorrelated."""
+    config = _database(spark, "config")
+    for name, frame in maps.items():
+        frame.write.saveAsTable(f"{config}.{name}")
+    for name in {p.map_table for p in security.PATTERNS.values()} - set(maps):
+        fx.lob_group_map(spark).select(
+            F.lit("").alias(next(p.map_key for p in security.PATTERNS.values() if p.map_table == name)),
+            "entra_group_id", "scope", "is_active").where(F.lit(False)).write.saveAsTable(f"{config}.{name}")
+    me = security.current_principal(spark)
+    fx.config_frame(spark, [(me, g) for g in VIEWER_GROUPS], "principal string, group_id string") \
+        .write.saveAsTable(f"{config}.group_membership")
+    create_security_functions(spark, config, f"{config}.group_membership")
+    column = FUNCTION_COLUMNS[function]
+    fact.write.saveAsTable(f"{config}.fact")
+    spark.sql(f"CREATE VIEW {config}.visible AS SELECT * FROM {config}.fact "
+              f"WHERE {config}.{function}({column})")
+    return spark.table(f"{config}.visible")
+
+
+FUNCTION_COLUMNS = {"fn_lob_filter": "lob_code", "fn_legal_entity_filter": "company_code",
+                    "fn_asset_filter": "asset_id"}
+
+
+def function_filter_lob(spark, sf_dir):
+    return _by_function(spark, sf_dir, "fn_lob_filter", material_on_time_all(spark, sf_dir),
+                        {"lob_group_map": _lob(spark)})
+
+
+def function_filter_entity(spark, sf_dir):
+    return _by_function(spark, sf_dir, "fn_legal_entity_filter", _spend_with_nulls(spark, sf_dir),
+                        {"legal_entity_group_map": fx.legal_entity_group_map(_tables(spark, sf_dir))})
+
+
+def function_filter_asset(spark, sf_dir):
+    return _by_function(spark, sf_dir, "fn_asset_filter", logistics_on_time(spark, sf_dir),
+                        {"asset_group_map": fx.asset_group_map(_tables(spark, sf_dir))})
+
+
 # ── facts from what changed ─────────────────────────────────────────────────
 
 def _changes(spark, label: str, graph, build, before: dict, after: dict) -> DataFrame:
@@ -582,6 +642,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_single_key": upsert_single_key,
     "upsert_composite_key": upsert_composite_key,
     "upsert_null_keys": upsert_null_keys,
+    "upsert_hot_target": upsert_hot_target,
     "upsert_evolve": upsert_evolve,
     "upsert_events_late": upsert_events_late,
     "row_filter_lob": row_filter_lob,
@@ -592,6 +653,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "published_fact_mot": published_fact_mot,
     "published_fact_spend": published_fact_spend,
     "published_fact_logistics": published_fact_logistics,
+    "function_filter_lob": function_filter_lob,
+    "function_filter_entity": function_filter_entity,
+    "function_filter_asset": function_filter_asset,
     "row_filter_null_code": row_filter_null_code,
     "row_filter_null_code_global": row_filter_null_code_global,
     "mask_member": mask_member,
