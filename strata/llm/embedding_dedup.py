@@ -6,15 +6,18 @@ a step s, so that x = s q + e and |e| is known. For two vectors
     x . y <= (s q) . (t r) + |e| |t r| + |s q| |f| + |e| |f|
           <= (s q) . (t r) + |e| + |f| + 3 |e| |f|
 
-as |s q| <= 1 + |e|. The bound of all pairs of a tile is one matrix product:
-the codes times their step, with columns for the error terms. Only pairs whose
-bound reaches the threshold are computed in double precision from the
-original vectors; no pair at or above it can be missed.
+as |s q| <= 1 + |e|. The integer products q . r of a tile are exact, so what
+is left to allow for is the rounding of a few operations in double precision and
+of the confirming cosine itself, which grows with the dimension (``slack``). Only
+pairs whose bound reaches the threshold are computed in double precision from
+the original vectors; no pair at or above it can be missed.
 
 The vectors are dealt into blocks, and a tile is a pair of blocks. A tile task
 holds two blocks and small products of their parts; it returns per vector the
 number of its links and one link of a spanning forest, never the pairs. Equal
-vectors are one class with a count, so a group of copies is one row.
+vectors are one class with a count, so a group of copies is one row. The vectors
+travel to their tiles once each, in the precision of their column, and are
+quantised there: candidate pairs of a dense group would outweigh them by far.
 """
 
 from __future__ import annotations
@@ -32,8 +35,16 @@ from strata.llm.components import components
 THRESHOLD = 0.95
 BLOCK_ROWS = 8192
 PART_ROWS = 2048
-# float32 rounding of a product of unit vectors stays far below this
-SLACK = 1e-4
+# rounding in double precision that a bound allows for, for each 1,000 dimensions
+SLACK = 1e-12
+# sums of so many products of two codes stay integers below 2^24, exact in float32
+EXACT_DIMS = (1 << 24) // (127 * 127)
+
+
+def slack(dimensions: int) -> float:
+    """Covers the rounding of unit length, bound and confirming cosine, each
+    below (dimensions + 8) units of 2^-53."""
+    return SLACK * max(1.0, dimensions / 1000)
 
 
 def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -46,13 +57,43 @@ def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def bound_rows(codes: np.ndarray, step: np.ndarray, error: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows whose products (left with right) are the pairs' upper bounds."""
-    x = codes.astype(np.float32) * step[:, None].astype(np.float32)
-    e = error.astype(np.float32)[:, None]
+    """Rows whose products (left with right) are the pairs' upper bounds. Given
+    codes of no dimension, the products are the error terms alone."""
+    x = codes * step[:, None]
+    e = error[:, None]
     one = np.ones_like(e)
     return np.hstack([x, e, one, 3 * e]), np.hstack([x, one, e, e])
 
 
+def code_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Exact integer products of all pairs of int8 codes. They are taken by
+    float32 products of at most ``EXACT_DIMS`` dimensions, in which every partial
+    sum is an exact integer whatever the order of summation."""
+    d = left.shape[1]
+    if d <= EXACT_DIMS:
+        return left.astype(np.float32) @ right.astype(np.float32).T
+    total = np.zeros((len(left), len(right)), np.float64)
+    for k in range(0, d, EXACT_DIMS):
+        total += code_products(left[:, k:k + EXACT_DIMS], right[:, k:k + EXACT_DIMS])
+    return total
+
+
+def candidates(left, right, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs whose upper bound reaches ``threshold``; left and right are
+    (codes, steps, errors) of unit vectors. A cut per row, with the other side's
+    greatest step and error, spares most pairs their own bound."""
+    (q, s, e), (r, t, f) = left, right
+    reach = threshold - slack(q.shape[1])
+    product = code_products(q, r)
+    least = reach - (e + f.max() + 3 * e * f.max())
+    cut = np.where(least > 0, np.floor(least / (s * t.max()) * (1 - 1e-12)), -np.inf)
+    a, b = np.nonzero(product >= cut.astype(product.dtype)[:, None])
+    terms_a, terms_b = bound_rows(q[:, :0], s, e)[0], bound_rows(r[:, :0], t, f)[1]
+    bound = product[a, b] * (s[a] * t[b]) + np.einsum("ij,ij->i", terms_a[a], terms_b[b])
+    at = bound >= reach
+    return a[at], b[at]
+
+
 def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """Smallest node reachable over the links (a, b) among n nodes."""
     label = np.arange(n)
@@ -68,25 +109,25 @@ def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def tile_links(left: np.ndarray, right: np.ndarray | None, weight_left: np.ndarray,
-               weight_right: np.ndarray | None, codes_left, codes_right,
-               threshold: float) -> tuple[np.ndarray, np.ndarray]:
+               weight_right: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Links of one tile: per vector (left ones, then right ones) how many
     vectors it links to here, and the root of its component. ``right`` is None
     for a block with itself. Rows of left and right are original vectors."""
     own = right is None
     if own:
-        right, weight_right, codes_right = left, weight_left, codes_left
+        right, weight_right = left, weight_left
     na, nb = len(left), len(right)
     base = 0 if own else na
     length_a = np.sqrt((left ** 2).sum(axis=1))
     length_b = np.sqrt((right ** 2).sum(axis=1))
-    bounds_a, bounds_b = bound_rows(*codes_left)[0], bound_rows(*codes_right)[1]
+    codes_a = quantise(left / length_a[:, None])
+    codes_b = codes_a if own else quantise(right / length_b[:, None])
     n_links = np.zeros(na if own else na + nb, np.int64)
     forest_a, forest_b = [], []
     for i in range(0, na, PART_ROWS):
         for j in range(i if own else 0, nb, PART_ROWS):
-            ub = bounds_a[i:i + PART_ROWS] @ bounds_b[j:j + PART_ROWS].T
-            a, b = np.nonzero(ub >= np.float32(threshold - SLACK))
+            a, b = candidates([v[i:i + PART_ROWS] for v in codes_a],
+                              [v[j:j + PART_ROWS] for v in codes_b], threshold)
             a, b = a + i, b + j
             if own:
                 a, b = a[a < b], b[a < b]
@@ -133,8 +174,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block_rows
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     python_ready(vectors.sparkSession)
-    src = pick(vectors, id=id_col, x=vector_col).select(
-        F.col("id").cast("long").alias("id"), F.col("x").cast("array<double>").alias("x"))
+    picked = pick(vectors, id=id_col, x=vector_col)
+    single = picked.schema["x"].dataType.simpleString() == "array<float>"
+    real = np.float32 if single else np.float64
+    src = picked.select(
+        F.col("id").cast("long").alias("id"),
+        F.col("x").cast("array<float>" if single else "array<double>").alias("x"))
     classes = keep(_classes(src).select(
         F.monotonically_increasing_id().alias("c"), "x", "first_id", "n"), "classes")
     total = classes.count()
@@ -143,24 +188,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block_rows
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in _by_dimension(batch):
-                x = np.stack([np.array(v, np.float64) for v in rows.column(1).to_pylist()])
-                top = np.abs(x).max(axis=1)[:, None]  # extreme ones are scaled, so that squares stay finite
-                x = np.where((top > 1e100) | (top < 1e-100), x / top, x)
-                codes, step, error = quantise(x / np.sqrt((x ** 2).sum(axis=1))[:, None])
+                x = np.stack([np.array(v, real) for v in rows.column(1).to_pylist()])
+                if not single:  # extreme ones are scaled, so that squares stay finite
+                    top = np.abs(x).max(axis=1)[:, None]
+                    x = np.where((top > 1e100) | (top < 1e-100), x / top, x)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(2), pa.array([x.shape[1]] * len(x), pa.int32()),
-                     pa.array([v.tobytes() for v in x], pa.binary()),
-                     pa.array([v.tobytes() for v in codes], pa.binary()),
-                     pa.array(step), pa.array(error)],
-                    ["c", "n", "d", "x", "q", "s", "e"])
+                     pa.array([v.tobytes() for v in x], pa.binary())], ["c", "n", "d", "x"])
 
-    coded = classes.select("c", "x", "n").mapInArrow(
-        code, "c long, n long, d int, x binary, q binary, s double, e double")
+    coded = classes.select("c", "x", "n").mapInArrow(code, "c long, n long, d int, x binary")
     block = F.pmod(F.xxhash64("c"), F.lit(blocks)).cast("int")
     tiles = (coded.withColumn("b", block)
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
              .select("d", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b",
-                     "c", "n", "x", "q", "s", "e"))
+                     "c", "n", "x"))
 
     def run(table: pa.Table) -> pa.Table:
         d, i, j = (table.column(k)[0].as_py() for k in ("d", "i", "j"))
@@ -169,20 +210,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block_rows
 
         def side(at: np.ndarray):
             t = table.take(pa.array(at))
-            m = t.num_rows
-            return (np.frombuffer(b"".join(t.column("x").to_pylist()), np.float64).reshape(m, d),
-                    t.column("n").to_numpy().astype(np.float64),
-                    (np.frombuffer(b"".join(t.column("q").to_pylist()), np.int8).reshape(m, d),
-                     t.column("s").to_numpy(), t.column("e").to_numpy()))
+            x = np.frombuffer(b"".join(t.column("x").to_pylist()), real).reshape(t.num_rows, d)
+            return x.astype(np.float64), t.column("n").to_numpy().astype(np.float64)
 
         c = table.column("c").to_numpy()[np.concatenate(sides)]
         if i != j and (not len(sides[0]) or not len(sides[1])):
             some = np.zeros(0, np.int64)
             n_links = roots = some
         else:
-            x, w, q = side(sides[0])
-            y, v, r = (None, None, None) if i == j else side(sides[1])
-            n_links, roots = tile_links(x, y, w, v, q, r, threshold)
+            x, w = side(sides[0])
+            y, v = (None, None) if i == j else side(sides[1])
+            n_links, roots = tile_links(x, y, w, v, threshold)
             some = np.flatnonzero(n_links)
         return pa.table({"c": c[some], "n_links": n_links[some], "root": c[roots[some]]})
 

@@ -85,3 +85,36 @@ def test_bounds_hold():
     left, right = E.bound_rows(*q)[0], E.bound_rows(*q)[1]
     assert (left @ right.T + E.SLACK / 2 >= unit @ unit.T).all()
     assert np.abs(q[0]).max() <= 127 and q[0].dtype == np.int8
+
+
+@pytest.mark.parametrize("d", [3, 1040, 1041, 4096])
+def test_no_link_is_missed_in_any_dimension(d):
+    """Integer products are exact, and pairs whose cosine lies around the
+    threshold are found just as plain double precision finds them."""
+    rng = np.random.default_rng(d)
+    base = rng.normal(size=(40, d))
+    base[0] = 1.0  # the largest sums of codes
+    away = rng.normal(size=(40, d))
+    away -= (away * base).sum(1)[:, None] / (base ** 2).sum(1)[:, None] * base
+    unit, side = (v / np.sqrt((v ** 2).sum(1))[:, None] for v in (base, away))
+    cos = 0.95 + np.concatenate([np.zeros(10), rng.normal(size=15) * 1e-13, rng.normal(size=15) * 1e-4])
+    x = np.vstack([unit, cos[:, None] * unit + np.sqrt(1 - cos ** 2)[:, None] * side])
+    q = E.quantise(x / np.sqrt((x ** 2).sum(1))[:, None])
+    assert (E.code_products(q[0], q[0]) == q[0].astype(np.int64) @ q[0].T.astype(np.int64)).all()
+    length = np.sqrt((x ** 2).sum(1))
+    want = {(a, b) for a in range(80) for b in range(a + 1, 80)
+            if np.einsum("i,i", x[a], x[b]) / (length[a] * length[b]) >= 0.95}
+    found = {(a, b) for a, b in zip(*(v.tolist() for v in E.candidates(q, q, 0.95))) if a < b}
+    assert want <= found
+    if d > 3:
+        assert len(found) <= 40  # and few others
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_both_precisions(spark, kind):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(6, 8)).repeat(10, axis=0) + rng.normal(size=(60, 8)) * 0.15
+    rows = [(k, [float(np.float32(c)) for c in x]) for k, x in enumerate(v)] + [(60, None)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    got = [tuple(r) for r in E.near_duplicates(df, block_rows=16).collect()]
+    assert sorted(got, key=key) == sorted(brute(rows), key=key)
