@@ -201,6 +201,29 @@ WHERE k.permitted_key IS NOT NULL
     SELECT 1 {granted} AND m.scope = '{GLOBAL_SCOPE}')"""
 
 
+def pruned_select_sql(base: str, column: str, map_table: str, map_key: str,
+                      membership_table: str) -> str:
+    """:func:`secured_select_sql` for a base that is partitioned by ``column``: a
+    reader's query lists and reads only the partitions that reader may see.
+
+    The two kinds of reader are two branches, and only one of them has rows. A
+    semi join on the partition column lets dynamic partition pruning reach the
+    scan (the left join of the general form cannot be pruned); the codes are empty
+    for a GLOBAL reader, so adaptive execution drops that branch. The branch of
+    everything, NULL codes included, hangs on a scalar subquery alone, which is a
+    partition filter: it reads no file unless the reader is GLOBAL."""
+    base, column, map_table, map_key, membership_table = map(
+        sql_name, (base, column, map_table, map_key, membership_table))
+    granted = f"""FROM {map_table} m JOIN {membership_table} g ON g.group_id = m.entra_group_id
+    WHERE m.is_active = true AND g.principal = current_user()"""
+    everything = f"EXISTS (SELECT 1 {granted} AND m.scope = '{GLOBAL_SCOPE}')"
+    return f"""SELECT b.* FROM {base} b
+LEFT SEMI JOIN (SELECT DISTINCT m.{map_key} AS permitted_key {granted}
+    AND m.{map_key} IS NOT NULL AND NOT {everything}) k ON k.permitted_key = b.{column}
+UNION ALL
+SELECT b.* FROM {base} b WHERE {everything}"""
+
+
 def masked_select_sql(base: str, all_columns: list[str], masked: list[str],
                       allowed_groups: list[str], membership_table: str) -> str:
     """SQL body of a masking view: members of ``allowed_groups`` see values.

@@ -59,7 +59,7 @@ def make_sink(spark: SparkSession, database: str, spec: str = "snapshot") -> Sin
     if kind == "snapshot" and not argument:
         return SnapshotSink(spark, database)
     if kind == "partitioned" and argument:
-        return PartitionedSink(spark, database, argument)
+        return PartitionedSink(spark, database, argument, keep_previous=1)
     if kind == "merge":
         return MergeIntoSink(spark, database, argument or None)
     raise ValueError(f"unknown sink {spec!r}: snapshot, partitioned:<column> or merge[:<format>]")
@@ -142,17 +142,19 @@ def fact_logistics_job(spark: SparkSession, catalog: str, euh_schema: str, domai
 
 
 def apply_row_filter_job(spark: SparkSession, catalog: str, schema_name: str,
-                         table_name: str, config_schema: str = CONFIG_SCHEMA) -> str:
+                         table_name: str, config_schema: str = CONFIG_SCHEMA,
+                         sink: str = "snapshot") -> str:
     """SEC-1 on its own: (re)publish a table's public view from the registry.
+    ``sink`` is the one that the table is loaded with.
 
     Returns ``FILTERED`` or ``SKIPPED``; raises if the table no longer has
     its filter column.
     """
     require_params(catalog=catalog, schema_name=schema_name, table_name=table_name)
-    sink = SnapshotSink(spark, full_name(catalog, schema_name))
-    columns = sink.read(table_name).columns
+    table_sink = make_sink(spark, full_name(catalog, schema_name), sink)
+    columns = table_sink.read(table_name).columns
     return jobs.publish_public_view(
-        sink, table_name, _security(spark, catalog, schema_name, config_schema), columns)
+        table_sink, table_name, _security(spark, catalog, schema_name, config_schema), columns)
 
 
 def migrate_job(spark: SparkSession, catalog: str, env: str,

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from strata.operators.checks import require_params
 from strata.operators.harmonise import TableSpec, harmonise, typed_watermark
 from strata.operators.propagate import JoinGraph, propagate
-from strata.operators.security import PATTERNS, FilterColumnMissing, secured_select_sql
+from strata.operators.security import PATTERNS, FilterColumnMissing, pruned_select_sql, secured_select_sql
 from strata.operators.upsert import upsert_counted
 from strata.session import stage
 from strata.sinks.audit import RunLog, audited, new_run_id, observe_rows, observed_rows
@@ -98,7 +98,9 @@ def publish_public_view(sink: Sink, name: str, security: SecurityConfig | None,
     if column not in columns:
         raise FilterColumnMissing(f"{name}: filter column {column!r} not produced")
     pattern = PATTERNS[binding["row_filter"]]
-    body = secured_select_sql(
+    # stored by the filter column: readers read their own partitions only
+    select_sql = pruned_select_sql if getattr(sink, "partition_col", None) == column else secured_select_sql
+    body = select_sql(
         base=sink.base_view(name), column=column,
         map_table=f"{security.config_database}.{pattern.map_table}", map_key=pattern.map_key,
         membership_table=f"{security.config_database}.{security.membership_table}")

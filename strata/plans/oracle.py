@@ -281,6 +281,10 @@ GROUP BY p.principal""")
         _filtered("spend_c", "company_code", "entity_map", "company_code", "viewer"))
     q["published_fact_logistics"] = _with(
         LOGI_CTES + [ASSET_MAP, MEMBERS], _filtered("logi", "asset_id", "asset_map", "asset_id", "viewer"))
+    q["pruned_fact_mot"] = _with(lob, _filtered("mot_all", "lob_code", "lob_map", "lob_code", "viewer"))
+    q["pruned_fact_spend"] = _with(ent, _filtered("spend_all", "company_code", "entity_map",
+                                                  "company_code", "viewer"))
+    q["pruned_fact_spend_global"] = _with(ent, "SELECT * FROM spend_all")
     q["row_filter_null_code"] = _with(ent, _filtered("spend_all", "company_code", "entity_map",
                                                      "company_code", "eve"))
     q["row_filter_null_code_global"] = _with(ent, _filtered("spend_all", "company_code",

@@ -312,16 +312,19 @@ VIEWER_GROUPS = ["grp-lob-ds", "grp-lob-rf", "grp-entity-r1", "grp-entity-r2", "
                  "grp-asset-n20"]
 
 
-def _published(spark, sf_dir, schema: str, table: str, build, keys, maps) -> DataFrame:
+def _published(spark, sf_dir, schema: str, table: str, build, keys, maps,
+               partition_by: str | None = None, groups=VIEWER_GROUPS) -> DataFrame:
     """SEC-1..3: run the fact job with its registry binding and read the
-    public name as the session's user."""
+    public name as the session's user, a member of ``groups``. With
+    ``partition_by`` the fact is stored by that column."""
     config = _database(spark, "config")
     for name, frame in maps.items():
         frame.write.saveAsTable(f"{config}.{name}")
     me = security.current_principal(spark)
-    fx.config_frame(spark, [(me, g) for g in VIEWER_GROUPS], "principal string, group_id string") \
+    fx.config_frame(spark, [(me, g) for g in groups], "principal string, group_id string") \
         .write.saveAsTable(f"{config}.group_membership")
-    sink = SnapshotSink(spark, _database(spark, schema))
+    database = _database(spark, schema)
+    sink = PartitionedSink(spark, database, partition_by) if partition_by else SnapshotSink(spark, database)
     rules = jobs.SecurityConfig(bindings_frame(spark), config, schema_name=schema)
     jobs.run_fact_job(spark, sink, RunLog(SnapshotSink(spark, config)), table,
                       lambda: build(spark, sf_dir), keys, "delta", rules)
@@ -345,6 +348,26 @@ def published_fact_logistics(spark, sf_dir):
                       {"asset_group_map": fx.asset_group_map(_tables(spark, sf_dir))})
 
 
+def pruned_fact_mot(spark, sf_dir):
+    """SEC-3, FLT-6: the fact stored by its filter column; a reader's query
+    reads the partitions of that reader's codes alone."""
+    return _published(spark, sf_dir, "plan", "fact_mot", material_on_time_all, facts.MOT_KEYS,
+                      {"lob_group_map": _lob(spark)}, "lob_code")
+
+
+def pruned_fact_spend(spark, sf_dir):
+    return _published(spark, sf_dir, "sourcing", "fact_spend", _spend_with_nulls, facts.SPEND_KEYS,
+                      {"legal_entity_group_map": fx.legal_entity_group_map(_tables(spark, sf_dir))},
+                      "company_code")
+
+
+def pruned_fact_spend_global(spark, sf_dir):
+    """The same for a GLOBAL reader, who sees the partition of NULL codes too."""
+    return _published(spark, sf_dir, "sourcing", "fact_spend", _spend_with_nulls, facts.SPEND_KEYS,
+                      {"legal_entity_group_map": fx.legal_entity_group_map(_tables(spark, sf_dir))},
+                      "company_code", [*VIEWER_GROUPS, "grp-entity-global"])
+
+
 def _by_function(spark, sf_dir, function: str, fact: DataFrame, maps) -> DataFrame:
     """UDF-1..3: the fact bound to a persisted catalog function, as the view's
     predicate; the function's body is inlined and decorrelated."""
@@ -653,6 +676,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "published_fact_mot": published_fact_mot,
     "published_fact_spend": published_fact_spend,
     "published_fact_logistics": published_fact_logistics,
+    "pruned_fact_mot": pruned_fact_mot,
+    "pruned_fact_spend": pruned_fact_spend,
+    "pruned_fact_spend_global": pruned_fact_spend_global,
     "function_filter_lob": function_filter_lob,
     "function_filter_entity": function_filter_entity,
     "function_filter_asset": function_filter_asset,

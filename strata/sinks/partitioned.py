@@ -17,7 +17,8 @@ upsert here
 
 A full load, and a complete source with ``delete_missing``, writes a new data
 table and repoints the base view, so it may change the schema and readers
-never see a half-written table.
+never see a half-written table. ``keep_previous`` data tables are left for
+readers that resolved the view before the repoint.
 
 Failure: files of the rewritten partitions are written to a staging folder
 and moved in at job commit. A job that dies before commit leaves the table
@@ -59,6 +60,7 @@ class PartitionedSink:
     fmt: str = "parquet"
     max_pruned_partitions: int = 10_000
     stable_keys: bool = False
+    keep_previous: int = 0
     _locks: dict = field(default_factory=lambda: defaultdict(threading.Lock), repr=False)
     _guard: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
@@ -98,7 +100,8 @@ class PartitionedSink:
 
     def publish(self, df: DataFrame, name: str, keys=None) -> int:
         """Full load: write ``df``, with its own columns, as a new data table
-        and point the base view at it. The table before it is dropped then.
+        and point the base view at it. Tables before it are dropped then, but for
+        the newest ``keep_previous``.
         ``keys`` is what every sink's publish takes; none is needed here."""
         with self.lock(name):
             return self._publish(df, name)
@@ -115,9 +118,17 @@ class PartitionedSink:
         df.write.format(self.fmt).partitionBy(self.partition_col).saveAsTable(new)
         self._point(name, new)
         if old:
-            self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+            for _, table in self._data_tables(name, below=version)[self.keep_previous:]:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         return version
 
+    def _data_tables(self, name: str, below: int) -> list[tuple[int, str]]:
+        """(version, data table) of the versions under ``below``, newest first."""
+        pattern = re.compile(rf"{re.escape(name)}__data(?:_(\d+))?")
+        found = (pattern.fullmatch(t.name) for t in self.spark.catalog.listTables(self.database))
+        return sorted(((int(m[1] or 1), f"{self.database}.{m[0]}") for m in found
+                       if m and int(m[1] or 1) < below), reverse=True)
+
     def _point(self, name: str, table: str) -> None:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.base_view(name)} AS SELECT * FROM {table}")
 
