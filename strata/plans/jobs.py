@@ -15,12 +15,14 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.checks import require_params
 from strata.operators.harmonise import TableSpec, harmonise, typed_watermark
 from strata.operators.propagate import JoinGraph, propagate
+from strata.operators.quarantine import REJECT_SCHEMA, accepted, reject_counts, rejected, tag_rejects
+from strata.operators.reconcile import FINGERPRINT_SCHEMA, differing, fingerprints, row_differences
 from strata.operators.security import PATTERNS, FilterColumnMissing, pruned_select_sql, secured_select_sql
 from strata.operators.upsert import upsert_counted
 from strata.session import stage
@@ -30,6 +32,7 @@ from strata.sinks.base import Sink
 from strata.sinks.merge_into import MergeIntoSink
 from strata.sinks.partitioned import PartitionedSink
 from strata.sinks.publish import SnapshotSink
+from strata.sources.local import config_frame
 from strata.sources.registry import binding_for
 
 
@@ -182,6 +185,89 @@ def run_fact_changes_job(spark: SparkSession, sink: Sink, run_log: RunLog, name:
     return audited(run_log, run_id, target, "delta", body)
 
 
+QUARANTINE = "quarantine"
+RECONCILIATION = "reconciliation"
+
+
+class TooManyRejects(RuntimeError):
+    """A load was refused because too many of its rows break the table's rules."""
+
+
+def _append(sink: SnapshotSink, df: DataFrame, name: str, schema: str, run_id: str,
+            target: str) -> None:
+    """Append a run's rows to a state table, once however often the run is repeated."""
+    with sink.lock(name + "__create"):
+        if not sink.exists(name):
+            sink.publish(config_frame(sink.spark, [], schema), name)
+    mine = sink.read(name).where((F.col("run_id") == F.lit(run_id)) & (F.col("target") == F.lit(target)))
+    if mine.isEmpty():
+        sink.append(df, name)
+
+
+def run_quarantined_load(spark: SparkSession, sink: Sink, run_log: RunLog, name: str,
+                         build: Callable[[], DataFrame], keys: Sequence[str],
+                         required: Sequence[str] = (), rules: Mapping[str, Column] | None = None,
+                         load_type: str = "delta", max_reject_share: float = 1.0,
+                         security: SecurityConfig | None = None,
+                         run_id: str | None = None) -> tuple[int, int]:
+    """CHK-3, SNK-6: load the rows that keep the table's rules and set the others
+    apart, with what each breaks, in the run log's database (table ``quarantine``).
+
+    The source is read once: rows are tagged and staged, and an Observation on that
+    write counts both kinds. Key columns are required too. If more than
+    ``max_reject_share`` of the rows are rejected nothing is loaded, the run
+    fails and is logged as failed; its rejects stay for inspection. Returns (rows
+    accepted, rows rejected); the run log gets a row for each of the two.
+    """
+    require_params(name=name, load_type=load_type, keys=list(keys))
+    run_id = run_id or new_run_id()
+    target = sink.public_name(name)
+    counts: dict[str, int] = {}
+
+    def body():
+        tagged = tag_rejects(build(), list(dict.fromkeys([*keys, *required])), rules)
+        obs = Observation("quarantine")
+        tagged = stage(tagged.observe(obs, *reject_counts()), f"{sink.database}/{name}__tagged")
+        counts.update(obs.get)
+        b = _binding(spark, sink, name, security, accepted(tagged).columns)
+        if counts["rejected"]:
+            _append(run_log.sink, rejected(tagged, target, run_id), QUARANTINE, REJECT_SCHEMA, run_id, target)
+        if counts["rejected"] > max_reject_share * counts["rows"]:
+            raise TooManyRejects(f"{counts['rejected']} of {counts['rows']} rows break the rules of {target}")
+        rows, effective, _ = load(sink, accepted(tagged), name, keys, load_type, stage_source=False)
+        publish_public_view(sink, name, security, accepted(tagged).columns, binding=b)
+        return rows, effective
+
+    rows = audited(run_log, run_id, target, load_type, body)
+    run_log.write(run_id, target, load_type, counts["rejected"], "rejected")
+    return rows, counts["rejected"]
+
+
+def run_reconcile_job(spark: SparkSession, run_log: RunLog, name: str, source: DataFrame,
+                      target: DataFrame, keys: Sequence[str], partition: Column,
+                      columns: Sequence[str] | None = None, run_id: str | None = None) -> DataFrame:
+    """AGG-1/AGG-2, DCL-3: compare a copy with its source (``operators.reconcile``).
+
+    Fingerprints of both sides are stored in the run log's database (table
+    ``reconciliation``) and compared as stored; the run log gets a row ``matched``
+    or ``differs`` with the number of partitions that differ. Returns the
+    differing keys, found in those partitions alone."""
+    require_params(name=name, keys=list(keys))
+    run_id = run_id or new_run_id()
+    columns = list(columns or source.columns)
+    sides = [fingerprints(df, keys, partition, columns).select(
+        F.lit(name).alias("target"), F.lit(run_id).alias("run_id"), F.lit(side).alias("side"), "*")
+        for side, df in (("source", source), ("target", target))]
+    _append(run_log.sink, sides[0].unionByName(sides[1]), RECONCILIATION,
+            "target string, run_id string, side string, " + FINGERPRINT_SCHEMA, run_id, name)
+    stored = run_log.sink.read(RECONCILIATION).where(
+        (F.col("run_id") == F.lit(run_id)) & (F.col("target") == F.lit(name)))
+    found = differing(*[stored.where(F.col("side") == F.lit(s)) for s in ("source", "target")])
+    n = found.count()
+    run_log.write(run_id, name, "reconcile", n, "differs" if n else "matched")
+    return row_differences(source, target, keys, partition, found, columns)
+
+
 def stored_watermarks(state: SnapshotSink, table_ids: Mapping[str, str]) -> dict[str, str]:
     """DCL-2: the watermark each table's orchestration row holds (target -> value)."""
     if not state.exists("orchestration_config"):

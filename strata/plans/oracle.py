@@ -338,4 +338,28 @@ GROUP BY p.principal""")
             f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count "
             "FROM spend_all"
             for c in ("po_number", "po_line_number", "company_code", "vendor_id")))
+    q["quarantine_orders"] = """WITH tagged AS (
+  SELECT *, concat_ws('; ', CASE WHEN o_orderstatus = 'P' THEN 'o_year is null' END,
+    CASE WHEN o_totalprice < 30000 THEN 'price below 30000' END,
+    CASE WHEN o_orderpriority = '5-LOW' AND (o_orderstatus = 'P' OR year(o_orderdate) = 1999)
+         THEN 'low priority in 1999' END) AS reasons FROM orders),
+runs AS (
+  SELECT 'first' AS run_id, * FROM tagged WHERE o_orderdate < TIMESTAMP '2000-01-01'
+  UNION ALL SELECT 'second', * FROM tagged UNION ALL SELECT 'third', * FROM tagged)
+SELECT 'accepted' AS part, CAST(NULL AS VARCHAR) AS run_id, CAST(o_orderkey AS BIGINT) AS o_orderkey,
+  CAST(NULL AS VARCHAR) AS detail, CAST(NULL AS BIGINT) AS rows FROM tagged WHERE reasons = ''
+UNION ALL SELECT 'rejected', run_id, o_orderkey, reasons, NULL FROM runs WHERE reasons <> ''
+UNION ALL SELECT 'audit', run_id, NULL, CASE WHEN reasons = '' THEN 'success' ELSE 'rejected' END, count(*)
+FROM runs WHERE run_id <> 'third' GROUP BY 2, 4
+UNION ALL SELECT 'audit', 'third', NULL, 'failed', 0"""
+    q["reconcile_orders"] = """WITH o AS (
+  SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderstatus AS s, strftime(o_orderdate, '%Y-%m') AS m FROM orders),
+found AS (
+  SELECT m, o_orderkey, 'lost' AS problem, 1 AS source_rows, 0 AS target_rows FROM o WHERE m = '1999-03' AND s = 'O'
+  UNION ALL SELECT m, o_orderkey, 'altered', 1, 1 FROM o WHERE m = '1998-07' AND s = 'F'
+  UNION ALL SELECT m, o_orderkey, 'doubled', 1, 2 FROM o WHERE m = '2000-05'
+  UNION ALL SELECT m, -o_orderkey - 1, 'extra', 0, 1 FROM o WHERE m = '2000-02')
+SELECT o_orderkey, problem, CAST(source_rows AS BIGINT) AS source_rows, CAST(target_rows AS BIGINT) AS target_rows FROM found
+UNION ALL SELECT NULL, CASE WHEN count(*) = 0 THEN 'matched' ELSE 'differs' END, NULL, count(DISTINCT m) FROM found"""
+    q["pinned_clone"] = "SELECT * FROM customer WHERE c_acctbal > 0"
     return q

@@ -643,6 +643,70 @@ def null_violations(spark, sf_dir):
                               facts.SPEND_KEYS + ["company_code", "vendor_id"])
 
 
+def quarantine_orders(spark, sf_dir):
+    """CHK-3, SNK-6: three loads of orders of which some break the rules; the
+    last allows no reject, so it fails. What is stored of each: accepted rows,
+    rejected rows with their reasons, and the run log."""
+    orders = _dated(_tables(spark, sf_dir)("orders"))
+    sink = SnapshotSink(spark, _database(spark, "euh"))
+    log = RunLog(SnapshotSink(spark, _database(spark, "state")))
+    rules = {"price below 30000": F.col("o_totalprice") >= 30000,
+             "low priority in 1999": (F.col("o_orderpriority") != F.lit("5-LOW")) | (F.col("o_year") != 1999)}
+
+    def run(run_id: str, df: DataFrame, load_type: str, share: float = 1.0) -> None:
+        jobs.run_quarantined_load(spark, sink, log, "orders", lambda: df, ["o_orderkey"], ["o_year"], rules,
+                                  load_type, share, run_id=run_id)
+
+    run("first", orders.where(F.col("o_orderdate") < _ts(orders, "o_orderdate", "2000-01-01")), "full")
+    run("second", orders, "delta")
+    try:
+        run("third", orders, "delta", 0.0)
+    except jobs.TooManyRejects:
+        pass  # it is in the run log
+
+    def rows(df, part, run_id=F.lit(None), key=F.lit(None), detail=F.lit(None), n=F.lit(None)) -> DataFrame:
+        return df.select(F.lit(part).alias("part"), run_id.cast("string").alias("run_id"),
+                         key.cast("bigint").alias("o_orderkey"), detail.cast("string").alias("detail"),
+                         n.cast("bigint").alias("rows"))
+
+    return (rows(sink.read("orders"), "accepted", key=F.col("o_orderkey"))
+            .unionByName(rows(log.sink.read(jobs.QUARANTINE), "rejected", F.col("run_id"),
+                              F.get_json_object("record", "$.o_orderkey"), F.array_join("reasons", "; ")))
+            .unionByName(rows(log.read(), "audit", F.col("run_id"), detail=F.col("status"), n=F.col("rows"))))
+
+
+def reconcile_orders(spark, sf_dir):
+    """AGG-1/AGG-2, DCL-3: a copy of the orders in which some were lost, doubled,
+    altered and added, compared month by month; then the keys and the run log."""
+    orders = _tables(spark, sf_dir)("orders")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    copy = (orders.where((month != F.lit("1999-03")) | (F.col("o_orderstatus") != F.lit("O")))
+            .withColumn("o_totalprice", F.when((month == F.lit("1998-07")) & (F.col("o_orderstatus") == F.lit("F")),
+                                               F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))))
+    copy = copy.unionByName(orders.where(month == F.lit("2000-05"))).unionByName(
+        orders.where(month == F.lit("2000-02")).withColumn("o_orderkey", -F.col("o_orderkey") - 1))
+    source, mirror = (SnapshotSink(spark, _database(spark, n)) for n in ("euh", "mirror"))
+    source.publish(orders, "orders")
+    mirror.publish(copy, "orders")
+    log = RunLog(SnapshotSink(spark, _database(spark, "state")))
+    found = jobs.run_reconcile_job(spark, log, "orders", source.read("orders"), mirror.read("orders"),
+                                   ["o_orderkey"], month)
+    audit = log.read().select(F.lit(None).cast("bigint").alias("o_orderkey"), F.col("status").alias("problem"),
+                              F.lit(None).cast("bigint").alias("source_rows"), F.col("rows").alias("target_rows"))
+    return found.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint")).unionByName(audit)
+
+
+def pinned_clone(spark, sf_dir):
+    """DCL-4: a shallow clone of a source that was published twice since."""
+    customer = _tables(spark, sf_dir)("customer")
+    source, target = (SnapshotSink(spark, _database(spark, n), keep=1) for n in ("euh", "uat"))
+    source.publish(customer.where(F.col("c_acctbal") > 0), "customer")
+    mirror_table(spark, source.base_view("customer"), target, "customer", deep=False, pin_from=source)
+    source.publish(customer.where(F.col("c_acctbal") <= 0), "customer")
+    source.publish(customer, "customer")
+    return spark.table(target.public_name("customer"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "material_on_time": material_on_time,
     "material_on_time_all": material_on_time_all,
@@ -694,4 +758,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "seed_entity_map": seed_entity_map,
     "soft_delete_entity_map": soft_delete_entity_map,
     "null_violations": null_violations,
+    "quarantine_orders": quarantine_orders,
+    "reconcile_orders": reconcile_orders,
+    "pinned_clone": pinned_clone,
 }

@@ -20,8 +20,18 @@ from strata.sinks.publish import SnapshotSink
 
 def mirror_table(spark: SparkSession, source_table: str, sink: SnapshotSink, name: str,
                  deep: bool = True, masked: Sequence[str] = (),
-                 allowed_groups: Sequence[str] = (), membership_table: str | None = None) -> str:
-    """Copy (deep) or reference (shallow) ``source_table`` as ``sink.database.name``."""
+                 allowed_groups: Sequence[str] = (), membership_table: str | None = None,
+                 pin_from: SnapshotSink | None = None) -> str:
+    """Copy (deep) or reference (shallow) ``source_table`` as ``sink.database.name``.
+
+    A shallow table follows its source. With ``pin_from``, the sink of the source, it
+    is a clone instead: a view of the snapshot that is current now, which later
+    publishes of the source neither change nor expire (``SnapshotSink.unpin``). A
+    clone made anew releases the snapshot before it."""
+    if pin_from is not None and not deep:
+        clone, table = sink.public_name(name), source_table.rsplit(".", 1)[-1].removesuffix("__base")
+        pin_from.unpin(table, clone)
+        source_table = pin_from.pin(table, clone)
     df = spark.table(sql_name(source_table))
     if deep:
         sink.publish(df, name)

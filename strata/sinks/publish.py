@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.functions.columns import sql_name
 from strata.operators.sizing import size_of
 
+_PIN = "strata.pinned_by."  # prefix of a snapshot's table properties
 _VERSION = re.compile(r"^(?P<base>.+)__v(?P<n>\d+)$")
 
 
@@ -121,12 +122,37 @@ class SnapshotSink:
         self._expire(name, version)
         return version
 
+    # pins: a clone that reads one snapshot keeps it from changing and expiring
+    def pin(self, name: str, by: str) -> str:
+        """Keep the current snapshot, for the reader ``by`` (the name of a
+        table that is a view of it). Returns the snapshot table."""
+        with self.lock(name):
+            table = self.current_table(name)
+            if table is None:
+                raise ValueError(f"{self.database}.{name} has no snapshot to pin")
+            self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PIN}{sql_name(by)}' = 'true')")
+            return table
+
+    def unpin(self, name: str, by: str) -> None:
+        """Release what ``by`` has pinned; the snapshots expire at the next publish."""
+        with self.lock(name):
+            for v in self.versions(name):
+                self.spark.sql(f"ALTER TABLE {self.snapshot_table(name, v)} "
+                               f"UNSET TBLPROPERTIES IF EXISTS ('{_PIN}{sql_name(by)}')")
+
+    def pinned(self, table: str) -> bool:
+        return any(r["key"].startswith(_PIN) for r in self.spark.sql(f"SHOW TBLPROPERTIES {table}").collect())
+
     def append(self, df: DataFrame, name: str) -> None:
-        """Append rows to the current snapshot (one atomic job commit)."""
+        """Append rows to the current snapshot (one atomic job commit). A pinned
+        snapshot never changes: its rows and the new ones become the next one."""
         with self.lock(name):
             current = self.current_table(name)
             if current is None:
                 raise ValueError(f"{self.database}.{name} has no snapshot to append to")
+            if self.pinned(current):
+                self._publish(self.read(name).unionByName(df), name, None, None, None)
+                return
             # insertInto is positional: align the frame to the table by name
             df.select(*self.spark.table(current).columns).write.insertInto(current)
 
@@ -158,5 +184,5 @@ class SnapshotSink:
 
     def _expire(self, name: str, current: int) -> None:
         for v in self.versions(name):
-            if v <= current - self.keep:
+            if v <= current - self.keep and not self.pinned(self.snapshot_table(name, v)):
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.snapshot_table(name, v)}")

@@ -1,0 +1,187 @@
+"""Rejected rows, reconciliation of copies, pinned clones."""
+
+import json
+import uuid
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from strata.operators import quarantine as Q
+from strata.operators import reconcile as R
+from strata.plans import jobs
+from strata.sinks.audit import RunLog
+from strata.sinks.mirror import mirror_table
+from strata.sinks.publish import SnapshotSink
+
+SCHEMA = "k long, v string, n int"
+
+
+def _sinks(spark, **kw):
+    tag = uuid.uuid4().hex[:8]
+    return SnapshotSink(spark, f"q_{tag}", **kw), RunLog(SnapshotSink(spark, f"q_{tag}_state"))
+
+
+def _load(spark, sink, log, rows, **kw):
+    df = spark.createDataFrame(rows, SCHEMA)
+    return jobs.run_quarantined_load(spark, sink, log, "t", lambda: df, ["k"], ["v"],
+                                     {"n is not positive": F.col("n") > 0}, **kw)
+
+
+def _audit(log):
+    return sorted((r["run_id"], r["status"], r["rows"]) for r in log.read().collect())
+
+
+def test_tags_every_reason(spark):
+    df = spark.createDataFrame([(1, "a", 1), (2, None, 0), (None, "b", None)], SCHEMA)
+    got = Q.tag_rejects(df, ["k", "v"], {"n is not positive": F.col("n") > 0})
+    assert [r[Q.REASONS] for r in got.orderBy(F.col("k").asc_nulls_last()).collect()] == [
+        [], ["v is null", "n is not positive"], ["k is null", "n is not positive"]]
+    assert Q.accepted(Q.tag_rejects(df, [])).count() == 3
+    with pytest.raises(ValueError):
+        Q.tag_rejects(df, ["missing"])
+    with pytest.raises(ValueError):
+        Q.tag_rejects(got, ["k"])
+
+
+def test_good_rows_load_and_others_are_kept_with_reasons(spark):
+    sink, log = _sinks(spark)
+    assert _load(spark, sink, log, [(1, "a", 1), (2, None, 5), (None, "b", 7)], run_id="r1") == (1, 2)
+    assert _load(spark, sink, log, [(1, "c", 2), (3, "d", 3), (4, "e", -1)], run_id="r2") == (2, 1)
+    assert sorted(tuple(r) for r in sink.read("t").collect()) == [(1, "c", 2), (3, "d", 3)]
+    kept = log.sink.read(jobs.QUARANTINE).collect()
+    assert sorted((r["run_id"], json.dumps(json.loads(r["record"])), r["reasons"]) for r in kept) == [
+        ("r1", '{"k": 2, "v": null, "n": 5}', ["v is null"]),
+        ("r1", '{"k": null, "v": "b", "n": 7}', ["k is null"]),
+        ("r2", '{"k": 4, "v": "e", "n": -1}', ["n is not positive"])]
+    assert _audit(log) == [("r1", "rejected", 2), ("r1", "success", 1), ("r2", "rejected", 1), ("r2", "success", 2)]
+
+
+def test_source_is_read_once(spark):
+    sink, log = _sinks(spark)
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(k, None if k % 3 else "a", 1) for k in range(30)], SCHEMA).mapInArrow(count, SCHEMA)
+    assert jobs.run_quarantined_load(spark, sink, log, "t", lambda: df, ["k"], ["v"]) == (10, 20)
+    assert reads.value == 30
+
+
+def test_too_many_rejects_load_nothing_and_fail_the_run(spark):
+    sink, log = _sinks(spark)
+    _load(spark, sink, log, [(1, "a", 1)], run_id="r1")
+    for _ in range(2):  # a repeated run keeps its rejects once
+        with pytest.raises(jobs.TooManyRejects, match="2 of 3"):
+            _load(spark, sink, log, [(1, "b", 1), (2, None, 1), (3, None, 1)], run_id="r2", max_reject_share=0.5)
+    assert [tuple(r) for r in sink.read("t").collect()] == [(1, "a", 1)]
+    assert log.sink.read(jobs.QUARANTINE).count() == 2
+    assert _audit(log) == [("r1", "rejected", 0), ("r1", "success", 1), ("r2", "failed", 0), ("r2", "failed", 0)]
+
+
+def test_empty_source(spark):
+    sink, log = _sinks(spark)
+    assert _load(spark, sink, log, [], max_reject_share=0.0) == (0, 0)
+    assert sink.read("t").count() == 0
+
+
+rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.sampled_from([None, "a", "b"]),
+                          st.one_of(st.none(), st.integers(0, 2))), max_size=8)
+
+
+def _expected(source, target):
+    """Differing keys of two lists of (k, v, n), in the values of v that differ."""
+    out = set()
+    of = lambda side, v: sorted((r for r in side if r[1] == v), key=repr)
+    differ = {v for v in (None, "a", "b") if of(source, v) != of(target, v)}
+    source, target = ([r for r in side if r[1] in differ] for side in (source, target))
+    for k in {r[0] for r in source + target}:
+        a, b = (sorted((r for r in side if r[0] == k), key=repr) for side in (source, target))
+        if a != b:
+            out.add((k, "lost" if not b else "extra" if not a else "doubled" if len(b) > len(a)
+                     else "fewer" if len(b) < len(a) else "altered", len(a), len(b)))
+    return out
+
+
+@settings(max_examples=12, deadline=None)
+@given(source=rows, target=rows)
+def test_differences_equal_a_comparison_of_the_rows(spark, source, target):
+    a, b = (spark.createDataFrame(r, SCHEMA) for r in (source, target))
+    part = F.col("v")
+    found = R.differing(R.fingerprints(a, ["k"], part), R.fingerprints(b, ["k"], part))
+    got = {tuple(r) for r in R.row_differences(a, b, ["k"], part, found).collect()}
+    assert got == _expected(source, target)
+    assert (found.count() == 0) == (sorted(source, key=repr) == sorted(target, key=repr))
+
+
+def test_nulls_keep_their_place_and_column_order_does_not_matter(spark):
+    a = spark.createDataFrame([(1, "x", None)], "k int, v string, w string")
+    b = spark.createDataFrame([(1, None, "x")], "k int, v string, w string")
+    part = F.lit("all")
+    assert R.differing(R.fingerprints(a, ["k"], part), R.fingerprints(b, ["k"], part)).count() == 1
+    turned = R.fingerprints(a.select("w", "k", "v"), ["k"], part)
+    assert R.differing(R.fingerprints(a, ["k"], part), turned).count() == 0
+
+
+def test_hot_key_and_distinct_sketch(spark):
+    """A key that holds a third of all rows is one row after the map side; the
+    sketches of the partitions merge."""
+    a = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+                                   F.lit("v").alias("v"))
+    part = F.pmod(F.xxhash64("k"), F.lit(16))
+    source = R.fingerprints(a, ["k"], part)
+    (n,) = R.distinct_keys(source).first()
+    assert abs(n / 20_001 - 1) < 0.1
+    b = a.where("k <> 5").unionByName(a.where("k = -1").limit(1))
+    found = R.differing(source, R.fingerprints(b, ["k"], part))
+    assert found.count() <= 2
+    got = {tuple(r) for r in R.row_differences(a, b, ["k"], part, found).collect()}
+    assert got == {(-1, "doubled", 10_000, 10_001)} | ({(5, "lost", 1, 0)} if a.where("k = 5").count() else set())
+
+
+def test_reconcile_job_stores_and_logs(spark):
+    _, log = _sinks(spark)
+    a = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], SCHEMA)
+    for run, b, status, n in (("r1", a, "matched", 0), ("r2", a.where("k = 1"), "differs", 1)):
+        found = jobs.run_reconcile_job(spark, log, "t", a, b, ["k"], F.col("v"), run_id=run)
+        assert found.count() == n
+        assert (run, status, n) in _audit(log)
+    stored = log.sink.read(jobs.RECONCILIATION)
+    assert sorted((r["run_id"], r["side"], r["rows"]) for r in stored.collect()) == [
+        ("r1", "source", 1), ("r1", "source", 1), ("r1", "target", 1), ("r1", "target", 1),
+        ("r2", "source", 1), ("r2", "source", 1), ("r2", "target", 1)]
+
+
+def test_pinned_clone_outlives_publishes_and_appends(spark):
+    source, _ = _sinks(spark, keep=1)
+    target, _ = _sinks(spark)
+    frame = lambda *k: spark.createDataFrame([(i, "a", 1) for i in k], SCHEMA)
+    keys = lambda df: sorted(r["k"] for r in df.collect())
+    clone = lambda: mirror_table(spark, f"{source.database}.t", target, "t", deep=False, pin_from=source)
+    source.publish(frame(1), "t")
+    source.set_public_view("t")
+    clone()
+    source.append(frame(2), "t")  # the pinned snapshot itself stays as it is
+    source.publish(frame(3), "t")
+    source.publish(frame(4), "t")
+    assert keys(spark.table(target.public_name("t"))) == [1] and keys(source.read("t")) == [4]
+    assert source.versions("t") == [1, 4]
+    clone()  # made anew: the old snapshot may go
+    source.publish(frame(5), "t")
+    assert keys(spark.table(target.public_name("t"))) == [4]
+    assert source.versions("t") == [4, 5]
+    source.unpin("t", target.public_name("t"))
+    source.publish(frame(6), "t")
+    assert source.versions("t") == [6]
+
+
+def test_shallow_without_a_pin_follows_the_source(spark):
+    source, _ = _sinks(spark)
+    target, _ = _sinks(spark)
+    source.publish(spark.createDataFrame([(1, "a", 1)], SCHEMA), "t")
+    mirror_table(spark, source.base_view("t"), target, "t", deep=False)
+    source.publish(spark.createDataFrame([(2, "a", 1)], SCHEMA), "t")
+    assert [r["k"] for r in spark.table(target.public_name("t")).collect()] == [2]
