@@ -361,5 +361,8 @@ found AS (
   UNION ALL SELECT m, -o_orderkey - 1, 'extra', 0, 1 FROM o WHERE m = '2000-02')
 SELECT o_orderkey, problem, CAST(source_rows AS BIGINT) AS source_rows, CAST(target_rows AS BIGINT) AS target_rows FROM found
 UNION ALL SELECT NULL, CASE WHEN count(*) = 0 THEN 'matched' ELSE 'differs' END, NULL, count(DISTINCT m) FROM found"""
+    q["clustered_reads"] = ("SELECT *, CAST(o_orderdate AS DATE) AS o_day, 'delta' AS read FROM orders "
+                            "WHERE CAST(o_orderdate AS DATE) > DATE '2000-10-01' "
+                            "UNION ALL SELECT *, CAST(o_orderdate AS DATE), 'keys' FROM orders WHERE o_orderkey BETWEEN 300 AND 500")
     q["pinned_clone"] = "SELECT * FROM customer WHERE c_acctbal > 0"
     return q

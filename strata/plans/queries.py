@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.sql_functions import create_security_functions
 from strata.operators import checks, control, security
-from strata.operators.harmonise import TableSpec, harmonise, high_water_mark
+from strata.operators.harmonise import TableSpec, harmonise, high_water_mark, watermark_filter
 from strata.operators.propagate import changed_rows
 from strata.operators.upsert import load_frame, upsert
 from strata.plans import facts, jobs
@@ -696,6 +696,17 @@ def reconcile_orders(spark, sf_dir):
     return found.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint")).unionByName(audit)
 
 
+def clustered_reads(spark, sf_dir):
+    """SRC-1, FLT-1: orders published along a curve over (watermark, key); a read
+    above a mark and a read of a key range, each of a part of the row groups."""
+    orders = _tables(spark, sf_dir)("orders").withColumn("o_day", F.to_date("o_orderdate"))
+    sink = SnapshotSink(spark, _database(spark, "euh"), cluster_by=("o_day", "o_orderkey"))
+    jobs.load(sink, orders, "orders", ["o_orderkey"], "full")
+    stored = sink.read("orders")
+    return (watermark_filter(stored, "o_day", "2000-10-01").withColumn("read", F.lit("delta"))
+            .unionByName(stored.where(F.col("o_orderkey").between(300, 500)).withColumn("read", F.lit("keys"))))
+
+
 def pinned_clone(spark, sf_dir):
     """DCL-4: a shallow clone of a source that was published twice since."""
     customer = _tables(spark, sf_dir)("customer")
@@ -760,5 +771,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "null_violations": null_violations,
     "quarantine_orders": quarantine_orders,
     "reconcile_orders": reconcile_orders,
+    "clustered_reads": clustered_reads,
     "pinned_clone": pinned_clone,
 }

@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.columns import sql_name
+from strata.operators.clustering import cluster
 from strata.operators.sizing import size_of
 
 _PIN = "strata.pinned_by."  # prefix of a snapshot's table properties
@@ -39,6 +40,9 @@ class SnapshotSink:
     fmt: str = "parquet"
     bucket_by_keys: bool = False
     buckets: int | None = None  # None: spark.sql.shuffle.partitions
+    # Tables that have all of these columns are laid out along a Z-order curve
+    # over them (say watermark and key), so that filters on any skip row groups.
+    cluster_by: tuple[str, ...] = ()
     # Writes into one table directory must not overlap (concurrent jobs share
     # the committer's temporary folder); jobs from parallel driver threads
     # take the table's lock. Different tables still write concurrently.
@@ -107,6 +111,8 @@ class SnapshotSink:
                 self.spark.sql(f"CREATE TABLE {target} ({ddl_columns}) USING {self.fmt}")
                 df.select(*self.spark.table(target).columns).write.insertInto(target)
             else:
+                if self.cluster_by and set(self.cluster_by) <= set(df.columns):
+                    df = cluster(df, self.cluster_by)
                 w = df.write.format(self.fmt).mode("errorifexists")
                 if partition_by:
                     w = w.partitionBy(*partition_by)
