@@ -365,4 +365,9 @@ UNION ALL SELECT NULL, CASE WHEN count(*) = 0 THEN 'matched' ELSE 'differs' END,
                             "WHERE CAST(o_orderdate AS DATE) > DATE '2000-10-01' "
                             "UNION ALL SELECT *, CAST(o_orderdate AS DATE), 'keys' FROM orders WHERE o_orderkey BETWEEN 300 AND 500")
     q["pinned_clone"] = "SELECT * FROM customer WHERE c_acctbal > 0"
+    q["events_late_twice"] = """WITH e AS (
+  SELECT event_id, CASE WHEN event_type <> 'error' THEN ts END AS ts, event_type,
+         event_type = 'error' OR (day(ts) <= 10 AND event_id % 4 = 0) AS recovered FROM events)
+SELECT event_id, ts, event_type, CAST(NULL AS BIGINT) AS rows FROM e
+UNION ALL SELECT NULL, NULL, CASE WHEN recovered THEN 'recovered' ELSE 'appended' END, count(*) FROM e GROUP BY 3"""
     return q

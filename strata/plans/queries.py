@@ -31,6 +31,7 @@ from strata.sinks.publish import SnapshotSink
 from strata.sources import fixtures as fx
 from strata.sources.registry import bindings_frame
 from strata.sources.tables import optional_table
+from strata.streaming.events import load_events
 
 SOFT_DELETE_AT = "2026-01-01 00:00:00"
 
@@ -718,6 +719,38 @@ def pinned_clone(spark, sf_dir):
     return spark.table(target.public_name("customer"))
 
 
+def events_late_twice(spark, sf_dir):
+    """FLT-1, SNK-12: events landed in three drops, each loaded as a stream with
+    three days of lateness: most of them, then late ones with copies of stored
+    ones, then some older than the watermark and some without an event time.
+    The table, and the run log's totals."""
+    events = _tables(spark, sf_dir)("events")
+    landing = f"{checkpoint_dir(spark).rstrip('/')}/landing_{uuid.uuid4().hex[:12]}"
+    untimed = F.col("event_type") == F.lit("error")
+    day = F.dayofmonth("ts")
+    drops = {"late": (day > 18) & (day <= 20) & (F.col("user_id") % 3 == 0),
+             "old": (day <= 10) & (F.col("event_id") % 4 == 0)}
+    first = events.where((day <= 20) & ~untimed & ~drops["late"] & ~drops["old"])
+    copies = first.where(day > 17)
+    log = RunLog(SnapshotSink(spark, _database(spark, "state")))
+    sink = SnapshotSink(spark, _database(spark, "euh"))
+    spec = TableSpec("events", "events", ("event_id",))
+    for drop in (first.unionByName(copies),
+                 events.where(drops["late"] & ~untimed).unionByName(copies),
+                 events.where(drops["old"] | (day > 20) | untimed).withColumn(
+                     "ts", F.when(~untimed, F.col("ts"))).unionByName(copies)):
+        drop.write.mode("append").parquet(landing)
+        load_events(spark, landing, spec, "ts", "3 days", sink, "WEB", schema=events.schema, log=log,
+                    checkpoint=f"{landing}_state")
+    totals = log.read().select(F.lit(None).cast("bigint").alias("event_id"),
+                               F.lit(None).cast(events.schema["ts"].dataType).alias("ts"),
+                               F.when(F.col("run_id").endswith(":late"), "recovered").otherwise("appended").alias("event_type"),
+                               F.col("rows"))
+    stored = sink.read("events").select("event_id", "ts", "event_type", F.lit(None).cast("bigint").alias("rows"))
+    return stored.unionByName(
+        totals.groupBy("event_id", "ts", "event_type").agg(F.sum("rows").alias("rows")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "material_on_time": material_on_time,
     "material_on_time_all": material_on_time_all,
@@ -773,4 +806,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_orders": reconcile_orders,
     "clustered_reads": clustered_reads,
     "pinned_clone": pinned_clone,
+    "events_late_twice": events_late_twice,
 }

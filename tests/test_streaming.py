@@ -74,3 +74,95 @@ def test_failed_micro_batch_is_audited(spark):
     rows = log.read().orderBy("logged_at").collect()
     assert [(r.status, r.rows) for r in rows] == [("success", 1), ("failed", 0)]
     assert "NULL key" in rows[1].error
+
+
+def _events(spark, rows):
+    return spark.createDataFrame(rows, "k long, ts timestamp, v string")
+
+
+def _drop(df, landing):
+    df.coalesce(1).write.mode("append").parquet(landing)
+
+
+def _at(day, hour=0):
+    import datetime as dt
+    return dt.datetime(2024, 1, day, hour)
+
+
+def _stored(sink):
+    return sorted((r.k, r.v) for r in sink.read("ev").select("k", "v").collect())
+
+
+def _event_setup(spark):
+    from functools import partial
+
+    from strata.streaming.events import load_events
+    landing, ckpt = tempfile.mkdtemp(prefix="landing-"), tempfile.mkdtemp(prefix="ckpt-")
+    sink = SnapshotSink(spark, "ev_" + uuid.uuid4().hex[:8])
+    run = partial(load_events, spark, landing, TableSpec("ev", "ev", ("k",)), "ts", "2 days", sink, "BLP",
+                  checkpoint=ckpt, max_files_per_trigger=1)
+    return landing, ckpt, sink, run
+
+
+def test_events_late_and_repeated(spark):
+    landing, _, sink, run = _event_setup(spark)
+    _drop(_events(spark, [(1, _at(1), "a"), (1, _at(1), "a"), (2, _at(10), "b")]), landing)
+    assert run().appended == 2 and _stored(sink) == [(1, "a"), (2, "b")]
+    # late but within two days, a repeat, and an event older than the watermark
+    _drop(_events(spark, [(3, _at(9), "c"), (2, _at(10), "b"), (4, _at(2), "d"), (4, _at(2), "d"),
+                          (1, _at(1), "a")]), landing)
+    done = run()
+    assert (done.appended, done.recovered, done.compared) == (1, 1, False)
+    assert _stored(sink) == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+    # without an event time: never in the state, found by key, also when repeated
+    for _ in range(2):
+        _drop(_events(spark, [(5, None, "e"), (6, _at(11), "f")]), landing)
+        run()
+    assert _stored(sink) == [(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e"), (6, "f")]
+    assert run().appended == 0
+
+
+def test_events_append_without_reading_the_table(spark, monkeypatch):
+    landing, _, sink, run = _event_setup(spark)
+    _drop(_events(spark, [(1, _at(1), "a")]), landing)
+    run()
+    _drop(_events(spark, [(2, _at(2), "b")]), landing)
+    monkeypatch.setattr(SnapshotSink, "read", lambda *a: (_ for _ in ()).throw(AssertionError("table read")))
+    assert run().appended == 1
+    monkeypatch.undo()
+    assert _stored(sink) == [(1, "a"), (2, "b")]
+
+
+def test_events_survive_a_lost_run(spark, monkeypatch):
+    """The driver is lost after the append and before the batch is committed;
+    then also the whole checkpoint folder."""
+    import pytest
+    landing, ckpt, sink, run = _event_setup(spark)
+    _drop(_events(spark, [(1, _at(10), "a")]), landing)
+    run()
+    append = SnapshotSink.append
+
+    def lost(self, df, name):
+        append(self, df, name)
+        raise RuntimeError("driver lost")
+
+    _drop(_events(spark, [(2, _at(10), "b"), (3, _at(1), "old")]), landing)
+    monkeypatch.setattr(SnapshotSink, "append", lost)
+    with pytest.raises(Exception, match="driver lost"):
+        run()
+    monkeypatch.undo()
+    done = run()
+    assert done.compared and done.recovered == 1
+    assert _stored(sink) == [(1, "a"), (2, "b"), (3, "old")]
+    done = run(checkpoint=tempfile.mkdtemp(prefix="ckpt-"))
+    assert done.compared and (done.appended, done.recovered) == (0, 0)
+    assert _stored(sink) == [(1, "a"), (2, "b"), (3, "old")]
+
+
+def test_events_null_key_fails_before_it_is_stored(spark):
+    import pytest
+    landing, _, sink, run = _event_setup(spark)
+    _drop(_events(spark, [(None, _at(1), "a"), (1, _at(1), "b")]), landing)
+    with pytest.raises(Exception, match="NULL key"):
+        run()
+    assert not sink.exists("ev")
