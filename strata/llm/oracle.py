@@ -85,10 +85,11 @@ s AS (
                   + coalesce(list_sum(list_transform(w[1:i-1], lambda x: length(x))), 0) AS start FROM m)
   WHERE kind <> 'owned' OR (regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
         AND len(list_distinct(string_split(value, ''))) >= 10)),
-o AS (SELECT value, count(DISTINCT owner) AS owners FROM s GROUP BY value),
+o AS (SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT repository) AS repositories
+      FROM s GROUP BY value),
 f AS (
-  SELECT s.* FROM s JOIN o USING (value)
-  WHERE kind <> 'owned' OR (owners < 3 AND NOT EXISTS (
+  SELECT s.*, owners, repositories FROM s JOIN o USING (value)
+  WHERE kind <> 'owned' OR ((owners < 2 OR (owners < 3 AND repositories < 5)) AND NOT EXISTS (
     SELECT 1 FROM s b WHERE b.doc_id = s.doc_id AND b.kind <> 'owned'
                         AND b.start < s.stop AND b.stop > s.start))),
 a AS (
@@ -97,10 +98,13 @@ a AS (
          string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ','
                     ORDER BY start, rank) FILTER (kind <> 'owned') AS base,
          string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ','
-                    ORDER BY start, rank) AS spans
+                    ORDER BY start, rank) AS spans,
+         string_agg(CAST(owners AS VARCHAR), ',' ORDER BY start, rank) AS owners,
+         string_agg(CAST(repositories AS VARCHAR), ',' ORDER BY start, rank) AS repositories
   FROM f GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
-       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(owners, '') AS owners, coalesce(repositories, '') AS repositories
 FROM d LEFT JOIN a ON a.doc_id = d.doc_id
 """
 

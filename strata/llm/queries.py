@@ -90,10 +90,14 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def shown(spans) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
+    def counts(name: str) -> Column:  # of each span's value, in the order of the spans
+        return F.array_join(F.transform("spans", lambda s: s[name].cast("string")), ",")
+
     return found.select(
         "doc_id", of(secret_scan.ASSIGN).alias("n_assign"), of(secret_scan.ACCESS).alias("n_access"),
         of(secret_scan.HEX).alias("n_hex"), F.sha2(shown(base).cast("binary"), 256).alias("base_sha256"),
-        shown("spans").alias("spans"))
+        shown("spans").alias("spans"), counts("n_owners").alias("owners"),
+        counts("n_repositories").alias("repositories"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

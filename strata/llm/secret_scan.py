@@ -2,9 +2,11 @@
 
 Candidates are matches of a few patterns. Their values are hashed, and the
 hashes aggregated over the whole corpus by distinct repositories and owners: a
-value seen under many owners is a widely copied example, one that stays with
-an owner or two looks live. Spans of the base patterns always stand; a span of
-the wider pattern is added only where its value looks live.
+value seen under many owners is a widely copied example, and so is one that two
+owners hold in many repositories; one that stays with an owner, or with two in
+few repositories, looks live. However often an owner repeats a value of their
+own, it is theirs. Spans of the base patterns always stand; a span of the wider
+pattern is added only where its value looks live.
 
 All of it is DataFrame expressions. Positions come from the lengths of the
 texts between matches, summed up in a window over one row's matches of one
@@ -42,8 +44,10 @@ BASE = (ASSIGN, ACCESS, HEX)
 # the wider pattern of the method, and what makes such a value look random
 OWNED = Kind("owned", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", 0, 20)
 DISTINCT_CHARS = 10
-# a value under so many owners or more is a copied example
+# a value under so many owners or more is a copied example, and one of several
+# owners in so many repositories or more
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 5
 
 KEY = ("doc_id", "h1", "h2")
 
@@ -110,13 +114,16 @@ def ownership(found: DataFrame) -> DataFrame:
 
 def findings(docs: DataFrame, owner: Column, repository: Column,
              example_owners: int = EXAMPLE_OWNERS, id_col: str = "doc_id",
-             text_col: str = "text", overlapping: bool = False) -> DataFrame:
+             text_col: str = "text", overlapping: bool = False,
+             example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """``(doc_id, h1, h2, kind, start, end, digest, n_owners, n_repositories,
     live)``: all base spans, and the spans of the wider pattern that look live
-    and, unless ``overlapping``, overlap no base span. live: under fewer than
-    ``example_owners``."""
+    and, unless ``overlapping``, overlap no base span. live: under one owner, or
+    under fewer than ``example_owners`` and in fewer repositories than
+    ``example_repositories``."""
     found = keep(candidates(docs, owner, repository, id_col, text_col), "candidates")
-    known = ownership(found).withColumn("live", F.col("n_owners") < example_owners)
+    spread = (F.col("n_owners") > 1) & (F.col("n_repositories") >= example_repositories)
+    known = ownership(found).withColumn("live", (F.col("n_owners") < example_owners) & ~spread)
     spans = (found.select(*KEY, "kind", "start", "end", F.sha2("value", 256).alias("digest")).distinct()
              .join(known, "digest"))
     base = F.col("kind") != OWNED.name
@@ -136,17 +143,18 @@ def findings(docs: DataFrame, owner: Column, repository: Column,
 
 def scan(docs: DataFrame, owner: Column, repository: Column, **options) -> DataFrame:
     """Per row of ``docs``: doc_id, h1, h2 and ``spans``, an array of (start,
-    rank, end, kind, live) by start and then the order of kinds; empty without
-    any. Null and empty texts have none. Repeated rows get a row each."""
+    rank, end, kind, live, n_owners, n_repositories) by start and then the order
+    of kinds; empty without any. Null and empty texts have none. Repeated rows get a row each."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     rank = F.coalesce(*[F.when(F.col("kind") == k.name, F.lit(i)) for i, k in enumerate((*BASE, OWNED))])
     spans = (findings(docs, owner, repository, **options)
              .groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct(
-                 "start", rank.alias("rank"), "end", "kind", "live"))).alias("spans")))
+                 "start", rank.alias("rank"), "end", "kind", "live", "n_owners", "n_repositories"))).alias("spans")))
     rows = pick(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h1"),
         F.hash("text").alias("h2"))
-    none = F.array().cast("array<struct<start: bigint, rank: int, end: bigint, kind: string, live: boolean>>")
+    none = F.array().cast("array<struct<start: bigint, rank: int, end: bigint, kind: string, live: boolean, "
+                          "n_owners: bigint, n_repositories: bigint>>")
     return (rows.alias("r").join(spans.alias("s"), _same("r", "s"), "left")
             .select(*[f"r.{k}" for k in KEY], F.coalesce("s.spans", none).alias("spans")))
 

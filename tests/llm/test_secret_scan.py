@@ -72,6 +72,19 @@ def test_ownership_separates_copies_from_live_values(spark):
     assert own[hashlib.sha256(copied.encode()).hexdigest()] == (5, 6)
 
 
+def test_repositories_tell_copies_of_two_owners(spark):
+    own, few, many = "Zk39fQpL0aXw72MvBn41", "Qw83rTyU5iOp10AsDf92", "Ab12Cd34Ef56Gh78Ij90"
+    rows = [(i, f"key {own}", "o1", f"o1/{i}") for i in range(9)]
+    rows += [(10 + i, f"key {few}", f"o{i % 2}", f"o{i % 2}/{i}") for i in range(4)]
+    rows += [(20 + i, f"key {many}", f"o{i % 2}", f"o{i % 2}/{i}") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, owner string, repo string")
+    got = {r.doc_id: [(s.kind, s.n_owners, s.n_repositories) for s in r.spans]
+           for r in S.scan(df, F.col("owner"), F.col("repo")).collect()}
+    assert all(got[i] == [("owned", 1, 9)] for i in range(9))
+    assert all(got[10 + i] == [("owned", 2, 4)] for i in range(4))
+    assert all(got[20 + i] == [] for i in range(5))
+
+
 def test_repeated_rows_nulls_and_empty_tables(spark):
     t = "token=abcdefgh and token=ijklmnop"
     rows = [(1, t, "a", None, 33), (1, t, "b", None, 33), (None, t, None, None, 33), (1, "x", "a", None, 1)]
