@@ -52,8 +52,10 @@ def _sha1_32(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, revisit_of: int | None) -> bytes:
-    """One WARC record; of a revisit only the HTTP header is stored."""
+def record(page_id: int | None, url: str | None, payload: bytes, revisit_of: int | None,
+           revisit_url: str | None = None) -> bytes:
+    """One WARC record; of a revisit only the HTTP header is stored, and the
+    id, date and url of the response record that it refers to."""
     digest = hashlib.sha1(payload).hexdigest()
     http = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
             b"Content-Length: %d\r\n\r\n" % len(payload))
@@ -64,7 +66,10 @@ def record(page_id: int | None, url: str | None, payload: bytes, revisit_of: int
         head.append(("WARC-Target-URI", " ".join(url.split())))
     if revisit_of is not None:
         head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                 ("WARC-Refers-To-Page", str(revisit_of))]
+                 ("WARC-Refers-To", _record_id(revisit_of, digest, revisit_url)),
+                 ("WARC-Refers-To-Date", DATE), ("WARC-Refers-To-Page", str(revisit_of))]
+        if revisit_url:
+            head.append(("WARC-Refers-To-Target-URI", " ".join(revisit_url.split())))
     if page_id is not None:
         head.append(("WARC-Page-ID", str(page_id)))
     head += [("WARC-Payload-Digest", _sha1_32(payload)), ("WARC-Payload-Length", str(len(payload))),
@@ -80,29 +85,34 @@ def _payload(html: Column) -> Column:
 
 def plan_records(pages: DataFrame, least: int = REVISIT_BYTES, id_col: str = "page_id",
                  url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(page_id, url, html, revisit_of)``. Of the rows with equal payloads of
-    at least ``least`` bytes, those with the largest page_id are responses
-    (one, unless that id is repeated) and the rest revisit it; a row with a
-    null page_id revisits too, unless all have none."""
+    """``(page_id, url, html, revisit_of, revisit_url)``. Of the rows with equal
+    payloads of at least ``least`` bytes, those with the largest page_id are
+    responses (one, unless that id is repeated) and the rest revisit it; a row
+    with a null page_id revisits too, unless all have none. revisit_url is that
+    response's url, of repeated ids the greatest."""
     src = pick(pages, page_id=id_col, url=url_col, html=html_col)
     src = src.withColumn("page_id", F.col("page_id").cast("long"))
-    digests = src.select("page_id", F.octet_length(F.coalesce("html", F.lit(""))).alias("n"),
+    digests = src.select("page_id", "url", F.octet_length(F.coalesce("html", F.lit(""))).alias("n"),
                          F.sha1(_payload(F.col("html"))).alias("digest")).where(F.col("n") >= least)
-    first = (digests.groupBy("digest", "n").agg(F.max("page_id").alias("first_id"), F.count("*").alias("c"))
-             .where("c > 1 and first_id is not null").select("digest", "n", "first_id"))
+    first = (digests.groupBy("digest", "n").agg(F.max(F.struct("page_id", "url")).alias("first"), F.count("*").alias("c"))
+             .where("c > 1 and first.page_id is not null")
+             .select("digest", "n", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url")))
     first = keep(first, "copies")
     keyed = src.withColumn("d", F.sha1(_payload(F.col("html")))).withColumn(
         "n", F.octet_length(F.coalesce("html", F.lit(""))))
     joined = keyed.alias("k").join(F.broadcast(first) if _small(first) else first,
                                    (F.col("k.d") == first["digest"]) & (F.col("k.n") == first["n"]), "left")
+    again = ~F.col("k.page_id").eqNullSafe(F.col("first_id"))
     return joined.select(
-        "k.page_id", "k.url", "k.html",
-        F.when(~F.col("k.page_id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("revisit_of"))
+        "k.page_id", "k.url", "k.html", F.when(again, F.col("first_id")).alias("revisit_of"),
+        F.when(again, F.col("first_url")).alias("revisit_url"))
 
 
-def _small(first: DataFrame, rows: int = 100_000) -> bool:
-    """Are there few enough groups of copies to send them to every task?"""
-    return first.limit(rows + 1).count() <= rows
+def _small(first: DataFrame, rows: int = 100_000, size: int = 32 << 20) -> bool:
+    """Are there few enough groups of copies, with urls of few enough bytes, to
+    send them to every task?"""
+    n, held = first.agg(F.count("*"), F.sum(F.coalesce(F.octet_length("first_url"), F.lit(0)))).first()
+    return n <= rows and (held or 0) <= size
 
 
 def _ranges(rows: DataFrame, shards: int, n_rows: int, sample: int = RANGE_SAMPLE) -> Column:
@@ -181,7 +191,7 @@ def write(pages: DataFrame, path: str, shards: int | None = None, roll_bytes: in
             out, records, size = None, 0, 0
 
         for batch in batches:
-            for shard, page, url, html, again in zip(*[c.to_pylist() for c in batch.columns]):
+            for shard, page, url, html, again, again_url in zip(*[c.to_pylist() for c in batch.columns]):
                 if shard != now:
                     close()
                     now, part = shard, 0
@@ -191,7 +201,7 @@ def write(pages: DataFrame, path: str, shards: int | None = None, roll_bytes: in
                 if out is None:
                     name = f"{attempt}/{shard:05d}-{part:05d}"
                     out, digest = fs.open_output_stream(name, compression=None), hashlib.sha256()
-                member = gzip.compress(record(page, url, (html or "").encode(), again), level, mtime=0)
+                member = gzip.compress(record(page, url, (html or "").encode(), again, again_url), level, mtime=0)
                 out.write(member)
                 digest.update(member)
                 size += len(member)
@@ -202,10 +212,11 @@ def write(pages: DataFrame, path: str, shards: int | None = None, roll_bytes: in
                 pa.string(), pa.string(), *[pa.int64()] * 4, pa.string()])],
             ["file", "temporary", "shard", "part", "records", "bytes", "sha256"])
 
-    dealt = (rows.withColumn("shard", _ranges(rows, shards, n_rows, max(RANGE_SAMPLE, 32 * shards))).select("shard", "page_id", "url", "html", "revisit_of", "h")
+    dealt = (rows.withColumn("shard", _ranges(rows, shards, n_rows, max(RANGE_SAMPLE, 32 * shards)))
+             .select("shard", "page_id", "url", "html", "revisit_of", "revisit_url", "h")
              .repartitionById(shards, F.col("shard"))
              .sortWithinPartitions("shard", "page_id", "h", "url", "html")
-             .select("shard", "page_id", "url", "html", "revisit_of"))
+             .select("shard", "page_id", "url", "html", "revisit_of", "revisit_url"))
     written = keep(dealt.mapInArrow(write_range, "file string, temporary string, shard long, part long, "
                                     "records long, bytes long, sha256 string"), "warc-candidates")
 

@@ -71,6 +71,27 @@ def test_round_trip(spark, tmp_path):
     assert {r.url for r in by[2]} == {"http://b X: y"} and {r.url for r in by[3]} == {None}
 
 
+def test_revisits_name_their_response_record(spark, tmp_path):
+    """Readers that know the standard alone find the response of a revisit."""
+    same = "é" * 600
+    rows = [(1, "http://a/", same), (3, "http://c/\n1", same), (3, "http://b/", same), (2, None, same),
+            (None, "http://n/", same), (7, "u", "z" * 1000), (8, None, "z" * 1000), (9, "v", "short"), (10, "v", "short")]
+    path = str(tmp_path / "w")
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), path, shards=2)
+    heads = []
+    for f in files(path):
+        with gzip.open(f"{path}/{f}") as s:
+            heads += [h for h, _ in warc._records(s)]
+    response = {h["WARC-Record-ID"]: h for h in heads if h["WARC-Type"] == "response"}
+    revisits = [h for h in heads if h["WARC-Type"] == "revisit"]
+    assert len(heads) == len(rows) and len(revisits) == 4
+    for h in revisits:
+        to = response[h["WARC-Refers-To"]]
+        assert to["WARC-Payload-Digest"] == h["WARC-Payload-Digest"] and to["WARC-Date"] == h["WARC-Refers-To-Date"]
+        assert to["WARC-Page-ID"] == h["WARC-Refers-To-Page"]
+        assert to.get("WARC-Target-URI") == h.get("WARC-Refers-To-Target-URI")
+
+
 def test_empty_table_and_damage(spark, tmp_path):
     df = spark.createDataFrame([(1, "u", "a" * 3000)], "page_id long, url string, html string")
     none = str(tmp_path / "none")
