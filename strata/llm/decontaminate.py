@@ -9,16 +9,21 @@ their first word; a direct comparison with the document's words confirms an
 occurrence. So most positions of a clean document are never looked at.
 
 The patterns are the stated query set. They are deduplicated in Spark and
-dealt into shards of at most about ``shard_windows`` patterns; each shard is
-brought to the driver, broadcast and searched in one pass over the documents,
-so what is broadcast never exceeds that bound however large the benchmark is.
+dealt into shards of at most about ``shard_windows`` patterns, whose tables are
+broadcast one by one, so what is broadcast never exceeds that bound however
+large the benchmark is. With one shard the documents are searched in one pass.
+With more, one pass per ``filter_windows`` patterns (eight bytes each) compares
+the 64-bit hashes of a document's runs of words with those of the patterns, and
+a shard then searches only the documents that hold a hash of its patterns.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +32,10 @@ from strata.llm.common import keep, pick, python_ready
 
 WINDOW = 13
 SHARD_WINDOWS = 50_000
+# hashes of patterns that are broadcast at once, at most about: 128 MB
+FILTER_WINDOWS = 16_000_000
+# of the hash of a run of words; any odd number does
+_BASE = 0x9E3779B97F4A7C15
 
 # The word class of the matching rule, as bytes. A-Z become a-z;
 # digits, a-z and every byte of a non-ASCII character stay; the rest separates.
@@ -128,6 +137,69 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW, id_col: str = "i
             .mapInArrow(run, "window string, item_id long").distinct())
 
 
+@lru_cache(maxsize=1 << 18)
+def _word_hash(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
+def run_hashes(words: list[bytes], sizes: list[int]) -> Iterator[np.ndarray]:
+    """For each size the hashes of all runs of so many words, in order: sums of
+    word hashes times powers of a base, modulo 2**64, shifted to power zero."""
+    n = len(words)
+
+    def powers(base: int) -> np.ndarray:
+        out = np.full(n, base, np.uint64)
+        out[:1] = 1
+        return np.cumprod(out, dtype=np.uint64)
+
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(np.fromiter(map(_word_hash, words), np.uint64, n) * powers(_BASE), out=sums[1:])
+    back = powers(pow(_BASE, -1, 1 << 64))
+    for size in sizes:
+        yield (sums[size:] - sums[:n + 1 - size]) * back[:n + 1 - size] if size <= n else sums[:0]
+
+
+def _hashed(windows: DataFrame) -> DataFrame:
+    """``(window, size, hash)``: the number of its words and their hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            split = [w.encode().split(b" ") for w in batch.column(0).to_pylist()]
+            hashes = [next(run_hashes(w, [len(w)]))[0] for w in split]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(w) for w in split], pa.int32()),
+                 pa.array(np.array(hashes, np.uint64).view(np.int64))], ["window", "size", "hash"])
+
+    return windows.select("window").distinct().mapInArrow(run, "window string, size int, hash long")
+
+
+def _suspects(docs: DataFrame, known: np.ndarray, sizes: list[int], shards: int) -> DataFrame:
+    """``docs`` with n_words and the shards of the patterns whose hashes occur;
+    the text stays only where there are some."""
+    sent = docs.sparkSession.sparkContext.broadcast(np.sort(known))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = sent.value
+        for batch in batches:
+            counts, found, texts = [], [], []
+            for text in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist():
+                words = words_of(text)
+                hits: set[int] = set()
+                for hashes in run_hashes(words, sizes):
+                    signed = hashes.view(np.int64)
+                    at = np.searchsorted(table, signed)
+                    signed, at = signed[at < len(table)], at[at < len(table)]
+                    hits.update(np.mod(signed[table[at] == signed], shards).tolist())
+                counts.append(len(words))
+                found.append(sorted(hits))
+                texts.append(text if hits else None)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(counts, pa.int64()), pa.array(found, pa.list_(pa.int64())),
+                 pa.array(texts, pa.binary()).cast(pa.string())],
+                [*batch.schema.names[:-1], "n_words", "shards", "text"])
+
+    return docs.mapInArrow(run, "doc_id long, h1 long, h2 int, n_words long, shards array<long>, text string")
+
+
 def _hits(docs: DataFrame, windows: list[str], shard: int, size_hint: str) -> DataFrame:
     """Per row: doc_id, n_words, hit spans and the windows that occur."""
     spark = docs.sparkSession
@@ -155,7 +227,8 @@ def _hits(docs: DataFrame, windows: list[str], shard: int, size_hint: str) -> Da
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
                   per_hit: int = 20, shard_windows: int = SHARD_WINDOWS,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text",
+                  filter_windows: int = FILTER_WINDOWS) -> DataFrame:
     """Per row of ``docs``: doc_id, h1, h2 (hashes of its text), n_words, n_hit
     (words inside any occurrence of a window), items (sorted ids of the items
     with an occurring window) and contaminated (n_hit > 0 and
@@ -171,19 +244,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
     table = keep(benchmark_windows(benchmark, size), "windows")
     total = table.select("window").distinct().count()
     shards = max(1, -(-total // shard_windows))
-    dealt = table.select("window").distinct().withColumn(
-        "shard", F.pmod(F.xxhash64("window"), F.lit(shards)))
     src = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     # a row's identity across shards: its id and two hashes of its text
     keyed = src.select("doc_id", F.xxhash64("text").alias("h1"), F.hash("text").alias("h2"), "text")
     hint = "doc_id long, h1 long, h2 int,"
-    parts = [_hits(keyed, [r.window for r in dealt.where(F.col("shard") == s).select("window").collect()],
-                   s, hint) for s in range(shards)]
     if shards == 1:
-        rows = parts[0]
+        rows = _hits(keyed, [r.window for r in table.select("window").distinct().collect()], 0, hint)
     else:
-        parts = [keep(p, f"hits-{s}") for s, p in enumerate(parts)]
-        every = parts[0].select("doc_id", "h1", "h2", "n_words")
+        dealt = keep(_hashed(table).withColumn("shard", F.pmod("hash", F.lit(shards))), "dealt")
+        sizes = sorted(r["size"] for r in dealt.select("size").distinct().collect())
+        passes = min(shards, -(-total // filter_windows))
+        seen = [keep(_suspects(keyed, dealt.where(F.col("shard") % passes == p).select("hash").toArrow()
+                               .column(0).to_numpy(), sizes, shards), f"suspects-{p}")
+                for p in range(passes)]
+        parts = [keep(_hits(seen[s % passes].where(F.array_contains("shards", F.lit(s).cast("long")))
+                            .select("doc_id", "h1", "h2", "text"),
+                            [r.window for r in dealt.where(F.col("shard") == s).select("window").collect()],
+                            s, hint), f"hits-{s}") for s in range(shards)]
+        every = seen[0].select("doc_id", "h1", "h2", "n_words")
         some = parts[0]
         for p in parts[1:]:
             some = some.union(p)

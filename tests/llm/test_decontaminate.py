@@ -62,6 +62,32 @@ def test_small_alphabet_matches_brute_force(spark, seed, shard_windows):
     assert sorted(got, key=key) == sorted(brute(docs, bench, 5), key=key)
 
 
+@pytest.mark.parametrize("filter_windows", [3, 12, 10_000])
+def test_several_shards_search_only_suspects(spark, monkeypatch, filter_windows):
+    """One filter pass over all documents (or several), then each shard reads
+    just the documents that hold one of its windows' hashes."""
+    rnd = random.Random(5)
+    say = lambda n: " ".join(rnd.choice("abcdefghijklmnop") + rnd.choice("é12") for _ in range(n))
+    bench = [(i, say(rnd.choice([4, 9, 14]))) for i in range(12)]
+    docs = [(i, say(80) + (" " + bench[i % 12][1] if i % 10 == 0 else "")) for i in range(200)] + [(200, None), (201, "")]
+    searched = []
+    hits = D._hits
+    monkeypatch.setattr(D, "_hits", lambda df, *a: searched.append(df.count()) or hits(df, *a))
+    got = rows(D.contamination(spark.createDataFrame(docs, "doc_id long, text string"),
+                               spark.createDataFrame(bench, "item_id long, text string"),
+                               size=6, shard_windows=10, filter_windows=filter_windows))
+    assert sorted(got, key=key) == sorted(brute(docs, bench, 6), key=key)
+    assert len(searched) > 3 and 0 < max(searched) <= 20  # those with a passage
+
+
+def test_hashes_of_runs_are_those_of_the_runs_alone():
+    words = [b"w%d" % (i * i % 17) for i in range(500)]
+    for size, got in zip([1, 5, 13, 501], D.run_hashes(words, [1, 5, 13, 501])):
+        want = [next(D.run_hashes(words[i:i + size], [size]))[0] for i in range(500 - size + 1)]
+        assert got.tolist() == want
+    assert [len(x) for x in D.run_hashes([], [1, 2])] == [0, 0]
+
+
 def test_edge_cases(spark):
     long = "w1 w2 " * 40000 + "eins zwei drei vier"
     docs = [(1, None, 0), (2, "", 0), (3, "Eins, ZWEI! drei; vier?", 0), (3, "nothing here", 1),
