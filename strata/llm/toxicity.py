@@ -4,9 +4,10 @@ A text is a sequence of words. A word's embedding is the sum of two hashed
 ones, of the word and of its beginning, so that inflected forms share what they
 begin with. Filters of several widths slide over the sequence, each filter's
 maximum over the whole text (max pooling) enters a logistic output. The model
-is trained in numpy on a bounded sample of labelled rows; scores are then
-calibrated on rows left out of the fit, and a threshold is chosen per language
-there. Only words enter a score.
+learns from all labelled rows that it may see: beyond the size of one shard the
+tasks train on their shards of them and their weights are averaged after each
+pass. Scores are then calibrated on rows left out of the fit, and a threshold is
+chosen per language there. Only words enter a score.
 
 Scoring streams over the texts: long ones go through the filters in blocks, so
 a task's memory does not depend on the length of a text.
@@ -15,22 +16,33 @@ a task's memory does not depend on the length of a text.
 from __future__ import annotations
 
 import copy
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.common import keep, pick, python_ready
 
-# Labelled rows and words of theirs used for the fit, at most: the stated bound
-# of the training sample, which consists of whole texts. Texts of more than the
-# share of the words come after all others, so they take no room from them.
-MAX_TRAIN = 6000
-MAX_TRAIN_WORDS = 4_000_000
+# Texts and words that one process trains on. No more labelled rows than that are
+# fitted in one place, more of them in shards of about that size.
+SHARD_TEXTS = 6000
+SHARD_WORDS = 4_000_000
+# shards at most (they grow beyond that), passes over them, rows of a training step
+MAX_SHARDS = 256
+ROUNDS = 4
+BATCH = 64
+# a step ends at this many words too
+STEP_WORDS = 1 << 19
+# scores are counted in this many bins when thresholds are chosen from shards
+BINS = 1 << 12
+# If a caller bounds the words, texts of more than this share of them come after
+# all others, so they take no room from them.
 LONG_SHARE = 1 / 50
 
 WORD_BUCKETS = 1 << 17
@@ -256,9 +268,7 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, langs: l
     model.threshold = threshold
     n, ones = len(labels), int(labels.sum()) if len(labels) else 0
     if not ones or ones == n:
-        model.out[:] = 0
-        model.bias = float(np.log((ones + 0.5) / (n - ones + 0.5))) if n else -3.0
-        return model
+        return _constant(n, ones, threshold)
     order = rng.permutation(n)
     held = np.zeros(n, bool)
     for kind in (0, 1):  # a fifth of either label
@@ -317,6 +327,15 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, langs: l
     return model
 
 
+def _constant(n: int, ones: int, threshold: float) -> Cnn:
+    """The model of labels of one kind only."""
+    model = Cnn.new()
+    model.threshold = threshold
+    model.out[:] = 0
+    model.bias = float(np.log((ones + 0.5) / (n - ones + 0.5))) if n else -3.0
+    return model
+
+
 def _rare(buckets: list[np.ndarray], n: int) -> np.ndarray:
     """Which buckets occur in fewer than LEAST_TEXTS texts."""
     count = np.zeros(n, np.int64)
@@ -363,56 +382,248 @@ def _fitting(sizes: list[tuple[int, int, int]], max_words: int) -> set[int]:
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN,
-          max_words: int = MAX_TRAIN_WORDS, threshold: float = 0.5) -> Cnn:
-    """A model from at most ``max_train`` labelled documents outside the
-    held-out part, those with the smallest hashes of doc_id. Their whole texts
-    enter as far as ``max_words`` words go (see ``_fitting``). That bounded
-    sample comes to the driver, as word buckets. Null labels and ids are left
-    out, and a doc_id with labels of both kinds counts as toxic.
+def _shard_weights(model: Cnn) -> list[np.ndarray]:
+    return [model.words, model.begins, *model.conv, *model.conv_bias, model.out, np.array([model.bias])]
 
-    A sample of one kind only, where the labelled documents outside the
-    held-out part have both, raises ValueError: such a model tells nothing
-    apart. Where they have one kind only, all score alike."""
-    python_ready(docs.sparkSession)
-    usable = (pick(labels, doc_id="doc_id", toxic="toxic").where("doc_id is not null and toxic is not null")
-              .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    chosen = keep(chosen, "train-labels")  # max_train rows of two numbers: safe to broadcast
+
+def _pass(model: Cnn, rows: Iterator[tuple], weights: tuple[float, float], trained: tuple, rate: float,
+          seed: int) -> tuple[int, list[np.ndarray]]:
+    """Texts of a shard that trained and the weights after it, less those before."""
+    rng = np.random.default_rng(seed)
+    before = _shard_weights(copy.deepcopy(model))
+    state: dict = {"t": 0, "words": trained[0], "begins": trained[1]}
+    n, some, size = 0, [], 0
+
+    def step():
+        word, begin = (np.concatenate([t[k] for t in some]) for k in (0, 1))
+        label = np.array([t[2] for t in some], np.float32)
+        left = rng.random(len(word)) >= DROPOUT
+        own = np.repeat(np.arange(len(some)), [len(t[0]) for t in some])
+        if left.any():
+            _step(model, state, word[left], begin[left], np.bincount(own[left], minlength=len(some)), label,
+                  np.where(label == 1, *weights).astype(np.float32), rate)
+
+    for word, begin, toxic in rows:
+        if some and (len(some) == BATCH or size + len(word) > STEP_WORDS):
+            step()
+            some, size = [], 0
+        some.append((word, begin, toxic))
+        n, size = n + 1, size + len(word)
+    if some:
+        step()
+    return n, [x - y for x, y in zip(_shard_weights(model), before)]
+
+
+def _average(model: Cnn, total: list[np.ndarray], touched: list[np.ndarray], n: int) -> Cnn:
+    """``model`` moved by the shards' mean changes; a word's embedding by those
+    of the shards that changed it."""
+    moves = [t / np.maximum(c, 1)[:, None] for t, c in zip(total[:2], touched)] + [t / n for t in total[2:]]
+    out = copy.deepcopy(model)
+    k = len(WIDTHS)
+    new = [(w + m).astype(w.dtype) for w, m in zip(_shard_weights(model), moves)]
+    out.words, out.begins, out.conv, out.conv_bias = new[0], new[1], new[2:2 + k], new[2 + k:2 + 2 * k]
+    out.out, out.bias = new[2 + 2 * k], float(new[-1][0])
+    return out
+
+
+def _texts(batches: Iterator[pa.RecordBatch], held: int | None = None) -> Iterator[tuple]:
+    """(words, beginnings, label, lang) of the coded texts, of one part alone if ``held`` is given."""
+    for batch in batches:
+        for r in batch.select(["held", "toxic", "lang", "w"]).to_pylist():
+            if held is None or r["held"] == held:
+                both = np.frombuffer(r["w"], "<u4")
+                yield ((both // BEGIN_BUCKETS).astype(np.int32), (both % BEGIN_BUCKETS).astype(np.int32),
+                       r["toxic"], r["lang"])
+
+
+def _summed(df: DataFrame, run) -> list[np.ndarray]:
+    """Sums over the shards of the arrays that ``run`` returns for each, which are
+    added up by tasks before the driver gets them."""
+    def task(batches):
+        arrays = run(batches)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(arrays, 5)], pa.binary())], ["a"])
+
+    def add(x, y):
+        return [p + q for p, q in zip(x, y)]
+
+    return df.mapInArrow(task, "a binary").rdd.map(lambda r: pickle.loads(bytes(r.a))).treeReduce(add)
+
+
+def fit_shards(coded: DataFrame, n: int, ones: int, seed: int = 11, threshold: float = 0.5) -> Cnn:
+    """:func:`fit` over the partitions of ``coded`` (columns of ``_coded``), each
+    a shard in a fixed order. A pass trains every shard from the same weights and
+    averages what they became. All rows count for rare words, all left-out rows
+    (of ``held``) for calibration; thresholds are searched among ``BINS`` scores."""
+    spark = coded.sparkSession
+    model = Cnn.new(seed)
+    weights = (min(8.0, (n - ones) / ones) ** 0.5, 1.0)
+
+    def texts_with(batches):
+        count = [np.zeros(WORD_BUCKETS, np.int64), np.zeros(BEGIN_BUCKETS, np.int64)]
+        for word, begin, _, _ in _texts(batches, 0):
+            count[0][np.unique(word)] += 1
+            count[1][np.unique(begin)] += 1
+        return count
+
+    seen = _summed(coded, texts_with)
+    for table, count in zip((model.words, model.begins), seen):
+        table[count < LEAST_TEXTS] = 0
+    trained = tuple(count >= LEAST_TEXTS for count in seen)
+
+    def loss_of(sent):
+        def run(batches):
+            total = np.zeros(2)
+            for word, begin, toxic, _ in _texts(batches, 1):
+                z = sent.value.raw(word, begin, np.array([len(word)]))[0]
+                total += np.logaddexp(0, z) - toxic * z, 1
+            return [total]
+        return run
+
+    best = (np.inf, model)
+    for turn in range(ROUNDS):
+        sent = spark.sparkContext.broadcast((model, trained))
+        rate = 0.02 * (1 - turn / ROUNDS) + 0.001
+
+        def one(batches, sent=sent, rate=rate, turn=turn):
+            part = TaskContext.get().partitionId()
+            start, masks = sent.value
+            rows = ((w, b, t) for w, b, t, _ in _texts(batches, 0))
+            count, moves = _pass(copy.deepcopy(start), rows, weights, masks, rate, seed + 1000 * turn + part)
+            return [*[m * (count if i > 1 else 1) for i, m in enumerate(moves)],
+                    *[m.any(axis=1).astype(np.int32) for m in moves[:2]], np.array([count])]
+
+        *total, words, begins, count = _summed(coded, one)
+        model = _average(model, total, [words, begins], max(1, int(count[0])))
+        sent.destroy()
+        sent = spark.sparkContext.broadcast(model)
+        loss = _summed(coded, loss_of(sent))[0]
+        if loss[0] / max(1, loss[1]) < best[0]:
+            best = (loss[0] / max(1, loss[1]), model)
+        sent.destroy()
+    model = best[1]
+    sent = spark.sparkContext.broadcast(model)
+
+    def outputs(batches):
+        for batch in batches:
+            got = [(sent.value.raw(w, b, np.array([len(w)]))[0], t, lang)
+                   for w, b, t, lang in _texts([batch], 1)]
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.float64()),
+                                              pa.array([g[1] for g in got], pa.int32()),
+                                              pa.array([str(g[2]) for g in got], pa.string())], ["z", "y", "lang"])
+
+    scored = keep(coded.mapInArrow(outputs, "z double, y int, lang string"), "train-scores")
+    pos, neg = scored.agg(F.coalesce(F.sum("y"), F.lit(0)), F.coalesce(F.sum(1 - F.col("y")), F.lit(0))).first()
+    if not pos or not neg:
+        return model
+    # Platt's targets, as in ``fit``; each Newton step is an aggregate over all left-out rows
+    target = F.when(F.col("y") == 1, (pos + 1) / (pos + 2)).otherwise(1 / (neg + 2))
+    a, b = 1.0, 0.0
+    for _ in range(50):
+        p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), a * F.col("z") + b))))
+        w = F.greatest(p * (1 - p), F.lit(1e-9))
+        z = F.col("z")
+        g0, g1, h0, h1, h2 = scored.agg(F.sum((p - target) * z), F.sum(p - target), F.sum(w * z * z),
+                                        F.sum(w * z), F.sum(w)).first()
+        move = np.clip(np.linalg.solve([[h0 + 1e-3, h1], [h1, h2 + 1e-9]], [g0 + 1e-3 * (a - 1), g1]), -1, 1)
+        a, b = max(1e-3, a - float(move[0])), b - float(move[1])
+        if np.abs(move).max() < 1e-6:
+            break
+    model.scale, model.shift = a, b
+    score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), a * F.col("z") + b))))
+    counts = (scored.groupBy("lang", F.floor(score * BINS).cast("int").alias("bin"))
+              .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).collect())  # BINS rows a language
+    of = {}
+    for r in counts:
+        for key in (None, r.lang):
+            both = of.setdefault(key, np.zeros((BINS + 1, 2), np.int64))
+            both[r.bin] += r.pos, r.neg
+    model.threshold = _best_bin(of.pop(None), threshold)
+    for lang, both in of.items():
+        if both.sum(axis=0).min() >= 5:
+            model.thresholds[lang] = _best_bin(both, model.threshold)
+    return model
+
+
+def _best_bin(counts: np.ndarray, near: float) -> float:
+    """:func:`_best` from the (positive, negative) scores counted in each bin."""
+    above = counts[::-1].cumsum(axis=0)[::-1]  # rows that a cut at a bin's lower edge flags
+    f1 = 2 * above[:, 0] / np.maximum(1, above.sum(axis=1) + counts[:, 0].sum())
+    best = np.flatnonzero(f1 >= f1.max() - 1e-12) / BINS
+    return float(best[np.argmin(np.abs(best - near))])
+
+
+def _coded(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The labelled documents, one per doc_id, as word buckets ``w`` (a word's and
+    its beginning's in one number): doc_id, toxic, lang, n (words), h, w."""
     src = pick(docs, doc_id="doc_id", text="text", lang="lang")
-    rows = (src.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic")
-            .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "lang")).alias("t"))
-            .select("doc_id", "toxic", "t.text", "t.lang"))
+    rows = src.join(chosen, "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"),
+                                             (F.col("toxic") > 0).cast("int").alias("toxic"), "lang",
+                                             F.xxhash64("text").alias("h"), "text")
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            word, begin, counts = word_buckets(batch.column(2).cast(pa.binary()).to_pylist())
+            word, begin, counts = word_buckets(batch.column(4).cast(pa.binary()).to_pylist())
+            both = (word.astype("<u4") * np.uint32(BEGIN_BUCKETS) + begin.astype("<u4")).astype("<u4")
             at = np.cumsum(counts) - counts
-            pair = [(word[a:a + n].astype("<i4").tobytes(), begin[a:a + n].astype("<i4").tobytes())
-                    for a, n in zip(at, counts)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1).cast(pa.int32()), batch.column(3), pa.array(counts, pa.int64()),
-                 pa.array([p[0] for p in pair], pa.binary()), pa.array([p[1] for p in pair], pa.binary())],
-                ["doc_id", "toxic", "lang", "n", "w", "b"])
-
-    coded = keep((rows.withColumn("doc_id", F.col("doc_id").cast("long"))
-                  .withColumn("toxic", F.col("toxic").cast("int"))
-                  .mapInArrow(buckets, "doc_id long, toxic int, lang string, n long, w binary, b binary")),
-                 "train-texts")
-    sizes = coded.select(F.xxhash64("doc_id").alias("h"), "doc_id", "toxic", "n").collect()  # max_train rows
-    fits = _fitting([(r.doc_id, int(r.toxic > 0), r.n) for r in sorted(sizes)], max_words)
-    if len({int(r.toxic > 0) for r in sizes if r.doc_id in fits}) < 2:
-        kinds = usable.join(src.select("doc_id"), "doc_id", "left_semi").select(F.col("toxic") > 0).distinct()
+                [*batch.columns[:4], pa.array(counts, pa.int64()),
+                 pa.array([both[a:a + n].tobytes() for a, n in zip(at, counts)], pa.binary())],
+                ["doc_id", "toxic", "lang", "h", "n", "w"])
+
+    coded = rows.mapInArrow(buckets, "doc_id long, toxic int, lang string, h long, n long, w binary")
+    return (coded.groupBy("doc_id", "toxic").agg(F.min(F.struct("h", "w", "lang", "n")).alias("t"))
+            .select("doc_id", "toxic", "t.lang", "t.n", "t.w"))
+
+
+def train(docs: DataFrame, labels: DataFrame, max_train: int | None = None,
+          max_words: int | None = None, threshold: float = 0.5) -> Cnn:
+    """A model from all labelled documents outside the held-out part, whole texts.
+    Up to ``SHARD_TEXTS`` texts of ``SHARD_WORDS`` words in all are fitted in one
+    place, more of them in shards (:func:`fit_shards`). Null labels and ids are
+    left out, and a doc_id with labels of both kinds counts as toxic.
+
+    A caller may bound the fit to the ``max_train`` documents with the smallest
+    hashes of doc_id, or to ``max_words`` words (see ``_fitting``). Such a choice of
+    one kind only, where the labelled documents have both, raises ValueError: that
+    model tells nothing apart. Where they have one kind only, all score alike."""
+    spark = docs.sparkSession
+    python_ready(spark)
+    usable = (pick(labels, doc_id="doc_id", toxic="toxic").where("doc_id is not null and toxic is not null")
+              .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    chosen = usable
+    if max_train is not None:
+        chosen = keep(usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train), "train-labels")
+    coded = keep(_coded(docs, chosen), "train-texts")
+    if max_words is not None:
+        sizes = coded.select(F.xxhash64("doc_id").alias("h"), "doc_id", "toxic", "n").collect()
+        fits = _fitting([(r.doc_id, r.toxic, r.n) for r in sorted(sizes)], max_words)
+        ids = spark.createDataFrame([(i,) for i in sorted(fits)], "doc_id long")
+        coded = coded.join(F.broadcast(ids), "doc_id", "left_semi")
+    n, ones, words = coded.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0)),
+                               F.coalesce(F.sum("n"), F.lit(0))).first()
+    if (max_train is not None or max_words is not None) and ones in (0, n):
+        kinds = usable.join(pick(docs, doc_id="doc_id"), "doc_id", "left_semi").select(F.col("toxic") > 0).distinct()
         if kinds.count() == 2:
-            raise ValueError(f"the training sample of {len(fits)} texts lacks one of the two labels; "
+            raise ValueError(f"the training sample of {n} texts lacks one of the two labels; "
                              f"raise max_train ({max_train}) or max_words ({max_words})")
-    if len(fits) < len(sizes):
-        ids = docs.sparkSession.createDataFrame([(i,) for i in sorted(fits)], "doc_id long")
-        coded = coded.join(F.broadcast(ids), "doc_id", "left_semi")
-    got = coded.collect()
-    got.sort(key=lambda r: r.doc_id)
-    texts = [(np.frombuffer(r.w, "<i4"), np.frombuffer(r.b, "<i4")) for r in got]
-    return fit(texts, np.array([int(r.toxic > 0) for r in got]), [r.lang for r in got], threshold=threshold)
+    if ones in (0, n):  # nothing to tell apart: the smoothed share of either label
+        return _constant(n, ones, threshold)
+    if n <= SHARD_TEXTS and words <= SHARD_WORDS:
+        got = coded.collect()
+        got.sort(key=lambda r: r.doc_id)
+        both = [np.frombuffer(r.w, "<u4") for r in got]
+        texts = [((x // BEGIN_BUCKETS).astype(np.int32), (x % BEGIN_BUCKETS).astype(np.int32)) for x in both]
+        return fit(texts, np.array([r.toxic for r in got]), [r.lang for r in got], threshold=threshold)
+    shards = min(MAX_SHARDS, max(2, -(-n // SHARD_TEXTS), -(-words // SHARD_WORDS)))
+    order = F.xxhash64("doc_id", F.lit(11))
+    coded = (coded.select("toxic", "lang", "w", (F.pmod(order, F.lit(5)) == 0).cast("int").alias("held"),
+                          "doc_id", order.alias("order"))
+             .repartition(shards, "doc_id").sortWithinPartitions("order", "doc_id")
+             .persist(StorageLevel.DISK_ONLY))
+    try:
+        return fit_shards(coded, n, ones, threshold=threshold)
+    finally:
+        coded.unpersist()
 
 
 def add_scores(docs: DataFrame, model: Cnn, text_col: str = "text", name: str = "score") -> DataFrame:

@@ -159,3 +159,25 @@ def test_unspaced_scripts_are_cut_into_characters():
     assert counts.tolist() == [1 + 9 + 1 + 2 + 1 + 3 + 1 + 1 + 2, 1]
     assert word[7] == word[-1]  # the same character, far into the run
     assert word[8] == word[11] and word[9] == word[12]
+
+
+def test_all_labelled_texts_train(spark, monkeypatch):
+    """More labelled texts than one shard holds are all used, in shards."""
+    docs, labels = small(spark)
+    n = labels.where("doc_id < 100 and toxic is not null").where(~T.held_out(F.col("doc_id"))).count()
+    monkeypatch.setattr(T, "SHARD_TEXTS", 20)
+    monkeypatch.setattr(T, "BATCH", 8)
+    seen, fit = [], T.fit_shards
+    monkeypatch.setattr(T, "fit_shards", lambda coded, *a, **k: seen.append(
+        (coded.count(), coded.rdd.getNumPartitions(), a)) or fit(coded, *a, **k))
+    a, b = T.train(docs, labels, threshold=0.7), T.train(docs, labels, threshold=0.7)
+    assert seen[0][0] == seen[0][2][0] == n and seen[0][1] == -(-n // 20)
+    assert np.allclose(a.words, b.words) and np.isclose(a.scale, b.scale)
+    scores = {r.doc_id: r.score for r in T.add_scores(docs.where("doc_id < 120").select("doc_id", "text"), a).collect()}
+    assert min(scores[i] for i in scores if i % 4 == 0) > max(scores[i] for i in scores if i % 4)
+
+
+def test_thresholds_of_counted_scores():
+    counts = np.zeros((T.BINS + 1, 2), np.int64)
+    counts[100, 1], counts[3000, 0] = 50, 7
+    assert T._best_bin(counts, 0.5) == 0.5 and T._best_bin(counts, 0.9) == 3000 / T.BINS
