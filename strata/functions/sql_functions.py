@@ -30,12 +30,11 @@ def filter_function_sql(function: str, config_db: str, membership_table: str) ->
 CREATE OR REPLACE FUNCTION {config_db}.{p.function}(code STRING)
 RETURNS BOOLEAN
 RETURN EXISTS (
-    SELECT 1 FROM {m} m JOIN {g} g ON g.group_id = m.entra_group_id
-    WHERE m.{p.map_key} = code AND m.is_active = true AND g.principal = current_user())
+    SELECT 1 FROM {m} m LEFT SEMI JOIN {g} g ON g.group_id = m.entra_group_id AND g.principal = current_user()
+    WHERE m.{p.map_key} = code AND m.is_active = true)
   OR EXISTS (
-    SELECT 1 FROM {m} m JOIN {g} g ON g.group_id = m.entra_group_id
-    WHERE m.scope = '{GLOBAL_SCOPE}' AND m.is_active = true
-      AND g.principal = current_user())
+    SELECT 1 FROM {m} m LEFT SEMI JOIN {g} g ON g.group_id = m.entra_group_id AND g.principal = current_user()
+    WHERE m.scope = '{GLOBAL_SCOPE}' AND m.is_active = true)
 """
 
 
