@@ -179,6 +179,15 @@ def secure(df: DataFrame, binding: dict | None, maps: dict[str, DataFrame],
                        map_key=pattern.map_key, **kwargs), "FILTERED")
 
 
+def _granted_sql(map_table: str, membership_table: str) -> str:
+    """:func:`granted_mappings` as SQL. A semi join is taken to be no larger than the
+    map, an inner join as large as the product of both: with that the planner would
+    shuffle the whole table that meets the codes, however few they are."""
+    return f"""FROM {map_table} m LEFT SEMI JOIN {membership_table} g
+      ON g.group_id = m.entra_group_id AND g.principal = current_user()
+    WHERE m.is_active = true"""
+
+
 def secured_select_sql(base: str, column: str, map_table: str, map_key: str,
                        membership_table: str) -> str:
     """SQL body of a secured view: :func:`row_filter` as SQL, evaluated per query.
@@ -189,8 +198,7 @@ def secured_select_sql(base: str, column: str, map_table: str, map_key: str,
     """
     base, column, map_table, map_key, membership_table = map(
         sql_name, (base, column, map_table, map_key, membership_table))
-    granted = f"""FROM {map_table} m JOIN {membership_table} g ON g.group_id = m.entra_group_id
-    WHERE m.is_active = true AND g.principal = current_user()"""
+    granted = _granted_sql(map_table, membership_table)
     return f"""SELECT b.* FROM {base} b
 LEFT JOIN (
     SELECT permitted_key FROM (
@@ -214,8 +222,7 @@ def pruned_select_sql(base: str, column: str, map_table: str, map_key: str,
     partition filter: it reads no file unless the reader is GLOBAL."""
     base, column, map_table, map_key, membership_table = map(
         sql_name, (base, column, map_table, map_key, membership_table))
-    granted = f"""FROM {map_table} m JOIN {membership_table} g ON g.group_id = m.entra_group_id
-    WHERE m.is_active = true AND g.principal = current_user()"""
+    granted = _granted_sql(map_table, membership_table)
     everything = f"EXISTS (SELECT 1 {granted} AND m.scope = '{GLOBAL_SCOPE}')"
     return f"""SELECT b.* FROM {base} b
 LEFT SEMI JOIN (SELECT DISTINCT m.{map_key} AS permitted_key {granted}
