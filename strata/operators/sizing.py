@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024  # 256 MB per broadcast side
+# the most that is broadcast unasked: a lookup side that the planner cannot size
+DEFAULT_LOOKUP_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 16
 
 _FIXED = {
@@ -52,3 +54,10 @@ def size_of(df: DataFrame) -> tuple[int, int]:
     """(rows, estimated bytes) of ``df`` in one aggregate job."""
     r = df.agg(*size_columns(df)).first()
     return int(r[0] or 0), int(r[1] or 0)
+
+
+def small_side(df: DataFrame, most: int = DEFAULT_LOOKUP_BYTES) -> DataFrame:
+    """``df`` to be broadcast by a join if its counted size allows it, else as it
+    is. The planner sizes an inner join as the product of its inputs, so that it
+    shuffles all rows that meet even a short list made by one."""
+    return F.broadcast(df) if size_of(df)[1] <= most else df

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import (DIVISION_TO_LOB, UNKNOWN_LOB, code_map,
                                       on_time_flag, source_tag, typed_null)
 from strata.operators.propagate import JoinGraph, Link
+from strata.operators.sizing import small_side
 from strata.operators.skew import (DEFAULT_HOT_KEY_ROWS, find_hot_keys, restrict_to_hot,
                                    split_hot)
 
@@ -101,6 +102,7 @@ def spend_fact(arb_spend: DataFrame, contracts: DataFrame | None = None,
     else:
         if contract_policy == "check":
             assert_unique(contracts, ["po_number"], "contract lines")
+            contracts = small_side(contracts.select("po_number", "contract_id", "contract_type"))
         elif contract_policy != "trust":
             raise ValueError(f"unknown contract_policy {contract_policy!r}")
         right = contracts
@@ -118,7 +120,7 @@ def material_on_time_fact(deliveries: DataFrame, delivery_items: DataFrame,
     order that holds up at scale:
 
     * header LEFT JOIN order first: both are one row per delivery, no skew;
-    * item LEFT JOIN material: with FLT-3 it becomes an inner join whose
+    * item LEFT JOIN material (broadcast where counted small): with FLT-3 it becomes an inner join whose
       pushed-down division filter drops most items before the next shuffle;
     * item x header last, on the delivery number. Deliveries with more than
       ``hot_key_rows`` items are joined by broadcast of their header rows
@@ -126,7 +128,7 @@ def material_on_time_fact(deliveries: DataFrame, delivery_items: DataFrame,
       never one task. ``hot_key_rows=None`` leaves skew to AQE alone.
     """
     d, i = deliveries.alias("d"), delivery_items.alias("i")
-    o, m = orders.alias("o"), materials.alias("m")
+    o, m = orders.alias("o"), small_side(materials.select("MATNR", "SPART")).alias("m")
     dh = d.join(o, F.col("d.VGBEL") == F.col("o.VBELN"), "left").select(
         F.col("d.VBELN").alias("delivery"), F.col("o.VBELN").alias("order_number"),
         F.col("d.WADAT_IST").alias("issued"), F.col("o.VDATU").alias("requested"))

@@ -411,13 +411,16 @@ def function_filter_asset(spark, sf_dir):
 
 # ── facts from what changed ─────────────────────────────────────────────────
 
-def _changes(spark, label: str, graph, build, before: dict, after: dict) -> DataFrame:
+def _changes(spark, label: str, graph, build, before: dict, after: dict,
+             compared: dict | None = None) -> DataFrame:
     """A fact loaded from the inputs ``before`` and then brought up to date with
-    ``after`` by the rows that differ in each."""
+    ``after`` by the rows that differ in each. ``compared`` has the (before, after)
+    of inputs that are partitioned for that comparison."""
     sink = SnapshotSink(spark, _database(spark, label))
     log = RunLog(sink)
     jobs.run_fact_changes_job(spark, sink, log, label, build, graph, before, {})
-    changes = {n: changed_rows(before[n], after[n]) for n in after}
+    sides = {n: (before[n], after[n]) for n in after} | (compared or {})
+    changes = {n: changed_rows(*sides[n]) for n in after}
     jobs.run_fact_changes_job(spark, sink, log, label, build, graph, after, changes)
     return sink.read(label)
 
@@ -431,13 +434,22 @@ def fact_mot_from_changes(spark, sf_dir):
              "vbak": fx.sales_orders(t), "mara": fx.materials(t)}
     li, orders, part = t("lineitem"), t("orders"), t("part")
     late, confirmed = _ts(li, "l_shipdate", "2001-06-01"), _ts(orders, "o_orderdate", "2001-05-01")
+
+    def earlier(items):
+        # the last line of large returns is new, three lines of others are gone: each
+        # item's earlier rows, made without a filter that would divide the shuffle
+        posnr, lfimg = F.col("POSNR"), F.col("LFIMG")
+        rows = F.array(
+            F.struct(((posnr < 7) | (lfimg < 40)).alias("kept"), posnr.alias("POSNR"),
+                     F.when(lfimg == 13, lfimg + 1).otherwise(lfimg).alias("LFIMG")),
+            F.struct(((posnr == 1) & (lfimg > 48)).alias("kept"), F.lit(8).alias("POSNR"), lfimg.alias("LFIMG")))
+        return (items.withColumn("__row", F.explode(F.filter(rows, lambda r: r["kept"])))
+                .withColumns({"POSNR": F.col("__row.POSNR"), "LFIMG": F.col("__row.LFIMG")}).drop("__row"))
+
+    items = fx.delivery_items(t, compared=True)
     before = {
         "likp": after["likp"].withColumn("WADAT_IST", F.least("WADAT_IST", late)),
-        # the last line of large returns is new, three lines of others are gone
-        "lips": after["lips"].where((F.col("POSNR") < 7) | (F.col("LFIMG") < 40))
-                .withColumn("LFIMG", F.when(F.col("LFIMG") == 13, F.col("LFIMG") + 1).otherwise(F.col("LFIMG")))
-                .unionByName(after["lips"].where((F.col("POSNR") == 1) & (F.col("LFIMG") > 48))
-                             .withColumn("POSNR", F.lit(8))),
+        "lips": earlier(after["lips"]),
         "vbak": orders.where(F.col("o_orderstatus") != F.lit("P"))
                 .where((F.col("o_orderdate") < confirmed) | (F.col("o_orderpriority") != F.lit("5-LOW")))
                 .select(F.col("o_orderkey").alias("VBELN"),
@@ -450,7 +462,7 @@ def fact_mot_from_changes(spark, sf_dir):
     def build(i):
         return facts.material_on_time_fact(i["likp"], i["lips"], i["vbak"], i["mara"], exclude_unknown=False)
 
-    return _changes(spark, "fact_mot", facts.MOT_GRAPH, build, before, after)
+    return _changes(spark, "fact_mot", facts.MOT_GRAPH, build, before, after, {"lips": (earlier(items), items)})
 
 
 def fact_spend_from_changes(spark, sf_dir):
@@ -458,15 +470,20 @@ def fact_spend_from_changes(spark, sf_dir):
     moved to another company, contracts signed, ended and of another type."""
     t = _tables(spark, sf_dir)
     after = {"arb_spend_lines": fx.spend_lines(t), "clm_contract_lines": fx.contract_lines(t)}
-    lines, orders = after["arb_spend_lines"], t("orders")
+    orders = t("orders")
     recent = _ts(orders, "o_orderdate", "2001-03-01")
     signed = orders.where((F.col("o_orderstatus") == F.lit("F")) & (F.col("o_orderdate") < recent))
     ended = orders.where((F.col("o_orderstatus") == F.lit("O")) & (F.col("o_orderdate") >= recent))
-    before = {
-        "arb_spend_lines": lines.withColumns({
+
+    def earlier(lines):
+        return lines.withColumns({
             "BUKRS": F.when(F.col("MENGE") == 7, F.lit(None)).otherwise(F.col("BUKRS")),
-            "NETWR": F.when(F.col("MENGE") == 9, F.col("NETWR") * 2).otherwise(F.col("NETWR"))})
-            .unionByName(lines.where("MENGE = 50").withColumn("EBELP", F.lit(8))),
+            "NETWR": F.when(F.col("MENGE") == 9, F.col("NETWR") * 2).otherwise(F.col("NETWR"))}) \
+            .unionByName(lines.where("MENGE = 50").withColumn("EBELP", F.lit(8)))
+
+    lines = fx.spend_lines(t, compared=True)
+    before = {
+        "arb_spend_lines": earlier(after["arb_spend_lines"]),
         "clm_contract_lines": signed.unionByName(ended).select(
             F.col("o_orderkey").alias("po_number"),
             F.concat(F.lit("CT-"), F.col("o_orderkey").cast("string")).alias("contract_id"),
@@ -477,7 +494,8 @@ def fact_spend_from_changes(spark, sf_dir):
     def build(i):
         return facts.spend_fact(i["arb_spend_lines"], i["clm_contract_lines"])
 
-    return _changes(spark, "fact_spend", facts.SPEND_GRAPH, build, before, after)
+    return _changes(spark, "fact_spend", facts.SPEND_GRAPH, build, before, after,
+                    {"arb_spend_lines": (earlier(lines), lines)})
 
 
 def _spend_with_nulls(spark, sf_dir):

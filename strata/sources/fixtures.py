@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.control import seed_rows_frame
+from strata.operators.sizing import small_side
 from strata.sources.local import config_frame
 
 @dataclass
@@ -58,9 +59,12 @@ def delivery_header(t: TestTables) -> DataFrame:
                     F.col("WADAT_IST")))
 
 
-def delivery_items(t: TestTables) -> DataFrame:
-    """lips: delivery items."""
-    return t("lineitem").select(
+def delivery_items(t: TestTables, compared: bool = False) -> DataFrame:
+    """lips: delivery items (``compared``: see :func:`spend_lines`)."""
+    li = t("lineitem")
+    if compared:
+        li = li.repartition("l_orderkey", "l_partkey")
+    return li.select(
         F.col("l_orderkey").alias("VBELN"),
         F.col("l_linenumber").alias("POSNR"),
         F.col("l_partkey").alias("MATNR"),
@@ -93,10 +97,14 @@ def supplier_company(t: TestTables) -> DataFrame:
                     F.when(F.col("s_acctbal") >= 0, F.col("n_name")).alias("BUKRS")))
 
 
-def spend_lines(t: TestTables) -> DataFrame:
-    """arb_spend_lines: PO lines with procurement column codes."""
+def spend_lines(t: TestTables, compared: bool = False) -> DataFrame:
+    """arb_spend_lines: PO lines with procurement column codes. Lines to be
+    ``compared`` with others made from the same ones are partitioned first, by
+    columns that do not change: one shuffle serves both sides."""
     li = t("lineitem")
-    return (li.join(supplier_company(t), li["l_suppkey"] == F.col("s_suppkey"))
+    if compared:
+        li = li.repartition("l_orderkey", "l_suppkey")
+    return (li.join(small_side(supplier_company(t)), li["l_suppkey"] == F.col("s_suppkey"))
             .select(
                 F.col("l_orderkey").alias("EBELN"),
                 F.col("l_linenumber").alias("EBELP"),
