@@ -16,18 +16,17 @@ a task's memory does not depend on the length of a text.
 from __future__ import annotations
 
 import copy
-import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+from pyspark import RDD
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import keep, pick, python_ready
+from strata.llm.common import discard, keep, pick, python_ready
 
 # Texts and words that one process trains on. No more labelled rows than that are
 # fitted in one place, more of them in shards of about that size.
@@ -39,6 +38,10 @@ ROUNDS = 4
 BATCH = 64
 # a step ends at this many words too
 STEP_WORDS = 1 << 19
+# embeddings that travel together when the shards' changes are averaged, and the
+# number of the other weights beside the two tables
+CHUNK = 512
+OTHERS = 2
 # scores are counted in this many bins when thresholds are chosen from shards
 BINS = 1 << 12
 # If a caller bounds the words, texts of more than this share of them come after
@@ -414,39 +417,68 @@ def _pass(model: Cnn, rows: Iterator[tuple], weights: tuple[float, float], train
     return n, [x - y for x, y in zip(_shard_weights(model), before)]
 
 
-def _average(model: Cnn, total: list[np.ndarray], touched: list[np.ndarray], n: int) -> Cnn:
-    """``model`` moved by the shards' mean changes; a word's embedding by those
-    of the shards that changed it."""
-    moves = [t / np.maximum(c, 1)[:, None] for t, c in zip(total[:2], touched)] + [t / n for t in total[2:]]
-    out = copy.deepcopy(model)
-    k = len(WIDTHS)
-    new = [(w + m).astype(w.dtype) for w, m in zip(_shard_weights(model), moves)]
-    out.words, out.begins, out.conv, out.conv_bias = new[0], new[1], new[2:2 + k], new[2 + k:2 + 2 * k]
-    out.out, out.bias = new[2 + 2 * k], float(new[-1][0])
-    return out
+def _chunks(what: int, at: np.ndarray, values: np.ndarray) -> Iterator[tuple]:
+    """The rows ``at`` (ascending) of table ``what``, by chunk: ((what, chunk), (at, values))."""
+    cuts = np.flatnonzero(np.diff(at // CHUNK)) + 1
+    for some, own in zip(np.split(at, cuts), np.split(values, cuts)):
+        if len(some):
+            yield (what, int(some[0]) // CHUNK), (some.astype(np.int32), own)
+
+
+def _folded(shards: RDD, run, fold) -> dict:
+    """``run(shard, its rows)`` yields keys and values; ``fold(key, values)``, the
+    values in the shards' order, makes one of them in a task. The driver gets
+    these alone, so what it gets does not grow with the shards."""
+    def task(shard, rows):
+        return ((key, (shard, value)) for key, value in run(shard, rows))
 
+    def one(item):
+        return item[0], fold(item[0], [v for _, v in sorted(item[1], key=lambda t: t[0])])
 
-def _texts(batches: Iterator[pa.RecordBatch], held: int | None = None) -> Iterator[tuple]:
-    """(words, beginnings, label, lang) of the coded texts, of one part alone if ``held`` is given."""
-    for batch in batches:
-        for r in batch.select(["held", "toxic", "lang", "w"]).to_pylist():
-            if held is None or r["held"] == held:
-                both = np.frombuffer(r["w"], "<u4")
-                yield ((both // BEGIN_BUCKETS).astype(np.int32), (both % BEGIN_BUCKETS).astype(np.int32),
-                       r["toxic"], r["lang"])
+    return dict(shards.mapPartitionsWithIndex(task).groupByKey(shards.getNumPartitions()).map(one).collect())
 
 
-def _summed(df: DataFrame, run) -> list[np.ndarray]:
-    """Sums over the shards of the arrays that ``run`` returns for each, which are
-    added up by tasks before the driver gets them."""
-    def task(batches):
-        arrays = run(batches)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(arrays, 5)], pa.binary())], ["a"])
+def _common(key: tuple, values: list[tuple]) -> np.ndarray:
+    """Rows of a chunk that ``LEAST_TEXTS`` texts or more have, from the shards' counts."""
+    total = np.zeros(CHUNK, np.int64)
+    for at, count in values:
+        total[at % CHUNK] += count
+    return np.flatnonzero(total >= LEAST_TEXTS) + key[1] * CHUNK
 
-    def add(x, y):
-        return [p + q for p, q in zip(x, y)]
 
-    return df.mapInArrow(task, "a binary").rdd.map(lambda r: pickle.loads(bytes(r.a))).treeReduce(add)
+def _mean_move(key: tuple, values: list[tuple]):
+    """The shards' mean changes: of a chunk of embeddings (rows, changes), each by
+    the shards that changed it; of the other weights by their texts."""
+    if key[0] == OTHERS:
+        n = max(1, sum(count for count, _ in values))
+        return [sum(count * m.astype(np.float64) for (count, _), m in zip(values, own)) / n
+                for own in zip(*(moves for _, moves in values))]
+    total, touched = np.zeros((CHUNK, DIM)), np.zeros(CHUNK, np.int64)
+    for at, move in values:
+        total[at % CHUNK] += move
+        touched[at % CHUNK] += 1
+    some = np.flatnonzero(touched)
+    return some + key[1] * CHUNK, (total[some] / touched[some][:, None]).astype(np.float32)
+
+
+def _moved(model: Cnn, moves: dict) -> Cnn:
+    """``model`` moved by the shards' mean changes."""
+    out = copy.deepcopy(model)
+    others = moves.pop((OTHERS, 0))
+    for (what, _), (at, move) in moves.items():
+        (out.words, out.begins)[what][at] += move
+    new = [(w + m).astype(w.dtype) for w, m in zip(_shard_weights(model)[2:], others)]
+    k = len(WIDTHS)
+    out.conv, out.conv_bias, out.out, out.bias = new[:k], new[k:2 * k], new[2 * k], float(new[-1][0])
+    return out
+
+
+def _texts(rows: Iterator, held: int) -> Iterator[tuple]:
+    """(words, beginnings, label, lang) of the coded texts of one part."""
+    for r in rows:
+        if r.held == held:
+            both = np.frombuffer(r.w, "<u4")
+            yield (both // BEGIN_BUCKETS).astype(np.int32), (both % BEGIN_BUCKETS).astype(np.int32), r.toxic, r.lang
 
 
 def fit_shards(coded: DataFrame, n: int, ones: int, seed: int = 11, threshold: float = 0.5) -> Cnn:
@@ -455,28 +487,32 @@ def fit_shards(coded: DataFrame, n: int, ones: int, seed: int = 11, threshold: f
     averages what they became. All rows count for rare words, all left-out rows
     (of ``held``) for calibration; thresholds are searched among ``BINS`` scores."""
     spark = coded.sparkSession
+    shards = coded.rdd  # one RDD, so every pass reads the same shuffle files
     model = Cnn.new(seed)
     weights = (min(8.0, (n - ones) / ones) ** 0.5, 1.0)
 
-    def texts_with(batches):
+    def texts_with(_, rows):
         count = [np.zeros(WORD_BUCKETS, np.int64), np.zeros(BEGIN_BUCKETS, np.int64)]
-        for word, begin, _, _ in _texts(batches, 0):
+        for word, begin, _, _ in _texts(rows, 0):
             count[0][np.unique(word)] += 1
             count[1][np.unique(begin)] += 1
-        return count
+        for what, own in enumerate(count):
+            at = np.flatnonzero(own)
+            yield from _chunks(what, at, own[at])
 
-    seen = _summed(coded, texts_with)
-    for table, count in zip((model.words, model.begins), seen):
-        table[count < LEAST_TEXTS] = 0
-    trained = tuple(count >= LEAST_TEXTS for count in seen)
+    trained = np.zeros(WORD_BUCKETS, bool), np.zeros(BEGIN_BUCKETS, bool)
+    for (what, _), at in _folded(shards, texts_with, _common).items():
+        trained[what][at] = True
+    for table, mask in zip((model.words, model.begins), trained):
+        table[~mask] = 0
 
     def loss_of(sent):
-        def run(batches):
-            total = np.zeros(2)
-            for word, begin, toxic, _ in _texts(batches, 1):
+        def run(rows):
+            total, texts = 0.0, 0
+            for word, begin, toxic, _ in _texts(rows, 1):
                 z = sent.value.raw(word, begin, np.array([len(word)]))[0]
-                total += np.logaddexp(0, z) - toxic * z, 1
-            return [total]
+                total, texts = total + float(np.logaddexp(0, z) - toxic * z), texts + 1
+            yield total, texts
         return run
 
     best = (np.inf, model)
@@ -484,34 +520,39 @@ def fit_shards(coded: DataFrame, n: int, ones: int, seed: int = 11, threshold: f
         sent = spark.sparkContext.broadcast((model, trained))
         rate = 0.02 * (1 - turn / ROUNDS) + 0.001
 
-        def one(batches, sent=sent, rate=rate, turn=turn):
-            part = TaskContext.get().partitionId()
+        def one(shard, rows, sent=sent, rate=rate, turn=turn):
             start, masks = sent.value
-            rows = ((w, b, t) for w, b, t, _ in _texts(batches, 0))
-            count, moves = _pass(copy.deepcopy(start), rows, weights, masks, rate, seed + 1000 * turn + part)
-            return [*[m * (count if i > 1 else 1) for i, m in enumerate(moves)],
-                    *[m.any(axis=1).astype(np.int32) for m in moves[:2]], np.array([count])]
-
-        *total, words, begins, count = _summed(coded, one)
-        model = _average(model, total, [words, begins], max(1, int(count[0])))
+            texts = ((w, b, t) for w, b, t, _ in _texts(rows, 0))
+            count, moves = _pass(copy.deepcopy(start), texts, weights, masks, rate, seed + 1000 * turn + shard)
+            for what, move in enumerate(moves[:2]):
+                at = np.flatnonzero(move.any(axis=1))
+                yield from _chunks(what, at, move[at])
+            yield (OTHERS, 0), (count, moves[2:])
+
+        model = _moved(model, _folded(shards, one, _mean_move))
         sent.destroy()
         sent = spark.sparkContext.broadcast(model)
-        loss = _summed(coded, loss_of(sent))[0]
+        loss = np.array(shards.mapPartitions(loss_of(sent)).collect()).sum(axis=0)  # two numbers a shard
         if loss[0] / max(1, loss[1]) < best[0]:
             best = (loss[0] / max(1, loss[1]), model)
         sent.destroy()
     model = best[1]
     sent = spark.sparkContext.broadcast(model)
 
-    def outputs(batches):
-        for batch in batches:
-            got = [(sent.value.raw(w, b, np.array([len(w)]))[0], t, lang)
-                   for w, b, t, lang in _texts([batch], 1)]
-            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.float64()),
-                                              pa.array([g[1] for g in got], pa.int32()),
-                                              pa.array([str(g[2]) for g in got], pa.string())], ["z", "y", "lang"])
+    def outputs(rows):
+        for word, begin, toxic, lang in _texts(rows, 1):
+            yield float(sent.value.raw(word, begin, np.array([len(word)]))[0]), toxic, str(lang)
 
-    scored = keep(coded.mapInArrow(outputs, "z double, y int, lang string"), "train-scores")
+    scored = keep(spark.createDataFrame(shards.mapPartitions(outputs), "z double, y int, lang string"), "train-scores")
+    sent.destroy()
+    try:
+        return _calibrated(model, scored, threshold)
+    finally:
+        discard(scored)
+
+
+def _calibrated(model: Cnn, scored: DataFrame, threshold: float) -> Cnn:
+    """``model`` with scale, shift and thresholds from the raw scores ``z`` of the left-out rows."""
     pos, neg = scored.agg(F.coalesce(F.sum("y"), F.lit(0)), F.coalesce(F.sum(1 - F.col("y")), F.lit(0))).first()
     if not pos or not neg:
         return model
@@ -554,25 +595,26 @@ def _best_bin(counts: np.ndarray, near: float) -> float:
 
 def _coded(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The labelled documents, one per doc_id, as word buckets ``w`` (a word's and
-    its beginning's in one number): doc_id, toxic, lang, n (words), h, w."""
+    its beginning's in one number): doc_id, toxic, lang, n (words), w."""
     src = pick(docs, doc_id="doc_id", text="text", lang="lang")
-    rows = src.join(chosen, "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"),
-                                             (F.col("toxic") > 0).cast("int").alias("toxic"), "lang",
-                                             F.xxhash64("text").alias("h"), "text")
+    # copies are combined before they travel, the join and the coding follow in place:
+    # each text is shuffled once. The labels grow with the corpus: never broadcast
+    texts = src.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "lang")).alias("t"))
+    rows = texts.join(chosen.hint("merge"), "doc_id").select(
+        F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic"),
+        "t.lang", "t.text")
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            word, begin, counts = word_buckets(batch.column(4).cast(pa.binary()).to_pylist())
+            word, begin, counts = word_buckets(batch.column(3).cast(pa.binary()).to_pylist())
             both = (word.astype("<u4") * np.uint32(BEGIN_BUCKETS) + begin.astype("<u4")).astype("<u4")
             at = np.cumsum(counts) - counts
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(counts, pa.int64()),
+                [*batch.columns[:3], pa.array(counts, pa.int64()),
                  pa.array([both[a:a + n].tobytes() for a, n in zip(at, counts)], pa.binary())],
-                ["doc_id", "toxic", "lang", "h", "n", "w"])
+                ["doc_id", "toxic", "lang", "n", "w"])
 
-    coded = rows.mapInArrow(buckets, "doc_id long, toxic int, lang string, h long, n long, w binary")
-    return (coded.groupBy("doc_id", "toxic").agg(F.min(F.struct("h", "w", "lang", "n")).alias("t"))
-            .select("doc_id", "toxic", "t.lang", "t.n", "t.w"))
+    return rows.mapInArrow(buckets, "doc_id long, toxic int, lang string, n long, w binary")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int | None = None,
@@ -593,37 +635,36 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int | None = None,
     chosen = usable
     if max_train is not None:
         chosen = keep(usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train), "train-labels")
-    coded = keep(_coded(docs, chosen), "train-texts")
-    if max_words is not None:
-        sizes = coded.select(F.xxhash64("doc_id").alias("h"), "doc_id", "toxic", "n").collect()
-        fits = _fitting([(r.doc_id, r.toxic, r.n) for r in sorted(sizes)], max_words)
-        ids = spark.createDataFrame([(i,) for i in sorted(fits)], "doc_id long")
-        coded = coded.join(F.broadcast(ids), "doc_id", "left_semi")
-    n, ones, words = coded.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0)),
-                               F.coalesce(F.sum("n"), F.lit(0))).first()
-    if (max_train is not None or max_words is not None) and ones in (0, n):
-        kinds = usable.join(pick(docs, doc_id="doc_id"), "doc_id", "left_semi").select(F.col("toxic") > 0).distinct()
-        if kinds.count() == 2:
-            raise ValueError(f"the training sample of {n} texts lacks one of the two labels; "
-                             f"raise max_train ({max_train}) or max_words ({max_words})")
-    if ones in (0, n):  # nothing to tell apart: the smoothed share of either label
-        return _constant(n, ones, threshold)
-    if n <= SHARD_TEXTS and words <= SHARD_WORDS:
-        got = coded.collect()
-        got.sort(key=lambda r: r.doc_id)
-        both = [np.frombuffer(r.w, "<u4") for r in got]
-        texts = [((x // BEGIN_BUCKETS).astype(np.int32), (x % BEGIN_BUCKETS).astype(np.int32)) for x in both]
-        return fit(texts, np.array([r.toxic for r in got]), [r.lang for r in got], threshold=threshold)
-    shards = min(MAX_SHARDS, max(2, -(-n // SHARD_TEXTS), -(-words // SHARD_WORDS)))
-    order = F.xxhash64("doc_id", F.lit(11))
-    coded = (coded.select("toxic", "lang", "w", (F.pmod(order, F.lit(5)) == 0).cast("int").alias("held"),
-                          "doc_id", order.alias("order"))
-             .repartition(shards, "doc_id").sortWithinPartitions("order", "doc_id")
-             .persist(StorageLevel.DISK_ONLY))
+    kept = coded = keep(_coded(docs, chosen), "train-texts")
     try:
+        if max_words is not None:
+            sizes = coded.select(F.xxhash64("doc_id").alias("h"), "doc_id", "toxic", "n").collect()
+            fits = _fitting([(r.doc_id, r.toxic, r.n) for r in sorted(sizes)], max_words)
+            ids = spark.createDataFrame([(i,) for i in sorted(fits)], "doc_id long")
+            coded = coded.join(F.broadcast(ids), "doc_id", "left_semi")
+        n, ones, words = coded.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0)),
+                                   F.coalesce(F.sum("n"), F.lit(0))).first()
+        if (max_train is not None or max_words is not None) and ones in (0, n):
+            kinds = usable.join(pick(docs, doc_id="doc_id"), "doc_id", "left_semi").select(F.col("toxic") > 0).distinct()
+            if kinds.count() == 2:
+                raise ValueError(f"the training sample of {n} texts lacks one of the two labels; "
+                                 f"raise max_train ({max_train}) or max_words ({max_words})")
+        if ones in (0, n):  # nothing to tell apart: the smoothed share of either label
+            return _constant(n, ones, threshold)
+        if n <= SHARD_TEXTS and words <= SHARD_WORDS:
+            got = coded.collect()
+            got.sort(key=lambda r: r.doc_id)
+            both = [np.frombuffer(r.w, "<u4") for r in got]
+            texts = [((x // BEGIN_BUCKETS).astype(np.int32), (x % BEGIN_BUCKETS).astype(np.int32)) for x in both]
+            return fit(texts, np.array([r.toxic for r in got]), [r.lang for r in got], threshold=threshold)
+        shards = min(MAX_SHARDS, max(2, -(-n // SHARD_TEXTS), -(-words // SHARD_WORDS)))
+        order = F.xxhash64("doc_id", F.lit(11))
+        coded = (coded.select("toxic", "lang", "w", (F.pmod(order, F.lit(5)) == 0).cast("int").alias("held"),
+                              "doc_id", order.alias("order"))
+                 .repartition(shards, "doc_id").sortWithinPartitions("order", "doc_id"))
         return fit_shards(coded, n, ones, threshold=threshold)
     finally:
-        coded.unpersist()
+        discard(kept)
 
 
 def add_scores(docs: DataFrame, model: Cnn, text_col: str = "text", name: str = "score") -> DataFrame:

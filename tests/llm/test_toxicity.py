@@ -1,8 +1,10 @@
+import pickle
 import random
 import zlib
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from strata.llm import toxicity as T
@@ -181,3 +183,44 @@ def test_thresholds_of_counted_scores():
     counts = np.zeros((T.BINS + 1, 2), np.int64)
     counts[100, 1], counts[3000, 0] = 50, 7
     assert T._best_bin(counts, 0.5) == 0.5 and T._best_bin(counts, 0.9) == 3000 / T.BINS
+
+
+def test_what_the_driver_gets_does_not_grow_with_the_shards(spark, monkeypatch):
+    """The shards' changes are averaged by tasks; one model reaches the driver."""
+    docs, labels = small(spark)
+    got, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: got.append(collect(self)) or got[-1])
+    most = []
+    for texts in (20, 2):
+        got.clear()
+        monkeypatch.setattr(T, "SHARD_TEXTS", texts)
+        T.train(docs, labels)
+        most.append(max(len(pickle.dumps(x)) for x in got))
+    assert most[1] <= 2 * most[0] and most[1] < 9e6
+
+
+def test_mean_moves_of_shards():
+    rng = np.random.default_rng(3)
+    at = [np.array([1, 5, 600, 601]), np.array([5, 601, 2000])]
+    moves = [rng.normal(size=(len(a), T.DIM)).astype(np.float32) for a in at]
+    rest = [[np.full(2, x, np.float32)] for x in (1, 4)]
+    by_key = {}
+    for a, m, n, r in zip(at, moves, (1, 3), rest):
+        for key, value in [*T._chunks(0, a, m), ((T.OTHERS, 0), (n, r))]:
+            by_key.setdefault(key, []).append(value)
+    got = {k: T._mean_move(k, v) for k, v in by_key.items()}
+    assert np.allclose(got.pop((T.OTHERS, 0))[0], (1 * 1 + 3 * 4) / 4)
+    rows = {int(i): m for i, v in got.values() for i, m in zip(i, v)}
+    assert sorted(rows) == [1, 5, 600, 601, 2000]
+    assert np.allclose(rows[5], (moves[0][1] + moves[1][0]) / 2) and np.allclose(rows[600], moves[0][2])
+
+
+def test_texts_are_shuffled_once(spark, capsys):
+    """Copies are combined and labels joined where the texts are; no label is broadcast."""
+    docs, labels = small(spark)
+    chosen = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    T._coded(docs, chosen).explain()
+    plan = capsys.readouterr().out
+    assert "Broadcast" not in plan and plan.count("Exchange hashpartitioning") == 2  # the texts, the labels
+    twice = T._coded(docs.union(docs), chosen).collect()
+    assert len(twice) == 100 and {r.n for r in twice if r.doc_id % 4 and r.doc_id != 3} == {4}
